@@ -72,3 +72,59 @@ query("log_not_found_distinct_paths")(lambda s, d: wl.distinct_paths(_not_found(
 query("log_not_found_top_paths")(lambda s, d: wl.top_paths(_not_found(s, d), 20))
 query("log_not_found_top_hosts")(lambda s, d: wl.top_hosts(_not_found(s, d), 25))
 query("log_not_found_by_day")(lambda s, d: wl.daily_requests(_not_found(s, d)))
+
+
+# --- keyed / partition / sort -------------------------------------------------
+
+from kiln.operators import keyed as kd  # noqa: E402
+from kiln.sources.readers import conform  # noqa: E402
+from kiln.sources.sinks import pair_text  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+USER_LIST_SCHEMA = T.StructType([T.StructField("name", T.StringType(), True),
+                                 T.StructField("count", T.IntegerType(), True)])
+
+
+@query("user_list_names")
+def _user_list(spark, d):
+    """The ``(name string, count int)`` user list, taken from the customers
+    and their number of orders, conformed to the declared schema."""
+    per_cust = (b.table(spark, d, "orders").groupBy("o_custkey")
+                .agg(F.count(F.lit(1)).alias("n_orders")))
+    cust = b.table(spark, d, "customer").select("c_custkey", "c_name")
+    rows = (cust.join(per_cust, cust.c_custkey == per_cust.o_custkey, "left")
+            .select(F.col("c_name").alias("name"),
+                    F.coalesce("n_orders", F.lit(0)).alias("count")))
+    return conform(rows, USER_LIST_SCHEMA)
+
+
+def _word_count(spark, d):
+    return kd.word_count(b.document_lines(spark, d))
+
+
+query("word_count")(_word_count)
+
+
+@query("average_by_key")
+def _average_by_key(spark, d):
+    li = b.table(spark, d, "lineitem").select(
+        "l_returnflag", F.col("l_quantity").cast("int").alias("score"))
+    r = kd.average_by_key(li, "l_returnflag", "score")
+    return r.withColumn("average", F.round("average", 6))
+
+
+query("partition_average")(
+    lambda s, d: kd.partition_average(b.table(s, d, "lineitem"), "l_quantity"))
+query("partition_sizes")(
+    lambda s, d: kd.partition_sizes(b.table(s, d, "lineitem"), 10, ["l_orderkey"]))
+query("collect_values")(
+    lambda s, d: kd.collection_digest(b.table(s, d, "orders"), "o_orderkey",
+                                      ["o_orderpriority"]))
+query("sort_by_string_key")(
+    lambda s, d: kd.sort_by_string_key(b.table(s, d, "part").select("p_partkey"),
+                                       "p_partkey"))
+query("sort_by_struct_key")(
+    lambda s, d: kd.sort_by_struct_key(
+        b.table(s, d, "part").select("p_brand", "p_size", "p_partkey"),
+        ["p_brand", "p_size", "p_partkey"]))
+query("pair_text")(lambda s, d: pair_text(_word_count(s, d), "word", "count"))

@@ -101,3 +101,37 @@ WEBLOG = {
 
 ORACLES: dict[str, str] = {}
 ORACLES.update(WEBLOG)
+
+# --- keyed / partition / sort -------------------------------------------------
+
+WORDS = r"""lines AS (SELECT unnest(string_split(text, chr(10))) AS l FROM documents),
+words AS (
+  SELECT unnest(string_split(CASE WHEN l = '' THEN l ELSE rtrim(l, ' ') END, ' ')) AS word
+  FROM lines WHERE l = '' OR rtrim(l, ' ') <> ''),
+wc AS (SELECT word, count(*) AS "count" FROM words GROUP BY word)"""
+
+KEYED = {
+    "user_list_names": """SELECT c_name AS name, CAST(coalesce(n, 0) AS INTEGER) AS "count"
+        FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) o
+        ON c_custkey = o_custkey""",
+    "word_count": with_(WORDS, "SELECT word, \"count\" FROM wc"),
+    "average_by_key": """SELECT l_returnflag, count(v) AS matches, CAST(sum(v) AS BIGINT) AS total,
+        CAST(trunc(sum(v) / count(v)) AS BIGINT) AS avg_int,
+        round(sum(v) / count(v), 6) AS average
+        FROM (SELECT l_returnflag, CAST(trunc(l_quantity) AS INTEGER) AS v FROM lineitem)
+        GROUP BY l_returnflag""",
+    "partition_average": """SELECT sum(CAST(trunc(l_quantity) AS BIGINT))
+        / count(l_quantity) AS average FROM lineitem""",
+    "collect_values": """SELECT o_orderpriority, count(o_orderkey) AS n_values,
+        count(DISTINCT o_orderkey) AS n_distinct, min(o_orderkey) AS min_value,
+        max(o_orderkey) AS max_value,
+        CAST(sum(CAST(o_orderkey AS DECIMAL(38, 0))) AS DECIMAL(38, 0)) AS sum_value
+        FROM orders GROUP BY o_orderpriority""",
+    "sort_by_string_key": """SELECT p_partkey, row_number() OVER (
+        ORDER BY CAST(p_partkey AS VARCHAR), p_partkey) AS position FROM part""",
+    "sort_by_struct_key": """SELECT p_brand, p_size, p_partkey, row_number() OVER (
+        ORDER BY p_brand, p_size, p_partkey) AS position FROM part""",
+    "pair_text": with_(WORDS, """SELECT '(' || word || ',' || CAST("count" AS VARCHAR) || ')'
+        AS line FROM wc"""),
+}
+ORACLES.update(KEYED)
