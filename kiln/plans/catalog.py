@@ -128,3 +128,83 @@ query("sort_by_struct_key")(
         b.table(s, d, "part").select("p_brand", "p_size", "p_partkey"),
         ["p_brand", "p_size", "p_partkey"]))
 query("pair_text")(lambda s, d: pair_text(_word_count(s, d), "word", "count"))
+
+
+# --- ratings and recommendation --------------------------------------------------
+
+from kiln.operators import ratings as rt  # noqa: E402
+from kiln.operators import recommend as rc  # noqa: E402
+from kiln.sources.readers import RATING_SCHEMA  # noqa: E402
+
+# --- fixed values: the personal ratings (movieId, rating) of the original job --
+MY_RATINGS = [(260, 5.0), (318, 3.0), (858, 4.0), (912, 3.0), (750, 4.0),
+              (1198, 2.0), (58559, 5.0), (4226, 3.0), (50, 5.0), (527, 5.0)]
+# ---------------------------------------------------------------------------------
+MIN_REVIEWS = 30     # no item reaches 100 ratings in the test tables
+TOP_K = 20
+RECOMMEND_K = 50
+
+
+def new_user_id(ratings: DataFrame):
+    """An id no rater uses yet (max + 1), as a scalar-subquery column: user 0
+    is a real customer in the test tables."""
+    return ratings.agg((F.max("userId") + 1).cast("int")).scalar()
+
+
+def my_ratings(spark: SparkSession, user_id) -> DataFrame:
+    rows = spark.createDataFrame([(0, m, r) for m, r in MY_RATINGS], RATING_SCHEMA)
+    return rows.withColumn("userId", user_id)
+
+
+query("ratings_load")(b.ratings)
+query("movies_load")(b.movies)
+query("movies_top_rated")(
+    lambda s, d: rt.top_rated(b.ratings(s, d), b.movies(s, d), MIN_REVIEWS, TOP_K))
+query("ratings_split")(lambda s, d: rt.md5_split(b.ratings(s, d)))
+
+
+@query("mean_baseline_rmse")
+def _baseline(spark, d):
+    train, _, test = b.splits(spark, d)
+    r = rt.mean_baseline_rmse(train, test)
+    return r.select(F.round("train_mean", 6).alias("train_mean"),
+                    F.round("rmse", 6).alias("rmse"))
+
+
+@query("unrated_candidates")
+def _candidates(spark, d):
+    uid = new_user_id(b.ratings(spark, d))
+    return rt.unrated_candidates(b.movies(spark, d), my_ratings(spark, uid), uid)
+
+
+@query("ratings_with_user")
+def _with_user(spark, d):
+    uid = new_user_id(b.ratings(spark, d))
+    train, _, _ = b.splits(spark, d)
+    return rt.with_user_ratings(train, my_ratings(spark, uid))
+
+
+@query("als_rank_search")
+def _rank_search(spark, d):
+    train, validation, _ = b.splits(spark, d)
+    table, _, _ = rc.rank_search(train, validation)
+    return table
+
+
+@query("als_test_rmse")
+def _test_rmse(spark, d):
+    train, validation, test = b.splits(spark, d)
+    _, model, rank = rc.rank_search(train, validation)
+    err = rt.rmse(model.transform(test))
+    return err.select(F.lit(rank).alias("rank"), "rmse")
+
+
+@query("recommend_for_user")
+def _recommend(spark, d):
+    ratings = b.ratings(spark, d)
+    train, validation, _ = b.splits(spark, d)
+    _, _, rank = rc.rank_search(train, validation)
+    uid = new_user_id(ratings)
+    recs, _ = rc.recommend_for_user(train, my_ratings(spark, uid), b.movies(spark, d),
+                                    uid, rank, RECOMMEND_K)
+    return recs

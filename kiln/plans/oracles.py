@@ -135,3 +135,40 @@ KEYED = {
         AS line FROM wc"""),
 }
 ORACLES.update(KEYED)
+
+# --- ratings ---------------------------------------------------------------------
+
+from kiln.plans.catalog import MIN_REVIEWS, MY_RATINGS, TOP_K  # noqa: E402
+
+RATINGS = r"""ratings AS (
+  SELECT CAST(o_custkey AS INTEGER) AS userId, CAST(l_partkey AS INTEGER) AS movieId,
+         avg(1 + (CAST(trunc(l_quantity) AS INTEGER) - 1) % 5) AS rating
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY o_custkey, l_partkey),
+movies AS (SELECT CAST(p_partkey AS INTEGER) AS movieId, p_name AS title FROM part),
+split_r AS (
+  SELECT *, CASE WHEN b < 60 THEN 'train' WHEN b < 80 THEN 'validation' ELSE 'test' END AS split
+  FROM (SELECT *, CAST(CAST('0x' || substr(md5(CAST(userId AS VARCHAR) || '|'
+          || CAST(movieId AS VARCHAR)), 1, 8) AS BIGINT) % 100 AS INTEGER) AS b FROM ratings)),
+new_user AS (SELECT CAST(max(userId) + 1 AS INTEGER) AS uid FROM ratings),
+mine AS (SELECT uid AS userId, CAST(m AS INTEGER) AS movieId, CAST(r AS DOUBLE) AS rating
+         FROM new_user, (VALUES """ + ", ".join(f"({m}, {r})" for m, r in MY_RATINGS) + """) v(m, r))"""
+
+RATING_ORACLES = {
+    "ratings_load": with_(RATINGS, "SELECT userId, movieId, rating FROM ratings"),
+    "movies_load": with_(RATINGS, "SELECT movieId, title FROM movies"),
+    "movies_top_rated": with_(RATINGS, f"""SELECT movieId, title, "count", round(average, 6) AS average
+        FROM (SELECT movieId, count(rating) AS "count", avg(rating) AS average
+              FROM ratings GROUP BY movieId HAVING count(rating) >= {MIN_REVIEWS})
+        JOIN movies USING (movieId)
+        ORDER BY round(average, 6) DESC, movieId LIMIT {TOP_K}"""),
+    "ratings_split": with_(RATINGS, "SELECT userId, movieId, rating, split FROM split_r"),
+    "mean_baseline_rmse": with_(RATINGS, """SELECT round(mu, 6) AS train_mean,
+        round(sqrt(avg(pow(rating - mu, 2))), 6) AS rmse
+        FROM split_r, (SELECT avg(rating) AS mu FROM split_r WHERE split = 'train')
+        WHERE split = 'test' GROUP BY mu"""),
+    "unrated_candidates": with_(RATINGS, """SELECT movieId, title, uid AS userId
+        FROM movies, new_user WHERE movieId NOT IN (SELECT movieId FROM mine)"""),
+    "ratings_with_user": with_(RATINGS, """SELECT userId, movieId, rating FROM split_r
+        WHERE split = 'train' UNION ALL SELECT userId, movieId, rating FROM mine"""),
+}
+ORACLES.update(RATING_ORACLES)
