@@ -208,3 +208,42 @@ def _recommend(spark, d):
     recs, _ = rc.recommend_for_user(train, my_ratings(spark, uid), b.movies(spark, d),
                                     uid, rank, RECOMMEND_K)
     return recs
+
+
+# --- graph -----------------------------------------------------------------------
+
+from kiln.operators import graph as gr  # noqa: E402
+from kiln.sources.adjacency import adjacency_edges, parse_adjacency  # noqa: E402
+
+PAGERANK_ROUNDS = 5   # fixed rounds, so that SQL can unroll them
+SOURCE_VERTEX = 0     # part 0
+
+
+def _adjacency_edges(spark, d):
+    return adjacency_edges(parse_adjacency(b.adjacency_lines(spark, d)))
+
+
+query("adjacency_edges")(_adjacency_edges)
+
+
+@query("pagerank")
+def _pagerank(spark, d):
+    e = b.edges(spark, d).select("src", "dst")
+    res = gr.pagerank(e, max_iter=PAGERANK_ROUNDS, tol=None)
+    return res.ranks.select("id", F.round("rank", 6).alias("rank"))
+
+
+query("property_graph")(
+    lambda s, d: gr.property_graph(b.vertices(s, d), b.edges(s, d)))
+
+
+@query("shortest_distances")
+def _distances(spark, d):
+    sp = gr.shortest_distances(b.edges(spark, d), SOURCE_VERTEX)
+    return sp.distances.select("id", "dist")
+
+
+@query("shortest_paths")
+def _paths(spark, d):
+    sp = gr.shortest_paths(b.edges(spark, d), SOURCE_VERTEX)
+    return sp.select("id", "dist", F.array_join("path", ",").alias("path"))

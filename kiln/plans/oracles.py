@@ -172,3 +172,71 @@ RATING_ORACLES = {
         WHERE split = 'train' UNION ALL SELECT userId, movieId, rating FROM mine"""),
 }
 ORACLES.update(RATING_ORACLES)
+
+# --- graph -----------------------------------------------------------------------
+
+from kiln.plans.catalog import PAGERANK_ROUNDS, SOURCE_VERTEX  # noqa: E402
+
+EDGES = r"""pairs AS (SELECT l_partkey AS p, l_suppkey AS s,
+                 min(CAST(trunc(l_quantity) AS BIGINT)) AS weight FROM lineitem GROUP BY 1, 2),
+e AS MATERIALIZED (SELECT p AS src, -(s + 1) AS dst, weight FROM pairs
+                   UNION ALL SELECT -(s + 1), p, weight FROM pairs),
+v AS MATERIALIZED (SELECT src AS id FROM e UNION SELECT dst FROM e)"""
+
+
+def _pagerank_sql(rounds: int) -> str:
+    parts = [EDGES, "d AS (SELECT src, count(*) AS k FROM e GROUP BY src)",
+             "r0 AS (SELECT id, CAST(1.0 AS DOUBLE) AS rank FROM v)"]
+    for i in range(1, rounds + 1):
+        parts.append(f"""r{i} AS MATERIALIZED (SELECT v.id, 0.15 + 0.85 * coalesce(s.x, 0) AS rank
+  FROM v LEFT JOIN (SELECT e.dst, sum(r.rank / d.k) AS x FROM e JOIN d USING (src)
+                    JOIN r{i - 1} r ON r.id = e.src GROUP BY e.dst) s ON s.dst = v.id)""")
+    return "WITH " + ",\n".join(parts) + f"\nSELECT id, round(rank, 6) AS rank FROM r{rounds}"
+
+
+# frontier relaxation keyed by vertex: each step upserts the vertices whose
+# (dist, hops) improved; it ends when no vertex improves
+SSSP = EDGES + f""",
+t(id, dist, hops) USING KEY (id) AS (
+  SELECT CAST({SOURCE_VERTEX} AS BIGINT), CAST(0 AS DOUBLE), 0
+  UNION
+  SELECT c.id, c.dist, c.hops FROM (
+    SELECT e.dst AS id, arg_min(t.dist + e.weight, (t.dist + e.weight, t.hops + 1)) AS dist,
+           arg_min(t.hops + 1, (t.dist + e.weight, t.hops + 1)) AS hops
+    FROM t JOIN e ON e.src = t.id GROUP BY e.dst) c
+  LEFT JOIN recurring.t r ON r.id = c.id
+  WHERE r.id IS NULL OR c.dist < r.dist OR (c.dist = r.dist AND c.hops < r.hops)),
+dist AS MATERIALIZED (SELECT * FROM t)"""
+
+PATHS = SSSP + f""",
+preds AS MATERIALIZED (
+  SELECT e.dst AS id, arg_min(e.src, (t.dist + e.weight, t.hops + 1, e.src)) AS pred
+  FROM dist t JOIN e ON e.src = t.id WHERE e.dst <> {SOURCE_VERTEX} GROUP BY e.dst),
+walk(id, cur, path) AS (
+  SELECT id, pred, [pred] FROM preds
+  UNION ALL
+  SELECT w.id, p.pred, list_prepend(p.pred, w.path) FROM walk w JOIN preds p ON p.id = w.cur),
+routes AS (SELECT id, path FROM walk WHERE cur = {SOURCE_VERTEX})"""
+
+GRAPH = {
+    "adjacency_edges": r"""WITH f AS (SELECT string_split(concat_ws(',', CAST(l_partkey AS VARCHAR),
+            CAST(-(l_suppkey + 1) AS VARCHAR)), ',') AS f FROM lineitem)
+        SELECT src, dst FROM (
+          SELECT TRY_CAST(trim(f[1]) AS BIGINT) AS src,
+                 unnest(list_filter(list_transform(f[2:], lambda x: TRY_CAST(trim(x) AS BIGINT)),
+                                    lambda x: x IS NOT NULL)) AS dst FROM f)
+        WHERE src IS NOT NULL""",
+    "pagerank": _pagerank_sql(PAGERANK_ROUNDS),
+    "property_graph": "WITH " + EDGES + """
+        SELECT p_partkey AS id, p_name AS name FROM part
+        UNION ALL
+        SELECT id, 'missing' AS name FROM v WHERE id NOT IN (SELECT p_partkey FROM part)""",
+    "shortest_distances": "WITH RECURSIVE " + SSSP + """
+        SELECT v.id, coalesce(dist.dist, CAST('inf' AS DOUBLE)) AS dist
+        FROM v LEFT JOIN dist USING (id)""",
+    "shortest_paths": "WITH RECURSIVE " + PATHS + """
+        SELECT v.id, coalesce(dist.dist, CAST('inf' AS DOUBLE)) AS dist,
+               coalesce(array_to_string(routes.path, ','), '') AS path
+        FROM v LEFT JOIN dist USING (id) LEFT JOIN routes USING (id)""",
+}
+ORACLES.update(GRAPH)
