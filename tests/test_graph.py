@@ -1,0 +1,133 @@
+"""PageRank and shortest paths on the fixtures A7, B3, B4."""
+
+import math
+
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from kiln.operators import graph as gr
+from kiln.sources.adjacency import adjacency_edges, parse_adjacency
+
+
+def edges_of(spark, pairs):
+    return spark.createDataFrame(pairs, "src long, dst long")
+
+
+def ranks(res):
+    return {r["id"]: round(r["rank"], 6) for r in res.ranks.collect()}
+
+
+@pytest.fixture(scope="module")
+def sample(spark):
+    lines = spark.createDataFrame([("1,6,2,4",), ("9,6,2,1,9",)], "value string")
+    return adjacency_edges(parse_adjacency(lines))
+
+
+def test_adjacency_parse(spark, sample):
+    assert sorted(tuple(r) for r in sample.collect()) == [
+        (1, 2), (1, 4), (1, 6), (9, 1), (9, 2), (9, 6), (9, 9)]
+    bad = spark.createDataFrame([("x,1",), ("3, 4 ,y,5",), ("7",)], "value string")
+    assert sorted(tuple(r) for r in adjacency_edges(parse_adjacency(bad)).collect()) == [
+        (3, 4), (3, 5)]
+
+
+def test_pagerank_original_modes(sample):
+    res = gr.pagerank(sample, signed_tolerance=True, drop_unlinked=True)
+    assert ranks(res) == {1: 0.3625, 2: 0.645833, 4: 0.433333, 6: 0.645833, 9: 0.3625}
+    assert res.rounds == 1
+
+
+def test_pagerank_default(sample):
+    res = gr.pagerank(sample)
+    assert ranks(res) == {1: 0.190476, 2: 0.244444, 4: 0.203968, 6: 0.244444, 9: 0.190476}
+    assert res.converged
+
+
+@pytest.mark.parametrize("pairs,expect", [
+    ([(1, 2), (2, 3)], {1: 0.15, 2: 0.2775, 3: 0.385875}),
+    ([(1, 2), (2, 3), (3, 1)], {1: 1.0, 2: 1.0, 3: 1.0}),
+    ([(1, 2), (1, 3), (2, 3), (3, 1)], {1: 1.163369, 2: 0.644432, 3: 1.192199}),
+    ([(1, 2), (2, 1), (3, 1)], {1: 1.459459, 2: 1.390541, 3: 0.15}),
+    ([(1, 2)], {1: 0.15, 2: 0.2775}),
+])
+def test_pagerank_small_graphs(spark, pairs, expect):
+    assert ranks(gr.pagerank(edges_of(spark, pairs))) == expect
+
+
+def test_pagerank_empty(spark):
+    assert gr.pagerank(edges_of(spark, [])).ranks.count() == 0
+
+
+def test_pagerank_heavy_source_path(spark):
+    """A source with a third of all edges takes the broadcast path; same ranks."""
+    pairs = [(0, i) for i in range(1, 40)] + [(i, i + 1) for i in range(1, 79)] + [(79, 0)]
+    e = edges_of(spark, pairs)
+    plain = ranks(gr.pagerank(e, max_iter=8, tol=None))
+    split = gr.pagerank(e, max_iter=8, tol=None, hot_min_degree=5)
+    assert ranks(split) == plain
+
+
+B4 = [(1, 2, 7), (1, 3, 9), (1, 6, 14), (2, 3, 10), (2, 4, 15), (3, 4, 11), (3, 6, 2),
+      (4, 5, 6), (5, 6, 9)]
+
+
+def wedges(spark, rows):
+    return spark.createDataFrame(rows, "src long, dst long, weight long")
+
+
+def paths(df):
+    return {r["id"]: (r["dist"], list(r["path"])) for r in df.collect()}
+
+
+def test_shortest_paths_textbook_graph(spark):
+    got = paths(gr.shortest_paths(wedges(spark, B4 + [(7, 1, 1)]), 1))
+    assert got == {1: (0.0, []), 2: (7.0, [1]), 3: (9.0, [1]), 4: (20.0, [1, 3]),
+                   5: (26.0, [1, 3, 4]), 6: (11.0, [1, 3]), 7: (math.inf, [])}
+
+
+def test_shortest_paths_unreached(spark):
+    got = paths(gr.shortest_paths(wedges(spark, B4[:2] + [(4, 5, 1), (5, 6, 1)]), 1))
+    assert got[4] == got[5] == got[6] == (math.inf, [])
+
+
+def test_shortest_paths_tie_smallest_predecessor(spark):
+    got = paths(gr.shortest_paths(wedges(spark, [(1, 2, 1), (1, 3, 1), (2, 4, 1), (3, 4, 1)]), 1))
+    assert got[4] == (2.0, [1, 2])
+
+
+def test_shortest_paths_zero_weights_and_heavy_source(spark):
+    rows = [(1, 2, 0), (2, 3, 0), (1, 3, 0), (3, 4, 5)] + [(1, 10 + i, 1) for i in range(30)]
+    got = paths(gr.shortest_paths(wedges(spark, rows), 1, hot_min_degree=3))
+    assert got[3] == (0.0, [1]) and got[4] == (5.0, [1, 3]) and got[25] == (1.0, [1])
+
+
+def test_negative_weight_rejected(spark):
+    with pytest.raises(ValueError):
+        gr.shortest_distances(wedges(spark, [(1, 2, -1)]), 1)
+
+
+def test_property_graph_default_name(spark):
+    v = spark.createDataFrame([(i, c) for i, c in zip(range(1, 7), "abcdef")], "id long, name string")
+    got = {r["id"]: r["name"] for r in gr.property_graph(v, wedges(spark, B4 + [(7, 1, 1)])).collect()}
+    assert got[7] == "missing" and got[1] == "a" and len(got) == 7
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 7), st.integers(0, 7), st.integers(1, 9)),
+                min_size=1, max_size=25))
+def test_shortest_paths_properties(spark, rows):
+    """Every edge satisfies dist(dst) <= dist(src)+w, and each route's weights
+    add up to the distance."""
+    got = paths(gr.shortest_paths(wedges(spark, rows), 0))
+    best = {}
+    for s, d, w in rows:
+        best[(s, d)] = min(w, best.get((s, d), w))
+    for (s, d), w in best.items():
+        if s in got:
+            assert got[d][0] <= got[s][0] + w
+    for v, (dist, route) in got.items():
+        if dist == math.inf or v == 0:
+            continue
+        hops = route + [v]
+        assert hops[0] == 0
+        assert sum(best[(a, b)] for a, b in zip(hops, hops[1:])) == dist
