@@ -1,0 +1,13 @@
+"""Structured Streaming adapters.
+
+The original jobs read finite files only; nothing here adds an operator.
+Because every library operator is a plain DataFrame transformation, the
+log parsing/cleaning and the grouped reports (status counts, word count)
+also run unchanged on a streaming DataFrame.  These helpers only open the
+stream and start the query.
+"""
+
+from kiln.streaming.adapters import (stream_lines, status_counts_stream,
+                                     word_count_stream, start)
+
+__all__ = ["stream_lines", "status_counts_stream", "word_count_stream", "start"]

@@ -1,0 +1,35 @@
+"""Open a text stream and run library operators on it."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from kiln.operators import keyed, weblog
+
+
+def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """New text files under ``path`` as a stream of lines (column ``value``)."""
+    reader = spark.readStream.format("text")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.load(path)
+
+
+def status_counts_stream(lines: DataFrame) -> DataFrame:
+    """Running HTTP status counts of a log-line stream (complete/update mode)."""
+    logs = weblog.clean_log(weblog.parse_log(lines))
+    return logs.groupBy("status").count()
+
+
+def word_count_stream(lines: DataFrame) -> DataFrame:
+    """Running word counts of a text-line stream (complete/update mode)."""
+    return keyed.word_count(lines)
+
+
+def start(df: DataFrame, name: str, checkpoint: str, mode: str = "complete",
+          sink: str = "memory") -> StreamingQuery:
+    """Start ``df`` into ``sink``; ``checkpoint`` must be a shared folder on a
+    cluster (the query's offsets and state live there)."""
+    return (df.writeStream.outputMode(mode).format(sink).queryName(name)
+            .option("checkpointLocation", checkpoint).start())

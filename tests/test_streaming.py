@@ -1,0 +1,27 @@
+"""The web-log and word-count operators on a file stream."""
+
+import os
+import tempfile
+
+from kiln.streaming import start, status_counts_stream, stream_lines, word_count_stream
+
+
+def test_log_and_word_streams(spark):
+    src = tempfile.mkdtemp(prefix="kiln-stream-src-")
+    with open(os.path.join(src, "a.txt"), "w") as f:
+        f.write('h - - [01/Jul/1995:00:00:01 -0400] "GET /a HTTP/1.0" 200 10\n'
+                'h - - [01/Jul/1995:00:00:02 -0400] "GET /b HTTP/1.0" 404 -\n'
+                'g - - [01/Jul/1995:00:00:03 -0400] "GET /a HTTP/1.0" 200 7\n')
+    lines = stream_lines(spark, src)
+    q1 = start(status_counts_stream(lines), "kiln_status", tempfile.mkdtemp(prefix="kiln-ck-"))
+    q2 = start(word_count_stream(lines), "kiln_words", tempfile.mkdtemp(prefix="kiln-ck-"))
+    try:
+        q1.processAllAvailable()
+        q2.processAllAvailable()
+        got = {r["status"]: r["count"] for r in spark.sql("SELECT * FROM kiln_status").collect()}
+        assert got == {200: 2, 404: 1}
+        words = {r["word"]: r["count"] for r in spark.sql("SELECT * FROM kiln_words").collect()}
+        assert words["h"] == 2 and words['"GET'] == 3
+    finally:
+        q1.stop()
+        q2.stop()
