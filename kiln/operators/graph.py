@@ -63,6 +63,7 @@ class EdgeIndex:
     hot_ids: DataFrame | None
     vertices: DataFrame
     degrees: DataFrame
+    edges: DataFrame
     num_partitions: int
     min_weight: float | None
 
@@ -76,7 +77,10 @@ class EdgeIndex:
         cols = [F.col("src").cast("bigint").alias("src"), F.col("dst").cast("bigint").alias("dst")]
         if weight:
             cols.append(F.col(weight).cast("double").alias("weight"))
-        e = edges.select(*cols).where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+        # the edge list feeds degrees, vertices and the partitioned copies:
+        # build it once
+        e = (edges.select(*cols).where(F.col("src").isNotNull() & F.col("dst").isNotNull())
+             .persist(StorageLevel.MEMORY_AND_DISK))
         deg = (e.groupBy("src").agg(
             F.count(F.lit(1)).alias("out_degree"),
             *([F.min("weight").alias("_wmin")] if weight else [])).repartition(n, "src")
@@ -90,9 +94,9 @@ class EdgeIndex:
         hot_ids = (deg.where(F.col("out_degree") > threshold)
                    .orderBy(F.col("out_degree").desc(), "src").limit(max_hot)
                    .select("src", "out_degree").checkpoint(eager=True))
-        has_hot = hot_ids.limit(1).count() > 0
+        has_hot = hot_ids.count() > 0
         vertices = (e.select(F.col("src").alias("id")).union(e.select(F.col("dst").alias("id")))
-                    .distinct().checkpoint(eager=True))
+                    .distinct())
         degrees, deg = deg, deg.select("src", "out_degree")
         if has_hot:
             flag = hot_ids.select("src", F.lit(True).alias("_hot"))
@@ -105,13 +109,19 @@ class EdgeIndex:
             cold_e, hot_e, hot_ids = e, None, None
         cold = (cold_e.repartition(n, "src").join(deg, "src")
                 .persist(StorageLevel.MEMORY_AND_DISK))
-        return EdgeIndex(cold, hot_e, hot_ids, vertices, degrees, n, min_weight)
+        # materialise now: a cached frame reports its hash partitioning (and
+        # so spares the per-round edge shuffle) only once it is built
+        cold.count()
+        if hot_e is not None:
+            hot_e.count()
+        return EdgeIndex(cold, hot_e, hot_ids, vertices, degrees, e, n, min_weight)
 
     def release(self) -> None:
         """Drop the persisted edges (results are checkpointed, nothing
         built on them remains)."""
         self.cold.unpersist()
         self.degrees.unpersist()
+        self.edges.unpersist()
         if self.hot is not None:
             self.hot.unpersist()
 

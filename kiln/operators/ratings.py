@@ -75,8 +75,9 @@ def mean_baseline_rmse(train: DataFrame, test: DataFrame, label: str = "rating")
     put into the test plan); no driver round trip and no join.
     """
     mu = train.agg(F.avg(label)).scalar()
-    return test.agg(mu.alias("train_mean"),
-                    F.sqrt(F.avg(F.pow(F.col(label) - mu, 2))).alias("rmse"))
+    with_mu = test.select(F.col(label).alias("_r"), mu.alias("_mu"))
+    return with_mu.agg(F.first("_mu").alias("train_mean"),
+                       F.sqrt(F.avg(F.pow(F.col("_r") - F.col("_mu"), 2))).alias("rmse"))
 
 
 def unrated_candidates(movies: DataFrame, rated: DataFrame, user_id,

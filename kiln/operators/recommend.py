@@ -15,6 +15,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.storagelevel import StorageLevel
 
 from kiln.operators.ratings import rmse, unrated_candidates, with_user_ratings
 from kiln.session import checkpoint_dir
@@ -58,13 +59,21 @@ def rank_search(train: DataFrame, validation: DataFrame,
     rank: ``(rank, rmse, is_best)``, the lowest RMSE (first on ties) best.
     """
     spark: SparkSession = train.sparkSession
+    # every fit scans the training set and every score the validation set:
+    # build each once (fitted models do not depend on these caches)
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    validation = validation.persist(StorageLevel.MEMORY_AND_DISK)
     results, best = [], None
-    for r in ranks:
-        model = fit(train, r, **kw)
-        err = model_rmse(model, validation)
-        results.append((r, err))
-        if best is None or err < best[1]:
-            best = (r, err, model)
+    try:
+        for r in ranks:
+            model = fit(train, r, **kw)
+            err = model_rmse(model, validation)
+            results.append((r, err))
+            if best is None or err < best[1]:
+                best = (r, err, model)
+    finally:
+        train.unpersist()
+        validation.unpersist()
     schema = T.StructType([T.StructField("rank", T.IntegerType()),
                            T.StructField("rmse", T.DoubleType()),
                            T.StructField("is_best", T.BooleanType())])

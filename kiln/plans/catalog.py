@@ -145,10 +145,13 @@ TOP_K = 20
 RECOMMEND_K = 50
 
 
-def new_user_id(ratings: DataFrame):
-    """An id no rater uses yet (max + 1), as a scalar-subquery column: user 0
-    is a real customer in the test tables."""
-    return ratings.agg((F.max("userId") + 1).cast("int")).scalar()
+def new_user_id(spark: SparkSession, d: str):
+    """An id no rater uses (largest ordering customer + 1), as a scalar
+    subquery column: user 0 is a real customer in the test tables.  Raters
+    are ordering customers, so one pass over ``orders.o_custkey`` bounds
+    them without building the ratings."""
+    orders = b.table(spark, d, "orders")
+    return orders.agg((F.max("o_custkey") + 1).cast("int")).scalar()
 
 
 def my_ratings(spark: SparkSession, user_id) -> DataFrame:
@@ -173,13 +176,13 @@ def _baseline(spark, d):
 
 @query("unrated_candidates")
 def _candidates(spark, d):
-    uid = new_user_id(b.ratings(spark, d))
+    uid = new_user_id(spark, d)
     return rt.unrated_candidates(b.movies(spark, d), my_ratings(spark, uid), uid)
 
 
 @query("ratings_with_user")
 def _with_user(spark, d):
-    uid = new_user_id(b.ratings(spark, d))
+    uid = new_user_id(spark, d)
     train, _, _ = b.splits(spark, d)
     return rt.with_user_ratings(train, my_ratings(spark, uid))
 
@@ -201,10 +204,9 @@ def _test_rmse(spark, d):
 
 @query("recommend_for_user")
 def _recommend(spark, d):
-    ratings = b.ratings(spark, d)
     train, validation, _ = b.splits(spark, d)
     _, _, rank = rc.rank_search(train, validation)
-    uid = new_user_id(ratings)
+    uid = new_user_id(spark, d)
     recs, _ = rc.recommend_for_user(train, my_ratings(spark, uid), b.movies(spark, d),
                                     uid, rank, RECOMMEND_K)
     return recs

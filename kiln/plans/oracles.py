@@ -149,7 +149,7 @@ split_r AS (
   SELECT *, CASE WHEN b < 60 THEN 'train' WHEN b < 80 THEN 'validation' ELSE 'test' END AS split
   FROM (SELECT *, CAST(CAST('0x' || substr(md5(CAST(userId AS VARCHAR) || '|'
           || CAST(movieId AS VARCHAR)), 1, 8) AS BIGINT) % 100 AS INTEGER) AS b FROM ratings)),
-new_user AS (SELECT CAST(max(userId) + 1 AS INTEGER) AS uid FROM ratings),
+new_user AS (SELECT CAST(max(o_custkey) + 1 AS INTEGER) AS uid FROM orders),
 mine AS (SELECT uid AS userId, CAST(m AS INTEGER) AS movieId, CAST(r AS DOUBLE) AS rating
          FROM new_user, (VALUES """ + ", ".join(f"({m}, {r})" for m, r in MY_RATINGS) + """) v(m, r))"""
 
