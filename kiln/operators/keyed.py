@@ -101,8 +101,13 @@ def with_position(df: DataFrame, order: Sequence[Column | str], out: str = "posi
     that counting and numbering see the same rows in the same places.
     """
     checkpoint_dir(df.sparkSession)
-    sorted_df = (df.repartitionByRange(num_partitions, *order) if num_partitions
-                 else df.repartitionByRange(*order))
+    # a row id as last key: range partitioning cannot split equal keys, so a
+    # key held by a third of the rows would otherwise fill one partition
+    # (ties keep input order, like a stable sort)
+    keyed = df.withColumn("_tb", F.monotonically_increasing_id())
+    order = [*order, F.col("_tb")]
+    sorted_df = (keyed.repartitionByRange(num_partitions, *order) if num_partitions
+                 else keyed.repartitionByRange(*order))
     tagged = (sorted_df.sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id())

@@ -11,9 +11,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from kiln.operators import graph as gr
+from kiln.operators import keyed as kd
+from kiln.operators import ratings as rt
+from kiln.operators import recommend as rc
 from kiln.operators import weblog as wl
 from kiln.plans import bindings as b
+from kiln.sources.adjacency import adjacency_edges, parse_adjacency
+from kiln.sources.readers import RATING_SCHEMA
+from kiln.sources.readers import conform
+from kiln.sources.sinks import pair_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -76,10 +85,6 @@ query("log_not_found_by_day")(lambda s, d: wl.daily_requests(_not_found(s, d)))
 
 # --- keyed / partition / sort -------------------------------------------------
 
-from kiln.operators import keyed as kd  # noqa: E402
-from kiln.sources.readers import conform  # noqa: E402
-from kiln.sources.sinks import pair_text  # noqa: E402
-from pyspark.sql import types as T  # noqa: E402
 
 USER_LIST_SCHEMA = T.StructType([T.StructField("name", T.StringType(), True),
                                  T.StructField("count", T.IntegerType(), True)])
@@ -132,9 +137,6 @@ query("pair_text")(lambda s, d: pair_text(_word_count(s, d), "word", "count"))
 
 # --- ratings and recommendation --------------------------------------------------
 
-from kiln.operators import ratings as rt  # noqa: E402
-from kiln.operators import recommend as rc  # noqa: E402
-from kiln.sources.readers import RATING_SCHEMA  # noqa: E402
 
 # --- fixed values: the personal ratings (movieId, rating) of the original job --
 MY_RATINGS = [(260, 5.0), (318, 3.0), (858, 4.0), (912, 3.0), (750, 4.0),
@@ -214,8 +216,6 @@ def _recommend(spark, d):
 
 # --- graph -----------------------------------------------------------------------
 
-from kiln.operators import graph as gr  # noqa: E402
-from kiln.sources.adjacency import adjacency_edges, parse_adjacency  # noqa: E402
 
 PAGERANK_ROUNDS = 5   # fixed rounds, so that SQL can unroll them
 SOURCE_VERTEX = 0     # part 0

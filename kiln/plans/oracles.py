@@ -8,6 +8,9 @@ sides.
 
 from __future__ import annotations
 
+from kiln.plans.catalog import (MIN_REVIEWS, MY_RATINGS, PAGERANK_ROUNDS, SOURCE_VERTEX,
+                                TOP_K)
+
 # --- shared CTEs -------------------------------------------------------------
 
 CLF = r"""clf AS (
@@ -138,8 +141,6 @@ ORACLES.update(KEYED)
 
 # --- ratings ---------------------------------------------------------------------
 
-from kiln.plans.catalog import MIN_REVIEWS, MY_RATINGS, TOP_K  # noqa: E402
-
 RATINGS = r"""ratings AS (
   SELECT CAST(o_custkey AS INTEGER) AS userId, CAST(l_partkey AS INTEGER) AS movieId,
          avg(1 + (CAST(trunc(l_quantity) AS INTEGER) - 1) % 5) AS rating
@@ -175,8 +176,6 @@ ORACLES.update(RATING_ORACLES)
 
 # --- graph -----------------------------------------------------------------------
 
-from kiln.plans.catalog import PAGERANK_ROUNDS, SOURCE_VERTEX  # noqa: E402
-
 EDGES = r"""pairs AS (SELECT l_partkey AS p, l_suppkey AS s,
                  min(CAST(trunc(l_quantity) AS BIGINT)) AS weight FROM lineitem GROUP BY 1, 2),
 e AS MATERIALIZED (SELECT p AS src, -(s + 1) AS dst, weight FROM pairs

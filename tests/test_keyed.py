@@ -105,3 +105,13 @@ def test_word_counts_sum_to_word_total(spark, lines):
 def test_pair_text(spark):
     df = spark.createDataFrame([("a", 2), ("b", 1)], "word string, count long")
     assert sorted(r[0] for r in pair_text(df, "word", "count").collect()) == ["(a,2)", "(b,1)"]
+
+
+def test_positional_sort_spreads_a_hot_key(spark):
+    """One key on half the rows: still split over several range partitions."""
+    rows = [(0, i) for i in range(400)] + [(k, k) for k in range(1, 401)]
+    df = spark.createDataFrame(rows, "k int, v int")
+    out = kd.sort_by_struct_key(df, ["k"], num_partitions=8)
+    assert sorted(r["position"] for r in out.collect()) == list(range(1, 801))
+    hot = out.where("k = 0").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert hot > 1

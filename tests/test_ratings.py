@@ -67,3 +67,12 @@ def test_recommend_for_user(spark):
     assert len(got) == 3 and all(r["movieId"] not in (1, 2) for r in got)
     preds = [r["prediction"] for r in got]
     assert preds == sorted(preds, reverse=True)
+
+
+def test_random_split_weights(spark):
+    r = spark.range(0, 5000).select(F.col("id").cast("int").alias("userId"),
+                                    F.lit(1).alias("movieId"), F.lit(3.0).alias("rating"))
+    parts = rt.random_split(r)
+    sizes = [p.count() for p in parts]
+    assert sum(sizes) == 5000 and 2700 < sizes[0] < 3300 and 800 < sizes[1] < 1200
+    assert parts[0].join(parts[2], "userId").count() == 0
