@@ -19,7 +19,7 @@ from kiln.operators import ratings as rt
 from kiln.operators import recommend as rc
 from kiln.operators import weblog as wl
 from kiln.plans import bindings as b
-from kiln.sources.adjacency import adjacency_edges, parse_adjacency
+from kiln.sources.adjacency import edges_from_lines
 from kiln.sources.readers import RATING_SCHEMA
 from kiln.sources.readers import conform
 from kiln.sources.sinks import pair_text
@@ -222,7 +222,7 @@ SOURCE_VERTEX = 0     # part 0
 
 
 def _adjacency_edges(spark, d):
-    return adjacency_edges(parse_adjacency(b.adjacency_lines(spark, d)))
+    return edges_from_lines(b.adjacency_lines(spark, d))
 
 
 query("adjacency_edges")(_adjacency_edges)

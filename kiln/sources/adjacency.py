@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _fields(col: str) -> Column:
+    # split on commas with the blanks around them, so fields come out trimmed
+    return F.split(F.trim(F.col(col)), r"\s*,\s*", -1)
+
+
 def parse_adjacency(lines: DataFrame, col: str = "value") -> DataFrame:
     """Lines -> ``(src bigint, links array<bigint>)``, one row per line.
 
     Fields are trimmed and cast with ``try_cast``; a line whose first field is
     not a number is dropped, a bad link is dropped from its list.
     """
-    fields = F.transform(F.split(F.col(col), ",", -1),
-                         lambda x: F.trim(x).try_cast("bigint"))
-    parsed = lines.select(fields.alias("_f"))
-    return (parsed.select(F.col("_f")[0].alias("src"),
-                          F.filter(F.slice("_f", 2, F.greatest(F.size("_f") - 1, F.lit(0))),
-                                   lambda x: x.isNotNull()).alias("links"))
+    f = _fields(col)
+    parsed = lines.select(f.alias("_f"))
+    links = F.transform(F.slice("_f", 2, F.greatest(F.size("_f") - 1, F.lit(0))),
+                        lambda x: x.try_cast("bigint"))
+    return (parsed.select(F.col("_f")[0].try_cast("bigint").alias("src"),
+                          F.filter(links, lambda x: x.isNotNull()).alias("links"))
             .where(F.col("src").isNotNull()))
 
 
@@ -28,3 +33,17 @@ def adjacency_edges(adj: DataFrame) -> DataFrame:
     destination repeated within or across lines stays a parallel edge.
     """
     return adj.select("src", F.explode("links").alias("dst"))
+
+
+def edges_from_lines(lines: DataFrame, col: str = "value") -> DataFrame:
+    """Lines -> ``(src, dst)`` directly, same result as
+    ``adjacency_edges(parse_adjacency(lines))``.
+
+    The casts run after the explode as plain column expressions, so the
+    whole parse stays in generated code (no per-element lambda).
+    """
+    f = _fields(col)
+    rest = F.slice(f, 2, F.greatest(F.size(f) - 1, F.lit(0)))
+    return (lines.select(f[0].try_cast("bigint").alias("src"), F.explode(rest).alias("_d"))
+            .select("src", F.col("_d").try_cast("bigint").alias("dst"))
+            .where(F.col("src").isNotNull() & F.col("dst").isNotNull()))

@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from kiln.operators import graph as gr
-from kiln.sources.adjacency import adjacency_edges, parse_adjacency
+from kiln.sources.adjacency import adjacency_edges, edges_from_lines, parse_adjacency
 
 
 def edges_of(spark, pairs):
@@ -29,6 +29,7 @@ def test_adjacency_parse(spark, sample):
     bad = spark.createDataFrame([("x,1",), ("3, 4 ,y,5",), ("7",)], "value string")
     assert sorted(tuple(r) for r in adjacency_edges(parse_adjacency(bad)).collect()) == [
         (3, 4), (3, 5)]
+    assert sorted(tuple(r) for r in edges_from_lines(bad).collect()) == [(3, 4), (3, 5)]
 
 
 def test_pagerank_original_modes(sample):
