@@ -10,6 +10,7 @@ RMSE would be NaN and no rank could be chosen.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,20 @@ ALS_RANKS = (4, 8, 12)
 # ----------------------------------------------------------------------------
 
 
+@contextmanager
+def persisted(*frames: DataFrame):
+    """Cache ``frames`` for the block (no-op for frames cached already, which
+    stay cached afterwards)."""
+    fresh = [f for f in frames if not f.is_cached]
+    for f in fresh:
+        f.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield frames
+    finally:
+        for f in fresh:
+            f.unpersist()
+
+
 def make_als(rank: int = 10, max_iter: int = ALS_MAX_ITER, reg: float = ALS_REG_PARAM,
              seed: int = ALS_SEED, user: str = "userId", item: str = "movieId",
              label: str = "rating") -> ALS:
@@ -59,21 +74,16 @@ def rank_search(train: DataFrame, validation: DataFrame,
     rank: ``(rank, rmse, is_best)``, the lowest RMSE (first on ties) best.
     """
     spark: SparkSession = train.sparkSession
+    results, best = [], None
     # every fit scans the training set and every score the validation set:
     # build each once (fitted models do not depend on these caches)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    validation = validation.persist(StorageLevel.MEMORY_AND_DISK)
-    results, best = [], None
-    try:
+    with persisted(train, validation) as (train, validation):
         for r in ranks:
             model = fit(train, r, **kw)
             err = model_rmse(model, validation)
             results.append((r, err))
             if best is None or err < best[1]:
                 best = (r, err, model)
-    finally:
-        train.unpersist()
-        validation.unpersist()
     schema = T.StructType([T.StructField("rank", T.IntegerType()),
                            T.StructField("rmse", T.DoubleType()),
                            T.StructField("is_best", T.BooleanType())])
