@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from kiln.functions.buckets import md5_bucket
 from kiln.functions.text import split_lines
-from kiln.sources.readers import MOVIE_SCHEMA, RATING_SCHEMA, conform
+from kiln.sources.readers import MOVIE_SCHEMA, RATING_SCHEMA, conform, spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,7 +27,8 @@ def clf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     the event type (error 404, signup 302, click 304, else 200), size
     ``-`` for errors else ``floor(value*100)``; fixed offset ``-0400``.
     """
-    ev = table(spark, sf_dir, "events")
+    ev = spread(table(spark, sf_dir, "events").select(
+        "event_id", "ts", "user_id", "event_type", "value", "props"))
     status = (F.when(F.col("event_type") == "error", 404)
               .when(F.col("event_type") == "signup", 302)
               .when(F.col("event_type") == "click", 304).otherwise(200))
@@ -43,7 +44,7 @@ def clf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every document as ``value`` (documents split on ``\\n``)."""
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents").select("text"))
     return docs.select(F.explode(split_lines(F.col("text"))).alias("value"))
 
 

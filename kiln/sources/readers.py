@@ -67,6 +67,18 @@ def read_edges(spark: SparkSession, path: str) -> DataFrame:
     return read_csv_fixed(spark, path, EDGE_SCHEMA, False)
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over ``min_partitions`` (default: the cluster's
+    default parallelism) when its scan yields fewer partitions.
+
+    For CPU-heavy row-wise work (regex extraction, text splitting) over an
+    input stored as a few large row groups.  A large multi-file input
+    already has enough splits and is returned untouched (no shuffle).
+    """
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
 def rows_to_frame(spark: SparkSession, rows: Iterable[Sequence],
                   schema: T.StructType) -> DataFrame:
     """Literal rows + explicit schema -> DataFrame (small, driver-side input)."""
