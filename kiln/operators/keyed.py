@@ -83,11 +83,15 @@ def collection_digest(df: DataFrame, value: str, by: Sequence[str] = ()) -> Data
     """Per key: ``n_values``, ``n_distinct``, ``min_value``, ``max_value`` and
     ``sum_value`` (decimal(38,0), exact): a bounded summary that identifies
     the collected multiset without gathering it into one row."""
+    # two chained groupings (per distinct value, then per key) instead of a
+    # distinct count beside plain aggregates, which Spark would expand
+    per_value = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
     v = F.col(value)
-    return df.groupBy(*by).agg(
-        F.count(v).alias("n_values"), F.count_distinct(v).alias("n_distinct"),
+    present = F.when(v.isNotNull(), F.col("_n")).otherwise(F.lit(0))
+    return per_value.groupBy(*by).agg(
+        F.sum(present).alias("n_values"), F.count(v).alias("n_distinct"),
         F.min(v).alias("min_value"), F.max(v).alias("max_value"),
-        F.sum(v.cast("decimal(38,0)")).alias("sum_value"))
+        F.sum(v.cast("decimal(38,0)") * F.col("_n")).cast("decimal(38,0)").alias("sum_value"))
 
 
 def with_position(df: DataFrame, order: Sequence[Column | str], out: str = "position",

@@ -121,15 +121,10 @@ def top_error_paths(logs: DataFrame, k: int = 10) -> DataFrame:
     return top_counts(logs.where("status != 200"), "path", k)
 
 
-def _distinct_with_null(col: str) -> Column:
-    """Distinct values of ``col`` with null counted as one more value (as a
-    ``distinct().count()`` does); 0 on an empty input."""
-    return F.count_distinct(col) + (F.count_if(F.col(col).isNull()) > 0).cast("long")
-
-
 def unique_hosts(logs: DataFrame) -> DataFrame:
-    """One row ``unique_hosts``: distinct hosts, a null host counted as one."""
-    return logs.agg(_distinct_with_null("host").alias("unique_hosts"))
+    """One row ``unique_hosts``: distinct hosts, a null host counted as one
+    (as ``distinct().count()`` counts it)."""
+    return logs.select("host").distinct().agg(F.count(F.lit(1)).alias("unique_hosts"))
 
 
 def _day(time_col: str, grain: str) -> Column:
@@ -140,15 +135,23 @@ def _day(time_col: str, grain: str) -> Column:
     raise ValueError("grain must be 'day' (day of month) or 'date'")
 
 
+def _per_day_host(logs: DataFrame, grain: str) -> DataFrame:
+    """``(day, host, n)``: requests per day and host (null host is a host).
+    Both groupings of the daily reports start from this one; it is
+    partial-aggregated before its shuffle, so a hot host or day is reduced
+    map-side."""
+    return logs.groupBy(_day("time", grain).alias("day"), "host").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
 def daily_unique_hosts(logs: DataFrame, grain: str = "day") -> DataFrame:
     """``(day, unique_count)`` sorted by day.
 
     ``grain='day'`` groups by day of month as the original job does (two
-    months merge); ``grain='date'`` groups by calendar date.  Computed as
-    one aggregate with a distinct count instead of distinct + group.
+    months merge); ``grain='date'`` groups by calendar date.
     """
-    return (logs.groupBy(_day("time", grain).alias("day"))
-            .agg(_distinct_with_null("host").alias("unique_count"))
+    return (_per_day_host(logs, grain).groupBy("day")
+            .agg(F.count(F.lit(1)).alias("unique_count"))
             .orderBy(F.col("day").asc_nulls_first()))
 
 
@@ -163,13 +166,12 @@ def daily_avg_requests_per_host(logs: DataFrame, grain: str = "day") -> DataFram
     """``(day, avg_count)`` = requests / distinct hosts per day, sorted.
 
     The original joins two grouped tables on ``day``; both come from the
-    same grouping, so here it is one aggregate and no join.  Days with a
-    null date drop out as they do in the join.
+    per-(day, host) counts, so here it is two chained groupings and no join.
+    Days with a null date drop out as they do in the join.
     """
-    hosts = _distinct_with_null("host")
-    return (logs.groupBy(_day("time", grain).alias("day"))
-            .agg((F.count(F.lit(1)) / hosts).alias("avg_count"))
-            .where(F.col("day").isNotNull())
+    return (_per_day_host(logs, grain).where(F.col("day").isNotNull())
+            .groupBy("day")
+            .agg((F.sum("n") / F.count(F.lit(1))).alias("avg_count"))
             .orderBy("day"))
 
 
