@@ -10,6 +10,7 @@ RMSE would be NaN and no rank could be chosen.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -67,23 +68,28 @@ def model_rmse(model: ALSModel, data: DataFrame) -> float:
 
 
 def rank_search(train: DataFrame, validation: DataFrame,
-                ranks: Sequence[int] = ALS_RANKS, **kw) -> tuple[DataFrame, ALSModel, int]:
+                ranks: Sequence[int] = ALS_RANKS, parallelism: int | None = None,
+                **kw) -> tuple[DataFrame, ALSModel, int]:
     """Fit one model per rank on ``train`` and score it on ``validation``.
 
     Returns ``(table, best_model, best_rank)``; ``table`` has one row per
-    rank: ``(rank, rmse, is_best)``, the lowest RMSE (first on ties) best.
+    rank: ``(rank, rmse, is_best)``, the lowest RMSE (first in ``ranks`` on
+    ties) best.  Up to ``parallelism`` (default: all) candidates are fitted
+    at once from driver threads, as Spark's own model tuners do; each fit
+    is seeded, so the result does not depend on the interleaving.
     """
     spark: SparkSession = train.sparkSession
-    results, best = [], None
+    ranks = list(ranks)
     # every fit scans the training set and every score the validation set:
     # build each once (fitted models do not depend on these caches)
     with persisted(train, validation) as (train, validation):
-        for r in ranks:
+        def one(r: int) -> tuple[int, float, ALSModel]:
             model = fit(train, r, **kw)
-            err = model_rmse(model, validation)
-            results.append((r, err))
-            if best is None or err < best[1]:
-                best = (r, err, model)
+            return r, model_rmse(model, validation), model
+        with ThreadPoolExecutor(max_workers=parallelism or len(ranks)) as pool:
+            done = list(pool.map(one, ranks))
+    results = [(r, e) for r, e, _ in done]
+    best = min(done, key=lambda x: (x[1], ranks.index(x[0])))
     schema = T.StructType([T.StructField("rank", T.IntegerType()),
                            T.StructField("rmse", T.DoubleType()),
                            T.StructField("is_best", T.BooleanType())])
