@@ -63,6 +63,13 @@ def clf_timestamp(ts_text: Column) -> Column:
     return F.try_to_timestamp(ts_text, F.lit(CLF_TIME_FORMAT))
 
 
-def clf_time(ts_text: Column) -> Column:
-    """CLF time text -> calendar date in the session time zone, null if bad."""
-    return F.to_date(clf_timestamp(ts_text))
+def clf_time(ts_text: Column, utc: bool = False) -> Column:
+    """CLF time text -> calendar date, null if bad.
+
+    The date is taken in the session time zone, or in UTC with ``utc=True``
+    (from the epoch seconds, so independent of the session setting).
+    """
+    ts = clf_timestamp(ts_text)
+    if utc:
+        return F.date_from_unix_date(F.floor(F.unix_seconds(ts) / 86400).cast("int"))
+    return F.to_date(ts)

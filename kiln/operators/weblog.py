@@ -73,20 +73,21 @@ def fill_size(df: DataFrame, col: str = "content_size", value: int = 0) -> DataF
 
 
 def parse_time(df: DataFrame, col: str = "timestamp", out: str = "time",
-               keep_timestamp: bool = False) -> DataFrame:
-    """Replace the CLF time text by its date (last column, session zone).
+               keep_timestamp: bool = False, utc: bool = False) -> DataFrame:
+    """Replace the CLF time text by its date (last column).
 
-    ``keep_timestamp=True`` also keeps the full instant as ``ts``.  An
-    unparsable time gives null instead of failing the job.
+    The date is the one in the session time zone, or in UTC with
+    ``utc=True``.  ``keep_timestamp=True`` also keeps the full instant as
+    ``ts``.  An unparsable time gives null instead of failing the job.
     """
     extra = [clf_timestamp(F.col(col)).alias("ts")] if keep_timestamp else []
     return df.select(*[c for c in df.columns if c != col], *extra,
-                     clf_time(F.col(col)).alias(out))
+                     clf_time(F.col(col), utc).alias(out))
 
 
-def clean_log(parsed: DataFrame, keep_timestamp: bool = False) -> DataFrame:
+def clean_log(parsed: DataFrame, keep_timestamp: bool = False, utc: bool = False) -> DataFrame:
     """Parsed log -> cleaned log: size filled with 0, time parsed to a date."""
-    return parse_time(fill_size(parsed), keep_timestamp=keep_timestamp)
+    return parse_time(fill_size(parsed), keep_timestamp=keep_timestamp, utc=utc)
 
 
 def size_stats(logs: DataFrame, col: str = "content_size") -> DataFrame:

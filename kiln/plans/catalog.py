@@ -44,7 +44,8 @@ def _parsed(spark, d):
 
 
 def _cleaned(spark, d):
-    return wl.clean_log(_parsed(spark, d))
+    # UTC days, whatever the session zone (the log offsets are explicit)
+    return wl.clean_log(_parsed(spark, d), utc=True)
 
 
 def _not_found(spark, d):

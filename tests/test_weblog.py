@@ -119,3 +119,15 @@ def test_parse_inverts_format(spark, recs):
     got = rows(wl.parse_log(df, keep=["id"]))
     for (h, p, s, n, t, z), g in zip(recs, got):
         assert g[1:] == (h, f'{t.strftime("%d/%b/%Y:%H:%M:%S")} {z}', p, s, n)
+
+
+def test_utc_day_ignores_session_zone(spark, lines):
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        clean = wl.clean_log(wl.parse_log(lines, keep=["id"]), utc=True)
+        local = wl.clean_log(wl.parse_log(lines, keep=["id"]))
+        got = {r["id"]: r["time"] for r in clean.collect()}
+        assert got[1] == dt.date(1995, 7, 2) and got[0] == dt.date(1995, 7, 1)
+        assert {r["id"]: r["time"] for r in local.collect()}[1] == dt.date(1995, 7, 1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
