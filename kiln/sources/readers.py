@@ -80,9 +80,16 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 
 
 def rows_to_frame(spark: SparkSession, rows: Iterable[Sequence],
-                  schema: T.StructType) -> DataFrame:
-    """Literal rows + explicit schema -> DataFrame (small, driver-side input)."""
-    return spark.createDataFrame(list(rows), schema)
+                  schema: T.StructType, num_partitions: int | None = None) -> DataFrame:
+    """Literal rows + explicit schema -> DataFrame (small, driver-side input).
+
+    With ``num_partitions`` the rows are cut into that many contiguous
+    slices, in order, as a parallelised local collection is.
+    """
+    rows = list(rows)
+    if num_partitions is None:
+        return spark.createDataFrame(rows, schema)
+    return spark.createDataFrame(spark.sparkContext.parallelize(rows, num_partitions), schema)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -115,3 +115,15 @@ def test_positional_sort_spreads_a_hot_key(spark):
     assert sorted(r["position"] for r in out.collect()) == list(range(1, 801))
     hot = out.where("k = 0").select(F.spark_partition_id().alias("p")).distinct().count()
     assert hot > 1
+
+
+def test_literal_rows_in_contiguous_partitions(spark):
+    from pyspark.sql import types as T
+    from kiln.sources import rows_to_frame
+    schema = T.StructType([T.StructField("x", T.IntegerType())])
+    df = rows_to_frame(spark, [(i,) for i in range(1, 10001)], schema, num_partitions=10)
+    assert kd.partition_average(df, "x").first()[0] == 5000.5
+    sizes = [tuple(r) for r in kd.partition_sizes(df).orderBy("partition").collect()]
+    assert sizes == [(i, 1000) for i in range(10)]
+    firsts = df.groupBy(F.spark_partition_id().alias("p")).agg(F.min("x").alias("m"))
+    assert sorted(r["m"] for r in firsts.collect()) == [1 + 1000 * i for i in range(10)]
