@@ -54,3 +54,12 @@ def test_pair_text_sink_fails_if_exists(spark):
     assert sorted(r[0] for r in spark.read.text(out).collect()) == ["(a,1)", "(b,2)"]
     with pytest.raises(Exception):
         write_pair_text(df, "k", "v", out)
+
+
+def test_spread_only_under_partitioned_inputs(spark):
+    from kiln.sources import spread
+    one = spark.range(0, 1000, 1, 1)
+    assert spread(one, 4).rdd.getNumPartitions() == 4
+    assert spread(one, 4).count() == 1000
+    many = spark.range(0, 1000, 1, 6)
+    assert spread(many, 4) is many
