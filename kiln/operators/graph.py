@@ -31,7 +31,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -137,9 +137,17 @@ class EdgeIndex:
         return cold.unionByName(hot)
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` as a reliable checkpoint and continue from the files."""
-    return df.checkpoint(eager=True)
+def _cut(df: DataFrame, metric: Column | None = None) -> tuple[DataFrame, object]:
+    """Write ``df`` as a reliable checkpoint and continue from the files.
+
+    ``metric`` (an aggregate) is observed while the checkpoint is written, so
+    a round's convergence test costs no extra job; returns ``(df, value)``.
+    """
+    if metric is None:
+        return df.checkpoint(eager=True), None
+    obs = Observation()
+    out = df.observe(obs, metric.alias("m")).checkpoint(eager=True)
+    return out, obs.get["m"]
 
 
 @dataclass
@@ -186,16 +194,15 @@ def pagerank(edges: DataFrame, max_iter: int = 100, tol: float | None = EPSILON,
             new = (state.join(sums, state.id == sums.dst, "left")
                    .select("id", (RESET + DAMPING * F.coalesce("s", F.lit(0.0))).alias("rank"),
                            F.col("rank").alias("prev")))
-        new, rounds = _cut(new), i
-        state = new.select("id", "rank")
-        if tol is not None:
-            moved = F.col("rank") - F.col("prev")
-            if not signed_tolerance:
-                moved = F.abs(moved)
-            worst = new.where(F.col("prev").isNotNull()).agg(F.max(moved)).first()[0]
-            if worst is None or worst <= tol:
-                converged = True
-                break
+        moved = F.col("rank") - F.col("prev")
+        if not signed_tolerance:
+            moved = F.abs(moved)
+        # largest move among vertices present in both rounds (null: none)
+        new, worst = _cut(new, F.max(moved) if tol is not None else None)
+        state, rounds = new.select("id", "rank"), i
+        if tol is not None and (worst is None or worst <= tol):
+            converged = True
+            break
     idx.release()
     return PageRankResult(state, rounds, converged)
 
@@ -252,12 +259,12 @@ def shortest_distances(edges: DataFrame, source: int, weight: str = "weight",
         j = state.join(best, state.id == best.dst, "left")
         better = F.col("b").isNotNull() & _lex_less(F.col("b.d"), F.col("b.h"),
                                                     F.col("dist"), F.col("hops"))
-        state = _cut(j.select(
+        state, changed = _cut(j.select(
             "id", F.when(better, F.col("b.d")).otherwise(F.col("dist")).alias("dist"),
             F.when(better, F.col("b.h")).otherwise(F.col("hops")).alias("hops"),
-            better.alias("changed")))
+            better.alias("changed")), F.count_if("changed"))
         rounds += 1
-        if state.where("changed").limit(1).count() == 0:
+        if changed == 0:
             break
     if index is None:
         idx.release()
@@ -286,15 +293,17 @@ def routes(preds: DataFrame, source: int) -> DataFrame:
     jumps to its ancestor's ancestor and prepends the ancestor's segment, so
     a route of L edges is complete after about log2(L) rounds.  A vertex
     whose ancestor many others share is a skewed join key; AQE splits it."""
-    st = _cut(preds.select("id", F.col("pred").alias("anc"), F.array("pred").alias("seg"),
-                           (F.col("pred") == F.lit(source)).alias("done")))
-    while st.where(~F.col("done")).limit(1).count() > 0:
+    st, remaining = _cut(preds.select("id", F.col("pred").alias("anc"),
+                                      F.array("pred").alias("seg"),
+                                      (F.col("pred") == F.lit(source)).alias("done")),
+                         F.count_if(~F.col("done")))
+    while remaining > 0:
         look = st.select(F.col("id").alias("a_id"), F.col("anc").alias("a_anc"),
                          F.col("seg").alias("a_seg"), F.col("done").alias("a_done"))
         todo = st.where(~F.col("done")).join(look, F.col("anc") == F.col("a_id"))
         jumped = todo.select("id", F.col("a_anc").alias("anc"),
                              F.concat("a_seg", "seg").alias("seg"), F.col("a_done").alias("done"))
-        st = _cut(st.where("done").unionByName(jumped))
+        st, remaining = _cut(st.where("done").unionByName(jumped), F.count_if(~F.col("done")))
     return st.select("id", F.col("seg").alias("path"))
 
 
@@ -310,7 +319,7 @@ def shortest_paths(edges: DataFrame, source: int, weight: str = "weight",
     """
     idx = EdgeIndex.build(edges, num_partitions, weight, hot_min_degree, max_hot)
     sp = shortest_distances(edges, source, weight, max_iter=max_iter, index=idx)
-    preds = _cut(predecessors(idx, sp.distances, source))
+    preds, _ = _cut(predecessors(idx, sp.distances, source))
     idx.release()
     paths = routes(preds, source)
     return (sp.distances.join(paths, "id", "left")
