@@ -39,7 +39,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     fresh temporary folder; on a cluster an unset directory is an error,
     because a machine-local folder would not survive the loss of an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: the server owns the folder
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current

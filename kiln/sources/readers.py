@@ -75,8 +75,12 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     input stored as a few large row groups.  A large multi-file input
     already has enough splits and is returned untouched (no shuffle).
     """
-    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session)
+        return df
+    return df.repartition(want) if have < want else df
 
 
 def rows_to_frame(spark: SparkSession, rows: Iterable[Sequence],
