@@ -182,18 +182,20 @@ def pagerank(edges: DataFrame, max_iter: int = 100, tol: float | None = EPSILON,
         state = idx.vertices.select("id", F.lit(1.0).alias("rank"))
     rounds, converged = 0, False
     for i in range(1, max_iter + 1):
-        msgs = idx.join_state(state).select(
-            "dst", (F.col("rank") / F.col("out_degree")).alias("c"))
-        sums = msgs.groupBy("dst").agg(F.sum("c").alias("s"))
+        # contributions plus one self-message per vertex carrying its old
+        # rank: a single aggregation per vertex gives the new rank and the
+        # old one, with no join back to the state
+        contrib = idx.join_state(state).select(
+            F.col("dst").alias("id"), (F.col("rank") / F.col("out_degree")).alias("c"),
+            F.lit(None).cast("double").alias("prev"))
+        own = state.select("id", F.lit(None).cast("double").alias("c"),
+                           F.col("rank").alias("prev"))
+        agg = contrib.unionByName(own).groupBy("id").agg(F.sum("c").alias("s"),
+                                                         F.max("prev").alias("prev"))
         if drop_unlinked:
-            new = (sums.join(state, sums.dst == state.id, "left")
-                   .select(F.col("dst").alias("id"),
-                           (RESET + DAMPING * F.col("s")).alias("rank"),
-                           F.col("rank").alias("prev")))
-        else:
-            new = (state.join(sums, state.id == sums.dst, "left")
-                   .select("id", (RESET + DAMPING * F.coalesce("s", F.lit(0.0))).alias("rank"),
-                           F.col("rank").alias("prev")))
+            agg = agg.where(F.col("s").isNotNull())
+        new = agg.select("id", (RESET + DAMPING * F.coalesce("s", F.lit(0.0))).alias("rank"),
+                         "prev")
         moved = F.col("rank") - F.col("prev")
         if not signed_tolerance:
             moved = F.abs(moved)
@@ -251,17 +253,22 @@ def shortest_distances(edges: DataFrame, source: int, weight: str = "weight",
         F.when(is_src, 0).cast("int").alias("hops"), is_src.alias("changed"))
     rounds = 0
     while max_iter is None or rounds < max_iter:
+        # candidates from the frontier plus each vertex's own (dist, hops):
+        # one aggregation per vertex decides improvement without a join
         frontier = state.where("changed").select("id", "dist", "hops")
-        msgs = idx.join_state(frontier).select(
-            "dst", F.struct((F.col("dist") + F.col("weight")).alias("d"),
-                            (F.col("hops") + 1).alias("h")).alias("m"))
-        best = msgs.groupBy("dst").agg(F.min("m").alias("b"))
-        j = state.join(best, state.id == best.dst, "left")
+        cand = idx.join_state(frontier).select(
+            F.col("dst").alias("id"),
+            F.struct((F.col("dist") + F.col("weight")).alias("d"),
+                     (F.col("hops") + 1).alias("h")).alias("m"),
+            F.lit(None).cast("struct<d:double,h:int>").alias("o"))
+        own = state.select("id", F.lit(None).cast("struct<d:double,h:int>").alias("m"),
+                           F.struct(F.col("dist").alias("d"), F.col("hops").alias("h")).alias("o"))
+        agg = cand.unionByName(own).groupBy("id").agg(F.min("m").alias("b"), F.min("o").alias("o"))
         better = F.col("b").isNotNull() & _lex_less(F.col("b.d"), F.col("b.h"),
-                                                    F.col("dist"), F.col("hops"))
-        state, changed = _cut(j.select(
-            "id", F.when(better, F.col("b.d")).otherwise(F.col("dist")).alias("dist"),
-            F.when(better, F.col("b.h")).otherwise(F.col("hops")).alias("hops"),
+                                                    F.col("o.d"), F.col("o.h"))
+        state, changed = _cut(agg.select(
+            "id", F.when(better, F.col("b.d")).otherwise(F.col("o.d")).alias("dist"),
+            F.when(better, F.col("b.h")).otherwise(F.col("o.h")).alias("hops"),
             better.alias("changed")), F.count_if("changed"))
         rounds += 1
         if changed == 0:
