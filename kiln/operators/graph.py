@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
@@ -63,7 +64,6 @@ class EdgeIndex:
     hot_ids: DataFrame | None
     vertices: DataFrame
     degrees: DataFrame
-    edges: DataFrame
     num_partitions: int
     min_weight: float | None
 
@@ -77,8 +77,8 @@ class EdgeIndex:
         cols = [F.col("src").cast("bigint").alias("src"), F.col("dst").cast("bigint").alias("dst")]
         if weight:
             cols.append(F.col(weight).cast("double").alias("weight"))
-        # the edge list feeds degrees, vertices and the partitioned copies:
-        # build it once
+        # the edge list feeds the degrees and the partitioned copies: build
+        # it once
         e = (edges.select(*cols).where(F.col("src").isNotNull() & F.col("dst").isNotNull())
              .persist(StorageLevel.MEMORY_AND_DISK))
         deg = (e.groupBy("src").agg(
@@ -95,8 +95,6 @@ class EdgeIndex:
                    .orderBy(F.col("out_degree").desc(), "src").limit(max_hot)
                    .select("src", "out_degree").checkpoint(eager=True))
         has_hot = hot_ids.count() > 0
-        vertices = (e.select(F.col("src").alias("id")).union(e.select(F.col("dst").alias("id")))
-                    .distinct())
         degrees, deg = deg, deg.select("src", "out_degree")
         if has_hot:
             flag = hot_ids.select("src", F.lit(True).alias("_hot"))
@@ -112,16 +110,21 @@ class EdgeIndex:
         # materialise now: a cached frame reports its hash partitioning (and
         # so spares the per-round edge shuffle) only once it is built
         cold.count()
+        parts = [cold]
         if hot_e is not None:
             hot_e.count()
-        return EdgeIndex(cold, hot_e, hot_ids, vertices, degrees, e, n, min_weight)
+            parts.append(hot_e)
+        # from here on only the partitioned copies are read: keep one copy
+        e.unpersist()
+        ends = [p.select(F.col(c).alias("id")) for p in parts for c in ("src", "dst")]
+        vertices = reduce(DataFrame.union, ends).distinct()
+        return EdgeIndex(cold, hot_e, hot_ids, vertices, degrees, n, min_weight)
 
     def release(self) -> None:
         """Drop the persisted edges (results are checkpointed, nothing
         built on them remains)."""
         self.cold.unpersist()
         self.degrees.unpersist()
-        self.edges.unpersist()
         if self.hot is not None:
             self.hot.unpersist()
 
