@@ -190,65 +190,41 @@ def _with_user(spark, d):
     return rt.with_user_ratings(train, my_ratings(spark, uid))
 
 
+def _split_frames(base: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    cols = ["userId", "movieId", "rating"]
+    return tuple(base.where(F.col("split") == name).select(*cols)
+                 for name in ("train", "validation", "test"))
+
+
+def _cached_splits(spark, d) -> DataFrame:
+    """The ratings with their split, to be cached by an ALS query: the three
+    splits are then filters over one computation of the ratings join."""
+    return b.rating_split(b.ratings(spark, d))
+
+
 @query("als_rank_search")
 def _rank_search(spark, d):
-    train, validation, _ = b.splits(spark, d)
-    table, _, _ = rc.rank_search(train, validation)
+    with rc.persisted(_cached_splits(spark, d)) as (base,):
+        train, validation, _ = _split_frames(base)
+        table, _, _ = rc.rank_search(train, validation)
     return table
 
 
 @query("als_test_rmse")
 def _test_rmse(spark, d):
-    train, validation, test = b.splits(spark, d)
-    _, model, rank = rc.rank_search(train, validation)
-    err = rt.rmse(model.transform(test))
-    return err.select(F.lit(rank).alias("rank"), "rmse")
+    with rc.persisted(_cached_splits(spark, d)) as (base,):
+        train, validation, test = _split_frames(base)
+        _, model, rank = rc.rank_search(train, validation)
+        err = rc.model_rmse(model, test)
+    return spark.createDataFrame([(rank, err)], "rank int, rmse double")
 
 
 @query("recommend_for_user")
 def _recommend(spark, d):
-    train, validation, _ = b.splits(spark, d)
     uid = new_user_id(spark, d)
-    # the training split feeds the rank search and the refit: build it once
-    with rc.persisted(train):
+    with rc.persisted(_cached_splits(spark, d)) as (base,):
+        train, validation, _ = _split_frames(base)
         _, _, rank = rc.rank_search(train, validation)
         recs, _ = rc.recommend_for_user(train, my_ratings(spark, uid), b.movies(spark, d),
                                         uid, rank, RECOMMEND_K)
     return recs
-
-
-# --- graph -----------------------------------------------------------------------
-
-
-PAGERANK_ROUNDS = 5   # fixed rounds, so that SQL can unroll them
-SOURCE_VERTEX = 0     # part 0
-
-
-def _adjacency_edges(spark, d):
-    return edges_from_lines(b.adjacency_lines(spark, d))
-
-
-query("adjacency_edges")(_adjacency_edges)
-
-
-@query("pagerank")
-def _pagerank(spark, d):
-    e = b.edges(spark, d).select("src", "dst")
-    res = gr.pagerank(e, max_iter=PAGERANK_ROUNDS, tol=None)
-    return res.ranks.select("id", F.round("rank", 6).alias("rank"))
-
-
-query("property_graph")(
-    lambda s, d: gr.property_graph(b.vertices(s, d), b.edges(s, d)))
-
-
-@query("shortest_distances")
-def _distances(spark, d):
-    sp = gr.shortest_distances(b.edges(spark, d), SOURCE_VERTEX)
-    return sp.distances.select("id", "dist")
-
-
-@query("shortest_paths")
-def _paths(spark, d):
-    sp = gr.shortest_paths(b.edges(spark, d), SOURCE_VERTEX)
-    return sp.select("id", "dist", F.array_join("path", ",").alias("path"))
