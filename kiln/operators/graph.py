@@ -225,7 +225,7 @@ def property_graph(vertices: DataFrame, edges: DataFrame, default: str = "missin
 
 @dataclass
 class ShortestPaths:
-    distances: DataFrame    # (id, dist, hops): every vertex, unreached = (inf, null)
+    distances: DataFrame    # (id, dist, hops, pred): every vertex; unreached = (inf, null, null)
     rounds: int
 
 
@@ -233,6 +233,9 @@ def _lex_less(d: Column, h: Column, dist: Column, hops: Column) -> Column:
     return (d < dist) | ((d == dist) & (h < F.coalesce(hops, F.lit(2**31 - 1))))
 
 
+_MSG = "struct<d:double,h:int,s:bigint>"
+
+
 def shortest_distances(edges: DataFrame, source: int, weight: str = "weight",
                        num_partitions: int | None = None, max_iter: int | None = None,
                        hot_min_degree: int = 10_000, max_hot: int = 100_000,
@@ -242,10 +245,14 @@ def shortest_distances(edges: DataFrame, source: int, weight: str = "weight",
 
     Each vertex ends with the lexicographically smallest ``(dist, hops)``:
     shortest distance, then fewest edges among shortest routes (this makes
-    route selection well defined with zero-weight edges).  Negative weights
-    are rejected (relaxation would not end on a negative cycle).  Rounds run
-    until no vertex improves (at most the hop count of the longest shortest
-    route plus one) or ``max_iter``.
+    route selection well defined with zero-weight edges), and ``pred``, the
+    smallest source among its in-edges on such a route.  An equal-valued
+    offer only lowers ``pred``; it does not make the vertex send again.
+    Every in-edge of a final value is offered once (the round after its
+    source last changed), so ``pred`` needs no extra pass over the edges.
+    Negative weights are rejected (relaxation would not end on a negative
+    cycle).  Rounds run until no vertex improves (at most the hop count of
+    the longest shortest route plus one) or ``max_iter``.
     """
     idx = index or EdgeIndex.build(edges, num_partitions, weight, hot_min_degree, max_hot)
     if idx.min_weight is not None and idx.min_weight < 0:
@@ -253,41 +260,47 @@ def shortest_distances(edges: DataFrame, source: int, weight: str = "weight",
     is_src = F.col("id") == F.lit(source)
     state = idx.vertices.select(
         "id", F.when(is_src, 0.0).otherwise(INF).alias("dist"),
-        F.when(is_src, 0).cast("int").alias("hops"), is_src.alias("changed"))
+        F.when(is_src, 0).cast("int").alias("hops"), F.lit(None).cast("bigint").alias("pred"),
+        is_src.alias("changed"))
     rounds = 0
     while max_iter is None or rounds < max_iter:
-        # candidates from the frontier plus each vertex's own (dist, hops):
-        # one aggregation per vertex decides improvement without a join
+        # offers from the frontier plus each vertex's own value: one
+        # aggregation per vertex decides improvement without a join
         frontier = state.where("changed").select("id", "dist", "hops")
-        cand = idx.join_state(frontier).select(
+        offers = idx.join_state(frontier).select(
             F.col("dst").alias("id"),
-            F.struct((F.col("dist") + F.col("weight")).alias("d"),
-                     (F.col("hops") + 1).alias("h")).alias("m"),
-            F.lit(None).cast("struct<d:double,h:int>").alias("o"))
-        own = state.select("id", F.lit(None).cast("struct<d:double,h:int>").alias("m"),
-                           F.struct(F.col("dist").alias("d"), F.col("hops").alias("h")).alias("o"))
-        agg = cand.unionByName(own).groupBy("id").agg(F.min("m").alias("b"), F.min("o").alias("o"))
-        better = F.col("b").isNotNull() & _lex_less(F.col("b.d"), F.col("b.h"),
-                                                    F.col("o.d"), F.col("o.h"))
+            F.struct((F.col("dist") + F.col("weight")).alias("d"), (F.col("hops") + 1).alias("h"),
+                     F.col("src").alias("s")).alias("m"),
+            F.lit(None).cast(_MSG).alias("o"))
+        own = state.select("id", F.lit(None).cast(_MSG).alias("m"),
+                           F.struct(F.col("dist").alias("d"), F.col("hops").alias("h"),
+                                    F.col("pred").alias("s")).alias("o"))
+        agg = offers.unionByName(own).groupBy("id").agg(F.min("m").alias("b"), F.min("o").alias("o"))
+        has = F.col("b").isNotNull()
+        better = has & _lex_less(F.col("b.d"), F.col("b.h"), F.col("o.d"), F.col("o.h"))
+        tie = (has & (F.col("b.d") == F.col("o.d")) & (F.col("b.h") == F.col("o.h"))
+               & (F.col("o.s").isNull() | (F.col("b.s") < F.col("o.s"))))
         state, changed = _cut(agg.select(
             "id", F.when(better, F.col("b.d")).otherwise(F.col("o.d")).alias("dist"),
             F.when(better, F.col("b.h")).otherwise(F.col("o.h")).alias("hops"),
+            F.when(better | tie, F.col("b.s")).otherwise(F.col("o.s")).alias("pred"),
             better.alias("changed")), F.count_if("changed"))
         rounds += 1
         if changed == 0:
             break
     if index is None:
         idx.release()
-    return ShortestPaths(state.select("id", "dist", "hops"), rounds)
+    return ShortestPaths(state.select("id", "dist", "hops", "pred"), rounds)
 
 
 def predecessors(idx: EdgeIndex, dist: DataFrame, source: int) -> DataFrame:
-    """``(id, pred)`` for every reached vertex but the source: the smallest
-    ``src`` among in-edges on a lexicographically shortest route, i.e. with
-    ``dist(src) + w = dist(id)`` and ``hops(src) + 1 = hops(id)``.  One
-    partial-aggregating pass: the minimum of ``(dist+w, hops+1, src)`` per
-    destination is exactly the destination's own ``(dist, hops)`` with the
-    smallest such ``src``."""
+    """``(id, pred)`` recomputed from final ``(id, dist, hops)`` alone: the
+    smallest ``src`` among in-edges with ``dist(src) + w = dist(id)`` and
+    ``hops(src) + 1 = hops(id)``.  One partial-aggregating pass over all
+    edges: the minimum of ``(dist+w, hops+1, src)`` per destination is the
+    destination's own ``(dist, hops)`` with the smallest such ``src``.
+    (:func:`shortest_distances` already returns ``pred``; this is for
+    distances obtained elsewhere.)"""
     reached = dist.where(F.col("dist") < INF).select("id", "dist", "hops")
     msgs = idx.join_state(reached).select(
         "dst", F.struct((F.col("dist") + F.col("weight")).alias("d"),
@@ -327,10 +340,9 @@ def shortest_paths(edges: DataFrame, source: int, weight: str = "weight",
     Among equally short routes the one with fewest edges is taken, then the
     smallest predecessor at each step.
     """
-    idx = EdgeIndex.build(edges, num_partitions, weight, hot_min_degree, max_hot)
-    sp = shortest_distances(edges, source, weight, max_iter=max_iter, index=idx)
-    preds, _ = _cut(predecessors(idx, sp.distances, source))
-    idx.release()
+    sp = shortest_distances(edges, source, weight, num_partitions, max_iter,
+                            hot_min_degree, max_hot)
+    preds = sp.distances.where(F.col("pred").isNotNull()).select("id", "pred")
     paths = routes(preds, source)
     return (sp.distances.join(paths, "id", "left")
             .select("id", "dist", F.coalesce("path", F.array().cast("array<bigint>")).alias("path")))

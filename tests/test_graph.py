@@ -132,3 +132,15 @@ def test_shortest_paths_properties(spark, rows):
         hops = route + [v]
         assert hops[0] == 0
         assert sum(best[(a, b)] for a, b in zip(hops, hops[1:])) == dist
+
+
+def test_folded_predecessors_equal_the_separate_pass(spark):
+    rows = [(1, 2, 1), (1, 3, 1), (2, 4, 1), (3, 4, 1), (4, 5, 2), (2, 5, 3), (3, 5, 3),
+            (5, 6, 0), (4, 6, 2), (6, 7, 1), (1, 7, 4)]
+    e = wedges(spark, rows)
+    idx = gr.EdgeIndex.build(e, weight="weight")
+    sp = gr.shortest_distances(e, 1, index=idx)
+    folded = {r["id"]: r["pred"] for r in sp.distances.collect() if r["pred"] is not None}
+    separate = {r["id"]: r["pred"] for r in gr.predecessors(idx, sp.distances, 1).collect()}
+    assert folded == separate
+    assert folded[5] == 2 and folded[6] == 4 and folded[7] == 1
