@@ -80,6 +80,26 @@ def mean_baseline_rmse(train: DataFrame, test: DataFrame, label: str = "rating")
                        F.sqrt(F.avg(F.pow(F.col("_r") - F.col("_mu"), 2))).alias("rmse"))
 
 
+def mean_baseline_rmse_by_split(ratings: DataFrame, split: str = "split",
+                                train: str = "train", test: str = "test",
+                                label: str = "rating") -> DataFrame:
+    """One row ``(train_mean, rmse)`` like :func:`mean_baseline_rmse`, for
+    ratings that carry their split in a column: one aggregation pass.
+
+    Uses ``mean((r - m)^2) = var_pop(r) + (mean(r) - m)^2`` over the test
+    rows, with Spark's numerically stable central-moment aggregate, so the
+    ratings are derived and read once instead of once per split.
+    """
+    r = F.col(label)
+    in_train, in_test = F.col(split) == train, F.col(split) == test
+    stats = ratings.agg(F.avg(F.when(in_train, r)).alias("train_mean"),
+                        F.avg(F.when(in_test, r)).alias("_m"),
+                        F.var_pop(F.when(in_test, r)).alias("_v"))
+    return stats.select("train_mean",
+                        F.sqrt(F.col("_v") + F.pow(F.col("_m") - F.col("train_mean"), 2))
+                        .alias("rmse"))
+
+
 def unrated_candidates(movies: DataFrame, rated: DataFrame, user_id,
                        item: str = "movieId") -> DataFrame:
     """Catalogue items the user has not rated, with ``userId`` added:

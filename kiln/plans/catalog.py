@@ -171,8 +171,7 @@ query("ratings_split")(lambda s, d: rt.md5_split(b.ratings(s, d)))
 
 @query("mean_baseline_rmse")
 def _baseline(spark, d):
-    train, _, test = b.splits(spark, d)
-    r = rt.mean_baseline_rmse(train, test)
+    r = rt.mean_baseline_rmse_by_split(b.rating_split(b.ratings(spark, d)))
     return r.select(F.round("train_mean", 6).alias("train_mean"),
                     F.round("rmse", 6).alias("rmse"))
 

@@ -76,3 +76,13 @@ def test_random_split_weights(spark):
     sizes = [p.count() for p in parts]
     assert sum(sizes) == 5000 and 2700 < sizes[0] < 3300 and 800 < sizes[1] < 1200
     assert parts[0].join(parts[2], "userId").count() == 0
+
+
+def test_baseline_by_split_equals_two_frame_form(spark):
+    rows = [(u, m, float((u * 7 + m * 3) % 5 + 1) + 1e6, ["train", "test", "validation"][(u + m) % 3])
+            for u in range(30) for m in range(20)]
+    df = spark.createDataFrame(rows, "userId int, movieId int, rating double, split string")
+    one = rt.mean_baseline_rmse_by_split(df).first()
+    two = rt.mean_baseline_rmse(df.where("split = 'train'"), df.where("split = 'test'")).first()
+    assert math.isclose(one["train_mean"], two["train_mean"], rel_tol=1e-12)
+    assert math.isclose(one["rmse"], two["rmse"], rel_tol=1e-9)
