@@ -144,3 +144,17 @@ def test_folded_predecessors_equal_the_separate_pass(spark):
     separate = {r["id"]: r["pred"] for r in gr.predecessors(idx, sp.distances, 1).collect()}
     assert folded == separate
     assert folded[5] == 2 and folded[6] == 4 and folded[7] == 1
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 6), st.integers(0, 6)), min_size=1, max_size=20))
+def test_pagerank_properties(spark, pairs):
+    """Every rank is at least 0.15; with no sink the total rank equals the
+    vertex count after any number of updates (rank is neither created nor
+    lost when every vertex passes all of it on)."""
+    res = gr.pagerank(edges_of(spark, pairs), max_iter=6, tol=None)
+    got = ranks(res)
+    assert all(r >= 0.15 - 1e-9 for r in got.values())
+    sources = {s for s, _ in pairs}
+    if all(v in sources for v in got):
+        assert math.isclose(sum(got.values()), len(got), rel_tol=1e-6)

@@ -127,3 +127,14 @@ def test_literal_rows_in_contiguous_partitions(spark):
     assert sizes == [(i, 1000) for i in range(10)]
     firsts = df.groupBy(F.spark_partition_id().alias("p")).agg(F.min("x").alias("m"))
     assert sorted(r["m"] for r in firsts.collect()) == [1 + 1000 * i for i in range(10)]
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("abc"), st.integers(-1000, 1000)), min_size=1, max_size=40))
+def test_average_times_count_is_sum(spark, rows):
+    df = spark.createDataFrame(rows, "k string, v int")
+    for r in kd.average_by_key(df, "k", "v").collect():
+        expect = sum(v for k, v in rows if k == r["k"])
+        assert r["total"] == expect
+        assert abs(r["average"] * r["matches"] - expect) < 1e-6
+        assert r["avg_int"] == int(expect / r["matches"])
