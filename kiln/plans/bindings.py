@@ -79,13 +79,17 @@ def rating_split(r: DataFrame) -> DataFrame:
                         .otherwise("test"))
 
 
-def splits(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    s = rating_split(ratings(spark, sf_dir))
+def split_frames(with_split: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``(train, validation, test)`` as filters over ratings with ``split``."""
     cols = ["userId", "movieId", "rating"]
-    return tuple(s.where(F.col("split") == name).select(*cols)
+    return tuple(with_split.where(F.col("split") == name).select(*cols)
                  for name in ("train", "validation", "test"))
 
 
+def splits(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return split_frames(rating_split(ratings(spark, sf_dir)))
+
+
 def supplier_vertex(suppkey) -> F.Column:
     """Graph id of a supplier: ``-(suppkey + 1)``; parts keep their key."""
     return -(F.col(suppkey) + 1) if isinstance(suppkey, str) else -(suppkey + 1)

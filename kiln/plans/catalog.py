@@ -86,7 +86,6 @@ query("log_not_found_by_day")(lambda s, d: wl.daily_requests(_not_found(s, d)))
 
 # --- keyed / partition / sort -------------------------------------------------
 
-
 USER_LIST_SCHEMA = T.StructType([T.StructField("name", T.StringType(), True),
                                  T.StructField("count", T.IntegerType(), True)])
 
@@ -138,7 +137,6 @@ query("pair_text")(lambda s, d: pair_text(_word_count(s, d), "word", "count"))
 
 # --- ratings and recommendation --------------------------------------------------
 
-
 # --- fixed values: the personal ratings (movieId, rating) of the original job --
 MY_RATINGS = [(260, 5.0), (318, 3.0), (858, 4.0), (912, 3.0), (750, 4.0),
               (1198, 2.0), (58559, 5.0), (4226, 3.0), (50, 5.0), (527, 5.0)]
@@ -189,12 +187,6 @@ def _with_user(spark, d):
     return rt.with_user_ratings(train, my_ratings(spark, uid))
 
 
-def _split_frames(base: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    cols = ["userId", "movieId", "rating"]
-    return tuple(base.where(F.col("split") == name).select(*cols)
-                 for name in ("train", "validation", "test"))
-
-
 def _cached_splits(spark, d) -> DataFrame:
     """The ratings with their split, to be cached by an ALS query: the three
     splits are then filters over one computation of the ratings join."""
@@ -204,7 +196,7 @@ def _cached_splits(spark, d) -> DataFrame:
 @query("als_rank_search")
 def _rank_search(spark, d):
     with rc.persisted(_cached_splits(spark, d)) as (base,):
-        train, validation, _ = _split_frames(base)
+        train, validation, _ = b.split_frames(base)
         table, _, _ = rc.rank_search(train, validation)
     return table
 
@@ -212,7 +204,7 @@ def _rank_search(spark, d):
 @query("als_test_rmse")
 def _test_rmse(spark, d):
     with rc.persisted(_cached_splits(spark, d)) as (base,):
-        train, validation, test = _split_frames(base)
+        train, validation, test = b.split_frames(base)
         _, model, rank = rc.rank_search(train, validation)
         err = rc.model_rmse(model, test)
     return spark.createDataFrame([(rank, err)], "rank int, rmse double")
@@ -222,7 +214,7 @@ def _test_rmse(spark, d):
 def _recommend(spark, d):
     uid = new_user_id(spark, d)
     with rc.persisted(_cached_splits(spark, d)) as (base,):
-        train, validation, _ = _split_frames(base)
+        train, validation, _ = b.split_frames(base)
         _, _, rank = rc.rank_search(train, validation)
         recs, _ = rc.recommend_for_user(train, my_ratings(spark, uid), b.movies(spark, d),
                                         uid, rank, RECOMMEND_K)
