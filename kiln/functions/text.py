@@ -7,8 +7,14 @@ from pyspark.sql import functions as F
 
 
 def split_lines(text: Column) -> Column:
-    """Text -> array of lines, split on ``\\n`` (trailing empty line kept)."""
-    return F.split(text, "\n", -1)
+    """Text -> array of lines, as a text-file reader sees them.
+
+    ``\\n``, ``\\r\\n`` and ``\\r`` end a line; a final terminator does not
+    start another (empty) line, and an empty text has no lines.
+    """
+    body = F.regexp_replace(text, r"(\r\n|\r|\n)\z", "")
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(
+        F.split(body, r"\r\n|\r|\n", -1))
 
 
 def java_split_words(line: Column, drop_empty: bool = False) -> Column:

@@ -107,7 +107,9 @@ ORACLES.update(WEBLOG)
 
 # --- keyed / partition / sort -------------------------------------------------
 
-WORDS = r"""lines AS (SELECT unnest(string_split(text, chr(10))) AS l FROM documents),
+WORDS = r"""lines AS (
+  SELECT unnest(CASE WHEN text = '' THEN []::VARCHAR[] ELSE regexp_split_to_array(
+    regexp_replace(text, '(\r\n|\r|\n)\z', ''), '\r\n|\r|\n') END) AS l FROM documents),
 words AS (
   SELECT unnest(string_split(CASE WHEN l = '' THEN l ELSE rtrim(l, ' ') END, ' ')) AS word
   FROM lines WHERE l = '' OR rtrim(l, ' ') <> ''),

@@ -138,3 +138,10 @@ def test_average_times_count_is_sum(spark, rows):
         assert r["total"] == expect
         assert abs(r["average"] * r["matches"] - expect) < 1e-6
         assert r["avg_int"] == int(expect / r["matches"])
+
+
+def test_split_lines_like_a_text_file(spark):
+    from kiln.functions.text import split_lines
+    df = spark.createDataFrame([("a\nb\n",), ("a\r\nb\rc",), ("",), ("a\n\n",), ("x",)], "t string")
+    got = [r[0] for r in df.select(split_lines(F.col("t"))).collect()]
+    assert got == [["a", "b"], ["a", "b", "c"], [], ["a", ""], ["x"]]
