@@ -57,8 +57,11 @@ class EdgeIndex:
     """Edges ready for repeated joins with per-vertex state on ``src``.
 
     ``cold``: ordinary edges, hash-partitioned by ``src``; ``hot``: edges of
-    heavy sources, spread round-robin; ``hot_ids``: ``(src)`` of the heavy
-    sources (bounded by ``max_hot``).  Every edge row carries ``out_degree``.
+    heavy sources, spread round-robin; ``hot_ids``: ``(src, out_degree)`` of
+    the heavy sources, the ``max_hot`` heaviest at most, so that their
+    broadcast state is bounded.  Heavy sources beyond that bound keep their
+    edges on the partitioned path: every edge is always joined, only the
+    balance differs.  Every edge row carries ``out_degree``.
     """
     cold: DataFrame
     hot: DataFrame | None
