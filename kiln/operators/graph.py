@@ -83,8 +83,12 @@ class EdgeIndex:
             cols.append(F.col(weight).cast("double").alias("weight"))
         # the edge list feeds the degrees and the partitioned copies: build
         # it once
-        e = (edges.select(*cols).where(F.col("src").isNotNull() & F.col("dst").isNotNull())
-             .persist(StorageLevel.MEMORY_AND_DISK))
+        # an edge without both ends (or, when weighted, without a weight) is
+        # not part of the graph
+        present = F.col("src").isNotNull() & F.col("dst").isNotNull()
+        if weight:
+            present = present & F.col("weight").isNotNull()
+        e = edges.select(*cols).where(present).persist(StorageLevel.MEMORY_AND_DISK)
         deg = (e.groupBy("src").agg(
             F.count(F.lit(1)).alias("out_degree"),
             *([F.min("weight").alias("_wmin")] if weight else [])).repartition(n, "src")

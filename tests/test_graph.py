@@ -158,3 +158,10 @@ def test_pagerank_properties(spark, pairs):
     sources = {s for s, _ in pairs}
     if all(v in sources for v in got):
         assert math.isclose(sum(got.values()), len(got), rel_tol=1e-6)
+
+
+def test_edges_without_weight_or_end_are_ignored(spark):
+    e = spark.createDataFrame([(1, 2, 1), (1, 3, None), (None, 3, 1), (2, 3, 1)],
+                              "src long, dst long, weight long")
+    got = paths(gr.shortest_paths(e, 1))
+    assert got == {1: (0.0, []), 2: (1.0, [1]), 3: (2.0, [1, 2])}
