@@ -39,10 +39,12 @@ from pyspark.storagelevel import StorageLevel
 
 from kiln.session import checkpoint_dir
 
-# --- fixed values: damping terms and tolerance of the original PageRank -------
+# --- fixed values: damping terms and tolerance of the original PageRank, and
+# the name given to vertices that only appear in edges ------------------------
 RESET = 0.15
 DAMPING = 0.85
 EPSILON = 1e-7
+DEFAULT_VERTEX_NAME = "missing"
 # -----------------------------------------------------------------------------
 
 INF = float("inf")
@@ -220,7 +222,7 @@ def pagerank(edges: DataFrame, max_iter: int = 100, tol: float | None = EPSILON,
     return PageRankResult(state, rounds, converged)
 
 
-def property_graph(vertices: DataFrame, edges: DataFrame, default: str = "missing",
+def property_graph(vertices: DataFrame, edges: DataFrame, default: str = DEFAULT_VERTEX_NAME,
                    attr: str = "name") -> DataFrame:
     """All vertices of a graph as ``(id, attr)``: the given vertices plus every
     edge endpoint without a vertex row, which gets ``default``."""
