@@ -165,3 +165,19 @@ def test_edges_without_weight_or_end_are_ignored(spark):
                               "src long, dst long, weight long")
     got = paths(gr.shortest_paths(e, 1))
     assert got == {1: (0.0, []), 2: (1.0, [1]), 3: (2.0, [1, 2])}
+
+
+def test_heavy_source_edges_are_spread(spark):
+    """A source holding most edges is routed off the src-partitioned copy and
+    its edges land in several partitions, not one task."""
+    from pyspark.sql import functions as F
+    pairs = [(0, i) for i in range(1, 301)] + [(i, i + 1) for i in range(1, 100)]
+    idx = gr.EdgeIndex.build(edges_of(spark, pairs), num_partitions=4, hot_min_degree=10)
+    try:
+        assert [r["src"] for r in idx.hot_ids.collect()] == [0]
+        assert idx.cold.where("src = 0").count() == 0
+        assert idx.hot.count() == 300
+        spread = idx.hot.groupBy(F.spark_partition_id()).count().collect()
+        assert len(spread) == 4 and max(r["count"] for r in spread) <= 100
+    finally:
+        idx.release()
