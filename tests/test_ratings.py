@@ -86,3 +86,43 @@ def test_baseline_by_split_equals_two_frame_form(spark):
     two = rt.mean_baseline_rmse(df.where("split = 'train'"), df.where("split = 'test'")).first()
     assert math.isclose(one["train_mean"], two["train_mean"], rel_tol=1e-12)
     assert math.isclose(one["rmse"], two["rmse"], rel_tol=1e-9)
+
+
+def test_ratings_join_splits_a_hot_order(spark):
+    """Half of all line items on one order: the ratings join is planned as a
+    skew-split join (thresholds lowered to fixture size) and still gives the
+    brute-force result."""
+    import os
+    import tempfile
+    from collections import defaultdict
+    from kiln.plans import bindings as b
+    confs = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in confs}
+    n = 8000
+    li = [(7 if i < n // 2 else i % 300, i % 97, float(i % 50 + 1)) for i in range(n)]
+    od = [(o, o % 40) for o in range(300)]
+    d = tempfile.mkdtemp(prefix="kiln-skew-")
+    spark.createDataFrame(li, "l_orderkey long, l_partkey long, l_quantity double") \
+        .repartition(8).write.parquet(os.path.join(d, "lineitem.parquet"))
+    spark.createDataFrame(od, "o_orderkey long, o_custkey long").write.parquet(
+        os.path.join(d, "orders.parquet"))
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        r = b.ratings(spark, d)
+        got = {(x["userId"], x["movieId"]): x["rating"] for x in r.collect()}
+        assert "skew=true" in r._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    cust = dict(od)
+    acc = defaultdict(list)
+    for o, p, q in li:
+        acc[(cust[o], p)].append(1 + (int(q) - 1) % 5)
+    expect = {k: sum(v) / len(v) for k, v in acc.items()}
+    assert got.keys() == expect.keys()
+    assert all(math.isclose(got[k], expect[k]) for k in expect)
