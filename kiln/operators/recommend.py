@@ -11,16 +11,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
 
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.storagelevel import StorageLevel
 
 from kiln.operators.ratings import rmse, unrated_candidates, with_user_ratings
-from kiln.session import checkpoint_dir
+from kiln.session import checkpoint_dir, persisted  # noqa: F401 (re-exported)
 
 # --- fixed values: the model settings of the original job --------------------
 ALS_MAX_ITER = 5
@@ -30,20 +28,6 @@ ALS_RANKS = (4, 8, 12)
 # ----------------------------------------------------------------------------
 
 
-@contextmanager
-def persisted(*frames: DataFrame):
-    """Cache ``frames`` for the block (no-op for frames cached already, which
-    stay cached afterwards)."""
-    fresh = [f for f in frames if not f.is_cached]
-    for f in fresh:
-        f.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield frames
-    finally:
-        for f in fresh:
-            f.unpersist()
-
-
 def make_als(rank: int = 10, max_iter: int = ALS_MAX_ITER, reg: float = ALS_REG_PARAM,
              seed: int = ALS_SEED, user: str = "userId", item: str = "movieId",
              label: str = "rating") -> ALS:

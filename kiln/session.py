@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.storagelevel import StorageLevel
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -57,3 +59,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError(
         "iterative operators cut lineage with reliable checkpoints: set "
         "spark.checkpoint.dir to a shared (HDFS/object-store) folder")
+
+
+@contextmanager
+def persisted(*frames: DataFrame):
+    """Cache ``frames`` (memory and disk) for the block; frames cached
+    already are left as they are.  Use it around work that reads the same
+    frame several times (several reports over one cleaned log, the fits of a
+    rank search); results built inside must not be read lazily after the
+    block unless recomputing them is acceptable."""
+    fresh = [f for f in frames if not f.is_cached]
+    for f in fresh:
+        f.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield frames
+    finally:
+        for f in fresh:
+            f.unpersist()
