@@ -4,7 +4,6 @@ import datetime as dt
 
 import pytest
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from kiln.operators import weblog as wl
 
