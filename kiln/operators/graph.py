@@ -30,6 +30,7 @@ is written, so a round is one job chain, not two.
 from __future__ import annotations
 
 import math
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -72,6 +73,7 @@ class EdgeIndex:
     degrees: DataFrame
     num_partitions: int
     min_weight: float | None
+    num_edges: int = 0
 
     @staticmethod
     def build(edges: DataFrame, num_partitions: int | None = None,
@@ -128,7 +130,7 @@ class EdgeIndex:
         e.unpersist()
         ends = [p.select(F.col(c).alias("id")) for p in parts for c in ("src", "dst")]
         vertices = reduce(DataFrame.union, ends).distinct()
-        return EdgeIndex(cold, hot_e, hot_ids, vertices, degrees, n, min_weight)
+        return EdgeIndex(cold, hot_e, hot_ids, vertices, degrees, n, min_weight, total)
 
     def release(self) -> None:
         """Drop the persisted edges (results are checkpointed, nothing
@@ -163,6 +165,64 @@ def _cut(df: DataFrame, metric: Column | None = None) -> tuple[DataFrame, object
     return out, obs.get["m"]
 
 
+class _CheckpointStore:
+    """Per-vertex state written as a reliable checkpoint every round: no
+    catalog work, but the state loses its layout and is shuffled to the
+    edges each round (cheap while the graph is small)."""
+
+    def put(self, df: DataFrame, metric: Column | None = None) -> tuple[DataFrame, object]:
+        return _cut(df, metric)
+
+
+class _StateStore:
+    """Per-vertex state of an iterative operator, rewritten every round as a
+    parquet table bucketed by ``id`` under the checkpoint folder.
+
+    Reading the state back gives a plan with no lineage (a lost executor
+    costs at most one round) whose scan keeps its hash layout: with as many
+    buckets as the edge index has partitions, the state meets the edges and
+    the reduced messages without being shuffled.  Rounds alternate between
+    two folders, overwriting the state two rounds old, so storage stays at
+    two copies of the state.
+    """
+
+    def __init__(self, spark, buckets: int):
+        self.spark = spark
+        self.buckets = buckets
+        self.tag = uuid.uuid4().hex[:16]
+        self.root = f"{checkpoint_dir(spark).rstrip('/')}/kiln-state-{self.tag}"
+        self.names: list[str] = []
+
+    def put(self, df: DataFrame, metric: Column | None = None) -> tuple[DataFrame, object]:
+        """Write ``df`` (with an ``id`` column) as the next round's state;
+        ``metric`` is observed during the write.  Returns ``(state, value)``."""
+        i = len(self.names)
+        name = f"kiln_state_{self.tag}_{i}"
+        obs = None
+        if metric is not None:
+            obs = Observation()
+            df = df.observe(obs, metric.alias("m"))
+        (df.write.mode("overwrite").format("parquet").bucketBy(self.buckets, "id")
+         .option("path", f"{self.root}/slot{i % 2}").saveAsTable(name))
+        if i >= 2:
+            # its folder was just overwritten; drop the stale catalog entry
+            self.spark.sql(f"DROP TABLE IF EXISTS {self.names[i - 2]}")
+        self.names.append(name)
+        return self.spark.table(name), (obs.get["m"] if obs is not None else None)
+
+
+STATE_TABLE_MIN_EDGES = 10_000_000
+
+
+def _state_store(spark, idx: "EdgeIndex", min_edges: int):
+    """Bucketed state tables for graphs with at least ``min_edges`` edges
+    (the state shuffle they save then outweighs a table write per round),
+    per-round checkpoints below that."""
+    if idx.num_edges >= min_edges:
+        return _StateStore(spark, idx.num_partitions)
+    return _CheckpointStore()
+
+
 @dataclass
 class PageRankResult:
     ranks: DataFrame        # (id, rank)
@@ -173,7 +233,8 @@ class PageRankResult:
 def pagerank(edges: DataFrame, max_iter: int = 100, tol: float | None = EPSILON,
              signed_tolerance: bool = False, drop_unlinked: bool = False,
              num_partitions: int | None = None, hot_min_degree: int = 10_000,
-             max_hot: int = 100_000) -> PageRankResult:
+             max_hot: int = 100_000,
+             state_table_min_edges: int = STATE_TABLE_MIN_EDGES) -> PageRankResult:
     """Unnormalised PageRank: start at 1.0, ``rank = 0.15 + 0.85 * sum(rank(u)
     / out_degree(u))`` over in-links ``u``.
 
@@ -189,35 +250,36 @@ def pagerank(edges: DataFrame, max_iter: int = 100, tol: float | None = EPSILON,
     without in-links; sinks keep their rank and pass none on).
     """
     idx = EdgeIndex.build(edges, num_partitions, None, hot_min_degree, max_hot)
+    store = _state_store(edges.sparkSession, idx, state_table_min_edges)
     if drop_unlinked:
-        state = idx.degrees.select(F.col("src").alias("id"), F.lit(1.0).alias("rank"))
+        first = idx.degrees.select(F.col("src").alias("id"), F.lit(1.0).alias("rank"))
     else:
-        state = idx.vertices.select("id", F.lit(1.0).alias("rank"))
+        first = idx.vertices.select("id", F.lit(1.0).alias("rank"))
+    state, _ = store.put(first)
     rounds, converged = 0, False
     for i in range(1, max_iter + 1):
-        # contributions plus one self-message per vertex carrying its old
-        # rank: a single aggregation per vertex gives the new rank and the
-        # old one, with no join back to the state
-        contrib = idx.join_state(state).select(
-            F.col("dst").alias("id"), (F.col("rank") / F.col("out_degree")).alias("c"),
-            F.lit(None).cast("double").alias("prev"))
-        own = state.select("id", F.lit(None).cast("double").alias("c"),
-                           F.col("rank").alias("prev"))
-        agg = contrib.unionByName(own).groupBy("id").agg(F.sum("c").alias("s"),
-                                                         F.max("prev").alias("prev"))
+        msgs = idx.join_state(state).select(
+            "dst", (F.col("rank") / F.col("out_degree")).alias("c"))
+        sums = msgs.groupBy("dst").agg(F.sum("c").alias("s"))
         if drop_unlinked:
-            agg = agg.where(F.col("s").isNotNull())
-        new = agg.select("id", (RESET + DAMPING * F.coalesce("s", F.lit(0.0))).alias("rank"),
-                         "prev")
+            new = (sums.join(state, sums.dst == state.id, "left")
+                   .select(F.col("dst").alias("id"),
+                           (RESET + DAMPING * F.col("s")).alias("rank"),
+                           F.col("rank").alias("prev")))
+        else:
+            new = (state.join(sums, state.id == sums.dst, "left")
+                   .select("id", (RESET + DAMPING * F.coalesce("s", F.lit(0.0))).alias("rank"),
+                           F.col("rank").alias("prev")))
         moved = F.col("rank") - F.col("prev")
         if not signed_tolerance:
             moved = F.abs(moved)
         # largest move among vertices present in both rounds (null: none)
-        new, worst = _cut(new, F.max(moved) if tol is not None else None)
-        state, rounds = new.select("id", "rank"), i
+        state, worst = store.put(new, F.max(moved) if tol is not None else None)
+        rounds = i
         if tol is not None and (worst is None or worst <= tol):
             converged = True
             break
+    state = state.select("id", "rank")
     idx.release()
     return PageRankResult(state, rounds, converged)
 
@@ -243,13 +305,11 @@ def _lex_less(d: Column, h: Column, dist: Column, hops: Column) -> Column:
     return (d < dist) | ((d == dist) & (h < F.coalesce(hops, F.lit(2**31 - 1))))
 
 
-_MSG = "struct<d:double,h:int,s:bigint>"
-
-
 def shortest_distances(edges: DataFrame, source: int, weight: str = "weight",
                        num_partitions: int | None = None, max_iter: int | None = None,
                        hot_min_degree: int = 10_000, max_hot: int = 100_000,
-                       index: EdgeIndex | None = None) -> ShortestPaths:
+                       index: EdgeIndex | None = None,
+                       state_table_min_edges: int = STATE_TABLE_MIN_EDGES) -> ShortestPaths:
     """Distances from ``source`` over directed weighted edges, by frontier
     relaxation: only vertices improved in the last round send messages.
 
@@ -267,33 +327,28 @@ def shortest_distances(edges: DataFrame, source: int, weight: str = "weight",
     idx = index or EdgeIndex.build(edges, num_partitions, weight, hot_min_degree, max_hot)
     if idx.min_weight is not None and idx.min_weight < 0:
         raise ValueError("negative edge weights are not supported")
+    store = _state_store(edges.sparkSession, idx, state_table_min_edges)
     is_src = F.col("id") == F.lit(source)
-    state = idx.vertices.select(
+    state, _ = store.put(idx.vertices.select(
         "id", F.when(is_src, 0.0).otherwise(INF).alias("dist"),
         F.when(is_src, 0).cast("int").alias("hops"), F.lit(None).cast("bigint").alias("pred"),
-        is_src.alias("changed"))
+        is_src.alias("changed")))
     rounds = 0
     while max_iter is None or rounds < max_iter:
-        # offers from the frontier plus each vertex's own value: one
-        # aggregation per vertex decides improvement without a join
         frontier = state.where("changed").select("id", "dist", "hops")
         offers = idx.join_state(frontier).select(
-            F.col("dst").alias("id"),
-            F.struct((F.col("dist") + F.col("weight")).alias("d"), (F.col("hops") + 1).alias("h"),
-                     F.col("src").alias("s")).alias("m"),
-            F.lit(None).cast(_MSG).alias("o"))
-        own = state.select("id", F.lit(None).cast(_MSG).alias("m"),
-                           F.struct(F.col("dist").alias("d"), F.col("hops").alias("h"),
-                                    F.col("pred").alias("s")).alias("o"))
-        agg = offers.unionByName(own).groupBy("id").agg(F.min("m").alias("b"), F.min("o").alias("o"))
+            "dst", F.struct((F.col("dist") + F.col("weight")).alias("d"),
+                            (F.col("hops") + 1).alias("h"), F.col("src").alias("s")).alias("m"))
+        best = offers.groupBy("dst").agg(F.min("m").alias("b"))
+        j = state.join(best, state.id == best.dst, "left")
         has = F.col("b").isNotNull()
-        better = has & _lex_less(F.col("b.d"), F.col("b.h"), F.col("o.d"), F.col("o.h"))
-        tie = (has & (F.col("b.d") == F.col("o.d")) & (F.col("b.h") == F.col("o.h"))
-               & (F.col("o.s").isNull() | (F.col("b.s") < F.col("o.s"))))
-        state, changed = _cut(agg.select(
-            "id", F.when(better, F.col("b.d")).otherwise(F.col("o.d")).alias("dist"),
-            F.when(better, F.col("b.h")).otherwise(F.col("o.h")).alias("hops"),
-            F.when(better | tie, F.col("b.s")).otherwise(F.col("o.s")).alias("pred"),
+        better = has & _lex_less(F.col("b.d"), F.col("b.h"), F.col("dist"), F.col("hops"))
+        tie = (has & (F.col("b.d") == F.col("dist")) & (F.col("b.h") == F.col("hops"))
+               & (F.col("pred").isNull() | (F.col("b.s") < F.col("pred"))))
+        state, changed = store.put(j.select(
+            "id", F.when(better, F.col("b.d")).otherwise(F.col("dist")).alias("dist"),
+            F.when(better, F.col("b.h")).otherwise(F.col("hops")).alias("hops"),
+            F.when(better | tie, F.col("b.s")).otherwise(F.col("pred")).alias("pred"),
             better.alias("changed")), F.count_if("changed"))
         rounds += 1
         if changed == 0:
@@ -342,7 +397,8 @@ def routes(preds: DataFrame, source: int) -> DataFrame:
 
 def shortest_paths(edges: DataFrame, source: int, weight: str = "weight",
                    num_partitions: int | None = None, max_iter: int | None = None,
-                   hot_min_degree: int = 10_000, max_hot: int = 100_000) -> DataFrame:
+                   hot_min_degree: int = 10_000, max_hot: int = 100_000,
+                   state_table_min_edges: int = STATE_TABLE_MIN_EDGES) -> DataFrame:
     """``(id, dist, path)`` for every vertex: distance from ``source`` and the
     route to it (vertices from the source up to the predecessor; the source
     itself and unreached vertices get ``[]``, unreached ``dist`` is inf).
@@ -351,7 +407,8 @@ def shortest_paths(edges: DataFrame, source: int, weight: str = "weight",
     smallest predecessor at each step.
     """
     sp = shortest_distances(edges, source, weight, num_partitions, max_iter,
-                            hot_min_degree, max_hot)
+                            hot_min_degree, max_hot,
+                            state_table_min_edges=state_table_min_edges)
     preds = sp.distances.where(F.col("pred").isNotNull()).select("id", "pred")
     paths = routes(preds, source)
     return (sp.distances.join(paths, "id", "left")

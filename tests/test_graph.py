@@ -181,3 +181,21 @@ def test_heavy_source_edges_are_spread(spark):
         assert len(spread) == 4 and max(r["count"] for r in spread) <= 100
     finally:
         idx.release()
+
+
+@pytest.mark.parametrize("min_edges", [0, 10**12])
+def test_both_state_stores_agree(spark, sample, min_edges):
+    """Bucketed state tables (forced with min_edges=0) and per-round
+    checkpoints give the same PageRank and routes."""
+    res = gr.pagerank(sample, state_table_min_edges=min_edges)
+    assert ranks(res) == {1: 0.190476, 2: 0.244444, 4: 0.203968, 6: 0.244444, 9: 0.190476}
+    orig = gr.pagerank(sample, signed_tolerance=True, drop_unlinked=True,
+                       state_table_min_edges=min_edges)
+    assert ranks(orig) == {1: 0.3625, 2: 0.645833, 4: 0.433333, 6: 0.645833, 9: 0.3625}
+    got = paths(gr.shortest_paths(wedges(spark, B4 + [(7, 1, 1)]), 1,
+                                  state_table_min_edges=min_edges))
+    assert got[5] == (26.0, [1, 3, 4]) and got[7] == (math.inf, [])
+    rows = [(1, 2, 0), (2, 3, 0), (1, 3, 0), (3, 4, 5)] + [(1, 10 + i, 1) for i in range(30)]
+    heavy = paths(gr.shortest_paths(wedges(spark, rows), 1, hot_min_degree=3,
+                                    state_table_min_edges=min_edges))
+    assert heavy[3] == (0.0, [1]) and heavy[4] == (5.0, [1, 3]) and heavy[25] == (1.0, [1])
