@@ -1,30 +1,32 @@
 """Graph analytics on edge DataFrames: PageRank, single-source shortest
 paths with routes, property-graph assembly.
 
-Both iterative operators run the same round, Pregel style: join the
-per-vertex state to the edges on the source vertex, emit one message per
-edge, add one self-message per vertex carrying its current value, and
-reduce all of them per vertex in one aggregation (partial before the
-shuffle).  The aggregate yields the new value and the old one side by side,
-so no join back to the state is needed.  :class:`EdgeIndex` prepares the
-edges once so that a round moves no edge:
+Both iterative operators run the same round: join the per-vertex state to
+the edges on the source vertex, emit one message per edge, reduce the
+messages per destination (partial aggregation before the shuffle) and
+fold the result into the state with a left join on the vertex id.
+:class:`EdgeIndex` prepares the edges once so that a round moves no edge:
 
 * edges of ordinary sources are hash-partitioned by ``src`` (and cached
-  materialised, so the cache keeps that partitioning); the state is
-  shuffled to them;
+  materialised, so the cache keeps that partitioning);
 * edges of heavy sources (out-degree above a fair partition share; at most
   ``max_hot`` of them) are spread evenly instead and joined to a broadcast
   of just those sources' state -- a table with at most ``max_hot`` rows, so
   one vertex holding a third of all edges never lands in one task.
 
-The per-vertex state is written with a reliable ``checkpoint()`` every
-round (directory from ``spark.checkpoint.dir``): lineage never grows beyond
-one round and a lost executor costs at most one round of recomputation.  A
-persisted state is no substitute: the state feeds two branches per round,
-so its logical plan doubles every round (analysis runs out of memory after
-about ten rounds), and releasing an old cache makes Spark re-plan the
-caches built on it.  Convergence figures are observed while the checkpoint
-is written, so a round is one job chain, not two.
+The state is written out every round, so lineage never grows beyond one
+round and a lost executor costs at most one round of recomputation.  On a
+large graph it is written as a parquet table bucketed by ``id`` (as many
+buckets as the edge index has partitions) under ``spark.checkpoint.dir``:
+read back, it meets the in-place edges and the reduced messages without
+moving, and the reduced messages are the round's only shuffle.  On a small
+graph a table write per round costs more than the state shuffle it saves,
+so the state is a reliable ``checkpoint()`` instead (which loses its
+layout; the state is then shuffled to the edges).  A persisted state is no
+substitute for either: it feeds two joins per round, so its logical plan
+would double every round, and releasing an old cache makes Spark re-plan
+the caches built on it.  Convergence figures are observed while the state
+is written, so a round costs no extra job.
 """
 
 from __future__ import annotations
