@@ -175,6 +175,9 @@ class _CheckpointStore:
     def put(self, df: DataFrame, metric: Column | None = None) -> tuple[DataFrame, object]:
         return _cut(df, metric)
 
+    def finish(self) -> None:
+        pass
+
 
 class _StateStore:
     """Per-vertex state of an iterative operator, rewritten every round as a
@@ -212,6 +215,12 @@ class _StateStore:
         self.names.append(name)
         return self.spark.table(name), (obs.get["m"] if obs is not None else None)
 
+    def finish(self) -> None:
+        """Drop every catalog entry but the last state's (which the result
+        reads)."""
+        for name in self.names[-2:-1]:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
 
 STATE_TABLE_MIN_EDGES = 10_000_000
 
@@ -281,6 +290,7 @@ def pagerank(edges: DataFrame, max_iter: int = 100, tol: float | None = EPSILON,
         if tol is not None and (worst is None or worst <= tol):
             converged = True
             break
+    store.finish()
     state = state.select("id", "rank")
     idx.release()
     return PageRankResult(state, rounds, converged)
@@ -355,6 +365,7 @@ def shortest_distances(edges: DataFrame, source: int, weight: str = "weight",
         rounds += 1
         if changed == 0:
             break
+    store.finish()
     if index is None:
         idx.release()
     return ShortestPaths(state.select("id", "dist", "hops", "pred"), rounds)
