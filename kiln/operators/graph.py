@@ -145,12 +145,12 @@ class EdgeIndex:
     def join_state(self, state: DataFrame, key: str = "id") -> DataFrame:
         """Every edge whose source has a row in ``state`` (one row per vertex,
         keyed by ``key``), with the state's columns added."""
-        cold = self.cold.join(state.withColumnRenamed(key, "src"), "src")
+        cold = self.cold.join(state, self.cold.src == state[key])
         if self.hot is None:
             return cold
-        hot_state = (state.withColumnRenamed(key, "src")
-                     .join(F.broadcast(self.hot_ids.select("src")), "src"))
-        hot = self.hot.join(F.broadcast(hot_state), "src")
+        heavy = self.hot_ids.select(F.col("src").alias("_hot_src"))
+        hot_state = state.join(F.broadcast(heavy), state[key] == heavy._hot_src).drop("_hot_src")
+        hot = self.hot.join(F.broadcast(hot_state), self.hot.src == hot_state[key])
         return cold.unionByName(hot)
 
 
