@@ -1,10 +1,13 @@
 """Web-server log ETL, data-quality checks and reporting.
 
 Pipeline: raw lines (``value``) -> :func:`parse_log` -> :func:`clean_log`
-(size filled, time parsed) -> the report operators.  Every report is one
-grouping (map-side partial aggregate + one shuffle on the group key) or a
-filter; top-k reports end in ``orderBy(...).limit(k)`` which Catalyst plans
-as a per-partition top-k (``TakeOrderedAndProject``), so no full sort runs.
+(size filled, time parsed) -> the report operators.  Every report is a
+filter or one or two chained groupings, each partial-aggregated before its
+shuffle (a hot host, path or day is reduced map-side); distinct counts are
+written as a grouping per ``(day, host)`` followed by one per day rather
+than a distinct aggregate that Spark would expand.  Top-k reports end in
+``orderBy(...).limit(k)``, planned as a per-partition top-k
+(``TakeOrderedAndProject``), so no full sort runs.
 """
 
 from __future__ import annotations
