@@ -4,7 +4,10 @@ The pair-collection idioms of a keyed job map to built-in aggregates:
 ``reduceByKey(+)`` -> ``groupBy().sum`` (partial sums before the shuffle),
 ``combineByKey`` average -> ``sum``/``count``, per-partition partials ->
 ``groupBy(spark_partition_id())``, a custom key ordering -> a sort
-expression.  Nothing is gathered on the driver.
+expression, a list accumulator -> the values as a sorted frame plus a
+bounded per-key digest.  Sorted output is numbered by a distributed
+range-partitioned sort (:func:`with_position`), not a single-task window.
+Nothing is gathered on the driver.
 """
 
 from __future__ import annotations
