@@ -30,15 +30,27 @@ ALS_RANKS = (4, 8, 12)
 
 def make_als(rank: int = 10, max_iter: int = ALS_MAX_ITER, reg: float = ALS_REG_PARAM,
              seed: int = ALS_SEED, user: str = "userId", item: str = "movieId",
-             label: str = "rating") -> ALS:
+             label: str = "rating", blocks: int = 10) -> ALS:
     return ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol=user,
-               itemCol=item, ratingCol=label, coldStartStrategy="drop")
+               itemCol=item, ratingCol=label, coldStartStrategy="drop",
+               numUserBlocks=blocks, numItemBlocks=blocks)
+
+
+def _default_blocks(spark: SparkSession) -> int:
+    """One user/item block per core: ALS solves each block in one task, so
+    its fixed default of 10 blocks would cap a large cluster at 10 tasks."""
+    try:
+        return max(1, spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - no SparkContext view
+        return 10
 
 
 def fit(train: DataFrame, rank: int, **kw) -> ALSModel:
     """Fit ALS (lineage is checkpointed every 10 iterations to the session's
-    reliable checkpoint directory)."""
+    reliable checkpoint directory); ``blocks`` defaults to the default
+    parallelism."""
     checkpoint_dir(train.sparkSession)
+    kw.setdefault("blocks", _default_blocks(train.sparkSession))
     return make_als(rank, **kw).fit(train)
 
 
