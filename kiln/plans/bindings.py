@@ -26,6 +26,8 @@ def clf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     Host from the user, path from event type and ``props.k``, status from
     the event type (error 404, signup 302, click 304, else 200), size
     ``-`` for errors else ``floor(value*100)``; fixed offset ``-0400``.
+    Events are spread over the cores first when the table is a single split
+    (the lines are parsed by five regular expressions each).
     """
     ev = spread(table(spark, sf_dir, "events").select(
         "event_id", "ts", "user_id", "event_type", "value", "props"))
@@ -43,7 +45,9 @@ def clf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line of every document as ``value`` (documents split on ``\\n``)."""
+    """Every line of every document as ``value``, split as a text-file reader
+    splits lines (``\\n``, ``\\r\\n``, ``\\r``).  Documents are spread over the
+    cores first when the table is a single split."""
     docs = spread(table(spark, sf_dir, "documents").select("text"))
     return docs.select(F.explode(split_lines(F.col("text"))).alias("value"))
 
