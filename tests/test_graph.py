@@ -219,3 +219,20 @@ def test_bucketed_state_matches_oracles_on_tables(spark):
     sp = gr.shortest_paths(e, 0, state_table_min_edges=0)
     got = sorted(tuple(r) for r in sp.select("id", "dist", F.array_join("path", ",")).collect())
     assert got == sorted(tuple(r) for r in con.execute(ORACLES["shortest_paths"]).fetchall())
+
+
+def test_routes_through_a_hub_on_a_deep_chain(spark):
+    """A 20-edge chain with 200 leaves hanging off its middle: pointer
+    jumping resolves long routes and a shared ancestor correctly."""
+    rows = [(i, i + 1, 1) for i in range(20)] + [(10, 100 + k, 2) for k in range(200)]
+    got = paths(gr.shortest_paths(wedges(spark, rows), 0))
+    assert got[20] == (20.0, list(range(20)))
+    assert all(got[100 + k] == (12.0, list(range(11))) for k in range(200))
+
+
+def test_pagerank_heavy_source_on_state_tables(spark):
+    pairs = [(0, i) for i in range(1, 40)] + [(i, i + 1) for i in range(1, 79)] + [(79, 0)]
+    e = edges_of(spark, pairs)
+    plain = ranks(gr.pagerank(e, max_iter=8, tol=None))
+    both = gr.pagerank(e, max_iter=8, tol=None, hot_min_degree=5, state_table_min_edges=0)
+    assert ranks(both) == plain
