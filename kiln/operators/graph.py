@@ -298,13 +298,15 @@ def pagerank(edges: DataFrame, max_iter: int = 100, tol: float | None = EPSILON,
 
 def property_graph(vertices: DataFrame, edges: DataFrame, default: str = DEFAULT_VERTEX_NAME,
                    attr: str = "name") -> DataFrame:
-    """All vertices of a graph as ``(id, attr)``: the given vertices plus every
+    """All vertices of a graph as ``(id, attr)``: one row per id -- the given
+    vertices (an id listed twice keeps its smallest attribute) plus every
     edge endpoint without a vertex row, which gets ``default``."""
+    named = vertices.groupBy("id").agg(F.min(attr).alias(attr))
     ends = (edges.select(F.col("src").alias("id")).union(edges.select(F.col("dst").alias("id")))
             .distinct())
-    missing = ends.join(vertices.select("id"), "id", "left_anti").select(
+    missing = ends.join(named.select("id"), "id", "left_anti").select(
         "id", F.lit(default).alias(attr))
-    return vertices.select("id", attr).unionByName(missing)
+    return named.unionByName(missing)
 
 
 @dataclass

@@ -236,3 +236,10 @@ def test_pagerank_heavy_source_on_state_tables(spark):
     plain = ranks(gr.pagerank(e, max_iter=8, tol=None))
     both = gr.pagerank(e, max_iter=8, tol=None, hot_min_degree=5, state_table_min_edges=0)
     assert ranks(both) == plain
+
+
+def test_property_graph_one_row_per_vertex(spark):
+    v = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "id long, name string")
+    e = wedges(spark, [(1, 2, 1), (2, 3, 1)])
+    got = sorted(tuple(r) for r in gr.property_graph(v, e).collect())
+    assert got == [(1, "a"), (2, "c"), (3, "missing")]
