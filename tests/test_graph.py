@@ -243,3 +243,8 @@ def test_property_graph_one_row_per_vertex(spark):
     e = wedges(spark, [(1, 2, 1), (2, 3, 1)])
     got = sorted(tuple(r) for r in gr.property_graph(v, e).collect())
     assert got == [(1, "a"), (2, "c"), (3, "missing")]
+
+
+def test_source_outside_the_graph_reaches_nothing(spark):
+    got = paths(gr.shortest_paths(wedges(spark, B4), 99))
+    assert len(got) == 6 and all(v == (math.inf, []) for v in got.values())
