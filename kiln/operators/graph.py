@@ -99,16 +99,18 @@ class EdgeIndex:
             F.count(F.lit(1)).alias("out_degree"),
             *([F.min("weight").alias("_wmin")] if weight else [])).repartition(n, "src")
             .persist(StorageLevel.MEMORY_AND_DISK))
-        stats = deg.agg(F.sum("out_degree").alias("m"),
+        stats = deg.agg(F.sum("out_degree").alias("m"), F.max("out_degree").alias("top"),
                         *([F.min("_wmin").alias("w")] if weight else [])).first()
         total = stats["m"] or 0
         min_weight = stats["w"] if weight else None
         # heavy = more edges than a fair share of one partition; at most max_hot
         threshold = max(hot_min_degree, math.ceil(total / n)) if total else hot_min_degree
-        hot_ids = (deg.where(F.col("out_degree") > threshold)
-                   .orderBy(F.col("out_degree").desc(), "src").limit(max_hot)
-                   .select("src", "out_degree").checkpoint(eager=True))
-        has_hot = hot_ids.count() > 0
+        has_hot = (stats["top"] or 0) > threshold
+        hot_ids = None
+        if has_hot:
+            hot_ids = (deg.where(F.col("out_degree") > threshold)
+                       .orderBy(F.col("out_degree").desc(), "src").limit(max_hot)
+                       .select("src", "out_degree").checkpoint(eager=True))
         degrees, deg = deg, deg.select("src", "out_degree")
         if has_hot:
             flag = hot_ids.select("src", F.lit(True).alias("_hot"))
