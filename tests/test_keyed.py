@@ -145,3 +145,17 @@ def test_split_lines_like_a_text_file(spark):
     df = spark.createDataFrame([("a\nb\n",), ("a\r\nb\rc",), ("",), ("a\n\n",), ("x",)], "t string")
     got = [r[0] for r in df.select(split_lines(F.col("t"))).collect()]
     assert got == [["a", "b"], ["a", "b", "c"], [], ["a", ""], ["x"]]
+
+
+def test_registered_partition_sizes_match_hash_placement(spark):
+    """The rows-only ``partition_sizes`` query, checked against an independent
+    count of where hash repartitioning puts each row: pmod(hash(key), n)."""
+    import __spark_entry__ as entry
+    from conftest import SF_SMALL
+    got = {r["partition"]: r["count"]
+           for r in entry.queries()["partition_sizes"](spark, SF_SMALL).collect()}
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    expect = {r["p"]: r["n"] for r in li.groupBy(
+        F.expr("pmod(hash(l_orderkey), 10)").alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got == {p: expect.get(p, 0) for p in range(10)}
+    assert sum(got.values()) == li.count()
