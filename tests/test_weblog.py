@@ -130,3 +130,13 @@ def test_utc_day_ignores_session_zone(spark, lines):
         assert {r["id"]: r["time"] for r in local.collect()}[1] == dt.date(1995, 7, 1)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_invalid_arguments_are_rejected(spark, lines):
+    from kiln.functions.clf import clf_field
+    from pyspark.sql import functions as F
+    with pytest.raises(ValueError):
+        clf_field(F.col("value"), "referrer")
+    logs = wl.clean_log(wl.parse_log(lines))
+    with pytest.raises(ValueError):
+        wl.daily_requests(logs, grain="week")
