@@ -49,6 +49,8 @@ def test_parse_default_trims_and_nulls(lines):
 def test_raw_quality_counts(lines):
     raw = wl.parse_log(lines, raw=True)
     assert wl.count_rows_with_nulls(raw).first()[0] == 4
+    assert wl.rows_with_nulls(raw).count() == 4
+    assert wl.rows_with_nulls(raw, ["status"]).count() == 2
     nc = wl.null_counts(raw).first().asDict()
     assert nc == {"host": 0, "timestamp": 0, "path": 0, "status": 2, "content_size": 4}
     assert wl.invalid_size_lines(lines).count() == 3
