@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import packing, simhash
+from . import packing, simhash, substrings
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,12 +15,18 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packing.pack_documents(_table(spark, sf_dir, "documents")))
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.remove_repeats(_table(spark, sf_dir, "documents"))
+    return kept.withColumn("kept_sha256", F.sha2("kept_text", 256)).drop("kept_text")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_substrings": op2_substrings,
     "op6_simhash": op6_simhash,
 }
 
