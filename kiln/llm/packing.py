@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .tokens import PieceEncoder, tokenizer_path
+from .tokens import piece_encoder, tokenizer_path
 
 SEQUENCE_TOKENS = 1024
 TOKENIZER = "byte_bpe_50k.json"
@@ -136,7 +136,7 @@ class SumOfSquares:
 
 def _pack_partition(batches: Iterator[pa.RecordBatch], path: str, spaced: bool, size: int,
                     end_id: int, max_open: int, task: int) -> Iterator[pa.RecordBatch]:
-    encoder = PieceEncoder(path, spaced)
+    encoder = piece_encoder(path, spaced)
     end = int(end_id).to_bytes(4, "little")
     out: list[tuple] = []
     next_id = task * SEQUENCES_PER_TASK

@@ -12,18 +12,22 @@ so most pieces come from the table.
 
 from __future__ import annotations
 
+import os
 import re
 import struct
 from collections.abc import Sequence
+from functools import lru_cache
 
 #: entries and characters of a piece up to which a worker keeps pieces
-CACHE_PIECES = 250_000
+CACHE_PIECES = 600_000
 PIECE_CHARS = 48
 
 _ODD_SPACE = re.compile(r"\s\s|^\s|\s$")
 _INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 #: white space to Python's ``str`` but not to the tokenizers' patterns
 _SEPARATORS = re.compile("[\x1c-\x1f]")
+#: a word of letters, Latin-1 at most, and the mark after it: two pre-tokens
+_PLAIN = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?]*)")
 
 
 def tokenizer_path(name: str) -> str:
@@ -32,6 +36,20 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _byte_letters() -> dict[int, str]:
+    """The printable letter of each byte in byte-level vocabularies: itself where Latin-1
+    prints it, else the next one from U+0100 on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in own]
+    return {**{b: chr(b) for b in own}, **{b: chr(256 + k) for k, b in enumerate(rest)}}
+
+
+@lru_cache(maxsize=2)
+def piece_encoder(path: str, spaced: bool) -> "PieceEncoder":
+    """The worker's encoder; what it knows serves later tasks too."""
+    return PieceEncoder(path, spaced)
+
+
 class PieceEncoder:
     """Texts to ids, as little-endian unsigned 32-bit bytes.
 
@@ -40,20 +58,50 @@ class PieceEncoder:
     """
 
     def __init__(self, path: str, spaced: bool, cache_pieces: int = CACHE_PIECES):
-        import os
-
         from tokenizers import Tokenizer
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self._tok = Tokenizer.from_file(path)
         self._spaced, self._cap = spaced, cache_pieces
         self._known: dict[str, bytes] = {}
+        self._bytes = _byte_letters()
+        self._merge = self._tok.model.tokenize
 
     def _raw(self, pieces: list[str]) -> list[bytes]:
-        done = self._tok.encode_batch(pieces, add_special_tokens=False)
-        return [struct.pack(f"<{len(ids)}I", *ids) for ids in (e.ids for e in done)]
+        """Ids of pieces that are not known yet.  Plain words go to the library's model
+        directly, as the one or two pre-tokens they are; all else goes through the whole
+        tokenizer."""
+        out: list[bytes | None] = []
+        other = []
+        for piece in pieces:
+            start = self._spaced and piece[:1] == "\0"
+            plain = _PLAIN.fullmatch(piece, int(start))
+            if plain is None:
+                other.append(len(out))
+                out.append(None)
+                continue
+            word, mark = plain.groups()
+            if not self._spaced:
+                word = word.lower()
+            elif not start:
+                word = " " + word
+            if not word.isascii() or self._spaced:
+                word = word.encode().decode("latin-1").translate(self._bytes)
+            ids = [t.id for t in self._merge(word)]
+            if mark:
+                ids += [t.id for t in self._merge(mark)]
+            out.append(struct.pack(f"<{len(ids)}I", *ids))
+        if other:
+            done = self._tok.encode_batch([self._source(pieces[k]) for k in other],
+                                          add_special_tokens=False)
+            for k, e in zip(other, done):
+                ids = e.ids
+                out[k] = struct.pack(f"<{len(ids)}I", *ids)
+        return out
 
     def _pieces(self, text: str) -> list[str]:
         if self._spaced:
+            if "\0" in text:
+                return ["\0" + text]
             parts = (_INNER_SPACE.split(text) if _ODD_SPACE.search(text) else text.split(" "))
             # a text starts without a space: mark its first piece
             parts[0] = "\0" + parts[0]
@@ -77,10 +125,10 @@ class PieceEncoder:
                 known.clear()
                 new = set().union(*cut)
                 short = [p for p in new if len(p) <= PIECE_CHARS]
-            known.update(zip(short, self._raw([self._source(p) for p in short])))
+            known.update(zip(short, self._raw(short)))
             long = [p for p in new if len(p) > PIECE_CHARS]
             if long:
-                extra = dict(zip(long, self._raw([self._source(p) for p in long])))
+                extra = dict(zip(long, self._raw(long)))
         if extra:
             return [b"".join([known.get(p) if p in known else extra[p] for p in c]) for c in cut]
         return [b"".join([known[p] for p in c]) for c in cut]
