@@ -46,16 +46,12 @@ def _shingles(w: Column, n: int) -> Column:
 
 def _with_fingerprint(df: DataFrame, shingles: str) -> DataFrame:
     """Adds ``fp``: bit j is set if it is set in over half of the shingles' hashes."""
-    def bit(j: int) -> Column:
-        mask = F.lit(1 << j if j < 63 else -(1 << 63)).cast("long")
-        ones = F.size(F.filter("hashes", lambda h: h.bitwiseAND(mask) != 0))
-        return F.when(2 * ones > F.size("hashes"), mask).otherwise(F.lit(0).cast("long"))
-
-    fp = bit(0)
-    for j in range(1, 64):
-        fp = fp.bitwiseOR(bit(j))
     return (df.withColumn("hashes", F.transform(shingles, lambda s: F.xxhash64(s)))
-            .withColumn("fp", fp).drop("hashes"))
+            .withColumn("fp", F.expr("""    -- never null: a test for null would run it twice
+                coalesce(aggregate(sequence(0, 63), 0L, (acc, j) -> acc | if(
+                    2 * size(filter(hashes, h -> (shiftrightunsigned(h, j) & 1L) = 1L)) > size(hashes),
+                    shiftleft(1L, j), 0L)), 0L)"""))
+            .drop("hashes"))
 
 
 def _blocks(radius: int) -> list[tuple[int, int]]:
@@ -65,10 +61,11 @@ def _blocks(radius: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(cuts, cuts[1:])]
 
 
-def _block_keys(fp: Column, radius: int) -> Column:
-    return F.array(*(F.lit(k << 32).bitwiseOR(
-        F.shiftrightunsigned(fp, at).bitwiseAND(F.lit((1 << width) - 1)))
-        for k, (at, width) in enumerate(_blocks(radius))))
+def _block_keys(fp: str, radius: int) -> str:
+    """SQL of the array of block keys: the block's number above, its bits below."""
+    return "array(" + ", ".join(
+        f"{k << 32}L | (shiftrightunsigned({fp}, {at}) & {(1 << width) - 1}L)"
+        for k, (at, width) in enumerate(_blocks(radius))) + ")"
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
@@ -77,7 +74,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  radius: int = RADIUS) -> DataFrame:
     """``id_col, item_col, start_word, n_words, similarity, differing_bits``: for each
     document and each benchmark item that one of its windows repeats, the most similar
-    window (the first of equals).
+    window taken (the first of equals).
 
     A window has as many words as the item (a shorter document is one window).  Items
     and documents with fewer words than a shingle, null texts and rows without id match
@@ -88,16 +85,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     checkpoint_dir(spark)
     n = shingle_words
     items = (benchmark.select(F.col(item_col).alias("item"), words(F.col(item_text)).alias("iw"))
-             .where(F.col("item").isNotNull() & (F.size("iw") >= n)))
+             .where(F.col("item").isNotNull()))
     texts = (docs.select(F.col(id_col).alias("doc"), words(F.col(text_col)).alias("w"))
-             .where(F.col("doc").isNotNull() & (F.size("w") >= n)))
+             .where(F.col("doc").isNotNull()))
 
     def hashed(df: DataFrame, w: str, *keep: str) -> DataFrame:
         """Shingle hashes by place, from word hashes."""
         each = F.transform(F.col(w), lambda x: F.xxhash64(x))
         df = df.select(*keep, F.size(w).alias("size"), each.alias("wh"))
-        df = df.select(*keep, "size", "wh", F.posexplode(F.slice("wh", F.lit(1), F.col("size") - (n - 1)))
-                       .alias("at", "first"))
+        df = df.select(*keep, "size", "wh", F.posexplode(F.slice(
+            "wh", F.lit(1), F.greatest(F.col("size") - (n - 1), F.lit(0)))).alias("at", "first"))
         return df.select(*keep, "size", "at", F.xxhash64(
             "first", *(F.col("wh")[F.col("at") + k] for k in range(1, n))).alias("h"))
 
@@ -125,17 +122,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                .where(F.size("ww") >= n)
                .withColumn("ws", _shingles(F.col("ww"), n)))
     windows = _with_fingerprint(windows, "ws")
-    targets = _with_fingerprint(items.withColumn("item_s", _shingles(F.col("iw"), n)), "item_s")
+    targets = _with_fingerprint(items.where(F.size("iw") >= n)
+                                .withColumn("item_s", _shingles(F.col("iw"), n)), "item_s")
 
     # multi-index: an equal block for every pair within the radius
     probes = windows.select("doc", "item", "start", "ws", F.size("ww").alias("n_words"),
-                            F.col("fp").alias("wfp"), F.explode(_block_keys(F.col("fp"), radius)).alias("key"))
+                            F.col("fp").alias("wfp"), F.explode(F.expr(_block_keys("fp", radius))).alias("key"))
     index = targets.select("item", "item_s", F.col("fp").alias("ifp"),
-                           F.explode(_block_keys(F.col("fp"), radius)).alias("key"))
+                           F.explode(F.expr(_block_keys("fp", radius))).alias("key"))
     near = F.bit_count(F.col("wfp").bitwiseXOR(F.col("ifp")))
     # of the equal blocks of a pair only the first goes on
-    first = F.array_position(F.zip_with(_block_keys(F.col("wfp"), radius), _block_keys(F.col("ifp"), radius),
-                                        lambda a, b: a == b), True) - 1
+    first = F.expr(f"array_position(zip_with({_block_keys('wfp', radius)}, "
+                   f"{_block_keys('ifp', radius)}, (a, b) -> a = b), true) - 1")
     candidates = (probes.join(index, ["item", "key"])
                   .where(near <= radius)
                   .where(F.shiftright("key", 32) == first))
