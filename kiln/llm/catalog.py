@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, packing, simhash, substrings
+from . import decontaminate, packing, simhash, substrings, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,14 @@ def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.withColumn("kept_sha256", F.sha2("kept_text", 256)).drop("kept_text")
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    return (toxicity.score(docs, model).drop("text")
+            .withColumn("held_out", toxicity.held_out("doc_id"))
+            .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -32,6 +40,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_substrings": op2_substrings,
+    "op3_toxicity": op3_toxicity,
     "op6_simhash": op6_simhash,
     "op10_decontaminate": op10_decontaminate,
 }
