@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, packing, simhash, substrings, toxicity
+from . import decontaminate, hilbert, neighbours, packing, simhash, substrings, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,15 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.shard_documents(_table(spark, sf_dir, "documents"))
+
+
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"),
                                       _table(spark, sf_dir, "benchmark"))
@@ -42,6 +51,8 @@ QUERIES = {
     "op2_substrings": op2_substrings,
     "op3_toxicity": op3_toxicity,
     "op6_simhash": op6_simhash,
+    "op8_hilbert": op8_hilbert,
+    "op9_neighbours": op9_neighbours,
     "op10_decontaminate": op10_decontaminate,
 }
 
