@@ -43,13 +43,13 @@ _NULL_ID = 1 << 62
 
 def _planes(values: np.ndarray) -> bytes:
     """Bytes of equal significance together: constant ones then compress away."""
-    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
 
 
 def _unplanes(data: bytes, dtype) -> np.ndarray:
     width = np.dtype(dtype).itemsize
     return np.ascontiguousarray(
-        np.frombuffer(data, np.uint8).reshape(width, -1).T).view(dtype).ravel()
+        np.frombuffer(data, np.uint8).reshape(width, len(data) // width).T).view(dtype).ravel()
 
 
 def _pack_sorted(values: np.ndarray) -> bytes:
