@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, hilbert, neighbours, packing, simhash, substrings, toxicity
+from . import decontaminate, hilbert, idfiles, neighbours, packing, simhash, substrings, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
 
 
+def op5_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = idfiles.through_files(_table(spark, sf_dir, "documents"))
+    return back.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -50,6 +55,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_substrings": op2_substrings,
     "op3_toxicity": op3_toxicity,
+    "op5_id_files": op5_id_files,
     "op6_simhash": op6_simhash,
     "op8_hilbert": op8_hilbert,
     "op9_neighbours": op9_neighbours,
