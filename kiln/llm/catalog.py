@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, hilbert, idfiles, neighbours, packing, simhash, substrings, toxicity
+from . import decontaminate, hilbert, idfiles, neighbours, packing, simhash, substrings, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,6 +37,10 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.through_archives(_table(spark, sf_dir, "pages"))
+
+
 def op8_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.shard_documents(_table(spark, sf_dir, "documents"))
 
@@ -57,6 +61,7 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op5_id_files": op5_id_files,
     "op6_simhash": op6_simhash,
+    "op7_warc": op7_warc,
     "op8_hilbert": op8_hilbert,
     "op9_neighbours": op9_neighbours,
     "op10_decontaminate": op10_decontaminate,

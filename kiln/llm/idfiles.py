@@ -127,7 +127,7 @@ def write_id_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text_co
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 if writer is None:
-                    sink = fs.open_output_stream(f"{place}/{name}")
+                    sink = fs.open_output_stream(f"{place}/{name}", compression=None)
                     writer = IdFileWriter(sink, vocab)
                 for doc, ids in zip(part.column(0).to_pylist(),
                                     encoder.encode(part.column(1).to_pylist())):
