@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, hilbert, idfiles, neighbours, packing, simhash, substrings, toxicity, warc
+from . import decontaminate, hilbert, idfiles, mainbody, neighbours, packing, simhash, substrings, toxicity, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
 
 
+def op4_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mainbody.extract_text(_table(spark, sf_dir, "pages"))
+
+
 def op5_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = idfiles.through_files(_table(spark, sf_dir, "documents"))
     return back.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
@@ -59,6 +63,7 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_substrings": op2_substrings,
     "op3_toxicity": op3_toxicity,
+    "op4_main_text": op4_main_text,
     "op5_id_files": op5_id_files,
     "op6_simhash": op6_simhash,
     "op7_warc": op7_warc,
