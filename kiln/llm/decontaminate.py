@@ -34,8 +34,9 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), _SPACE), "")
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+def bounded(df: DataFrame) -> DataFrame:
+    """A written table, to be broadcast if its rows, counted, are few."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def _shingles(w: Column, n: int) -> Column:
@@ -102,7 +103,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     known = hashed(items, "iw", "item").select(
         "h", "item", F.col("at").alias("item_at"), F.col("size").alias("m")).checkpoint()
     shared = (hashed(texts, "w", "doc").withColumnRenamed("size", "doc_words")
-              .join(_small(known, known.count()), "h"))
+              .join(bounded(known), "h"))
     places = (shared.groupBy("doc", "item", "m", "doc_words", (F.col("at") - F.col("item_at")).alias("a"))
               .agg(F.count("*").alias("hits")))
     pair = Window.partitionBy("doc", "item", "doc_words")
@@ -116,8 +117,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
               .select("doc", "item", "m", F.least(F.greatest("start", F.lit(0)), "last").alias("start"))
               .distinct().checkpoint())
 
-    n_starts = starts.count()
-    windows = (texts.join(_small(starts, n_starts), "doc")
+    windows = (texts.join(bounded(starts), "doc")
                .select("doc", "item", "start", "m", F.slice("w", F.col("start") + 1, F.col("m")).alias("ww"))
                .where(F.size("ww") >= n)
                .withColumn("ws", _shingles(F.col("ww"), n)))
