@@ -32,6 +32,8 @@ MAX_BITS = 2
 HASH_SEED = 42
 #: distinct fingerprints under one variant up to which they are paired
 HOT_VARIANT = 16
+#: fingerprints that more than one in so many rows have are labelled by a broadcast
+HOT_CLASSES = 1000
 
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little")
 
@@ -144,13 +146,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     checkpoint_dir(docs.sparkSession)
     rows = simhash(docs, id_col, text_col, shingle_words).checkpoint()
-    classes = rows.groupBy("fp").agg(F.min("id").alias("rep")).checkpoint()
+    classes = rows.groupBy("fp").agg(F.min("id").alias("rep"), F.count("*").alias("n")).checkpoint()
     comps = components(links(classes.select("fp"), hot_variant))
-    reps = (comps.join(classes.withColumnRenamed("fp", "node"), "node"))
+    reps = comps.join(classes.select(F.col("fp").alias("node"), "rep"), "node")
     smallest = reps.groupBy("component").agg(F.min("rep").alias("smallest"))
     linked = reps.join(smallest, "component").select(F.col("node").alias("fp"), "smallest")
     labels = classes.join(linked, "fp", "left").select(
-        "fp", F.coalesce("smallest", "rep").alias("component_id"))
-    return rows.join(labels, "fp").select(
+        "fp", "n", F.coalesce("smallest", "rep").alias("component_id"))
+    # a fingerprint of many rows is not shuffled: no more than HOT_CLASSES have so many
+    hot = (labels.where(F.col("n") * HOT_CLASSES > rows.count()).select("fp", "component_id")
+           .checkpoint())
+    labels = labels.select("fp", "component_id")
+    labelled = (rows.join(F.broadcast(hot), "fp")
+                .union(rows.join(F.broadcast(hot), "fp", "left_anti").join(labels, "fp")))
+    return labelled.select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id")
