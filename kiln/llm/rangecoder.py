@@ -25,14 +25,14 @@ import numpy as np
 BLOCK_IDS = 1 << 22
 MAX_LANES = 4096
 #: ids of a lane, at least
-LANE_IDS = 64
+LANE_IDS = 256
 ROUND_STEPS = 16
 _HEAD = struct.Struct("<4sIIIII")     # magic, ids, vocabulary, lanes, payload bytes, crc32
 _MAGIC = b"KRC1"
 
 _SHARE_BITS, _FREQ_BITS = 12, 20
 _SHARES, _FREQS = 1 << _SHARE_BITS, 1 << _FREQ_BITS
-_LEAST_REST = 512                     # of _SHARES, for order 0
+_LEAST_REST = 64                      # of _SHARES, for order 0
 _PAIR_BITS = 18
 _U32 = np.uint64(32)
 _LOW = np.uint64(0xFFFFFFFF)
