@@ -18,11 +18,12 @@ import struct
 from collections.abc import Sequence
 from functools import lru_cache
 
-#: entries and characters of a piece up to which a worker keeps pieces
-CACHE_PIECES = 600_000
+#: pieces that a worker keeps (as many again from before), and their characters at most
+CACHE_PIECES = 500_000
 PIECE_CHARS = 48
 
-_ODD_SPACE = re.compile(r"\s\s|^\s|\s$")
+#: white space other than spaces and line feeds
+_OTHER_SPACE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 _INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 #: white space to Python's ``str`` but not to the tokenizers' patterns
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -63,6 +64,7 @@ class PieceEncoder:
         self._tok = Tokenizer.from_file(path)
         self._spaced, self._cap = spaced, cache_pieces
         self._known: dict[str, bytes] = {}
+        self._before: dict[str, bytes] = {}
         self._bytes = _byte_letters()
         self._merge = self._tok.model.tokenize
 
@@ -73,8 +75,9 @@ class PieceEncoder:
         out: list[bytes | None] = []
         other = []
         for piece in pieces:
-            start = self._spaced and piece[:1] == "\0"
-            plain = _PLAIN.fullmatch(piece, int(start))
+            line = self._spaced and piece[:2] == "\n\0"
+            start = line or self._spaced and piece[:1] == "\0"
+            plain = _PLAIN.fullmatch(piece, 2 * line or int(start))
             if plain is None:
                 other.append(len(out))
                 out.append(None)
@@ -82,11 +85,13 @@ class PieceEncoder:
             word, mark = plain.groups()
             if not self._spaced:
                 word = word.lower()
-            elif not start:
-                word = " " + word
-            if not word.isascii() or self._spaced:
+            if not word.isascii():
                 word = word.encode().decode("latin-1").translate(self._bytes)
+            if self._spaced and not start:
+                word = self._bytes[0x20] + word
             ids = [t.id for t in self._merge(word)]
+            if line:
+                ids = [t.id for t in self._merge(self._bytes[0x0A])] + ids
             if mark:
                 ids += [t.id for t in self._merge(mark)]
             out.append(struct.pack(f"<{len(ids)}I", *ids))
@@ -102,7 +107,10 @@ class PieceEncoder:
         if self._spaced:
             if "\0" in text:
                 return ["\0" + text]
-            parts = (_INNER_SPACE.split(text) if _ODD_SPACE.search(text) else text.split(" "))
+            plain = not (text[0] == " " or text[-1] == " " or "  " in text or " \n" in text
+                         or "\n " in text or "\n\n" in text or _OTHER_SPACE.search(text))
+            # a single line feed is a pre-token of its own, and no space opens the next
+            parts = (text.replace("\n", " \n\0").split(" ") if plain else _INNER_SPACE.split(text))
             # a text starts without a space: mark its first piece
             parts[0] = "\0" + parts[0]
             return parts
@@ -111,6 +119,8 @@ class PieceEncoder:
     def _source(self, piece: str) -> str:
         if not self._spaced:
             return piece
+        if piece[:2] == "\n\0":
+            return "\n" + piece[2:]
         return piece[1:] if piece[0] == "\0" else " " + piece
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
@@ -120,11 +130,14 @@ class PieceEncoder:
         new = set().union(*cut).difference(known)
         extra = {}
         if new:
+            if len(known) + len(new) > self._cap:
+                self._before, self._known = known, {}
+                known, new = self._known, set().union(*cut)
+            before = self._before
+            again = new.intersection(before)
+            known.update((p, before[p]) for p in again)
+            new -= again
             short = [p for p in new if len(p) <= PIECE_CHARS]
-            if len(known) + len(short) > self._cap:
-                known.clear()
-                new = set().union(*cut)
-                short = [p for p in new if len(p) <= PIECE_CHARS]
             known.update(zip(short, self._raw(short)))
             long = [p for p in new if len(p) > PIECE_CHARS]
             if long:
