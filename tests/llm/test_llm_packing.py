@@ -103,7 +103,7 @@ def test_nothing_is_lost_when_open_sequences_are_topped_up(max_open):
 
 @pytest.mark.parametrize("name,spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
 def test_pieces_have_the_ids_of_the_whole_text(tables, name, spaced):
-    odd = ["", "  lead", "trail  ", "a  b", "a\n b", "a \nb", "tab\tb \tc", "don't we'll I'S", "é é É",
+    odd = ["", "  lead", "trail  ", "a  b", "a\n b", "a\n\n\nb", "a\n\n", "\n\na", "a\n\nb c", "\na\nb\n", "x.\n's y","a \nb", "tab\tb \tc", "don't we'll I'S", "é é É",
            "Σ ΑΣ ΑΣ.", "İstanbul", "日本 語。", "1,234 5.6", "a b  c", "word.,! word...",
            "ß ẞ ª º µ ÷ ×", "\0a b", "a \0b", "e ́x", "ﬁ ﬃ", "\x85 a\x85b c \x85 d", " ", " a", "\n",
            "\na", "a's,b", "x" * 300, "<|startoftext|> <|endoftext|>", "a\x1cb \x1d c"]
