@@ -9,30 +9,22 @@ fold the result into the state with a left join on the vertex id.
 
 * edges of ordinary sources are hash-partitioned by ``src`` (and cached
   materialised, so the cache keeps that partitioning);
-* edges of heavy sources (out-degree above a fair partition share; at most
-  ``max_hot`` of them) are spread evenly instead and joined to a broadcast
-  of just those sources' state -- a table with at most ``max_hot`` rows, so
-  one vertex holding a third of all edges never lands in one task.
-
-The state is written out every round, so lineage never grows beyond one
-round and a lost executor costs at most one round of recomputation.  On a
-large graph it is written as a parquet table bucketed by ``id`` (as many
-buckets as the edge index has partitions) under ``spark.checkpoint.dir``:
-read back, it meets the in-place edges and the reduced messages without
-moving, and the reduced messages are the round's only shuffle.  On a small
-graph a table write per round costs more than the state shuffle it saves,
-so the state is a reliable ``checkpoint()`` instead (which loses its
-layout; the state is then shuffled to the edges).  A persisted state is no
-substitute for either: it feeds two joins per round, so its logical plan
-would double every round, and releasing an old cache makes Spark re-plan
-the caches built on it.  Convergence figures are observed while the state
-is written, so a round costs no extra job.
+* edges of heavy sources (out-degree above a fair partition share, so fewer
+  of them than partitions) are spread evenly instead and joined to a
+  broadcast of just those sources' state, so one vertex holding a third of
+  all edges never lands in one task.
+
+What a round changes is written as a reliable ``checkpoint()``, so lineage
+never grows beyond one round and a lost executor costs at most one round of
+recomputation; nothing is left in the catalog.  PageRank changes every
+vertex and writes them all; shortest paths writes the vertices that improved
+and folds them into the distances now and then.  Convergence figures are
+observed while the state is written, so a round costs no extra job.
 """
 
 from __future__ import annotations
 
 import math
-import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -63,10 +55,9 @@ class EdgeIndex:
 
     ``cold``: ordinary edges, hash-partitioned by ``src``; ``hot``: edges of
     heavy sources, spread round-robin; ``hot_ids``: ``(src, out_degree)`` of
-    the heavy sources, the ``max_hot`` heaviest at most, so that their
-    broadcast state is bounded.  Heavy sources beyond that bound keep their
-    edges on the partitioned path: every edge is always joined, only the
-    balance differs.  Every edge row carries ``out_degree``.
+    the heavy sources, fewer than ``num_partitions`` rows.  Every edge row
+    carries ``out_degree``.  ``vertices``: the ends of all edges and the ids
+    given beside them.
     """
     cold: DataFrame
     hot: DataFrame | None
@@ -75,12 +66,14 @@ class EdgeIndex:
     degrees: DataFrame
     num_partitions: int
     min_weight: float | None
-    num_edges: int = 0
 
     @staticmethod
     def build(edges: DataFrame, num_partitions: int | None = None,
-              weight: str | None = None, hot_min_degree: int = 10_000,
-              max_hot: int = 100_000) -> "EdgeIndex":
+              weight: str | None = None, vertices: DataFrame | None = None,
+              drop_malformed: bool = False) -> "EdgeIndex":
+        """``vertices`` (column ``id``) adds vertices that need not have edges.  An edge
+        without both ends (or, when weighted, without a weight) fails the job unless
+        ``drop_malformed`` leaves it out."""
         spark = edges.sparkSession
         checkpoint_dir(spark)
         n = _partitions(edges, num_partitions)
@@ -89,12 +82,19 @@ class EdgeIndex:
             cols.append(F.col(weight).cast("double").alias("weight"))
         # the edge list feeds the degrees and the partitioned copies: build
         # it once
-        # an edge without both ends (or, when weighted, without a weight) is
-        # not part of the graph
         present = F.col("src").isNotNull() & F.col("dst").isNotNull()
         if weight:
             present = present & F.col("weight").isNotNull()
-        e = edges.select(*cols).where(present).persist(StorageLevel.MEMORY_AND_DISK)
+        e = edges.select(*cols)
+        if drop_malformed:
+            e = e.where(present)
+        else:
+            row = F.concat_ws(",", *(F.coalesce(F.col(c).cast("string"), F.lit("null"))
+                                     for c in e.columns))
+            ok = F.when(present, F.lit(True)).otherwise(
+                F.raise_error(F.concat(F.lit("malformed edge: "), row)).cast("boolean"))
+            e = e.where(ok)
+        e = e.persist(StorageLevel.MEMORY_AND_DISK)
         deg = (e.groupBy("src").agg(
             F.count(F.lit(1)).alias("out_degree"),
             *([F.min("weight").alias("_wmin")] if weight else [])).repartition(n, "src")
@@ -103,13 +103,12 @@ class EdgeIndex:
                         *([F.min("_wmin").alias("w")] if weight else [])).first()
         total = stats["m"] or 0
         min_weight = stats["w"] if weight else None
-        # heavy = more edges than a fair share of one partition; at most max_hot
-        threshold = max(hot_min_degree, math.ceil(total / n)) if total else hot_min_degree
+        # heavy = more edges than a fair share of one partition: fewer than n sources
+        threshold = math.ceil(total / n)
         has_hot = (stats["top"] or 0) > threshold
         hot_ids = None
         if has_hot:
             hot_ids = (deg.where(F.col("out_degree") > threshold)
-                       .orderBy(F.col("out_degree").desc(), "src").limit(max_hot)
                        .select("src", "out_degree").checkpoint(eager=True))
         degrees, deg = deg, deg.select("src", "out_degree")
         if has_hot:
@@ -133,8 +132,10 @@ class EdgeIndex:
         # from here on only the partitioned copies are read: keep one copy
         e.unpersist()
         ends = [p.select(F.col(c).alias("id")) for p in parts for c in ("src", "dst")]
-        vertices = reduce(DataFrame.union, ends).distinct()
-        return EdgeIndex(cold, hot_e, hot_ids, vertices, degrees, n, min_weight, total)
+        if vertices is not None:
+            ends.append(vertices.select(F.col("id").cast("bigint").alias("id")).where("id IS NOT NULL"))
+        known = reduce(DataFrame.union, ends).distinct()
+        return EdgeIndex(cold, hot_e, hot_ids, known, degrees, n, min_weight)
 
     def release(self) -> None:
         """Drop the persisted edges (results are checkpointed, nothing
@@ -169,71 +170,8 @@ def _cut(df: DataFrame, metric: Column | None = None) -> tuple[DataFrame, object
     return out, obs.get["m"]
 
 
-class _CheckpointStore:
-    """Per-vertex state written as a reliable checkpoint every round: no
-    catalog work, but the state loses its layout and is shuffled to the
-    edges each round (cheap while the graph is small)."""
-
-    def put(self, df: DataFrame, metric: Column | None = None) -> tuple[DataFrame, object]:
-        return _cut(df, metric)
-
-    def finish(self) -> None:
-        pass
-
-
-class _StateStore:
-    """Per-vertex state of an iterative operator, rewritten every round as a
-    parquet table bucketed by ``id`` under the checkpoint folder.
-
-    Reading the state back gives a plan with no lineage (a lost executor
-    costs at most one round) whose scan keeps its hash layout: with as many
-    buckets as the edge index has partitions, the state meets the edges and
-    the reduced messages without being shuffled.  Rounds alternate between
-    two folders, overwriting the state two rounds old, so storage stays at
-    two copies of the state.
-    """
-
-    def __init__(self, spark, buckets: int):
-        self.spark = spark
-        self.buckets = buckets
-        self.tag = uuid.uuid4().hex[:16]
-        self.root = f"{checkpoint_dir(spark).rstrip('/')}/kiln-state-{self.tag}"
-        self.names: list[str] = []
-
-    def put(self, df: DataFrame, metric: Column | None = None) -> tuple[DataFrame, object]:
-        """Write ``df`` (with an ``id`` column) as the next round's state;
-        ``metric`` is observed during the write.  Returns ``(state, value)``."""
-        i = len(self.names)
-        name = f"kiln_state_{self.tag}_{i}"
-        obs = None
-        if metric is not None:
-            obs = Observation()
-            df = df.observe(obs, metric.alias("m"))
-        (df.write.mode("overwrite").format("parquet").bucketBy(self.buckets, "id")
-         .option("path", f"{self.root}/slot{i % 2}").saveAsTable(name))
-        if i >= 2:
-            # its folder was just overwritten; drop the stale catalog entry
-            self.spark.sql(f"DROP TABLE IF EXISTS {self.names[i - 2]}")
-        self.names.append(name)
-        return self.spark.table(name), (obs.get["m"] if obs is not None else None)
-
-    def finish(self) -> None:
-        """Drop every catalog entry but the last state's (which the result
-        reads)."""
-        for name in self.names[-2:-1]:
-            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
-
-
-STATE_TABLE_MIN_EDGES = 10_000_000
-
-
-def _state_store(spark, idx: "EdgeIndex", min_edges: int):
-    """Bucketed state tables for graphs with at least ``min_edges`` edges
-    (the state shuffle they save then outweighs a table write per round),
-    per-round checkpoints below that."""
-    if idx.num_edges >= min_edges:
-        return _StateStore(spark, idx.num_partitions)
-    return _CheckpointStore()
+class NotConverged(RuntimeError):
+    """A given number of rounds was reached before the result was final."""
 
 
 @dataclass
@@ -243,17 +181,18 @@ class PageRankResult:
     converged: bool
 
 
-def pagerank(edges: DataFrame, max_iter: int = 100, tol: float | None = EPSILON,
-             signed_tolerance: bool = False, drop_unlinked: bool = False,
-             num_partitions: int | None = None, hot_min_degree: int = 10_000,
-             max_hot: int = 100_000,
-             state_table_min_edges: int = STATE_TABLE_MIN_EDGES) -> PageRankResult:
+def pagerank(edges: DataFrame, vertices: DataFrame | None = None, max_iter: int | None = None,
+             tol: float | None = EPSILON, signed_tolerance: bool = False,
+             drop_unlinked: bool = False, num_partitions: int | None = None,
+             drop_malformed: bool = False) -> PageRankResult:
     """Unnormalised PageRank: start at 1.0, ``rank = 0.15 + 0.85 * sum(rank(u)
     / out_degree(u))`` over in-links ``u``.
 
-    Stops after ``max_iter`` updates, or earlier when every rank moved by at
-    most ``tol`` (``tol=None``: always ``max_iter`` updates).  Parallel
-    edges count with their multiplicity.
+    Stops when every rank moved by at most ``tol``.  With ``max_iter`` it fails
+    (:class:`NotConverged`) when that takes more updates; ``tol=None`` asks for
+    exactly ``max_iter`` updates instead.  Parallel edges count with their
+    multiplicity.  ``vertices`` (column ``id``) adds vertices without edges;
+    malformed edges fail unless ``drop_malformed``.
 
     Defaults fix two quirks of the original recursion; flags restore them:
     ``signed_tolerance`` compares ``new - old <= tol`` without absolute value
@@ -262,15 +201,16 @@ def pagerank(edges: DataFrame, max_iter: int = 100, tol: float | None = EPSILON,
     received a contribution (by default every vertex is kept, ``0.15``
     without in-links; sinks keep their rank and pass none on).
     """
-    idx = EdgeIndex.build(edges, num_partitions, None, hot_min_degree, max_hot)
-    store = _state_store(edges.sparkSession, idx, state_table_min_edges)
+    if tol is None and max_iter is None:
+        raise ValueError("give a tolerance or a number of updates")
+    idx = EdgeIndex.build(edges, num_partitions, None, vertices, drop_malformed)
     if drop_unlinked:
         first = idx.degrees.select(F.col("src").alias("id"), F.lit(1.0).alias("rank"))
     else:
         first = idx.vertices.select("id", F.lit(1.0).alias("rank"))
-    state, _ = store.put(first)
+    state, _ = _cut(first)
     rounds, converged = 0, False
-    for i in range(1, max_iter + 1):
+    while max_iter is None or rounds < max_iter:
         msgs = idx.join_state(state).select(
             "dst", (F.col("rank") / F.col("out_degree")).alias("c"))
         sums = msgs.groupBy("dst").agg(F.sum("c").alias("s"))
@@ -287,15 +227,15 @@ def pagerank(edges: DataFrame, max_iter: int = 100, tol: float | None = EPSILON,
         if not signed_tolerance:
             moved = F.abs(moved)
         # largest move among vertices present in both rounds (null: none)
-        state, worst = store.put(new, F.max(moved) if tol is not None else None)
-        rounds = i
+        state, worst = _cut(new, F.max(moved) if tol is not None else None)
+        rounds += 1
         if tol is not None and (worst is None or worst <= tol):
             converged = True
             break
-    store.finish()
-    state = state.select("id", "rank")
     idx.release()
-    return PageRankResult(state, rounds, converged)
+    if tol is not None and not converged:
+        raise NotConverged(f"ranks still move after {rounds} updates")
+    return PageRankResult(state.select("id", "rank"), rounds, converged)
 
 
 def property_graph(vertices: DataFrame, edges: DataFrame, default: str = DEFAULT_VERTEX_NAME,
@@ -304,8 +244,7 @@ def property_graph(vertices: DataFrame, edges: DataFrame, default: str = DEFAULT
     vertices (an id listed twice keeps its smallest attribute) plus every
     edge endpoint without a vertex row, which gets ``default``."""
     named = vertices.groupBy("id").agg(F.min(attr).alias(attr))
-    ends = (edges.select(F.col("src").alias("id")).union(edges.select(F.col("dst").alias("id")))
-            .distinct())
+    ends = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
     missing = ends.join(named.select("id"), "id", "left_anti").select(
         "id", F.lit(default).alias(attr))
     return named.unionByName(missing)
@@ -317,62 +256,75 @@ class ShortestPaths:
     rounds: int
 
 
-def _lex_less(d: Column, h: Column, dist: Column, hops: Column) -> Column:
-    return (d < dist) | ((d == dist) & (h < F.coalesce(hops, F.lit(2**31 - 1))))
+#: rounds of improvements that are kept beside the distances before they are folded in
+FOLD_ROUNDS = 8
 
 
 def shortest_distances(edges: DataFrame, source: int, weight: str = "weight",
                        num_partitions: int | None = None, max_iter: int | None = None,
-                       hot_min_degree: int = 10_000, max_hot: int = 100_000,
-                       index: EdgeIndex | None = None,
-                       state_table_min_edges: int = STATE_TABLE_MIN_EDGES) -> ShortestPaths:
+                       index: EdgeIndex | None = None, vertices: DataFrame | None = None,
+                       drop_malformed: bool = False) -> ShortestPaths:
     """Distances from ``source`` over directed weighted edges, by frontier
     relaxation: only vertices improved in the last round send messages.
 
-    Each vertex ends with the lexicographically smallest ``(dist, hops)``:
+    Each vertex ends with the lexicographically smallest ``(dist, hops, pred)``:
     shortest distance, then fewest edges among shortest routes (this makes
-    route selection well defined with zero-weight edges), and ``pred``, the
-    smallest source among its in-edges on such a route.  An equal-valued
-    offer only lowers ``pred``; it does not make the vertex send again.
-    Every in-edge of a final value is offered once (the round after its
-    source last changed), so ``pred`` needs no extra pass over the edges.
-    Negative weights are rejected (relaxation would not end on a negative
-    cycle).  Rounds run until no vertex improves (at most the hop count of
-    the longest shortest route plus one) or ``max_iter``.
+    route selection well defined with zero-weight edges), then the smallest
+    source among its in-edges on such a route.  An offer that only lowers
+    ``pred`` does not make the vertex send again.  Every in-edge of a final
+    value is offered once (the round after its source last changed), so
+    ``pred`` needs no extra pass over the edges.
+
+    A round writes the vertices it improved; they are folded into the distances
+    every ``FOLD_ROUNDS`` rounds.  Rounds run until no vertex improves (at most
+    the hop count of the longest shortest route plus one); with ``max_iter`` it
+    fails (:class:`NotConverged`) when that takes more.  ``vertices`` (column
+    ``id``) adds vertices without edges; a source that is no vertex reaches
+    none.  Negative weights are rejected (relaxation would not end on a negative
+    cycle); malformed edges fail unless ``drop_malformed``.
     """
-    idx = index or EdgeIndex.build(edges, num_partitions, weight, hot_min_degree, max_hot)
+    idx = index or EdgeIndex.build(edges, num_partitions, weight, vertices, drop_malformed)
     if idx.min_weight is not None and idx.min_weight < 0:
         raise ValueError("negative edge weights are not supported")
-    store = _state_store(edges.sparkSession, idx, state_table_min_edges)
-    is_src = F.col("id") == F.lit(source)
-    state, _ = store.put(idx.vertices.select(
-        "id", F.when(is_src, 0.0).otherwise(INF).alias("dist"),
-        F.when(is_src, 0).cast("int").alias("hops"), F.lit(None).cast("bigint").alias("pred"),
-        is_src.alias("changed")))
-    rounds = 0
-    while max_iter is None or rounds < max_iter:
-        frontier = state.where("changed").select("id", "dist", "hops")
+    value = F.struct("dist", "hops", "pred")
+    base, _ = _cut(idx.vertices.where(F.col("id") == F.lit(source)).select(
+        "id", F.lit(0.0).alias("dist"), F.lit(0).alias("hops"),
+        F.lit(None).cast("bigint").alias("pred")))
+    frontier, recent, rounds = base, [], 0
+
+    def folded() -> DataFrame:
+        rows = reduce(DataFrame.unionByName, recent, base)
+        return rows.groupBy("id").agg(F.min(value).alias("v")).select("id", "v.*")
+
+    while True:
+        if max_iter is not None and rounds >= max_iter:
+            raise NotConverged(f"distances still fall after {rounds} rounds")
         offers = idx.join_state(frontier).select(
-            "dst", F.struct((F.col("dist") + F.col("weight")).alias("d"),
-                            (F.col("hops") + 1).alias("h"), F.col("src").alias("s")).alias("m"))
+            "dst", F.struct((F.col("dist") + F.col("weight")).alias("dist"),
+                            (F.col("hops") + 1).alias("hops"), F.col("src").alias("pred")).alias("m"))
         best = offers.groupBy("dst").agg(F.min("m").alias("b"))
-        j = state.join(best, state.id == best.dst, "left")
-        has = F.col("b").isNotNull()
-        better = has & _lex_less(F.col("b.d"), F.col("b.h"), F.col("dist"), F.col("hops"))
-        tie = (has & (F.col("b.d") == F.col("dist")) & (F.col("b.h") == F.col("hops"))
-               & (F.col("pred").isNull() | (F.col("b.s") < F.col("pred"))))
-        state, changed = store.put(j.select(
-            "id", F.when(better, F.col("b.d")).otherwise(F.col("dist")).alias("dist"),
-            F.when(better, F.col("b.h")).otherwise(F.col("hops")).alias("hops"),
-            F.when(better | tie, F.col("b.s")).otherwise(F.col("pred")).alias("pred"),
-            better.alias("changed")), F.count_if("changed"))
+        # a vertex has a row for each time it improved, the smallest counts
+        known = reduce(DataFrame.unionByName, recent, base).select(F.col("id").alias("k"), value.alias("v"))
+        met = (best.join(known, F.col("dst") == F.col("k"), "left")
+               .groupBy("dst").agg(F.min("b").alias("b"), F.min("v").alias("v")))
+        moved = F.col("v").isNull() | (F.struct("b.dist", "b.hops") < F.struct("v.dist", "v.hops"))
+        better = met.where(moved | (F.col("b") < F.col("v"))).select(
+            F.col("dst").alias("id"), "b.*", moved.alias("moved"))
+        changed, n = _cut(better, F.struct(F.count_if("moved").alias("n"), F.count(F.lit(1)).alias("all")))
         rounds += 1
-        if changed == 0:
+        if n["all"]:
+            recent.append(changed.drop("moved"))
+        if n["n"] == 0:
             break
-    store.finish()
+        frontier = changed.where("moved").drop("moved")
+        if len(recent) >= FOLD_ROUNDS:
+            base, recent = _cut(folded())[0], []
+    reached = folded()
+    state, _ = _cut(idx.vertices.join(reached, "id", "left").select(
+        "id", F.coalesce("dist", F.lit(INF)).alias("dist"), "hops", "pred"))
     if index is None:
         idx.release()
-    return ShortestPaths(state.select("id", "dist", "hops", "pred"), rounds)
+    return ShortestPaths(state, rounds)
 
 
 def predecessors(idx: EdgeIndex, dist: DataFrame, source: int) -> DataFrame:
@@ -414,8 +366,7 @@ def routes(preds: DataFrame, source: int) -> DataFrame:
 
 def shortest_paths(edges: DataFrame, source: int, weight: str = "weight",
                    num_partitions: int | None = None, max_iter: int | None = None,
-                   hot_min_degree: int = 10_000, max_hot: int = 100_000,
-                   state_table_min_edges: int = STATE_TABLE_MIN_EDGES) -> DataFrame:
+                   vertices: DataFrame | None = None, drop_malformed: bool = False) -> DataFrame:
     """``(id, dist, path)`` for every vertex: distance from ``source`` and the
     route to it (vertices from the source up to the predecessor; the source
     itself and unreached vertices get ``[]``, unreached ``dist`` is inf).
@@ -424,8 +375,7 @@ def shortest_paths(edges: DataFrame, source: int, weight: str = "weight",
     smallest predecessor at each step.
     """
     sp = shortest_distances(edges, source, weight, num_partitions, max_iter,
-                            hot_min_degree, max_hot,
-                            state_table_min_edges=state_table_min_edges)
+                            vertices=vertices, drop_malformed=drop_malformed)
     preds = sp.distances.where(F.col("pred").isNotNull()).select("id", "pred")
     paths = routes(preds, source)
     return (sp.distances.join(paths, "id", "left")

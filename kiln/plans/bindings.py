@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.functions.buckets import md5_bucket
 from kiln.functions.text import split_lines
+from kiln.operators.ratings import md5_split
 from kiln.sources.readers import MOVIE_SCHEMA, RATING_SCHEMA, conform, spread
 
 
@@ -78,9 +78,7 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rating_split(r: DataFrame) -> DataFrame:
     """Ratings with a ``split`` column: md5 bucket < 60 train, < 80 validation,
     else test (layout-independent, so every run and engine agrees)."""
-    b = md5_bucket("userId", "movieId")
-    return r.withColumn("split", F.when(b < 60, "train").when(b < 80, "validation")
-                        .otherwise("test"))
+    return md5_split(r)
 
 
 def split_frames(with_split: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -111,9 +109,9 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = (li.groupBy("l_partkey", "l_suppkey")
              .agg(F.min(F.col("l_quantity").cast("bigint")).alias("weight")))
     part, supp = F.col("l_partkey"), supplier_vertex("l_suppkey")
-    fwd = pairs.select(part.alias("src"), supp.alias("dst"), "weight")
-    back = pairs.select(supp.alias("src"), part.alias("dst"), "weight")
-    return fwd.unionByName(back)
+    both = F.array(F.struct(part.alias("src"), supp.alias("dst"), F.col("weight")),
+                   F.struct(supp.alias("src"), part.alias("dst"), F.col("weight")))
+    return pairs.select(F.inline(both))
 
 
 def adjacency_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -123,6 +121,13 @@ def adjacency_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  supplier_vertex("l_suppkey").cast("string")).alias("value"))
 
 
+def graph_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``id`` of every part and supplier, with edges or without."""
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("bigint").alias("id"))
+    s = table(spark, sf_dir, "supplier").select(supplier_vertex("s_suppkey").cast("bigint").alias("id"))
+    return p.union(s)
+
+
 def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Named vertices ``(id, name)``: the parts.  Supplier vertices have no
     row, so graph assembly gives them the default name."""

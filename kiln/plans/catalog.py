@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kiln.functions.buckets import md5_bucket
 from kiln.operators import graph as gr
 from kiln.operators import keyed as kd
 from kiln.operators import ratings as rt
@@ -58,6 +59,7 @@ query("log_rows_with_nulls")(lambda s, d: wl.count_rows_with_nulls(_parsed(s, d)
 query("log_null_counts")(lambda s, d: wl.null_counts(_parsed(s, d)))
 query("log_invalid_size_lines")(
     lambda s, d: wl.invalid_size_lines(b.clf_lines(s, d)).select("value"))
+query("log_malformed")(lambda s, d: wl.malformed_lines(b.clf_lines(s, d)))
 query("log_clean")(_cleaned)
 
 
@@ -118,11 +120,32 @@ def _average_by_key(spark, d):
     return r.withColumn("average", F.round("average", 6))
 
 
-query("partition_average")(
-    lambda s, d: kd.partition_average(b.table(s, d, "lineitem"), "l_quantity"))
+@query("average_by_key_fractions")
+def _average_fractions(spark, d):
+    ev = b.table(spark, d, "events").select("event_type", "value")
+    r = kd.average_by_key(ev, "event_type", "value")
+    return r.select("event_type", "matches", F.round("total", 4).alias("total"), "avg_int",
+                    F.round("average", 6).alias("average"))
+
+
+@query("partition_average")
+def _partition_average(spark, d):
+    r = kd.partition_average(b.table(spark, d, "lineitem"), "l_quantity")
+    return r.select(F.round("average", 6).alias("average"))
+
+
+@query("partition_average_fractions")
+def _partition_average_fractions(spark, d):
+    r = kd.partition_average(b.table(spark, d, "events"), "value")
+    return r.select(F.round("average", 6).alias("average"))
+
+
+# rows placed by an md5 bucket, which SQL can reproduce
 query("partition_sizes")(
-    lambda s, d: kd.partition_sizes(b.table(s, d, "lineitem"), 10, ["l_orderkey"]))
+    lambda s, d: kd.partition_sizes(b.table(s, d, "lineitem"), 10, place=md5_bucket("l_orderkey")))
 query("collect_values")(
+    lambda s, d: kd.collect_values(b.table(s, d, "orders"), "o_orderkey", ["o_orderpriority"]))
+query("collection_digest")(
     lambda s, d: kd.collection_digest(b.table(s, d, "orders"), "o_orderkey",
                                       ["o_orderpriority"]))
 query("sort_by_string_key")(
@@ -162,8 +185,12 @@ def my_ratings(spark: SparkSession, user_id) -> DataFrame:
 
 query("ratings_load")(b.ratings)
 query("movies_load")(b.movies)
-query("movies_top_rated")(
-    lambda s, d: rt.top_rated(b.ratings(s, d), b.movies(s, d), MIN_REVIEWS, TOP_K))
+@query("movies_top_rated")
+def _top_rated(spark, d):
+    top = rt.top_rated(b.ratings(spark, d), b.movies(spark, d), MIN_REVIEWS, TOP_K)
+    return top.withColumn("average", F.round("average", 6))
+
+
 query("ratings_split")(lambda s, d: rt.md5_split(b.ratings(s, d)))
 
 
@@ -206,8 +233,22 @@ def _test_rmse(spark, d):
     with rc.persisted(_cached_splits(spark, d)) as (base,):
         train, validation, test = b.split_frames(base)
         _, model, rank = rc.rank_search(train, validation)
-        err = rc.model_rmse(model, test)
-    return spark.createDataFrame([(rank, err)], "rank int, rmse double")
+        score = rc.model_score(model, test).first()
+    return spark.createDataFrame([(rank, *score)],
+                                 "rank int, rmse double, n_scored long, n_dropped long")
+
+
+@query("als_personal_rmse")
+def _personal_rmse(spark, d):
+    """The model refitted with the user's own ratings, on the same test ratings."""
+    uid = new_user_id(spark, d)
+    with rc.persisted(_cached_splits(spark, d)) as (base,):
+        train, validation, test = b.split_frames(base)
+        _, _, rank = rc.rank_search(train, validation)
+        model = rc.fit(rt.with_user_ratings(train, my_ratings(spark, uid)), rank)
+        score = rc.model_score(model, test).first()
+    return spark.createDataFrame([(rank, *score)],
+                                 "rank int, rmse double, n_scored long, n_dropped long")
 
 
 @query("recommend_for_user")
@@ -223,7 +264,6 @@ def _recommend(spark, d):
 
 # --- graph -----------------------------------------------------------------------
 
-PAGERANK_ROUNDS = 5   # fixed rounds, so that SQL can unroll them
 SOURCE_VERTEX = 0     # part 0
 
 
@@ -237,7 +277,7 @@ query("adjacency_edges")(_adjacency_edges)
 @query("pagerank")
 def _pagerank(spark, d):
     e = b.edges(spark, d).select("src", "dst")
-    res = gr.pagerank(e, max_iter=PAGERANK_ROUNDS, tol=None)
+    res = gr.pagerank(e, b.graph_ids(spark, d))
     return res.ranks.select("id", F.round("rank", 6).alias("rank"))
 
 
@@ -247,11 +287,11 @@ query("property_graph")(
 
 @query("shortest_distances")
 def _distances(spark, d):
-    sp = gr.shortest_distances(b.edges(spark, d), SOURCE_VERTEX)
+    sp = gr.shortest_distances(b.edges(spark, d), SOURCE_VERTEX, vertices=b.graph_ids(spark, d))
     return sp.distances.select("id", "dist")
 
 
 @query("shortest_paths")
 def _paths(spark, d):
-    sp = gr.shortest_paths(b.edges(spark, d), SOURCE_VERTEX)
+    sp = gr.shortest_paths(b.edges(spark, d), SOURCE_VERTEX, vertices=b.graph_ids(spark, d))
     return sp.select("id", "dist", F.array_join("path", ",").alias("path"))

@@ -8,8 +8,7 @@ sides.
 
 from __future__ import annotations
 
-from kiln.plans.catalog import (MIN_REVIEWS, MY_RATINGS, PAGERANK_ROUNDS, SOURCE_VERTEX,
-                                TOP_K)
+from kiln.plans.catalog import MIN_REVIEWS, MY_RATINGS, SOURCE_VERTEX, TOP_K
 
 # --- shared CTEs -------------------------------------------------------------
 
@@ -24,25 +23,24 @@ CLF = r"""clf AS (
                    ELSE CAST(CAST(floor(value * 100) AS BIGINT) AS VARCHAR) END AS value
   FROM events)"""
 
+# the fields straight from the columns that the line is made of, not from the line
 PARSED = CLF + r""",
 parsed AS (
-  SELECT
-    nullif(regexp_replace(regexp_extract(value, '^([^\s]+\s)', 1), '\s$', ''), '') AS host,
-    nullif(regexp_extract(value,
-      '^.*\[(\d{2}/\w{3}/\d{4}:\d{2}:\d{2}:\d{2} [-+]\d{4}).*\]', 1), '') AS timestamp,
-    nullif(regexp_extract(value, '^.*"\w+\s+([^\s]+)\s+HTTP.*"', 1), '') AS path,
-    TRY_CAST(regexp_extract(value, '^.*"\s+([^\s]+)', 1) AS INTEGER) AS status,
-    TRY_CAST(regexp_extract(value, '^.*\s+(\d+)$', 1) AS INTEGER) AS content_size
-  FROM clf)"""
+  SELECT CASE WHEN ok THEN 'host' || user_id || '.example.com' END AS host,
+    CASE WHEN ok THEN strftime(ts, '%d/%b/%Y:%H:%M:%S') || ' -0400' END AS timestamp,
+    CASE WHEN ok THEN '/' || event_type || '/' || k END AS path,
+    CASE WHEN ok THEN CASE event_type WHEN 'error' THEN 404 WHEN 'signup' THEN 302
+                                      WHEN 'click' THEN 304 ELSE 200 END END AS status,
+    CASE WHEN ok AND event_type <> 'error' THEN CAST(floor(value * 100) AS BIGINT) END AS content_size,
+    CASE WHEN ok THEN CAST(ts + INTERVAL 4 HOUR AS DATE) END AS time
+  FROM (SELECT *, json_extract_string(props, '$.k') AS k,
+               user_id IS NOT NULL AND ts IS NOT NULL AND event_type IS NOT NULL
+               AND json_extract_string(props, '$.k') IS NOT NULL
+               AND (event_type = 'error' OR value IS NOT NULL) AS ok FROM events))"""
 
 CLEANED = PARSED + r""",
 cleaned AS (
-  SELECT host, path, status, coalesce(content_size, 0) AS content_size,
-    CAST(strptime(substr(timestamp, 1, 20), '%d/%b/%Y:%H:%M:%S')
-         - to_minutes(CAST(CASE WHEN substr(timestamp, 22, 1) = '-' THEN -1 ELSE 1 END
-             * (CAST(substr(timestamp, 23, 2) AS INTEGER) * 60
-                + CAST(substr(timestamp, 25, 2) AS INTEGER)) AS BIGINT)) AS DATE) AS time
-  FROM parsed),
+  SELECT host, path, status, coalesce(content_size, 0) AS content_size, time FROM parsed),
 not_found AS (SELECT * FROM cleaned WHERE status = 404)"""
 
 
@@ -68,6 +66,8 @@ WEBLOG = {
         count(*) FILTER (WHERE content_size IS NULL) AS content_size FROM parsed"""),
     "log_invalid_size_lines": with_(CLF, r"""SELECT value FROM clf
         WHERE NOT regexp_matches(value, '\d+$')"""),
+    "log_malformed": with_(PARSED, """SELECT count(*) AS lines,
+        count(*) FILTER (WHERE host IS NULL) AS malformed FROM parsed"""),
     "log_clean": with_(CLEANED, "SELECT host, path, status, content_size, time FROM cleaned"),
     "log_size_stats": with_(CLEANED, """SELECT count(content_size) AS n,
         round(avg(content_size), 6) AS mean, round(stddev_samp(content_size), 6) AS stddev,
@@ -125,9 +125,17 @@ KEYED = {
         round(sum(v) / count(v), 6) AS average
         FROM (SELECT l_returnflag, CAST(trunc(l_quantity) AS INTEGER) AS v FROM lineitem)
         GROUP BY l_returnflag""",
-    "partition_average": """SELECT sum(CAST(trunc(l_quantity) AS BIGINT))
-        / count(l_quantity) AS average FROM lineitem""",
-    "collect_values": """SELECT o_orderpriority, count(o_orderkey) AS n_values,
+    "average_by_key_fractions": """SELECT event_type, count(value) AS matches,
+        round(sum(value), 4) AS total, CAST(trunc(avg(value)) AS BIGINT) AS avg_int,
+        round(avg(value), 6) AS average FROM events GROUP BY event_type""",
+    "partition_average": """SELECT round(avg(l_quantity), 6) AS average FROM lineitem""",
+    "partition_average_fractions": """SELECT round(avg(value), 6) AS average FROM events""",
+    "partition_sizes": """SELECT CAST(p AS INTEGER) AS partition, count(b) AS "count"
+        FROM range(10) r(p) LEFT JOIN (SELECT CAST('0x' || substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 8)
+          AS BIGINT) % 100 % 10 AS b FROM lineitem) ON b = p GROUP BY p""",
+    "collect_values": """SELECT o_orderpriority, o_orderkey, row_number() OVER (
+        ORDER BY o_orderpriority, o_orderkey) AS position FROM orders""",
+    "collection_digest": """SELECT o_orderpriority, count(o_orderkey) AS n_values,
         count(DISTINCT o_orderkey) AS n_distinct, min(o_orderkey) AS min_value,
         max(o_orderkey) AS max_value,
         CAST(sum(CAST(o_orderkey AS DECIMAL(38, 0))) AS DECIMAL(38, 0)) AS sum_value
@@ -160,10 +168,11 @@ RATING_ORACLES = {
     "ratings_load": with_(RATINGS, "SELECT userId, movieId, rating FROM ratings"),
     "movies_load": with_(RATINGS, "SELECT movieId, title FROM movies"),
     "movies_top_rated": with_(RATINGS, f"""SELECT movieId, title, "count", round(average, 6) AS average
-        FROM (SELECT movieId, count(rating) AS "count", avg(rating) AS average
+        FROM (SELECT movieId, count(rating) AS "count",
+                     CAST(sum(CAST(rating AS DECIMAL(30, 15))) AS DOUBLE) / count(rating) AS average
               FROM ratings GROUP BY movieId HAVING count(rating) >= {MIN_REVIEWS})
         JOIN movies USING (movieId)
-        ORDER BY round(average, 6) DESC, movieId LIMIT {TOP_K}"""),
+        ORDER BY average DESC, movieId LIMIT {TOP_K}"""),
     "ratings_split": with_(RATINGS, "SELECT userId, movieId, rating, split FROM split_r"),
     "mean_baseline_rmse": with_(RATINGS, """SELECT round(mu, 6) AS train_mean,
         round(sqrt(avg(pow(rating - mu, 2))), 6) AS rmse
@@ -182,17 +191,23 @@ EDGES = r"""pairs AS (SELECT l_partkey AS p, l_suppkey AS s,
                  min(CAST(trunc(l_quantity) AS BIGINT)) AS weight FROM lineitem GROUP BY 1, 2),
 e AS MATERIALIZED (SELECT p AS src, -(s + 1) AS dst, weight FROM pairs
                    UNION ALL SELECT -(s + 1), p, weight FROM pairs),
-v AS MATERIALIZED (SELECT src AS id FROM e UNION SELECT dst FROM e)"""
+v AS MATERIALIZED (SELECT src AS id FROM e UNION SELECT p_partkey FROM part
+                   UNION SELECT -(s_suppkey + 1) FROM supplier)"""
 
 
-def _pagerank_sql(rounds: int) -> str:
-    parts = [EDGES, "d AS (SELECT src, count(*) AS k FROM e GROUP BY src)",
-             "r0 AS (SELECT id, CAST(1.0 AS DOUBLE) AS rank FROM v)"]
-    for i in range(1, rounds + 1):
-        parts.append(f"""r{i} AS MATERIALIZED (SELECT v.id, 0.15 + 0.85 * coalesce(s.x, 0) AS rank
-  FROM v LEFT JOIN (SELECT e.dst, sum(r.rank / d.k) AS x FROM e JOIN d USING (src)
-                    JOIN r{i - 1} r ON r.id = e.src GROUP BY e.dst) s ON s.dst = v.id)""")
-    return "WITH " + ",\n".join(parts) + f"\nSELECT id, round(rank, 6) AS rank FROM r{rounds}"
+# ranks until none moves by more than 1e-7; a row carries its round
+PAGERANK = EDGES + """,
+d AS MATERIALIZED (SELECT src, count(*) AS k FROM e GROUP BY src),
+w AS MATERIALIZED (SELECT e.src, e.dst, d.k FROM e JOIN d USING (src)),
+r(round, id, rank, worst) AS (
+  SELECT 0, id, CAST(1.0 AS DOUBLE), CAST(1.0 AS DOUBLE) FROM v
+  UNION ALL
+  SELECT round, id, rank, max(abs(rank - prev)) OVER () FROM (
+    SELECT any_value(p.round) OVER () + 1 AS round, p.id,
+           0.15 + 0.85 * coalesce(s.x, 0) AS rank, p.rank AS prev
+    FROM r p LEFT JOIN (SELECT w.dst, sum(q.rank / w.k) AS x FROM w JOIN r q ON q.id = w.src
+                        GROUP BY w.dst) s ON s.dst = p.id
+    WHERE p.worst > 1e-7))"""
 
 
 # frontier relaxation keyed by vertex: each step upserts the vertices whose
@@ -227,11 +242,13 @@ GRAPH = {
                  unnest(list_filter(list_transform(f[2:], lambda x: TRY_CAST(trim(x) AS BIGINT)),
                                     lambda x: x IS NOT NULL)) AS dst FROM f)
         WHERE src IS NOT NULL""",
-    "pagerank": _pagerank_sql(PAGERANK_ROUNDS),
+    "pagerank": "WITH RECURSIVE " + PAGERANK + """
+        SELECT id, round(rank, 6) AS rank FROM r WHERE round = (SELECT max(round) FROM r)""",
     "property_graph": "WITH " + EDGES + """
         SELECT p_partkey AS id, p_name AS name FROM part
         UNION ALL
-        SELECT id, 'missing' AS name FROM v WHERE id NOT IN (SELECT p_partkey FROM part)""",
+        SELECT id, 'missing' AS name FROM (SELECT DISTINCT src AS id FROM e)
+        WHERE id NOT IN (SELECT p_partkey FROM part)""",
     "shortest_distances": "WITH RECURSIVE " + SSSP + """
         SELECT v.id, coalesce(dist.dist, CAST('inf' AS DOUBLE)) AS dist
         FROM v LEFT JOIN dist USING (id)""",

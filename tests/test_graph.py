@@ -6,7 +6,8 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from kiln.operators import graph as gr
-from kiln.sources.adjacency import adjacency_edges, edges_from_lines, parse_adjacency
+from kiln.sources.adjacency import (adjacency_edges, edges_from_lines, parse_adjacency,
+                                    vertices_from_lines)
 
 
 def edges_of(spark, pairs):
@@ -17,31 +18,86 @@ def ranks(res):
     return {r["id"]: round(r["rank"], 6) for r in res.ranks.collect()}
 
 
+def brute_ranks(pairs, vertices=(), tol=1e-7, rounds=None):
+    """Ranks of every vertex; ``rounds`` updates, or until none moves more than ``tol``."""
+    ids = {v for p in pairs for v in p} | set(vertices)
+    out = {v: sum(s == v for s, _ in pairs) for v in ids}
+    rank, done = {v: 1.0 for v in ids}, 0
+    while True:
+        new = {v: 0.15 for v in ids}
+        for s, d in pairs:
+            new[d] += 0.85 * rank[s] / out[s]
+        worst, rank, done = max(abs(new[v] - rank[v]) for v in ids), new, done + 1
+        if done == rounds or rounds is None and worst <= tol:
+            return {v: round(r, 6) for v, r in rank.items()}
+
+
+LINKS = ["2,5,3", "5,2,7,8,2", "8,5", "7,3", "4"]
+LINKED = [(2, 5), (2, 3), (5, 2), (5, 7), (5, 8), (5, 2), (8, 5), (7, 3)]
+
+
+@pytest.fixture(scope="module")
+def lines(spark):
+    return spark.createDataFrame([(x,) for x in LINKS], "value string")
+
+
 @pytest.fixture(scope="module")
-def sample(spark):
-    lines = spark.createDataFrame([("1,6,2,4",), ("9,6,2,1,9",)], "value string")
+def sample(lines):
     return adjacency_edges(parse_adjacency(lines))
 
 
-def test_adjacency_parse(spark, sample):
-    assert sorted(tuple(r) for r in sample.collect()) == [
-        (1, 2), (1, 4), (1, 6), (9, 1), (9, 2), (9, 6), (9, 9)]
+def test_adjacency_parse(spark, lines, sample):
+    assert sorted(tuple(r) for r in sample.collect()) == sorted(LINKED)
+    assert sorted(tuple(r) for r in edges_from_lines(lines).collect()) == sorted(LINKED)
+    assert sorted(r[0] for r in vertices_from_lines(lines).collect()) == [2, 4, 5, 7, 8]
+    blanks = spark.createDataFrame([(" 3 , 4,5 ",), ("",), ("  ",)], "value string")
+    assert sorted(tuple(r) for r in edges_from_lines(blanks).collect()) == [(3, 4), (3, 5)]
+
+
+def test_bad_adjacency_fields_are_reported(spark):
     bad = spark.createDataFrame([("x,1",), ("3, 4 ,y,5",), ("7",)], "value string")
-    assert sorted(tuple(r) for r in adjacency_edges(parse_adjacency(bad)).collect()) == [
-        (3, 4), (3, 5)]
-    assert sorted(tuple(r) for r in edges_from_lines(bad).collect()) == [(3, 4), (3, 5)]
+    for read in (parse_adjacency, edges_from_lines):
+        with pytest.raises(Exception, match="not a vertex id"):
+            read(bad).collect()
+    kept = parse_adjacency(bad, permissive=True).collect()
+    assert [(r.src, r.links, r.malformed) for r in kept] == [(None, [1], 1), (3, [4, 5], 1), (7, [], 0)]
 
 
 def test_pagerank_original_modes(sample):
+    """Source vertices start; only receivers stay; a falling rank counts as converged."""
     res = gr.pagerank(sample, signed_tolerance=True, drop_unlinked=True)
-    assert ranks(res) == {1: 0.3625, 2: 0.645833, 4: 0.433333, 6: 0.645833, 9: 0.3625}
-    assert res.rounds == 1
-
-
-def test_pagerank_default(sample):
-    res = gr.pagerank(sample)
-    assert ranks(res) == {1: 0.190476, 2: 0.244444, 4: 0.203968, 6: 0.244444, 9: 0.190476}
-    assert res.converged
+    sources = {s for s, _ in LINKED}
+    out = {s: sum(x == s for x, _ in LINKED) for s in sources}
+    rank, rounds = {s: 1.0 for s in sources}, 0
+    while True:
+        new = {}
+        for s, d in LINKED:
+            if s in rank:
+                new[d] = new.get(d, 0.15) + 0.85 * rank[s] / out[s]
+        moved = [new[v] - rank[v] for v in new if v in rank]
+        rank, rounds = new, rounds + 1
+        if not moved or max(moved) <= 1e-7:
+            break
+    assert ranks(res) == {v: round(r, 6) for v, r in rank.items()} and res.rounds == rounds
+
+
+def test_pagerank_keeps_every_vertex(lines, sample):
+    res = gr.pagerank(sample, vertices_from_lines(lines))
+    assert ranks(res) == brute_ranks(LINKED, [4]) and ranks(res)[4] == 0.15
+    assert res.converged and 4 not in ranks(gr.pagerank(sample))
+
+
+def test_pagerank_of_a_hub_converges_or_fails(spark):
+    """A hub with 3,000 in-links needs more than a hundred updates."""
+    pairs = [(k, 0) for k in range(1, 3001)] + [(0, 1), (0, 2)]
+    res = gr.pagerank(edges_of(spark, pairs))
+    assert res.converged and res.rounds > 100
+    got, want = ranks(res), brute_ranks(pairs)
+    assert all(math.isclose(got[v], want[v], abs_tol=2e-6) for v in want)
+    with pytest.raises(gr.NotConverged):
+        gr.pagerank(edges_of(spark, pairs), max_iter=3)
+    with pytest.raises(ValueError):
+        gr.pagerank(edges_of(spark, pairs), tol=None)
 
 
 @pytest.mark.parametrize("pairs,expect", [
@@ -62,10 +118,8 @@ def test_pagerank_empty(spark):
 def test_pagerank_heavy_source_path(spark):
     """A source with a third of all edges takes the broadcast path; same ranks."""
     pairs = [(0, i) for i in range(1, 40)] + [(i, i + 1) for i in range(1, 79)] + [(79, 0)]
-    e = edges_of(spark, pairs)
-    plain = ranks(gr.pagerank(e, max_iter=8, tol=None))
-    split = gr.pagerank(e, max_iter=8, tol=None, hot_min_degree=5)
-    assert ranks(split) == plain
+    split = gr.pagerank(edges_of(spark, pairs), max_iter=8, tol=None, num_partitions=6)
+    assert ranks(split) == brute_ranks(pairs, rounds=8)
 
 
 B4 = [(1, 2, 7), (1, 3, 9), (1, 6, 14), (2, 3, 10), (2, 4, 15), (3, 4, 11), (3, 6, 2),
@@ -98,7 +152,7 @@ def test_shortest_paths_tie_smallest_predecessor(spark):
 
 def test_shortest_paths_zero_weights_and_heavy_source(spark):
     rows = [(1, 2, 0), (2, 3, 0), (1, 3, 0), (3, 4, 5)] + [(1, 10 + i, 1) for i in range(30)]
-    got = paths(gr.shortest_paths(wedges(spark, rows), 1, hot_min_degree=3))
+    got = paths(gr.shortest_paths(wedges(spark, rows), 1, num_partitions=6))
     assert got[3] == (0.0, [1]) and got[4] == (5.0, [1, 3]) and got[25] == (1.0, [1])
 
 
@@ -160,11 +214,36 @@ def test_pagerank_properties(spark, pairs):
         assert math.isclose(sum(got.values()), len(got), rel_tol=1e-6)
 
 
-def test_edges_without_weight_or_end_are_ignored(spark):
+def test_malformed_edges_fail_or_are_left_out(spark):
     e = spark.createDataFrame([(1, 2, 1), (1, 3, None), (None, 3, 1), (2, 3, 1)],
                               "src long, dst long, weight long")
-    got = paths(gr.shortest_paths(e, 1))
+    with pytest.raises(Exception, match="malformed edge"):
+        gr.shortest_paths(e, 1)
+    got = paths(gr.shortest_paths(e, 1, drop_malformed=True))
     assert got == {1: (0.0, []), 2: (1.0, [1]), 3: (2.0, [1, 2])}
+    with pytest.raises(Exception, match="malformed edge"):
+        gr.pagerank(e)
+
+
+def test_vertices_without_edges_are_kept(spark):
+    ids = spark.createDataFrame([(1,), (8,), (9,), (9,), (None,)], "id long")
+    e = wedges(spark, [(1, 2, 3)])
+    got = paths(gr.shortest_paths(e, 1, vertices=ids))
+    assert got == {1: (0.0, []), 2: (3.0, [1]), 8: (math.inf, []), 9: (math.inf, [])}
+    alone = paths(gr.shortest_paths(e, 9, vertices=ids))
+    assert alone == {9: (0.0, []), 1: (math.inf, []), 2: (math.inf, []), 8: (math.inf, [])}
+
+
+def test_long_chain_is_folded_and_leaves_nothing(spark):
+    """More rounds than are kept apart; no table stays in the catalog."""
+    n = 3 * gr.FOLD_ROUNDS + 2
+    rows = [(k, k + 1, 1) for k in range(n)] + [(0, n, 5 * n), (3, 9, 6), (2, 9, 7)]
+    got = paths(gr.shortest_paths(wedges(spark, rows), 0))
+    assert got[n] == (float(n), got[n][1]) and len(got) == n + 1
+    assert got[9][1] == [0, 1, 2] and got[10][1] == [0, 1, 2, 9]
+    assert spark.catalog.listTables() == []
+    with pytest.raises(gr.NotConverged):
+        gr.shortest_distances(wedges(spark, rows), 0, max_iter=2)
 
 
 def test_heavy_source_edges_are_spread(spark):
@@ -172,7 +251,7 @@ def test_heavy_source_edges_are_spread(spark):
     its edges land in several partitions, not one task."""
     from pyspark.sql import functions as F
     pairs = [(0, i) for i in range(1, 301)] + [(i, i + 1) for i in range(1, 100)]
-    idx = gr.EdgeIndex.build(edges_of(spark, pairs), num_partitions=4, hot_min_degree=10)
+    idx = gr.EdgeIndex.build(edges_of(spark, pairs), num_partitions=4)
     try:
         assert [r["src"] for r in idx.hot_ids.collect()] == [0]
         assert idx.cold.where("src = 0").count() == 0
@@ -183,44 +262,6 @@ def test_heavy_source_edges_are_spread(spark):
         idx.release()
 
 
-@pytest.mark.parametrize("min_edges", [0, 10**12])
-def test_both_state_stores_agree(spark, sample, min_edges):
-    """Bucketed state tables (forced with min_edges=0) and per-round
-    checkpoints give the same PageRank and routes."""
-    res = gr.pagerank(sample, state_table_min_edges=min_edges)
-    assert ranks(res) == {1: 0.190476, 2: 0.244444, 4: 0.203968, 6: 0.244444, 9: 0.190476}
-    orig = gr.pagerank(sample, signed_tolerance=True, drop_unlinked=True,
-                       state_table_min_edges=min_edges)
-    assert ranks(orig) == {1: 0.3625, 2: 0.645833, 4: 0.433333, 6: 0.645833, 9: 0.3625}
-    got = paths(gr.shortest_paths(wedges(spark, B4 + [(7, 1, 1)]), 1,
-                                  state_table_min_edges=min_edges))
-    assert got[5] == (26.0, [1, 3, 4]) and got[7] == (math.inf, [])
-    rows = [(1, 2, 0), (2, 3, 0), (1, 3, 0), (3, 4, 5)] + [(1, 10 + i, 1) for i in range(30)]
-    heavy = paths(gr.shortest_paths(wedges(spark, rows), 1, hot_min_degree=3,
-                                    state_table_min_edges=min_edges))
-    assert heavy[3] == (0.0, [1]) and heavy[4] == (5.0, [1, 3]) and heavy[25] == (1.0, [1])
-
-
-def test_bucketed_state_matches_oracles_on_tables(spark):
-    """The large-graph path (forced) on the sf0.001 graph equals the DuckDB
-    PageRank and shortest-route oracles."""
-    import duckdb
-    from pyspark.sql import functions as F
-    from conftest import SF_SMALL
-    from kiln.plans import bindings as b
-    from kiln.plans.oracles import ORACLES
-    con = duckdb.connect()
-    for t in ("lineitem", "part"):
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
-    e = b.edges(spark, SF_SMALL)
-    pr = gr.pagerank(e.select("src", "dst"), max_iter=5, tol=None, state_table_min_edges=0)
-    got = sorted((r["id"], round(r["rank"], 6)) for r in pr.ranks.collect())
-    assert got == sorted(tuple(r) for r in con.execute(ORACLES["pagerank"]).fetchall())
-    sp = gr.shortest_paths(e, 0, state_table_min_edges=0)
-    got = sorted(tuple(r) for r in sp.select("id", "dist", F.array_join("path", ",")).collect())
-    assert got == sorted(tuple(r) for r in con.execute(ORACLES["shortest_paths"]).fetchall())
-
-
 def test_routes_through_a_hub_on_a_deep_chain(spark):
     """A 20-edge chain with 200 leaves hanging off its middle: pointer
     jumping resolves long routes and a shared ancestor correctly."""
@@ -230,14 +271,6 @@ def test_routes_through_a_hub_on_a_deep_chain(spark):
     assert all(got[100 + k] == (12.0, list(range(11))) for k in range(200))
 
 
-def test_pagerank_heavy_source_on_state_tables(spark):
-    pairs = [(0, i) for i in range(1, 40)] + [(i, i + 1) for i in range(1, 79)] + [(79, 0)]
-    e = edges_of(spark, pairs)
-    plain = ranks(gr.pagerank(e, max_iter=8, tol=None))
-    both = gr.pagerank(e, max_iter=8, tol=None, hot_min_degree=5, state_table_min_edges=0)
-    assert ranks(both) == plain
-
-
 def test_property_graph_one_row_per_vertex(spark):
     v = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c")], "id long, name string")
     e = wedges(spark, [(1, 2, 1), (2, 3, 1)])
