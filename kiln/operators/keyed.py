@@ -33,53 +33,60 @@ def word_count(lines: DataFrame, col: str = "value", drop_empty: bool = False) -
 
 
 def average_by_key(df: DataFrame, key: str | Sequence[str], value: str) -> DataFrame:
-    """Per key: ``matches`` (non-null values), ``total``, ``avg_int`` (truncated
-    integer division, as an int-typed combiner computes it) and ``average``
-    (true mean).  Sums are 64-bit."""
+    """Per key: ``matches`` (non-null values), ``total``, ``avg_int`` (the mean
+    without its fraction, as an int-typed combiner computes it) and ``average``
+    (true mean).  Values are summed as they are: integers in 64 bits, where
+    ``avg_int`` is an exact integer division, other numbers in their own sum type."""
     keys = [key] if isinstance(key, str) else list(key)
-    v = F.col(value).cast("bigint")
+    whole = df.schema[value].dataType.typeName() in ("byte", "short", "integer", "long")
+    mean = F.col("total") / F.col("matches")
     return (df.groupBy(*keys)
-            .agg(F.count(v).alias("matches"), F.sum(v).alias("total"))
+            .agg(F.count(value).alias("matches"), F.sum(value).alias("total"))
             .select(*keys, "matches", "total",
-                    (F.col("total") / F.col("matches")).cast("bigint").alias("avg_int"),
-                    (F.col("total") / F.col("matches")).alias("average")))
+                    (F.expr("total div matches") if whole else mean.cast("bigint")).alias("avg_int"),
+                    mean.alias("average")))
 
 
 def partition_partials(df: DataFrame, value: str) -> DataFrame:
     """``(partition, total, n)``: the per-partition ``(sum, count)`` partials."""
-    v = F.col(value).cast("bigint")
+    v = F.col(value)
     return (df.groupBy(F.spark_partition_id().alias("partition"))
             .agg(F.sum(v).alias("total"), F.count(v).alias("n")))
 
 
 def partition_average(df: DataFrame, value: str) -> DataFrame:
-    """One row ``average``: 64-bit sum / count, null on empty input.  Spark
-    computes the per-partition partials and merges them in one aggregate."""
-    v = F.col(value).cast("bigint")
-    return df.agg((F.sum(v) / F.count(v)).alias("average"))
+    """One row ``average``: sum / count of the values as they are, null on empty
+    input.  Spark computes the per-partition partials and merges them in one
+    aggregate."""
+    return df.agg((F.sum(value) / F.count(value)).alias("average"))
 
 
 def partition_sizes(df: DataFrame, num_partitions: int | None = None,
-                    by: Sequence[str] | None = None) -> DataFrame:
+                    by: Sequence[str] | None = None, place: Column | None = None) -> DataFrame:
     """``(partition, count)`` for every partition, empty ones reported as 0.
 
-    With ``num_partitions`` the frame is first hash-partitioned on ``by``
-    (or round-robin without keys) into that many partitions.
+    Without ``num_partitions``: the partitions ``df`` has.  With it: those that
+    ``df.repartition(num_partitions, *by)`` would have, or, with ``place`` (an
+    integer column), those of ``pmod(place, num_partitions)``.  Only counts per
+    partition are shuffled; the rows stay where they are.
     """
-    if num_partitions is not None:
-        df = df.repartition(num_partitions, *(by or []))
-    n = num_partitions if num_partitions is not None else df.rdd.getNumPartitions()
-    sizes = df.groupBy(F.spark_partition_id().alias("partition")).agg(
-        F.count(F.lit(1)).alias("count"))
+    if num_partitions is None:
+        n, at = df.rdd.getNumPartitions(), F.spark_partition_id()
+    else:
+        if place is None and not by:
+            raise ValueError("say what rows are placed by")
+        n, at = num_partitions, F.pmod(F.hash(*by) if place is None else place, F.lit(num_partitions))
+    sizes = df.groupBy(at.cast("int").alias("partition")).agg(F.count(F.lit(1)).alias("count"))
     ids = df.sparkSession.range(n).select(F.col("id").cast("int").alias("partition"))
     return (ids.join(sizes, "partition", "left")
             .select("partition", F.coalesce("count", F.lit(0)).alias("count")))
 
 
 def collect_values(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
-    """All values of ``value`` (per ``by`` key), sorted: the distributed form
-    of a driver-side list accumulator.  The list stays a DataFrame."""
-    return df.select(*by, value).orderBy(*by, value)
+    """All values of ``value`` (per ``by`` key), sorted, with their ``position``
+    from 1: the distributed form of a driver-side list accumulator.  The list
+    stays a DataFrame."""
+    return with_position(df.select(*by, value), [*by, value])
 
 
 def collection_digest(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
