@@ -18,6 +18,10 @@ SPLIT_SEED = 1800009193
 # ----------------------------------------------------------------------------
 
 
+#: rated items of one user up to which their ids are broadcast
+BROADCAST_IDS = 100_000
+
+
 def item_stats(ratings: DataFrame, item: str = "movieId", label: str = "rating") -> DataFrame:
     """``(item, count, average)`` per item (count ignores null ratings)."""
     return ratings.groupBy(item).agg(F.count(label).alias("count"),
@@ -25,19 +29,20 @@ def item_stats(ratings: DataFrame, item: str = "movieId", label: str = "rating")
 
 
 def top_rated(ratings: DataFrame, movies: DataFrame, min_reviews: int = 100,
-              k: int = 20, digits: int = 6) -> DataFrame:
+              k: int = 20) -> DataFrame:
     """The ``k`` items with the highest average among those with at least
     ``min_reviews`` ratings: ``(movieId, title, count, average)``.
 
-    Averages are compared rounded to ``digits`` (equal means may differ in
-    the last bit with summation order), ties broken by id.  The review
-    filter runs on the grouped side before the join with the catalogue, so
-    only qualifying items are joined.
+    Ratings are summed as decimals (15 digits after the point), so that an
+    average does not depend on the order of the rows; ties are broken by id.
+    The review filter runs on the grouped side before the join with the
+    catalogue, so only qualifying items are joined.
     """
-    stats = item_stats(ratings).where(F.col("count") >= min_reviews)
-    avg = F.round("average", digits)
-    return (stats.join(movies, "movieId")
-            .select("movieId", "title", "count", avg.alias("average"))
+    exact = F.sum(F.col("rating").cast("decimal(30,15)")).cast("double")
+    stats = (ratings.groupBy("movieId")
+             .agg(F.count("rating").alias("count"), (exact / F.count("rating")).alias("average"))
+             .where(F.col("count") >= min_reviews))
+    return (stats.join(movies, "movieId").select("movieId", "title", "count", "average")
             .orderBy(F.col("average").desc(), F.col("movieId").asc()).limit(k))
 
 
@@ -103,10 +108,14 @@ def mean_baseline_rmse_by_split(ratings: DataFrame, split: str = "split",
 def unrated_candidates(movies: DataFrame, rated: DataFrame, user_id,
                        item: str = "movieId") -> DataFrame:
     """Catalogue items the user has not rated, with ``userId`` added:
-    ``(movieId, title, userId)`` (an anti join on the item id)."""
+    ``(movieId, title, userId)`` (an anti join on the item id).  The rated ids
+    are counted and, up to ``BROADCAST_IDS``, sent to the catalogue; beyond
+    that the planner chooses."""
     uid = user_id if isinstance(user_id, F.Column) else F.lit(user_id)
-    return (movies.join(rated.select(item).distinct(), item, "left_anti")
-            .withColumn("userId", uid.cast("int")))
+    ids = rated.select(item).distinct()
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return movies.join(ids, item, "left_anti").withColumn("userId", uid.cast("int"))
 
 
 def with_user_ratings(train: DataFrame, mine: DataFrame) -> DataFrame:

@@ -25,32 +25,24 @@ ALS_MAX_ITER = 5
 ALS_REG_PARAM = 0.1
 ALS_SEED = 1800009193
 ALS_RANKS = (4, 8, 12)
+#: user and item blocks.  The fitted model depends on them, so they are a fixed
+#: parameter and not a property of the cluster; raise them with the data.
+ALS_BLOCKS = 10
 # ----------------------------------------------------------------------------
 
 
 def make_als(rank: int = 10, max_iter: int = ALS_MAX_ITER, reg: float = ALS_REG_PARAM,
              seed: int = ALS_SEED, user: str = "userId", item: str = "movieId",
-             label: str = "rating", blocks: int = 10) -> ALS:
+             label: str = "rating", blocks: int = ALS_BLOCKS) -> ALS:
     return ALS(rank=rank, maxIter=max_iter, regParam=reg, seed=seed, userCol=user,
                itemCol=item, ratingCol=label, coldStartStrategy="drop",
                numUserBlocks=blocks, numItemBlocks=blocks)
 
 
-def _default_blocks(spark: SparkSession) -> int:
-    """One user/item block per core: ALS solves each block in one task, so
-    its fixed default of 10 blocks would cap a large cluster at 10 tasks."""
-    try:
-        return max(1, spark.sparkContext.defaultParallelism)
-    except Exception:  # noqa: BLE001 - no SparkContext view
-        return 10
-
-
 def fit(train: DataFrame, rank: int, **kw) -> ALSModel:
     """Fit ALS (lineage is checkpointed every 10 iterations to the session's
-    reliable checkpoint directory); ``blocks`` defaults to the default
-    parallelism."""
+    reliable checkpoint directory)."""
     checkpoint_dir(train.sparkSession)
-    kw.setdefault("blocks", _default_blocks(train.sparkSession))
     return make_als(rank, **kw).fit(train)
 
 
@@ -63,6 +55,16 @@ def model_rmse(model: ALSModel, data: DataFrame) -> float:
     return float(value)
 
 
+def model_score(model: ALSModel, data: DataFrame) -> DataFrame:
+    """One row ``(rmse, n_scored, n_dropped)``: cold-start rows are left out of the
+    RMSE and counted."""
+    scored = model.transform(data)
+    counted = scored.agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("rating"), 2))).alias("rmse"),
+                         F.count(F.lit(1)).alias("n_scored"))
+    return counted.crossJoin(data.agg(F.count(F.lit(1)).alias("n"))).select(
+        "rmse", "n_scored", (F.col("n") - F.col("n_scored")).alias("n_dropped"))
+
+
 def rank_search(train: DataFrame, validation: DataFrame,
                 ranks: Sequence[int] = ALS_RANKS, parallelism: int | None = None,
                 **kw) -> tuple[DataFrame, ALSModel, int]:
@@ -97,9 +99,18 @@ def recommend_for_user(train: DataFrame, mine: DataFrame, movies: DataFrame,
                        user_id, rank: int, k: int = 25, **kw) -> tuple[DataFrame, ALSModel]:
     """Refit on ``train`` + the user's ratings with ``rank`` and return the
     ``k`` unrated items with the highest predicted rating:
-    ``(movieId, title, userId, prediction)``, ties broken by id."""
+    ``(movieId, title, userId, prediction)``, ties broken by id; and the model.
+
+    The user's one factor row is a value beside the item factors, so candidates are
+    joined on the item only; an item without factors has no prediction."""
     model = fit(with_user_ratings(train, mine), rank, **kw)
     cands = unrated_candidates(movies, mine, user_id)
-    pred = (model.transform(cands).where(F.col("prediction").isNotNull())
+    uid = user_id if isinstance(user_id, F.Column) else F.lit(user_id)
+    own = model.userFactors.where(F.col("id") == uid).select("features").scalar()
+    items = model.itemFactors.select(F.col("id").alias("movieId"), "features", own.alias("_own"))
+    dot = F.aggregate(F.zip_with("features", "_own", lambda a, b: a.cast("double") * b.cast("double")),
+                      F.lit(0.0), lambda acc, x: acc + x).cast("float")
+    pred = (items.select("movieId", dot.alias("prediction")).where(F.col("prediction").isNotNull())
+            .join(cands, "movieId")
             .orderBy(F.col("prediction").desc(), F.col("movieId").asc()).limit(k))
     return pred.select("movieId", "title", "userId", "prediction"), model

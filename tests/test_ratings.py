@@ -38,6 +38,15 @@ def test_top_rated_filters_before_join_and_breaks_ties(spark):
     assert got == [(1, "m1", 2, 5.0), (2, "m2", 2, 5.0)]
 
 
+def test_top_rated_compares_exact_averages(spark):
+    """Means of 4.999750125 and 4.99975 are not tied."""
+    rows = [(u, 1, 5.0 if u else 4.000500) for u in range(4000)] + [(u, 2, 5.0 if u else 4.0) for u in range(4000)]
+    ratings = spark.createDataFrame([(u, 3 - m, r) for u, m, r in rows], RATING_SCHEMA)
+    movies = spark.createDataFrame([(1, "a"), (2, "b")], "movieId int, title string")
+    got = rt.top_rated(ratings, movies, 1, 2).collect()
+    assert [r["movieId"] for r in got] == [2, 1] and got[0]["average"] > got[1]["average"]
+
+
 def test_mean_baseline_rmse(spark):
     train = spark.createDataFrame([(1, 1, 2.0), (1, 2, 4.0)], "userId int, movieId int, rating double")
     test = spark.createDataFrame([(2, 1, 1.0), (2, 2, 5.0)], "userId int, movieId int, rating double")
@@ -62,11 +71,52 @@ def test_recommend_for_user(spark):
                                   "userId int, movieId int, rating double")
     movies = spark.createDataFrame([(i, f"m{i}") for i in range(1, 9)], "movieId int, title string")
     mine = spark.createDataFrame([(0, 1, 5.0), (0, 2, 1.0)], RATING_SCHEMA)
-    recs, _ = rc.recommend_for_user(train, mine, movies, 0, rank=2, k=3, max_iter=3)
+    recs, model = rc.recommend_for_user(train, mine, movies, 0, rank=2, k=3, max_iter=3)
     got = recs.collect()
     assert len(got) == 3 and all(r["movieId"] not in (1, 2) for r in got)
     preds = [r["prediction"] for r in got]
     assert preds == sorted(preds, reverse=True)
+    cands = rt.unrated_candidates(movies, mine, 0)
+    want = {r["movieId"]: r["prediction"] for r in model.transform(cands).collect()}
+    assert all(math.isclose(r["prediction"], want[r["movieId"]], rel_tol=1e-5) for r in got)
+    plan = recs._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join Inner, (movieId" in plan and "userId" not in plan.split("Join Inner")[1].splitlines()[0]
+
+
+def _als_fixture(spark):
+    rows = [(u, i, float((3 * u + i * i) % 5 + 1)) for u in range(12) for i in range(15) if (u + i) % 3]
+    return rows, spark.createDataFrame(rows, RATING_SCHEMA)
+
+
+def test_als_user_factors_solve_their_normal_equations(spark):
+    """The last half step fits each user to the returned item factors:
+    (sum of v v' + reg n I) u = sum of rating v."""
+    import numpy as np
+    rows, train = _als_fixture(spark)
+    model = rc.fit(train, 3)
+    items = {r["id"]: np.array(r["features"], float) for r in model.itemFactors.collect()}
+    for r in model.userFactors.collect():
+        mine = [(items[i], x) for u, i, x in rows if u == r["id"]]
+        a = sum(np.outer(v, v) for v, _ in mine) + rc.ALS_REG_PARAM * len(mine) * np.eye(3)
+        assert np.allclose(a @ np.array(r["features"], float), sum(x * v for v, x in mine), rtol=1e-3, atol=1e-3)
+
+
+def test_model_score_from_the_factors(spark):
+    import numpy as np
+    rows, train = _als_fixture(spark)
+    model = rc.fit(train, 2)
+    test = spark.createDataFrame([(0, 0, 2.0), (3, 3, 5.0), (99, 1, 1.0), (1, 99, 1.0), (5, 2, 4.0)], RATING_SCHEMA)
+    users = {r["id"]: np.array(r["features"], float) for r in model.userFactors.collect()}
+    items = {r["id"]: np.array(r["features"], float) for r in model.itemFactors.collect()}
+    err = [(users[u] @ items[i] - x) ** 2 for u, i, x in ((0, 0, 2.0), (3, 3, 5.0), (5, 2, 4.0))]
+    score = rc.model_score(model, test).first()
+    assert math.isclose(score["rmse"], math.sqrt(sum(err) / 3), rel_tol=1e-5)
+    assert (score["n_scored"], score["n_dropped"]) == (3, 2)
+    assert math.isclose(rc.model_rmse(model, test), score["rmse"], rel_tol=1e-9)
+
+
+def test_als_blocks_are_fixed():
+    assert rc.make_als().getNumUserBlocks() == rc.make_als().getNumItemBlocks() == rc.ALS_BLOCKS
 
 
 def test_random_split_weights(spark):
