@@ -40,31 +40,41 @@ def read_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 
 def read_csv_fixed(spark: SparkSession, path: str, schema: T.StructType,
-                   header: bool) -> DataFrame:
-    """CSV with a fixed schema; a malformed field becomes null (PERMISSIVE)."""
-    return (spark.read.schema(schema).option("header", header)
-            .option("mode", "PERMISSIVE").csv(path))
+                   header: bool, malformed: str | None = None) -> DataFrame:
+    """CSV with a fixed schema.  A malformed row fails the job; with ``malformed``
+    (a column name) it is kept instead, its text in that column (else null) and
+    its bad fields null, so that the caller can count it."""
+    reader = spark.read.option("header", header)
+    if malformed is None:
+        return reader.schema(schema).option("mode", "FAILFAST").csv(path)
+    return (reader.schema(T.StructType(schema.fields + [T.StructField(malformed, T.StringType())]))
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", malformed).csv(path))
 
 
-def read_movies(spark: SparkSession, path: str) -> DataFrame:
+def _kept(schema: T.StructType, malformed: str | None) -> list[str]:
+    return schema.names + ([malformed] if malformed else [])
+
+
+def read_movies(spark: SparkSession, path: str, malformed: str | None = None) -> DataFrame:
     """Movie catalogue CSV with header -> ``(movieId int, title string)``."""
-    return read_csv_fixed(spark, path, MOVIE_FILE_SCHEMA, True).select("movieId", "title")
+    return read_csv_fixed(spark, path, MOVIE_FILE_SCHEMA, True, malformed).select(
+        _kept(MOVIE_SCHEMA, malformed))
 
 
-def read_ratings(spark: SparkSession, path: str) -> DataFrame:
+def read_ratings(spark: SparkSession, path: str, malformed: str | None = None) -> DataFrame:
     """Rating CSV with header -> ``(userId int, movieId int, rating double)``."""
-    return read_csv_fixed(spark, path, RATING_FILE_SCHEMA, True).select(
-        "userId", "movieId", "rating")
+    return read_csv_fixed(spark, path, RATING_FILE_SCHEMA, True, malformed).select(
+        _kept(RATING_SCHEMA, malformed))
 
 
-def read_vertices(spark: SparkSession, path: str) -> DataFrame:
+def read_vertices(spark: SparkSession, path: str, malformed: str | None = None) -> DataFrame:
     """Vertex CSV ``id,name`` without header (quoted names are unquoted)."""
-    return read_csv_fixed(spark, path, VERTEX_SCHEMA, False)
+    return read_csv_fixed(spark, path, VERTEX_SCHEMA, False, malformed)
 
 
-def read_edges(spark: SparkSession, path: str) -> DataFrame:
+def read_edges(spark: SparkSession, path: str, malformed: str | None = None) -> DataFrame:
     """Edge CSV ``src,dst,weight`` without header."""
-    return read_csv_fixed(spark, path, EDGE_SCHEMA, False)
+    return read_csv_fixed(spark, path, EDGE_SCHEMA, False, malformed)
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

@@ -20,24 +20,37 @@ def write(tmp, name, text):
 def test_csv_readers(spark):
     tmp = tempfile.mkdtemp(prefix="kiln-src-")
     m = write(tmp, "movies.csv", 'movieId,title,genres\n1,"Toy, Story",Animation\n2,Jumanji,Adventure\n')
-    r = write(tmp, "ratings.csv", "userId,movieId,rating,timestamp\n1,1,4.0,964982703\n1,2,x,1\n")
+    r = write(tmp, "ratings.csv", "userId,movieId,rating,timestamp\n1,1,4.0,964982703\n1,2,2.5,1\n")
     v = write(tmp, "vertex.csv", '1,"a"\n2,"b"\n')
     e = write(tmp, "edges.csv", "1,2,7\n1,3,9\n")
     assert [tuple(x) for x in read_movies(spark, m).collect()] == [(1, "Toy, Story"), (2, "Jumanji")]
-    assert [tuple(x) for x in read_ratings(spark, r).collect()] == [(1, 1, 4.0), (1, 2, None)]
+    assert [tuple(x) for x in read_ratings(spark, r).collect()] == [(1, 1, 4.0), (1, 2, 2.5)]
     assert [tuple(x) for x in read_vertices(spark, v).collect()] == [(1, "a"), (2, "b")]
     assert [tuple(x) for x in read_edges(spark, e).collect()] == [(1, 2, 7), (1, 3, 9)]
     assert read_lines(spark, e).count() == 2
 
 
+def test_malformed_rows_fail_or_are_reported(spark):
+    tmp = tempfile.mkdtemp(prefix="kiln-src-")
+    r = write(tmp, "ratings.csv", "userId,movieId,rating,timestamp\n1,1,4.0,9\n1,2,x,1\n")
+    e = write(tmp, "edges.csv", "1,2,7\n2,3,9.5\n")
+    for read, path in ((read_ratings, r), (read_edges, e)):
+        with pytest.raises(Exception):
+            read(spark, path).collect()
+        kept = read(spark, path, malformed="bad").cache()
+        assert [x["bad"] for x in kept.collect() if x["bad"]] == [
+            {r: "1,2,x,1", e: "2,3,9.5"}[path]]
+        assert kept.count() == 2
+
+
 def test_literal_rows_schema_and_preview(spark):
     schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("count", T.IntegerType())])
-    df = rows_to_frame(spark, [("Anthony", 10), ("Julia", 20), ("Fred", 5)], schema)
+    df = rows_to_frame(spark, [("Ines", 31), ("Otto", 44), ("Mia", 7)], schema)
     assert df.count() == 3
-    assert [r["name"] for r in df.select("name").collect()] == ["Anthony", "Julia", "Fred"]
+    assert [r["name"] for r in df.select("name").collect()] == ["Ines", "Otto", "Mia"]
     assert [tuple(r) for r in schema_rows(spark, df).collect()] == [
         ("name", "string", True), ("count", "int", True)]
-    assert [r["name"] for r in preview(df, 2, ["count"]).collect()] == ["Fred", "Anthony"]
+    assert [r["name"] for r in preview(df, 2, ["count"]).collect()] == ["Mia", "Ines"]
 
 
 def test_conform_fails_on_out_of_range_id(spark):
