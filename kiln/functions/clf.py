@@ -40,8 +40,8 @@ def clf_field(line: Column, field: str, raw: bool = False) -> Column:
     trailing blank, ``''`` for a text field that does not match, only
     negative offsets in the timestamp.  The default trims the host, accepts
     either offset sign and turns ``''`` into null, so that the null checks
-    see malformed lines.  ``status`` and ``content_size`` are ints (null when
-    empty or out of range) in both modes.
+    see malformed lines.  ``status`` is an int; ``content_size`` is a bigint, in
+    raw mode an int (null when empty or out of range).
     """
     if field not in _PATTERNS:
         raise ValueError(f"unknown log field {field!r}")
@@ -50,7 +50,7 @@ def clf_field(line: Column, field: str, raw: bool = False) -> Column:
         pattern = TIMESTAMP_PATTERN_ANY_OFFSET
     text = F.regexp_extract(line, pattern, 1)
     if field in ("status", "content_size"):
-        return text.try_cast("int")
+        return text.try_cast("int" if raw or field == "status" else "bigint")
     if raw:
         return text
     if field == "host":

@@ -24,10 +24,10 @@ LOG_FIELDS = ("host", "timestamp", "path", "status", "content_size")
 
 def parse_log(lines: DataFrame, col: str = "value", raw: bool = False,
               keep: list[str] | None = None) -> DataFrame:
-    """Raw lines -> ``(host, timestamp, path, status int, content_size int)``.
+    """Raw lines -> ``(host, timestamp, path, status int, content_size bigint)``.
 
     ``raw=True`` keeps the original quirks (host with trailing blank, ``''``
-    for a non-matching text field, negative offsets only).  ``keep`` lists
+    for a non-matching text field, negative offsets only, sizes as ints).  ``keep`` lists
     input columns to carry along (an id, say).
     """
     line = F.col(col)
@@ -35,6 +35,14 @@ def parse_log(lines: DataFrame, col: str = "value", raw: bool = False,
                         *[clf_field(line, f, raw).alias(f) for f in LOG_FIELDS])
 
 
+def malformed_lines(lines: DataFrame, col: str = "value") -> DataFrame:
+    """One row ``(lines, malformed)``: how many lines lack a host, time, path or
+    status (a missing size is not an error: nothing was sent)."""
+    parsed = parse_log(lines, col)
+    bad = _any_null(["host", "timestamp", "path", "status"])
+    return parsed.agg(F.count(F.lit(1)).alias("lines"), F.count_if(bad).alias("malformed"))
+
+
 def null_gate(lines: DataFrame, col: str = "value") -> DataFrame:
     """One row ``(check, violations, passed)``: are there null input lines?
 
