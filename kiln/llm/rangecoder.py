@@ -32,6 +32,7 @@ _MAGIC = b"KRC1"
 
 _SHARE_BITS, _FREQ_BITS = 12, 20
 _SHARES, _FREQS = 1 << _SHARE_BITS, 1 << _FREQ_BITS
+_RUN_BITS = 6
 _LEAST_REST = 64                      # of _SHARES, for order 0
 _PAIR_BITS = 18
 _U32 = np.uint64(32)
@@ -39,6 +40,10 @@ _LOW = np.uint64(0xFFFFFFFF)
 _SH, _FR = np.uint64(_SHARE_BITS), np.uint64(_FREQ_BITS)
 
 
+#: confidence after a wrong prediction (first eight: halved) and after a right one
+_NEXT_SURE = np.array([k >> 1 for k in range(8)] + [min(k + 1, 7) for k in range(8)], np.uint8)
+
+
 class _Model:
     def __init__(self, vocab: int):
         self.vocab = vocab
@@ -63,6 +68,18 @@ class _Model:
         spare = _FREQS - self.vocab
         self.cum = np.zeros(self.vocab + 1, np.int64)
         self.cum[1:] = np.arange(1, self.vocab + 1) + spare * counts // (total or self.vocab)
+        self._index = None
+
+    def find(self, place: np.ndarray) -> np.ndarray:
+        """The id whose share of the order-0 frequencies holds each place.  An index of
+        runs of places answers for those that lie in one share; the rest are searched."""
+        if self._index is None:
+            self._index = np.searchsorted(self.cum, np.arange(0, _FREQS + 1, 1 << _RUN_BITS), "right") - 1
+        run = place >> _RUN_BITS
+        ids = self._index[run]
+        open_ = np.nonzero(self._index[run + 1] != ids)[0]
+        ids[open_] = np.searchsorted(self.cum, place[open_], "right") - 1
+        return ids
 
     def predict(self, before: np.ndarray, last: np.ndarray):
         """Predictions of both orders, the pair's place, and the weights' row."""
@@ -88,12 +105,12 @@ class _Model:
         seen = np.bincount(4 * row + right_two + 2 * right_one, minlength=512).reshape(128, 4)
         self.seen += np.stack([seen.sum(axis=1), seen[:, 1], seen[:, 2]], axis=1)
         self.spelled += np.bincount(ids[spelled], minlength=self.vocab)
-        for at, guess, table, sure in ((pair, two, self.two, self.sure_two),
-                                       (last, one, self.one, self.sure_one)):
-            old = sure[at]
-            right = guess == ids
-            table[at] = np.where(right | (old >= 2), guess, ids)
-            sure[at] = np.where(right, np.minimum(old + 1, 7), old >> 1)
+        for at, right, old, table, sure in (
+                (pair, right_two, row >> 4, self.two, self.sure_two),
+                (last, ids == one, (row >> 1) & 7, self.one, self.sure_one)):
+            lost = np.nonzero(~right & (old < 2))[0]
+            table[at[lost]] = ids[lost]
+            sure[at] = _NEXT_SURE[old + 8 * right]
         self._weigh()
 
 
@@ -231,7 +248,7 @@ def decode_block(block: bytes) -> np.ndarray:
             if len(rest):
                 u = unit[rest]
                 place = np.minimum(val[rest] // u, np.uint64(_FREQS - 1)).astype(np.int64)
-                spelled = np.searchsorted(model.cum, place, "right") - 1
+                spelled = model.find(place)
                 ids[rest] = spelled
                 start = model.cum[spelled]
                 val[rest] -= u * start.astype(np.uint64)
