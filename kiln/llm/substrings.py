@@ -6,8 +6,9 @@ index, and every rolling run of ``block`` words probes it: each repeat of a wind
 probe that hits a block of the repeat.  Hits are extended, word by word, to the windows
 around them; the windows that repeat, joined, are the maximal exact repeats.
 
-The work is done on chunks of whole texts (by a hash of the id) and on buckets of
-hashes, both bounded in size by their number:
+The work is done on chunks of whole texts (by a hash of the id; two per shuffle partition
+of the session) and on buckets of hashes (one per partition), so both are bounded by the
+size of a partition.  Their keys are picked so that Spark deals them out evenly:
 
 1. chunk -> bucket: the distinct hashes of a chunk's blocks and of its rolling probes,
    packed as sorted differences.  A run held by a third of all texts sends one hash per
@@ -27,13 +28,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 WINDOW_WORDS = 20
-#: chunks and buckets for each shuffle partition of the session
-CHUNKS_PER_PARTITION = 4
-BUCKETS_PER_PARTITION = 2
-
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _NULL_ID = 1 << 62
@@ -69,8 +66,7 @@ class _Chunk:
         order = pc.sort_indices(table, sort_keys=[("__oid", "ascending"), ("__text", "ascending")])
         self.table = table.take(order).combine_chunks()
         self.block, self.buckets = block, buckets
-        text = self.table.column("__text")
-        text = pc.fill_null(text, "").combine_chunks() if text.num_chunks else pa.array([], pa.string())
+        text = pc.fill_null(self.table.column("__text"), "").combine_chunks()
         if isinstance(text, pa.ChunkedArray):
             text = text.chunk(0) if text.num_chunks else pa.array([], pa.string())
         text = pc.ascii_trim_whitespace(text)
@@ -179,6 +175,16 @@ def _bucket(h: np.ndarray, buckets: int) -> np.ndarray:
 
 # ---- the four passes -----------------------------------------------------------
 
+def _even_keys(spark: SparkSession, partitions: int) -> tuple[list[int], list[int]]:
+    """Integers, one per partition that a shuffle by them would fill, and as many others."""
+    n = F.lit(partitions)
+    rows = (spark.range(16 * partitions).select(F.col("id").cast("int").alias("k"))
+            .groupBy(F.pmod(F.hash("k"), n).alias("p"))
+            .agg(F.min("k").alias("low"), F.max("k").alias("high")).collect())
+    low, high = sorted(r["low"] for r in rows), sorted(r["high"] for r in rows)
+    return low, sorted({*low, *high})
+
+
 _TO_BUCKET = "__bucket int, __chunk int, blocks binary, probes binary"
 _HITS = "__chunk int, __bucket int, kind int, data binary"
 _WINDOWS = "__bucket int, __chunk int, h1 binary, h2 binary, oid binary, pos binary"
@@ -192,7 +198,8 @@ def _arrow(schema: str, rows: list[tuple]) -> pa.Table:
                     names=[n for n, _ in fields])
 
 
-def _send_hashes(table: pa.Table, block: int, buckets: int) -> pa.Table:
+def _send_hashes(table: pa.Table, block: int, places: list[int]) -> pa.Table:
+    buckets = len(places)
     chunk = _Chunk(table, block, buckets)
     at, keys = chunk.probes()
     blocks, probes = np.unique(keys[chunk.blocks(at)]), np.unique(keys)
@@ -200,7 +207,7 @@ def _send_hashes(table: pa.Table, block: int, buckets: int) -> pa.Table:
     cut_b, cut_p = np.searchsorted(blocks, edges), np.searchsorted(probes, edges)
     number = table.column("__chunk")[0].as_py()
     return _arrow(_TO_BUCKET, [
-        (k, number, _pack_sorted(blocks[cut_b[k]:cut_b[k + 1]].astype(np.uint32)),
+        (places[k], number, _pack_sorted(blocks[cut_b[k]:cut_b[k + 1]].astype(np.uint32)),
          _pack_sorted(probes[cut_p[k]:cut_p[k + 1]].astype(np.uint32)))
         for k in range(buckets) if cut_p[k + 1] > cut_p[k]])
 
@@ -221,24 +228,24 @@ def _find_hits(table: pa.Table) -> pa.Table:
     return _arrow(_HITS, rows)
 
 
-def _found(replies: pa.Table) -> np.ndarray:
-    keys = [_unpack_sorted(d).astype(np.uint64) | (np.uint64(b) << np.uint64(32))
+def _found(replies: pa.Table, places: list[int]) -> np.ndarray:
+    number = {b: np.uint64(k) for k, b in enumerate(places)}
+    keys = [_unpack_sorted(d).astype(np.uint64) | (number[b] << np.uint64(32))
             for b, k, d in zip(*(replies.column(c).to_pylist() for c in ("__bucket", "kind", "data")))
             if k == 0]
     return np.sort(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
 
 
-def _send_windows(table: pa.Table, replies: pa.Table, block: int, buckets: int) -> pa.Table:
-    if not table.num_rows:
-        return _arrow(_WINDOWS, [])
+def _send_windows(table: pa.Table, replies: pa.Table, block: int, places: list[int]) -> pa.Table:
+    buckets = len(places)
     chunk = _Chunk(table, block, buckets)
-    _, _, h1, h2, first = chunk.distinct_windows(_found(replies))
+    _, _, h1, h2, first = chunk.distinct_windows(_found(replies, places))
     oid = chunk.table.column("__oid").to_numpy()[chunk.doc[first]]
     pos = (first - chunk.starts[chunk.doc[first]]).astype(np.uint32)
     cut = np.searchsorted(_bucket(h1, buckets), np.arange(buckets + 1))
     number = table.column("__chunk")[0].as_py()
     return _arrow(_WINDOWS, [
-        (k, number, *(_planes(x[cut[k]:cut[k + 1]]) for x in (h1, h2, oid, pos)))
+        (places[k], number, *(_planes(x[cut[k]:cut[k + 1]]) for x in (h1, h2, oid, pos)))
         for k in range(buckets) if cut[k + 1] > cut[k]])
 
 
@@ -260,14 +267,17 @@ def _first_places(table: pa.Table) -> pa.Table:
         for chunk, size, end in zip(table.column("__chunk").to_pylist(), sizes, ends)])
 
 
-def _remove(table: pa.Table, replies: pa.Table, block: int, buckets: int, carry: list[str],
-            whole: bool) -> pa.Table | None:
+def _remove(table: pa.Table, replies: pa.Table, block: int, places: list[int], carry: list[str],
+            whole: bool) -> pa.Table:
+    buckets = len(places)
     chunk = _Chunk(table, block, buckets)
-    at, new, h1, _, _ = chunk.distinct_windows(_found(replies))
+    at, new, h1, _, _ = chunk.distinct_windows(_found(replies, places))
+    bucket_of = {b: k for k, b in enumerate(places)}
     winner = np.zeros(len(h1), bool)
     cut = np.searchsorted(_bucket(h1, buckets), np.arange(buckets + 1))
     for b, k, d in zip(*(replies.column(c).to_pylist() for c in ("__bucket", "kind", "data"))):
         if k == 1:
+            b = bucket_of[b]
             n = cut[b + 1] - cut[b]
             winner[cut[b]:cut[b + 1]] = np.unpackbits(np.frombuffer(d, np.uint8), count=n)
     gone = np.ones(len(at), bool)
@@ -305,8 +315,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``window_words`` is even.  Columns of ``docs`` other than those named are not read.
     """
     spark = docs.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chunks, buckets = CHUNKS_PER_PARTITION * partitions, BUCKETS_PER_PARTITION * partitions
+    places, chunks = _even_keys(spark, int(spark.conf.get("spark.sql.shuffle.partitions")))
     block, carry = window_words // 2, carry or []
     if window_words != 2 * block:
         raise ValueError("window_words must be even")
@@ -315,12 +324,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.shiftrightunsigned(F.xxhash64(text_col), 3)))
     rows = (docs.select(oid.alias("__oid"), F.col(text_col).alias("__text"),
                         *(F.col(c).alias(f"__c{k}") for k, c in enumerate(carry)))
-            .withColumn("__chunk", F.pmod(F.xxhash64("__oid"), F.lit(chunks)).cast("int")))
+            .withColumn("__chunk", F.lit(chunks)[F.pmod(F.xxhash64("__oid"), F.lit(len(chunks))).cast("int")]))
     grouped = rows.groupBy("__chunk")
-    hits = (grouped.applyInArrow(lambda t: _send_hashes(t, block, buckets), _TO_BUCKET)
+    hits = (grouped.applyInArrow(lambda t: _send_hashes(t, block, places), _TO_BUCKET)
             .groupBy("__bucket").applyInArrow(_find_hits, _HITS))
     firsts = (grouped.cogroup(hits.groupBy("__chunk"))
-              .applyInArrow(lambda d, h: _send_windows(d, h, block, buckets), _WINDOWS)
+              .applyInArrow(lambda d, h: _send_windows(d, h, block, places), _WINDOWS)
               .groupBy("__bucket").applyInArrow(_first_places, _HITS))
     out = T.StructType([T.StructField("__oid", T.LongType()), T.StructField("n_words", T.LongType()),
                         T.StructField("n_removed", T.LongType()),
@@ -328,7 +337,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                        + [T.StructField(f"__c{k}", rows.schema[f"__c{k}"].dataType)
                           for k in range(len(carry))])
     done = (grouped.cogroup(hits.union(firsts).groupBy("__chunk"))
-            .applyInArrow(lambda d, r: _remove(d, r, block, buckets, carry, keep_untouched), out))
+            .applyInArrow(lambda d, r: _remove(d, r, block, places, carry, keep_untouched), out))
     own_id = F.when(F.col("__oid") < _NULL_ID, F.col("__oid")).cast(docs.schema[id_col].dataType)
     return done.select(own_id.alias(id_col), "n_words", "n_removed", "kept_text",
                        *(F.col(f"__c{k}").alias(c) for k, c in enumerate(carry)))
