@@ -104,6 +104,15 @@ class _Sentences:
         return 1 / (1 + np.exp(-z.clip(-40, 40)))
 
 
+def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of consecutive runs of ``values``; an empty run has 0."""
+    out = np.zeros(len(sizes))
+    full = np.nonzero(sizes)[0]
+    if len(full):
+        out[full] = np.add.reduceat(values, (np.cumsum(sizes) - sizes)[full])
+    return out
+
+
 def fit(labels: np.ndarray, docs: list[tuple[np.ndarray, np.ndarray]], min_docs: int = MIN_DOCS,
         steps: int = STEPS, rate: float = LEARNING_RATE, l1: float = L1) -> Model:
     """Fit to documents given as (number of features of each sentence, their hashes).
@@ -113,24 +122,31 @@ def fit(labels: np.ndarray, docs: list[tuple[np.ndarray, np.ndarray]], min_docs:
         return Model(np.zeros(0, np.uint32), np.zeros(0), 20.0 if len(y) and y[0] else -20.0)
     every, df = np.unique(np.concatenate([np.unique(h) for _, h in docs]), return_counts=True)
     known = every[df >= min_docs]
+    del every, df
     n_sent = np.array([len(s) for s, _ in docs])
     total = int(n_sent.sum())
     sentence_doc = np.repeat(np.arange(len(docs)), n_sent)
-    sentence = np.repeat(np.arange(total), np.concatenate([s for s, _ in docs]))
-    hashes = np.concatenate([h for _, h in docs])
-    feature = np.searchsorted(known, hashes).clip(max=max(len(known) - 1, 0))
-    ok = known[feature] == hashes if len(known) else np.zeros(len(hashes), bool)
-    sentence, feature = sentence[ok], feature[ok]
+    parts, sizes = [], []               # known features by sentence, and their numbers
+    for s, h in docs:
+        at = np.searchsorted(known, h).clip(max=max(len(known) - 1, 0))
+        ok = known[at] == h if len(known) else np.zeros(len(h), bool)
+        parts.append(at[ok].astype(np.int32))
+        sizes.append(np.bincount(np.repeat(np.arange(len(s)), s)[ok], minlength=len(s)))
+    feature, sizes = np.concatenate(parts), np.concatenate(sizes)
+    del parts
+    order = np.argsort(feature, kind="stable")
+    by_feature = np.repeat(np.arange(total, dtype=np.int32), sizes)[order]   # their sentences
+    del order
+    feature_sizes = np.bincount(feature, minlength=len(known))
     w, bias = np.zeros(len(known)), float(np.log(max(y.sum(), 1) / max(total, 1)))
     m, v = np.zeros(len(known) + 1), np.zeros(len(known) + 1)
     for step in range(1, steps + 1):
-        z = bias + np.bincount(sentence, weights=w[feature], minlength=total)
+        z = bias + _sums(w[feature], sizes)
         p = 1 / (1 + np.exp(-z.clip(-40, 40)))
         clean = np.exp(-np.bincount(sentence_doc, weights=np.logaddexp(0, z), minlength=len(y)))
         toxic = np.maximum(1 - clean, 1e-12)
         slope = p * np.where(y == 1, -clean / toxic, 1.0)[sentence_doc] / len(y)
-        grad = np.append(np.bincount(feature, weights=slope[sentence], minlength=len(known)),
-                         slope.sum())
+        grad = np.append(_sums(slope[by_feature], feature_sizes), slope.sum())
         # a weight moves only against more slope than its absolute value costs
         g = grad[:-1] + l1 * np.sign(w)
         rest = w == 0
@@ -184,11 +200,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         T.StructField("sizes", T.ArrayType(T.IntegerType())),
         T.StructField("features", T.ArrayType(T.IntegerType()))])).toArrow()
     got = got.sort_by([("id", "ascending"), ("y", "ascending")])
+    y = got.column("y").to_numpy()
     sizes, features = got.column("sizes"), got.column("features")
     parts = [(sizes[k].values.to_numpy(zero_copy_only=False),
               features[k].values.to_numpy(zero_copy_only=False).view(np.uint32))
              for k in range(got.num_rows)]
-    return fit(got.column("y").to_numpy(), parts)
+    return fit(y, parts)
 
 
 def _locate(s: _Sentences, p: np.ndarray, n: int) -> pa.Array:
