@@ -112,8 +112,11 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     checkpoint_dir(spark)
     own = [c for c in docs.columns if c not in ("__shard", "__slot", "__h", "__id", "__tie", "__run")]
     dims = F.struct(*(F.col(c).alias(f"d{k}") for k, c in enumerate(dimensions)))
-    sample = (docs.select(id_col, dims.alias("d")).orderBy(F.xxhash64(id_col), id_col)
-              .limit(SAMPLE_ROWS).select("d.*").collect())
+    # rows of small id hashes, about twice as many as are taken, before they are ordered
+    share = min(1.0, 2 * SAMPLE_ROWS / max(docs.count(), 1))
+    sample = (docs.select(id_col, dims.alias("d"))
+              .where(F.pmod(F.xxhash64(id_col), F.lit(1 << 32)) <= int(share * (1 << 32)))
+              .orderBy(F.xxhash64(id_col), id_col).limit(SAMPLE_ROWS).select("d.*").collect())
     curve = _curve(cut_values(sample, len(dimensions), bits), bits)
     keyed = (docs.select(*own, curve(dims).alias("__h"),
                          F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("__id"),
