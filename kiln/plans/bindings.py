@@ -16,6 +16,10 @@ from kiln.operators.ratings import md5_split
 from kiln.sources.readers import MOVIE_SCHEMA, RATING_SCHEMA, conform, spread
 
 
+#: the test tables hold each of the text-heavy inputs in one split
+SINGLE_SPLIT_PARTITIONS = 8
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -26,11 +30,11 @@ def clf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     Host from the user, path from event type and ``props.k``, status from
     the event type (error 404, signup 302, click 304, else 200), size
     ``-`` for errors else ``floor(value*100)``; fixed offset ``-0400``.
-    Events are spread over the cores first when the table is a single split
+    Events are spread first, as the test table is a single split
     (the lines are parsed by five regular expressions each).
     """
     ev = spread(table(spark, sf_dir, "events").select(
-        "event_id", "ts", "user_id", "event_type", "value", "props"))
+        "event_id", "ts", "user_id", "event_type", "value", "props"), SINGLE_SPLIT_PARTITIONS)
     status = (F.when(F.col("event_type") == "error", 404)
               .when(F.col("event_type") == "signup", 302)
               .when(F.col("event_type") == "click", 304).otherwise(200))
@@ -46,9 +50,9 @@ def clf_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every document as ``value``, split as a text-file reader
-    splits lines (``\\n``, ``\\r\\n``, ``\\r``).  Documents are spread over the
-    cores first when the table is a single split."""
-    docs = spread(table(spark, sf_dir, "documents").select("text"))
+    splits lines (``\\n``, ``\\r\\n``, ``\\r``).  Documents are spread
+    first, as the test table is a single split."""
+    docs = spread(table(spark, sf_dir, "documents").select("text"), SINGLE_SPLIT_PARTITIONS)
     return docs.select(F.explode(split_lines(F.col("text"))).alias("value"))
 
 

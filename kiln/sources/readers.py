@@ -77,20 +77,11 @@ def read_edges(spark: SparkSession, path: str, malformed: str | None = None) ->
     return read_csv_fixed(spark, path, EDGE_SCHEMA, False, malformed)
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over ``min_partitions`` (default: the cluster's
-    default parallelism) when its scan yields fewer partitions.
-
-    For CPU-heavy row-wise work (regex extraction, text splitting) over an
-    input stored as a few large row groups.  A large multi-file input
-    already has enough splits and is returned untouched (no shuffle).
-    """
-    try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session)
-        return df
-    return df.repartition(want) if have < want else df
+def spread(df: DataFrame, min_partitions: int) -> DataFrame:
+    """Round-robin ``df`` over ``min_partitions`` if it has fewer: an explicit
+    call for CPU-heavy row-wise work over an input stored as a few large row
+    groups.  Give a number that belongs to the data, not to the cluster."""
+    return df if df.rdd.getNumPartitions() >= min_partitions else df.repartition(min_partitions)
 
 
 def rows_to_frame(spark: SparkSession, rows: Iterable[Sequence],
