@@ -72,4 +72,36 @@ QUERIES = {
     "op10_decontaminate": op10_decontaminate,
 }
 
-ORACLES: dict[str, str] = {}
+#: DuckDB SQL where SQL can express the result
+ORACLES: dict[str, str] = {
+    "op2_substrings": r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+           FROM documents),
+win AS (SELECT doc_id, p, array_to_string(ws[p:p + 19], ' ') AS k
+        FROM w, unnest(range(1, len(ws) - 18)) t(p)),
+again AS (SELECT doc_id, p FROM win
+          QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, p) > 1),
+gone AS (SELECT DISTINCT doc_id, i FROM again, unnest(range(p, p + 20)) t(i)),
+word AS (SELECT doc_id, i, ws[i] AS x FROM w, unnest(range(1, len(ws) + 1)) t(i)),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY i) AS t
+         FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, len(ws) - coalesce(n, 0) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)""",
+    "op7_warc": """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d)
+SELECT page_id, n AS payload_bytes, d AS payload_digest,
+       CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM p LEFT JOIN f USING (d)""",
+    "op9_neighbours": """
+WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+           WHERE len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+             AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
+      FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e) WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER)
+       AS rank, vec_id, score
+FROM s QUALIFY rank <= 20""",
+}

@@ -96,7 +96,9 @@ def match(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids:
     at_q, at_v = np.nonzero((high >= least[:, None]) & ~own)
     for lo in range(0, len(at_q), RECOMPUTE):
         qs, vs = at_q[lo:lo + RECOMPUTE], at_v[lo:lo + RECOMPUTE]
-        scores = (queries[qs] * vectors[vs]).sum(axis=1)
+        scores = np.zeros(len(qs))
+        for d in range(queries.shape[1]):       # in order, as a plain loop would add them
+            scores += queries[qs, d] * vectors[vs, d]
         for q, item in zip(qs.tolist(), zip(scores.tolist(), (-ids[vs]).tolist())):
             heap = heaps[q]
             if len(heap) < k:
