@@ -8,8 +8,8 @@ Four families, every operator a lazy DataFrame-in / DataFrame-out function:
 * keyed / partition / sort basics -> :mod:`kiln.operators.keyed`
 
 Sources and sinks live in :mod:`kiln.sources`, column-expression helpers in
-:mod:`kiln.functions`, the named queries over the test tables in
-:mod:`kiln.plans`, and streaming adapters in :mod:`kiln.streaming`.
+:mod:`kiln.functions` and the named queries over the test tables in
+:mod:`kiln.plans`.
 """
 
 __version__ = "0.1.0"
