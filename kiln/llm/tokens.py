@@ -27,6 +27,7 @@ _OTHER_SPACE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\
 _INNER_SPACE = re.compile(r"(?<=\S) (?=\S)")
 #: white space to Python's ``str`` but not to the tokenizers' patterns
 _SEPARATORS = re.compile("[\x1c-\x1f]")
+_PACKED = [struct.Struct(f"<{n}I").pack for n in range(64)]
 #: a word of letters, Latin-1 at most, and the mark after it: two pre-tokens
 _PLAIN = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?]*)")
 
@@ -67,6 +68,20 @@ class PieceEncoder:
         self._before: dict[str, bytes] = {}
         self._bytes = _byte_letters()
         self._merge = self._tok.model.tokenize
+        self._marks = {c: self._model(c) for c in ".,;:!?"}
+        self._line = self._model(self._bytes[0x0A]) if spaced else b""
+
+    def _model(self, pre_token: str) -> bytes:
+        ids = [t.id for t in self._merge(pre_token)]
+        return _PACKED[len(ids)](*ids) if len(ids) < len(_PACKED) else struct.pack(f"<{len(ids)}I", *ids)
+
+    def _word(self, word: str, start: bool = False) -> bytes:
+        """Ids of a word of letters, with the space before it unless it stands at a start."""
+        if not self._spaced:
+            word = word.lower()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(self._bytes)
+        return self._model(self._bytes[0x20] + word if self._spaced and not start else word)
 
     def _raw(self, pieces: list[str]) -> list[bytes]:
         """Ids of pieces that are not known yet.  Plain words go to the library's model
@@ -75,6 +90,14 @@ class PieceEncoder:
         out: list[bytes | None] = []
         other = []
         for piece in pieces:
+            if piece.isalpha() and piece.isascii():
+                out.append(self._word(piece))
+                continue
+            stem = piece[:-1]
+            mark = self._marks.get(piece[-1:])
+            if mark is not None and stem.isalpha() and stem.isascii():
+                out.append((self._known.get(stem) or self._before.get(stem) or self._word(stem)) + mark)
+                continue
             line = self._spaced and piece[:2] == "\n\0"
             start = line or self._spaced and piece[:1] == "\0"
             plain = _PLAIN.fullmatch(piece, 2 * line or int(start))
@@ -82,19 +105,10 @@ class PieceEncoder:
                 other.append(len(out))
                 out.append(None)
                 continue
-            word, mark = plain.groups()
-            if not self._spaced:
-                word = word.lower()
-            if not word.isascii():
-                word = word.encode().decode("latin-1").translate(self._bytes)
-            if self._spaced and not start:
-                word = self._bytes[0x20] + word
-            ids = [t.id for t in self._merge(word)]
-            if line:
-                ids = [t.id for t in self._merge(self._bytes[0x0A])] + ids
-            if mark:
-                ids += [t.id for t in self._merge(mark)]
-            out.append(struct.pack(f"<{len(ids)}I", *ids))
+            word, marks = plain.groups()
+            known = None if start or not marks else self._known.get(word)
+            out.append((self._line if line else b"") + (known or self._word(word, start))
+                       + (b"" if not marks else self._marks.get(marks) or self._model(marks)))
         if other:
             done = self._tok.encode_batch([self._source(pieces[k]) for k in other],
                                           add_special_tokens=False)
