@@ -6,15 +6,18 @@ join on the blocks finds every pair within ``radius`` bits (one of the blocks is
 the same).  The weighted Jaccard similarity of the shingles themselves, each weighted by
 how often it occurs, decides.
 
-Windows that cannot pass are not fingerprinted: a window as similar as asked shares
-shingles with its item, and its similarity is largest at a start between two starts at
-which a shared shingle stands in the same place as in the item.  So the windows
-taken are those starts, of the pairs (document, item) with enough shared shingles.
+Windows that cannot be the best of their pair (document, item) are not fingerprinted.
+Shingles that a window has and the item lacks count for nothing, so a window as similar
+as asked has at least ``similarity / (1 + similarity)`` of both numbers of shingles in
+places whose shingle the item has.  Of the starts with so many, those are taken at which
+the shared weight is higher than one start before and not lower than one start after:
+the best window, the first of equals, is always one of them, however the item's parts
+are ordered and spaced in the document.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from kiln.session import checkpoint_dir
 
@@ -69,13 +72,38 @@ def _block_keys(fp: str, radius: int) -> str:
         for k, (at, width) in enumerate(_blocks(radius))) + ")"
 
 
+def _best_starts() -> str:
+    """SQL of the array of starts to take, from ``p`` (shared places in order: ``at``, hash
+    ``h``, ``times`` that the item has it), ``size`` (shingles of a window) and ``need``."""
+    def adds(x: str, at: str, j: str) -> str:
+        """Whether shingle ``x`` weighs in beside the ``size - 1`` shingles from start
+        ``at`` that end before place number ``j`` of ``p``."""
+        return (f"size(filter(slice(p, greatest({j} - size + 2, 1), least({j}, size - 1)), "
+                f"y -> y.at >= {at} and y.h = {x}.h)) < {x}.times")
+
+    def rises(j: str) -> str:
+        """Whether the window that ends at place number ``j`` shares more than the one before."""
+        start = f"(p[{j}].at - size + 1)"
+        before = (f"filter(slice(p, greatest({j} - size + 1, 1), least({j}, size)), "
+                  f"x -> x.at = {start} - 1)")
+        return f"({adds(f'p[{j}]', start, j)} and not exists({before}, x -> {adds('x', start, j)}))"
+
+    enough = "j >= need - 1 and p[j].at - p[greatest(j - need + 1, 0)].at < size and p[j].at >= size - 1"
+    follows = "j + 1 < size(p) and p[least(j + 1, size(p) - 1)].at = p[j].at + 1"
+    taken = (f"filter(sequence(0, size(p) - 1), j -> {enough} and {rises('j')} "
+             f"and not ({follows} and {rises('least(j + 1, size(p) - 1)')}))")
+    return f"""array_distinct(concat(
+        if(p[need - 1].at < size, array(0), cast(array() as array<int>)),
+        transform({taken}, j -> p[j].at - size + 1)))"""
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
                  shingle_words: int = SHINGLE_WORDS, similarity: float = SIMILARITY,
                  radius: int = RADIUS) -> DataFrame:
     """``id_col, item_col, start_word, n_words, similarity, differing_bits``: for each
     document and each benchmark item that one of its windows repeats, the most similar
-    window taken (the first of equals).
+    window (the first of equals).
 
     A window has as many words as the item (a shorter document is one window).  Items
     and documents with fewer words than a shingle, null texts and rows without id match
@@ -85,40 +113,39 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     spark = docs.sparkSession
     checkpoint_dir(spark)
     n = shingle_words
-    items = (benchmark.select(F.col(item_col).alias("item"), words(F.col(item_text)).alias("iw"))
-             .where(F.col("item").isNotNull()))
-    texts = (docs.select(F.col(id_col).alias("doc"), words(F.col(text_col)).alias("w"))
+    items = (benchmark.select(F.col(item_col).alias("item"), F.xxhash64(item_text).alias("item_key"),
+                              words(F.col(item_text)).alias("iw"))
+             .where(F.col("item").isNotNull()).distinct())
+    texts = (docs.select(F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("doc_key"),
+                         words(F.col(text_col)).alias("w"))
              .where(F.col("doc").isNotNull()))
 
     def hashed(df: DataFrame, w: str, *keep: str) -> DataFrame:
-        """Shingle hashes by place, from word hashes."""
+        """Shingle hashes by place, from word hashes, and the number of shingles."""
         each = F.transform(F.col(w), lambda x: F.xxhash64(x))
-        df = df.select(*keep, F.size(w).alias("size"), each.alias("wh"))
+        df = df.select(*keep, (F.size(w) - (n - 1)).alias("size"), each.alias("wh"))
         df = df.select(*keep, "size", "wh", F.posexplode(F.slice(
-            "wh", F.lit(1), F.greatest(F.col("size") - (n - 1), F.lit(0)))).alias("at", "first"))
+            "wh", F.lit(1), F.greatest(F.col("size"), F.lit(0)))).alias("at", "first"))
         return df.select(*keep, "size", "at", F.xxhash64(
             "first", *(F.col("wh")[F.col("at") + k] for k in range(1, n))).alias("h"))
 
-    # pairs with enough shared shingles, and the starts between aligned places
-    known = hashed(items, "iw", "item").select(
-        "h", "item", F.col("at").alias("item_at"), F.col("size").alias("m")).checkpoint()
-    shared = (hashed(texts, "w", "doc").withColumnRenamed("size", "doc_words")
-              .join(bounded(known), "h"))
-    places = (shared.groupBy("doc", "item", "m", "doc_words", (F.col("at") - F.col("item_at")).alias("a"))
-              .agg(F.count("*").alias("hits")))
-    pair = Window.partitionBy("doc", "item", "doc_words")
-    last = F.greatest(F.col("doc_words") - F.col("m"), F.lit(0))
-    span = F.when(F.col("next") - F.col("a") <= F.col("m"), F.col("next") - 1).otherwise(F.col("a"))
-    starts = (places.withColumn("all_hits", F.sum("hits").over(pair))
-              .where(F.col("all_hits") >= similarity * (F.col("m") - (n - 1)))
-              .withColumn("next", F.lead("a").over(pair.orderBy("a")))
-              .select("doc", "item", "m", last.alias("last"),
-                      F.explode(F.sequence("a", F.coalesce(span, "a"))).alias("start"))
-              .select("doc", "item", "m", F.least(F.greatest("start", F.lit(0)), "last").alias("start"))
+    # per pair the places whose shingle the item has, and how often the item has it
+    known = (hashed(items, "iw", "item", "item_key")
+             .groupBy("item", "item_key", F.col("size").alias("item_size"), "h")
+             .agg(F.count("*").cast("int").alias("times")).checkpoint())
+    shared = hashed(texts, "w", "doc", "doc_key").join(bounded(known), "h")
+    size = F.least("item_size", "size")                # shingles of a window
+    need = F.ceil(similarity * (size + F.col("item_size")) / (1 + similarity) - 1e-9).cast("int")
+    places = (shared.groupBy("doc", "doc_key", "item", "item_key", "item_size", size.alias("size"),
+                             need.alias("need"))
+              .agg(F.array_sort(F.collect_set(F.struct("at", "h", "times"))).alias("p"))
+              .where(F.size("p") >= F.col("need")))
+    starts = (places.select("doc", "doc_key", "item", "item_key", (F.col("item_size") + (n - 1)).alias("m"),
+                            F.explode(F.expr(_best_starts())).alias("start"))
               .distinct().checkpoint())
 
-    windows = (texts.join(bounded(starts), "doc")
-               .select("doc", "item", "start", "m", F.slice("w", F.col("start") + 1, F.col("m")).alias("ww"))
+    windows = (texts.join(bounded(starts), ["doc", "doc_key"])
+               .select("doc", "item", "item_key", "start", F.slice("w", F.col("start") + 1, F.col("m")).alias("ww"))
                .where(F.size("ww") >= n)
                .withColumn("ws", _shingles(F.col("ww"), n)))
     windows = _with_fingerprint(windows, "ws")
@@ -126,15 +153,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                                 .withColumn("item_s", _shingles(F.col("iw"), n)), "item_s")
 
     # multi-index: an equal block for every pair within the radius
-    probes = windows.select("doc", "item", "start", "ws", F.size("ww").alias("n_words"),
+    probes = windows.select("doc", "item", "item_key", "start", "ws", F.size("ww").alias("n_words"),
                             F.col("fp").alias("wfp"), F.explode(F.expr(_block_keys("fp", radius))).alias("key"))
-    index = targets.select("item", "item_s", F.col("fp").alias("ifp"),
+    index = targets.select("item", "item_key", "item_s", F.col("fp").alias("ifp"),
                            F.explode(F.expr(_block_keys("fp", radius))).alias("key"))
     near = F.bit_count(F.col("wfp").bitwiseXOR(F.col("ifp")))
     # of the equal blocks of a pair only the first goes on
     first = F.expr(f"array_position(zip_with({_block_keys('wfp', radius)}, "
                    f"{_block_keys('ifp', radius)}, (a, b) -> a = b), true) - 1")
-    candidates = (probes.join(index, ["item", "key"])
+    candidates = (probes.join(index, ["item", "item_key", "key"])
                   .where(near <= radius)
                   .where(F.shiftright("key", 32) == first))
 

@@ -138,6 +138,27 @@ def test_edited_leaks(spark):
     assert got == leaks(docs, items) and len(got) > 60
 
 
+def test_leaks_with_parts_moved(spark):
+    """Parts of an item in another order, words between them; also repeated shingles."""
+    rng = np.random.default_rng(6)
+    items, docs = [], []
+    for k in range(45):
+        m, gap = [(60, 1), (100, 5), (200, 8)][k % 3]
+        # no word twice; every fifth item repeats its first part's words
+        w = [f"i{k}w{x % (m // 2) if k % 5 == 0 else x}" for x in range(m)]
+        cut = m // 2 if k < 30 else int(rng.integers(1, m))
+        fill = [f"gap{x}" for x in range(gap if k < 30 else int(rng.integers(0, 12)))]
+        items.append((k, " ".join(w)))
+        docs.append((k, " ".join([prose(k, 20)] + w[cut:] + fill + w[:cut] + [prose(k + 1, 30)])))
+        docs.append((100 + k, " ".join(w[cut:] + fill + w[:cut])))
+        docs.append((200 + k, " ".join(w[:cut] + fill + w + fill + w[cut:])))
+    docs += [(7, items[8][1]), (7, prose(3, 40) + " " + items[7][1])]         # two texts of one id
+    items.append((8, items[9][1]))                                            # two texts of one item
+    got = found(decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
+                                           spark.createDataFrame(items, "item_id long, text string")))
+    assert got == leaks(docs, items) and {k for k in range(30) if (k, k) in got} >= {0, 1, 2}
+
+
 def test_odd_tables(spark, odd_docs, no_docs):
     items = spark.createDataFrame([(1, prose(2, 25)), (2, ""), (3, "word " * 30), (3, "word " * 30)],
                                   "item_id long, text string").withColumn("fp", F.lit(1))
