@@ -5,7 +5,8 @@ of the cell orders the rows, so that rows that are near in all of these values s
 each other.  Runs of that order are the shards.  A file of a run spans a small box of the
 values, so a reader can skip files on any of them by their column statistics.
 
-1. Cut values of each dimension come from a bounded sample (``SAMPLE_ROWS``).
+1. Cut values of each dimension come from counts of its values over all rows; they are
+   added up in ranges of the values, and only the cuts go to the driver.
 2. The sort keys alone (no texts) are range-partitioned, sorted, written and numbered by
    partition sizes; the keys at which runs start are picked out: one row per run.
 3. Rows find their run by those keys, are shuffled once to it, and are written.
@@ -26,8 +27,6 @@ from kiln.session import checkpoint_dir
 SHARDS = 24
 DIMENSIONS = ("source", "lang", "n_chars")
 BITS = 8
-#: rows from which the cut values of the dimensions are taken at most
-SAMPLE_ROWS = 10_000
 #: bytes that a row has besides its text
 ROW_BYTES = 8
 
@@ -60,16 +59,29 @@ def hilbert_index(coords: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def cut_values(rows: list[tuple], dims: int, bits: int) -> list[list]:
-    """Per dimension at most ``2**bits - 2`` ascending values that cut the sample evenly."""
-    out = []
-    for d in range(dims):
-        seen = sorted(r[d] for r in rows if r[d] is not None)
-        n = (1 << bits) - 2
-        distinct = sorted(set(seen))
-        out.append(distinct if len(distinct) <= n
-                   else sorted({seen[len(seen) * k // n] for k in range(n)}))
-    return out
+def cut_values(docs: DataFrame, column: str, bits: int) -> list:
+    """At most ``2**bits - 2`` ascending values of ``column``: all of them if they are no
+    more, else those that cut the rows (nulls left out) evenly."""
+    spark, n = docs.sparkSession, (1 << bits) - 2
+    counts = (docs.select(F.col(column).alias("v")).where(F.col("v").isNotNull())
+              .groupBy("v").agg(F.count("*").alias("rows"))
+              .repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "v")
+              .withColumn("part", F.spark_partition_id()).checkpoint())
+    sizes = counts.groupBy("part").agg(F.sum("rows"), F.count("*")).collect()   # one row per partition
+    total, before = 0, []
+    for part, rows, _ in sorted(sizes):
+        before.append((part, total))
+        total += rows
+    if sum(values for _, _, values in sizes) <= n:
+        return sorted(r.v for r in counts.collect())
+    upto = F.sum("rows").over(Window.partitionBy("part").orderBy("v"))
+    # row number total * k // n, for each k below n, is the last of its value or before it
+    cut = (counts.withColumn("upto", upto)
+           .join(F.broadcast(spark.createDataFrame(before, "part int, before long")), "part")
+           .withColumn("upto", F.col("upto") + F.col("before"))
+           .where(F.expr(f"(upto * {n} + {total - 1}) div {total} > "
+                         f"((upto - rows) * {n} + {total - 1}) div {total}")))
+    return sorted(r.v for r in cut.select("v").collect())
 
 
 def _curve(cuts: list[list], bits: int):
@@ -112,12 +124,7 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     checkpoint_dir(spark)
     own = [c for c in docs.columns if c not in ("__shard", "__slot", "__h", "__id", "__tie", "__run")]
     dims = F.struct(*(F.col(c).alias(f"d{k}") for k, c in enumerate(dimensions)))
-    # rows of small id hashes, about twice as many as are taken, before they are ordered
-    share = min(1.0, 2 * SAMPLE_ROWS / max(docs.count(), 1))
-    sample = (docs.select(id_col, dims.alias("d"))
-              .where(F.pmod(F.xxhash64(id_col), F.lit(1 << 32)) <= int(share * (1 << 32)))
-              .orderBy(F.xxhash64(id_col), id_col).limit(SAMPLE_ROWS).select("d.*").collect())
-    curve = _curve(cut_values(sample, len(dimensions), bits), bits)
+    curve = _curve([cut_values(docs, c, bits) for c in dimensions], bits)
     keyed = (docs.select(*own, curve(dims).alias("__h"),
                          F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("__id"),
                          F.xxhash64(text_col).alias("__tie")))

@@ -222,3 +222,19 @@ def test_files_hold_all_columns_and_small_boxes(spark, tables):
                                          F.countDistinct("source").alias("m")).collect()
     assert sum(r.n for r in spread) / len(spread) < 4
     assert sum(r.m for r in spread) / len(spread) < docs.select("source").distinct().count()
+
+
+def test_cuts_are_of_all_rows(spark):
+    """Rare values of a table with more rows than a sample would have, and many values."""
+    rare = [(20_000 * j + 7 * k, f"rare{k:02}") for k in range(40) for j in range(3)]
+    ids = {i for i, _ in rare}
+    rows = rare + [(i, "common" if i % 2 else "usual") for i in range(60_000) if i not in ids]
+    docs = spark.createDataFrame(rows, "doc_id long, source string").selectExpr(
+        "*", "'en' AS lang", "'t' AS text", "int(pow(doc_id % 1000, 2)) AS n_chars").repartition(5)
+    assert hilbert.cut_values(docs, "source", 8) == sorted({s for _, s in rows})
+    seen = sorted((i % 1000) ** 2 for i, _ in rows)
+    assert hilbert.cut_values(docs, "n_chars", 8) == sorted({seen[len(seen) * k // 254] for k in range(254)})
+    path = storage.shared_folder(spark, "shards-rare-test")
+    hilbert.write_shards(docs, path, dimensions=("source", "lang"), shards=4)
+    order = [r.source for r in hilbert.read_shards(docs, path).orderBy("__shard", "__slot").collect()]
+    assert len(order) == 60_000 and 1 + sum(a != b for a, b in zip(order, order[1:])) == 42
