@@ -5,7 +5,9 @@ three) to the element around it, half of them to the next one, and less to those
 out.  An element's points are discounted by the share of its text inside links; the
 best one and those of its siblings that look like text are the article.  Elements that
 are never article text (menus, headers, footers, forms, adverts, comments, scripts, ...)
-are left out before scoring.
+are left out before scoring.  A word in a class or id is only a hint: it does not leave
+out an element that is named as text too, that holds the page's article or most of its
+text, or that holds the most text if only links would be left.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 #: characters from which a block has points
 SCORED_CHARS = 25
 _SIBLING_SHARE = 0.2
+#: how many times the text of article and text elements a hinted element has to hold
+_FAR_MORE = 10
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style noscript template textarea title iframe svg math object canvas "
@@ -40,6 +44,12 @@ _HINTS = frozenset(
     "consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription "
     "signup login share sharing social related recommended recommendations pager pagination "
     "widget widgets toolbar search form".split())
+#: of these, words of elements that may be longer than the article beside them
+_COMMENTS = frozenset("comment comments disqus reply replies respond discussion".split())
+#: words before a hint word that only say whether something like it is on the page
+_ABOUT = frozenset("has have with without no not hide hides hidden".split())
+#: words after a hint word that say the same
+_STATES = frozenset("open opened closed enabled disabled on off".split())
 _TEXT_HINTS = frozenset("article content entry post story body text main".split())
 _CLOSES = {  # an opening tag ends these open elements, up to the listed bounds
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -54,12 +64,29 @@ _WORDS = re.compile(r"[a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 
 
+def _hint_words(names: str) -> set[str]:
+    """Hint words of class and id; none if one of the names is a text word without any.
+    Words after one of ``_ABOUT`` in the same name, or before one of ``_STATES`` at its
+    end, do not count."""
+    hints: set[str] = set()
+    text = False
+    for name in names.split():
+        words = _WORDS.findall(_CAMEL.sub(" ", name).lower())
+        words = words[:next((k for k, w in enumerate(words) if w in _ABOUT), len(words))]
+        found = _HINTS.intersection(words) if words and words[-1] not in _STATES else set()
+        hints |= found
+        text = text or not found and not _TEXT_HINTS.isdisjoint(words)
+    return set() if text else hints
+
+
 class _Page:
     """Elements and blocks of a page, in order.  Element 0 is the document."""
 
     def __init__(self, html: str):
         self.tag, self.parent, self.out, self.bonus = ["#"], [-1], [False], [0.0]
         self.in_article = [False]
+        #: hint words per element that has some
+        self.hints: dict[int, set[str]] = {}
         #: (element, text, characters, characters inside links) per block
         self.blocks: list[tuple[int, str, int, int]] = []
         self._run: list[tuple[str, bool]] = []
@@ -76,15 +103,17 @@ class _Page:
             self.blocks.append((element, text, len(text), min(linked, len(text))))
 
     def _open(self, tag: str, attrs: str, parent: int) -> int:
-        out, bonus = self.out[parent], 0.0
+        out, bonus, hints = self.out[parent], 0.0, None
         if tag in _LEFT_OUT or tag == "header" and not self.in_article[parent]:
             out = True
         if attrs and not out:
             named = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)}
-            words = set(_WORDS.findall(_CAMEL.sub(" ", named.get("class", "") + " "
-                                                  + named.get("id", "")).lower()))
+            names = named.get("class", "") + " " + named.get("id", "")
+            words = set(_WORDS.findall(_CAMEL.sub(" ", names).lower()))
+            if not words.isdisjoint(_HINTS):
+                hints = _hint_words(names)
             if tag not in _WHOLE and tag not in _INLINE:
-                out = bool(words & _HINTS) or named.get("role", "").lower() in _ROLES
+                out = named.get("role", "").lower() in _ROLES
             if "hidden" in named or named.get("aria-hidden", "").lower() == "true" \
                     or "display:none" in named.get("style", "").replace(" ", "").lower():
                 out = True
@@ -92,6 +121,8 @@ class _Page:
                 bonus = 25.0
         if tag in ("article", "main"):
             bonus = 25.0
+        if hints:
+            self.hints[len(self.tag)] = hints
         self.tag.append(tag)
         self.parent.append(parent)
         self.out.append(out)
@@ -166,7 +197,60 @@ class _Page:
             open_count[tag] = open_count.get(tag, 0) + 1
         self._end_block(block)
 
+    def _leave_out_hinted(self) -> None:
+        """Leave out the elements with hint words, except the one that holds the article
+        and those around it."""
+        marked = {e for e in self.hints if self.tag[e] not in _WHOLE and not self.out[e]}
+        if not marked:
+            return
+        n = len(self.tag)
+        near, text_part, filled = [-1] * n, [False] * n, [False] * n
+        for e in range(1, n):               # parents come before their children
+            near[e] = e if e in marked else near[self.parent[e]]
+            text_part[e] = (text_part[self.parent[e]]
+                            or self.bonus[e] > 0 and self.tag[e] not in ("html", "body"))
+        # text outside links: all and scored by the innermost marked element, and that of
+        # article and text elements outside of marked ones
+        free, scored, plain = dict.fromkeys(marked, 0), dict.fromkeys({-1, *marked}, 0), 0
+        for element, _, size, link in self.blocks:
+            filled[element] = True
+            e = near[element]
+            scored[e] += size - link if size >= SCORED_CHARS else 0
+            if e >= 0:
+                free[e] += size - link
+            elif text_part[element]:
+                plain += size - link
+        for e in range(n - 1, 0, -1):
+            filled[self.parent[e]] = filled[self.parent[e]] or filled[e]
+        articles = {near[e] for e in range(n) if self.tag[e] in ("article", "main") and filled[e]
+                    and e not in self.hints}
+        no_comments = [e for e in marked if e in articles or not self.hints[e] & _COMMENTS]
+        most = max(no_comments, key=lambda e: (scored[e], -e), default=None)
+        around = most
+        while around is not None and around >= 0:
+            if around in marked and scored[around] > scored[most]:
+                most = None                 # part of a larger one
+                break
+            around = self.parent[around]
+        if most is not None and scored[most] and scored[most] >= _FAR_MORE * plain and (
+                most in articles or 2 * scored[most] > scored[-1] + sum(scored[e] for e in no_comments)):
+            self._spare(most, marked)
+        elif not any(size > link and near[element] < 0 for element, _, size, link in self.blocks):
+            # nothing else is left
+            most = max(marked, key=lambda e: (free[e], -e))
+            if free[most]:
+                self._spare(most, marked)
+        for e in range(1, n):
+            self.out[e] = self.out[e] or e in marked or self.out[self.parent[e]]
+        self.blocks = [b for b in self.blocks if not self.out[b[0]]]
+
+    def _spare(self, element: int, marked: set[int]) -> None:
+        while element >= 0:
+            marked.discard(element)
+            element = self.parent[element]
+
     def main_blocks(self) -> list[str]:
+        self._leave_out_hinted()
         if not self.blocks:
             return []
         n = len(self.tag)

@@ -46,6 +46,33 @@ def test_article_without_its_surroundings(cls):
     assert main_text(PAGE.format(cls=cls, body=body, text=TEXT)).split("\n\n") == want
 
 
+@pytest.mark.parametrize("cls", ["content with-sidebar", "layout has-sidebar", "site sticky-header",
+                                 "post-content no-comments", "sidebar-left wrap", "comments-open page",
+                                 "contentWithSidebar", "ad main", "page-header-fixed"])
+@pytest.mark.parametrize("tag", ["div", "article", "main"])
+def test_wrapper_with_a_hint_word(cls, tag):
+    article = f"<{tag}><h1>Title</h1><p>{TEXT} One.</p><p>{TEXT} Two.</p></{tag}>"
+    around = ('<div class="sidebar"><p>Other things, of interest, to readers of this page, and more.</p></div>'
+              '<ol id="comments"><li class="comment"><article class="comment-body"><p>First, I disagree, with '
+              'everything, said here in the article.</p></article></li></ol>')
+    want = ["Title", TEXT + " One.", TEXT + " Two."]
+    skip = '<body><a href="#x">Skip to content</a>'
+    assert main_text(f'{skip}<div class="{cls}">{article}{around}</div></body>').split("\n\n") == want
+    assert main_text(f'{skip}<div id="{cls}"><div class=wrap>{article}</div></div>{around}</body>'
+                     ).split("\n\n") == want
+
+
+def test_hints_that_stay():
+    comments = "<section id=comments>" + f"<p>I say, {TEXT}</p>" * 20 + "</section>"
+    for page in (f"<div><p>{TEXT}</p></div>{comments}", f"<div class=entry><p>{TEXT}</p></div>{comments}",
+                 f"<article><p>{TEXT}</p><div class='post-share'><p>Share, {TEXT}</p></div></article>{comments}",
+                 f"<p>{TEXT}</p><div class=related>" + f"<article class=promo><p>{TEXT}</p></article>" * 3 + "</div>"):
+        assert main_text(f"<body>{page}</body>").startswith(TEXT)
+        assert "say" not in main_text(f"<body>{page}</body>") and "Share" not in main_text(f"<body>{page}</body>")
+    # nothing else on the page
+    assert main_text(f"<body><a href=/>Skip</a><div class=comments><p>{TEXT}</p></div></body>") == TEXT
+
+
 def test_article_in_sections_and_siblings():
     page = "<body><div class=top><a href=/>a link, to other, places on this site</a></div><article>" + "".join(
         f"<section><h2>Part {k}</h2><p>{TEXT} {k}</p></section>" for k in range(4)) + "</article></body>"
