@@ -122,6 +122,28 @@ def test_leaks_of_the_table(spark, tables):
     assert got == leaks(near, items) and got
 
 
+def test_leaks_of_the_table_at_any_length(spark, tables):
+    """All documents: brute force over every window of the pairs that share enough places."""
+    sf = SF.replace("0.001", "0.01")
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    grams = {}
+    for k, (_, u) in enumerate(items):
+        w = lower_words(u)
+        for g in zip(*(w[j:] for j in range(5))):
+            grams.setdefault(g, set()).add(k)
+    want, long = {}, 0
+    for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect():
+        w = lower_words(r.text)
+        shared = Counter(k for g in zip(*(w[j:] for j in range(5))) for k in grams.get(g, ()))
+        # similarity is at most shared places / shingles of the item
+        for k, places in shared.items():
+            if places >= 0.8 * (len(lower_words(items[k][1])) - 4):
+                one = leaks([(r.doc_id, r.text)], [items[k]])
+                want.update(one)
+                long += len(one) if len(r.text) >= 4000 else 0
+    assert found(catalog.op10_decontaminate(spark, sf)) == want and long
+
+
 def test_edited_leaks(spark):
     """Words changed, put in and taken out, at text ends and inside, and short texts."""
     rng = np.random.default_rng(5)
