@@ -9,7 +9,9 @@ values, so a reader can skip files on any of them by their column statistics.
    added up in ranges of the values, and only the cuts go to the driver.
 2. The sort keys alone (no texts) are range-partitioned, sorted, written and numbered by
    partition sizes; the keys at which runs start are picked out: one row per run.
-3. Rows find their run by those keys, are shuffled once to it, and are written.
+3. Rows find their run by those keys, are shuffled once to it, and are written.  Rows with
+   the key at which a run starts, if others of that key stand before it, are checkpointed
+   and numbered first, by counts per partition: the number says which run a row goes to.
 
 Law ``rows``: numbers of rows of two shards are at most one apart.
 """
@@ -116,9 +118,8 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     ``__shard=k`` per shard that has rows, with the row's ``__slot`` in its shard.
 
     ``dimensions`` are numeric or text columns.  Rows with equal index stand in the order
-    of their ids (integers; null last) and texts; rows equal in id and text always share a
-    run, so only they can make numbers of rows differ by more than one.  Columns of
-    ``docs`` named like the added ones are left out.
+    of their ids (integers; null last) and texts, rows equal in those in any order.  Columns
+    of ``docs`` named like the added ones are left out.
     """
     spark = docs.sparkSession
     checkpoint_dir(spark)
@@ -130,9 +131,10 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                          F.xxhash64(text_col).alias("__tie")))
 
     place = F.monotonically_increasing_id()
-    keys = (keyed.select("__h", "__id", "__tie")
-            .repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "__h", "__id", "__tie")
-            .sortWithinPartitions("__h", "__id", "__tie")
+    key = ["__h", "__id", "__tie"]
+    keys = (keyed.select(*key, F.rand(0).alias("salt"))         # equal keys may go to several partitions
+            .repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *key, "salt")
+            .sortWithinPartitions(*key).drop("salt")
             .withColumn("part", F.shiftrightunsigned(place, 33))
             .withColumn("at", place.bitwiseAND(F.lit((1 << 33) - 1))).checkpoint())
     sizes = dict(keys.groupBy("part").count().collect())        # one row per partition
@@ -140,18 +142,27 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     m = runs_per_shard or max(1, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // shards))
     starts = shard_starts(n, shards)
     runs = [(s, (starts[s + 1] - starts[s]) * j // m) for s in range(shards) for j in range(m)]
-    wanted, offset, rest = [], 0, sorted({starts[s] + first for s, first in runs if starts[s] + first < n})
+    wanted, offset, before, rest = [], 0, {}, sorted({starts[s] + first for s, first in runs if starts[s] + first < n})
     for part in sorted(sizes):
         while rest and rest[0] < offset + sizes[part]:
             g = rest.pop(0)
             wanted.append((part, g - offset, g))
+        before[part] = offset
         offset += sizes[part]
     cuts: list[bytes] = []
+    divided: dict[tuple, int] = {}          # place of the first row of keys that runs divide
     if wanted:
         picked = (keys.join(F.broadcast(spark.createDataFrame(wanted, "part long, at long, g long")),
                             ["part", "at"]).select("g", "__h", "__id", "__tie").toPandas().sort_values("g"))
         cuts = list(_sort_keys(picked["__h"], picked["__id"], picked["__tie"]))
         begins = picked["g"].tolist()
+        run_keys = [tuple(map(int, r)) for r in picked[key].to_numpy()]
+        firsts: dict[tuple, int] = {}
+        for *k, part, at in (keys.join(F.broadcast(spark.createDataFrame(
+                sorted(set(run_keys)), "__h long, __id long, __tie long")), key)
+                .groupBy(*key, "part").agg(F.min("at")).collect()):     # about one row per run
+            firsts[tuple(k)] = min(before[part] + at, firsts.get(tuple(k), n))
+        divided = {k: firsts[k] for k, g in zip(run_keys, begins) if firsts[k] < g}
     else:
         begins = []
 
@@ -159,13 +170,33 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     def run_of(h: pd.Series, i: pd.Series, tie: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(np.array(cuts), _sort_keys(h, i, tie), "right") - 1).astype("int32")
 
+    @F.pandas_udf(T.IntegerType())
+    def run_at(g: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(np.array(begins), g.to_numpy(), "right") - 1).astype("int32")
+
     shard_of = [int(np.searchsorted(starts, g, "right")) - 1 for g in begins]
     shard = F.array(*(F.lit(s) for s in shard_of)) if begins else F.array(F.lit(0))
     first = F.array(*(F.lit(g - starts[s]).cast("long") for g, s in zip(begins, shard_of))) \
         if begins else F.array(F.lit(0).cast("long"))
-    order = Window.partitionBy("__run").orderBy("__h", "__id", "__tie")
-    placed = (keyed.withColumn("__run", run_of("__h", "__id", "__tie"))
-              .withColumn("__slot", F.row_number().over(order) - 1 + first[F.col("__run")])
+    runned = keyed.withColumn("__run", run_of(*key)).withColumn("__slot", F.lit(0).cast("long"))
+    if divided:
+        table = F.broadcast(spark.createDataFrame(
+            [(*k, g) for k, g in divided.items()], "__h long, __id long, __tie long, first long"))
+        same = (keyed.join(table.drop("first"), key, "left_semi").sortWithinPartitions(*key)
+                .withColumn("__shard", F.shiftrightunsigned(place, 33))
+                .withColumn("__slot", place.bitwiseAND(F.lit((1 << 33) - 1))).checkpoint())
+        ahead = Window.partitionBy(*key).orderBy("__shard").rowsBetween(Window.unboundedPreceding, -1)
+        shift = (same.groupBy(*key, "__shard").agg(F.min("__slot").alias("at"), F.count("*").alias("rows"))
+                 .withColumn("ahead", F.coalesce(F.sum("rows").over(ahead), F.lit(0)))
+                 .join(table, key)
+                 .select(*key, "__shard", (F.col("first") + F.col("ahead") - F.col("at")).alias("__run")))
+        same = (same.join(F.broadcast(shift), [*key, "__shard"])
+                .withColumn("__slot", F.col("__slot") + F.col("__run"))
+                .withColumn("__run", run_at("__slot")))
+        runned = (runned.join(table.drop("first"), key, "left_anti").select(*own, *key, "__run", "__slot")
+                  .union(same.select(*own, *key, "__run", "__slot")))
+    order = Window.partitionBy("__run").orderBy(*key, "__slot")
+    placed = (runned.withColumn("__slot", F.row_number().over(order) - 1 + first[F.col("__run")])
               .withColumn("__shard", shard[F.col("__run")]))
     placed.select(*own, "__slot", "__shard").write.partitionBy("__shard").parquet(path)
 

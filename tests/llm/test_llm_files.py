@@ -238,3 +238,17 @@ def test_cuts_are_of_all_rows(spark):
     hilbert.write_shards(docs, path, dimensions=("source", "lang"), shards=4)
     order = [r.source for r in hilbert.read_shards(docs, path).orderBy("__shard", "__slot").collect()]
     assert len(order) == 60_000 and 1 + sum(a != b for a, b in zip(order, order[1:])) == 42
+
+
+def test_equal_rows_are_divided(spark):
+    """Shards start among rows equal in id and text, which may differ in another column."""
+    rows = [(None if k % 3 else k, "same text" if k % 3 else f"text {k % 50}", k % 4) for k in range(600)]
+    rows += [(7, "seven", 0)] * 200
+    docs = spark.createDataFrame(rows, "doc_id long, text string, other int").selectExpr(
+        "*", "'s' AS source", "'en' AS lang", "length(text) AS n_chars").repartition(5)
+    check_shards(hilbert.shard_documents(docs, shards=7, runs_per_shard=3).collect(),
+                 [(i, t) for i, t, _ in rows], 7)
+    path = storage.shared_folder(spark, "shards-equal-test")
+    hilbert.write_shards(docs, path, shards=7)
+    assert Counter(map(tuple, hilbert.read_shards(docs, path).select("doc_id", "text", "other").collect())
+                   ) == Counter(rows)
