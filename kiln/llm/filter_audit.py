@@ -9,6 +9,7 @@ of it is DataFrame functions.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from itertools import permutations
 
@@ -122,8 +123,8 @@ def interactions(rows: DataFrame, filters: Sequence[str], part: str = "part", n:
     if not 0 < len(filters) <= MAX_FILTERS:
         raise ValueError(f"1 to {MAX_FILTERS} filters can be audited")
     orders = list(permutations(range(len(filters))))
-    bits = F.lit([[1 << f for f in o] for o in orders])
-    names = F.lit(["".join(filters[f] for f in o) for o in orders])
+    bits = F.from_json(F.lit(str([[1 << f for f in o] for o in orders])), "array<array<int>>")
+    names = F.from_json(F.lit(json.dumps(["".join(filters[f] for f in o) for o in orders])), "array<string>")
     mask = sum((F.when(F.col(c), F.lit(1 << k)).otherwise(F.lit(0)) for k, c in enumerate(filters)), F.lit(0))
     one = F.lit(1) if n is None else F.col(n)
     cells = (rows.select(F.col(part).alias("part"), mask.alias("mask"), one.cast("long").alias("n"),
