@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .tokens import piece_encoder, tokenizer_path
+from .tokens import byte_encoder, piece_encoder, tokenizer_path
 
 SEQUENCE_TOKENS = 1024
 TOKENIZER = "byte_bpe_50k.json"
@@ -136,7 +136,13 @@ class SumOfSquares:
 
 def _pack_partition(batches: Iterator[pa.RecordBatch], path: str, spaced: bool, size: int,
                     end_id: int, max_open: int, task: int) -> Iterator[pa.RecordBatch]:
-    encoder = piece_encoder(path, spaced)
+    if spaced:
+        fast = byte_encoder(path, special=True)
+
+        def encode(texts):
+            return [fast.encode(t).astype("<u4").tobytes() if t else b"" for t in texts]
+    else:
+        encode = piece_encoder(path, spaced).encode
     end = int(end_id).to_bytes(4, "little")
     out: list[tuple] = []
     next_id = task * SEQUENCES_PER_TASK
@@ -167,7 +173,7 @@ def _pack_partition(batches: Iterator[pa.RecordBatch], path: str, spaced: bool,
         for lo in range(0, batch.num_rows, 128):
             part = batch.slice(lo, 128)
             for doc, ids in zip(part.column(0).to_pylist(),
-                                encoder.encode(part.column(1).to_pylist())):
+                                encode(part.column(1).to_pylist())):
                 ids += end
                 total = len(ids) // 4
                 whole = total // size * size
@@ -192,7 +198,9 @@ def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Each row of ``docs`` is a document of its own, also when its id or its text
     repeats or its id is null.  Its ids are those of the whole text followed by
     ``end_id``; a null or empty text has the end id alone.  No rows give no pieces.
-    Other columns of ``docs`` are not read, whatever their names.
+    Other columns of ``docs`` are not read, whatever their names.  Equal items go to the
+    same levels in whatever order they are read; texts of any length are packed whole.
+    ``spaced`` says that ``tokenizer`` is byte-level.
     """
     path = tokenizer or tokenizer_path(TOKENIZER)
 
