@@ -19,14 +19,15 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from .storage import shared_folder
 from .tokens import ByteEncoder, tokenizer_path
 
 #: text that is aligned at a time (a single text may be longer), and documents
-BATCH_CHARS = 1 << 20
-BATCH_DOCS = 512
+BATCH_CHARS = 1 << 18
+BATCH_DOCS = 256
 
 _DETAIL = "a_ids array<int>, b_ids array<int>, overlaps array<struct<a:int,b:int>>, groups string"
 
@@ -40,6 +41,8 @@ class TokenPair:
         self.a = ByteEncoder(a_path, special=False)
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         self.n_b = self.b.get_piece_size()
+        #: type of a link: an id pair as one number
+        self.link_type = np.dtype("<u4" if self.a.size * self.n_b <= 1 << 32 else "<u8")
         self.a_bytes = [self.a.bytes_of.get(i, b"") for i in range(self.a.size)]
         self.b_bytes = [self._piece(i) for i in range(self.n_b)]
         self.a_size = np.array([len(x) for x in self.a_bytes])
@@ -144,7 +147,7 @@ class Aligned:
 
     def links(self) -> np.ndarray:
         """The id pair of each link as one number."""
-        return self.a[self.link_a] * self.pair.n_b + self.b[self.link_b]
+        return (self.a[self.link_a] * self.pair.n_b + self.b[self.link_b]).astype(self.pair.link_type)
 
     def detail(self) -> dict[str, pa.Array]:
         """Ids, overlapping token places and groups of each document."""
@@ -163,15 +166,16 @@ class Aligned:
                 "groups": pa.array([g.decode() for g in self.groups()])}
 
 
-def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
-    lo, size = 0, 0
-    for k, t in enumerate(texts):
-        if k > lo and (size + len(t) > BATCH_CHARS or k - lo >= BATCH_DOCS):
+def _slices(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Runs of texts of at most ``BATCH_CHARS`` (one text may have more)."""
+    lo, total = 0, 0
+    for k, size in enumerate(sizes):
+        if k > lo and (total + size > BATCH_CHARS or k - lo >= BATCH_DOCS):
             yield lo, k
-            lo, size = k, 0
-        size += len(t)
-    if texts:
-        yield lo, len(texts)
+            lo, total = k, 0
+        total += size
+    if sizes:
+        yield lo, len(sizes)
 
 
 def _paths(a_path: str | None, b_path: str | None) -> tuple[str, str]:
@@ -184,7 +188,8 @@ def align_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``docs``, in one pass without a shuffle.
 
     ``links`` holds ``a_id * (size of B's vocabulary) + b_id`` of each pair of tokens whose
-    byte ranges end together, in order, as little-endian 64-bit integers.  ``detail`` adds
+    byte ranges end together, in order, as little-endian unsigned integers
+    (``TokenPair.link_type``: 32 bits if they fit).  ``detail`` adds
     ``a_ids``, ``b_ids``, ``overlaps`` (places of all pairs of tokens that share a byte) and
     ``groups`` (``a1,a2|b1;a3|b2,b3``).  Special tokens' strings in a text are plain text.
 
@@ -199,9 +204,9 @@ def align_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = token_pair(*paths)
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            for lo, hi in _slices(texts):
-                got = Aligned(pair, texts[lo:hi])
+            sizes = pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_pylist()
+            for lo, hi in _slices(sizes):
+                got = Aligned(pair, [t or "" for t in batch.column("text").slice(lo, hi - lo).to_pylist()])
                 ends = np.append(0, np.cumsum(got.n_links)).tolist()
                 links = got.links()
                 cols = {
@@ -221,7 +226,7 @@ def align_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                f"groups_sha256 string{', ' + _DETAIL if detail else ''}")
 
 
-def link_counts(aligned: DataFrame, n_b: int) -> DataFrame:
+def link_counts(aligned: DataFrame, n_b: int, link_type: np.dtype) -> DataFrame:
     """``pair, n, is_best`` of all linked id pairs: how many links hold the pair, and whether
     no pair of the same B id is linked more often.  Counted in each task before the shuffle;
     the pairs are bounded by the vocabularies (see the module)."""
@@ -230,9 +235,9 @@ def link_counts(aligned: DataFrame, n_b: int) -> DataFrame:
         for batch in batches:
             col = batch.column("links")
             for lo in range(0, len(col), BATCH_DOCS):
-                links = np.frombuffer(b"".join(col.slice(lo, BATCH_DOCS).to_pylist()), np.int64)
+                links = np.frombuffer(b"".join(col.slice(lo, BATCH_DOCS).to_pylist()), link_type)
                 new, n = np.unique(links, return_counts=True)
-                keys, back = np.unique(np.concatenate([keys, new]), return_inverse=True)
+                keys, back = np.unique(np.concatenate([keys, new.astype(np.int64)]), return_inverse=True)
                 total = np.zeros(len(keys), np.int64)
                 np.add.at(total, back, np.concatenate([counts, n]))
                 counts = total
@@ -243,7 +248,7 @@ def link_counts(aligned: DataFrame, n_b: int) -> DataFrame:
     return counts.select("pair", "n", (F.col("n") == F.max("n").over(same_b)).alias("is_best"))
 
 
-def with_counts(spark: SparkSession, aligned: DataFrame, counts: DataFrame) -> DataFrame:
+def with_counts(spark: SparkSession, aligned: DataFrame, counts: DataFrame, link_type: np.dtype) -> DataFrame:
     """``aligned`` with ``n_links``, ``n_best`` (links whose pair is a best of its B id) and
     ``count_sum`` (the counts of all links).  The counts, bounded by the vocabularies, are
     looked up in a broadcast."""
@@ -260,8 +265,8 @@ def with_counts(spark: SparkSession, aligned: DataFrame, counts: DataFrame) -> D
             for lo in range(0, len(col), BATCH_DOCS):
                 rows = batch.slice(lo, BATCH_DOCS)
                 data = rows.column("links").to_pylist()
-                at = np.searchsorted(pairs, np.frombuffer(b"".join(data), np.int64))
-                ends = np.append(0, np.cumsum([len(x) // 8 for x in data])).astype(np.int64)
+                at = np.searchsorted(pairs, np.frombuffer(b"".join(data), link_type))
+                ends = np.append(0, np.cumsum([len(x) // link_type.itemsize for x in data])).astype(np.int64)
 
                 def summed(values: np.ndarray) -> pa.Array:
                     total = np.append(0, np.cumsum(values[at].astype(np.int64)))
@@ -288,6 +293,7 @@ def alignment_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     folder = shared_folder(spark, "alignment")
     align_documents(docs, id_col, text_col, *paths, detail=False).drop("n_overlaps").write.parquet(folder)
     aligned = spark.read.parquet(folder)
-    counts = link_counts(aligned, token_pair(*paths).n_b)
-    return with_counts(spark, aligned, counts).select(
+    pair = token_pair(*paths)
+    counts = link_counts(aligned, pair.n_b, pair.link_type)
+    return with_counts(spark, aligned, counts, pair.link_type).select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")

@@ -132,8 +132,8 @@ def test_batches_do_not_matter(monkeypatch):
     alone = [al.Aligned(pair, [t]).groups()[0] for t in texts]
     assert al.Aligned(pair, texts).groups() == alone
     monkeypatch.setattr(al, "BATCH_CHARS", 10)
-    assert list(al._slices(texts)) == [(0, 2), (2, 4), (4, 5), (5, 6)] or sum(
-        hi - lo for lo, hi in al._slices(texts)) == len(texts)
+    assert list(al._slices([len(t) for t in texts])) == [(0, 2), (2, 4), (4, 5), (5, 6)]
+    assert list(al._slices([])) == []
 
 
 @pytest.mark.parametrize("special", [False, True])
