@@ -2,35 +2,37 @@
 paths with routes, property-graph assembly.
 
 Both iterative operators run the same round: join the per-vertex state to
-the edges on the source vertex, emit one message per edge, reduce the
-messages per destination (partial aggregation before the shuffle) and
-fold the result into the state with a left join on the vertex id.
-:class:`EdgeIndex` prepares the edges once so that a round moves no edge:
-
-* edges of ordinary sources are hash-partitioned by ``src`` (and cached
-  materialised, so the cache keeps that partitioning);
-* edges of heavy sources (out-degree above a fair partition share, so fewer
-  of them than partitions) are spread evenly instead and joined to a
-  broadcast of just those sources' state, so one vertex holding a third of
-  all edges never lands in one task.
-
-What a round changes is written as a reliable ``checkpoint()``, so lineage
-never grows beyond one round and a lost executor costs at most one round of
-recomputation; nothing is left in the catalog.  PageRank changes every
-vertex and writes them all; shortest paths writes the vertices that improved
-and folds them into the distances now and then.  Convergence figures are
-observed while the state is written, so a round costs no extra job.
+the edges on the source vertex, emit one message per edge and reduce the
+messages per destination (partial aggregation before the shuffle).
+:class:`EdgeIndex` prepares the edges once, as tables on shared storage, so that
+a round moves no edge and a lost executor only reads its buckets again:
+
+* ordinary sources: adjacency lists, bucketed by ``src``; the state, hashed
+  by vertex into as many partitions, meets them without an exchange.  A list
+  holds a bounded number of edges, a vertex with more has several;
+* heavy sources (more edges than a fair partition share, so fewer of them
+  than partitions): edges spread evenly and joined to a broadcast of just those
+  sources' state, so one vertex holding a third of all edges never lands in
+  one task.
+
+PageRank works on residuals: what a vertex received since it last passed
+something on.  Only vertices with a residual worth sending touch their edges, and
+several rounds run as one job that ends in a reliable ``checkpoint()``.  Shortest
+paths writes the vertices that improved in a round and folds them into the
+distances now and then.  Convergence figures are observed while the state is
+written, so a round costs no extra job.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 from kiln.session import checkpoint_dir
 
@@ -43,6 +45,8 @@ DEFAULT_VERTEX_NAME = "missing"
 # -----------------------------------------------------------------------------
 
 INF = float("inf")
+#: edges of one adjacency list, on average at most
+LIST_EDGES = 4096
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
@@ -53,11 +57,16 @@ def _partitions(df: DataFrame, num_partitions: int | None) -> int:
 class EdgeIndex:
     """Edges ready for repeated joins with per-vertex state on ``src``.
 
-    ``cold``: ordinary edges, hash-partitioned by ``src``; ``hot``: edges of
-    heavy sources, spread round-robin; ``hot_ids``: ``(src, out_degree)`` of
-    the heavy sources, fewer than ``num_partitions`` rows.  Every edge row
-    carries ``out_degree``.  ``vertices``: the ends of all edges and the ids
-    given beside them.
+    ``cold``: ``(src, out_degree, own, edges array<(dst, w)>)``, adjacency lists of
+    ordinary sources, bucketed by ``src``; ``hot``: ``(src, dst, w, out_degree)``,
+    edges of heavy sources, spread over files; ``hot_ids``: ``(src, out_degree)`` of
+    the heavy sources, fewer than ``num_partitions`` rows.  ``w`` is the weight, or the number
+    of parallel edges.  ``vertices``: the ends of all edges and the ids given beside them.
+    With loops, every vertex has one list that is its ``own``: it holds an edge to
+    itself with ``w = 0``, along which a round hands on its state.
+
+    The tables live in a database of their own below the checkpoint folder;
+    :meth:`release` drops it with its files.
     """
     cold: DataFrame
     hot: DataFrame | None
@@ -66,22 +75,21 @@ class EdgeIndex:
     degrees: DataFrame
     num_partitions: int
     min_weight: float | None
+    database: str
 
     @staticmethod
     def build(edges: DataFrame, num_partitions: int | None = None,
               weight: str | None = None, vertices: DataFrame | None = None,
-              drop_malformed: bool = False) -> "EdgeIndex":
+              drop_malformed: bool = False, loops: bool = False) -> "EdgeIndex":
         """``vertices`` (column ``id``) adds vertices that need not have edges.  An edge
         without both ends (or, when weighted, without a weight) fails the job unless
-        ``drop_malformed`` leaves it out."""
+        ``drop_malformed`` leaves it out.  Of parallel edges the smallest weight counts."""
         spark = edges.sparkSession
-        checkpoint_dir(spark)
+        folder = checkpoint_dir(spark)
         n = _partitions(edges, num_partitions)
         cols = [F.col("src").cast("bigint").alias("src"), F.col("dst").cast("bigint").alias("dst")]
         if weight:
             cols.append(F.col(weight).cast("double").alias("weight"))
-        # the edge list feeds the degrees and the partitioned copies: build
-        # it once
         present = F.col("src").isNotNull() & F.col("dst").isNotNull()
         if weight:
             present = present & F.col("weight").isNotNull()
@@ -94,67 +102,77 @@ class EdgeIndex:
             ok = F.when(present, F.lit(True)).otherwise(
                 F.raise_error(F.concat(F.lit("malformed edge: "), row)).cast("boolean"))
             e = e.where(ok)
-        e = e.persist(StorageLevel.MEMORY_AND_DISK)
-        deg = (e.groupBy("src").agg(
-            F.count(F.lit(1)).alias("out_degree"),
-            *([F.min("weight").alias("_wmin")] if weight else [])).repartition(n, "src")
-            .persist(StorageLevel.MEMORY_AND_DISK))
-        stats = deg.agg(F.sum("out_degree").alias("m"), F.max("out_degree").alias("top"),
-                        *([F.min("_wmin").alias("w")] if weight else [])).first()
-        total = stats["m"] or 0
-        min_weight = stats["w"] if weight else None
-        # heavy = more edges than a fair share of one partition: fewer than n sources
-        threshold = math.ceil(total / n)
-        has_hot = (stats["top"] or 0) > threshold
-        hot_ids = None
-        if has_hot:
-            hot_ids = (deg.where(F.col("out_degree") > threshold)
-                       .select("src", "out_degree").checkpoint(eager=True))
-        degrees, deg = deg, deg.select("src", "out_degree")
-        if has_hot:
-            flag = hot_ids.select("src", F.lit(True).alias("_hot"))
-            flagged = e.join(F.broadcast(flag), "src", "left")
-            cold_e = flagged.where(F.col("_hot").isNull()).drop("_hot")
-            hot_e = (flagged.where(F.col("_hot")).drop("_hot")
-                     .join(F.broadcast(hot_ids), "src")
-                     .repartition(n).persist(StorageLevel.MEMORY_AND_DISK))
-        else:
-            cold_e, hot_e, hot_ids = e, None, None
-        cold = (cold_e.repartition(n, "src").join(deg, "src")
-                .persist(StorageLevel.MEMORY_AND_DISK))
-        # materialise now: a cached frame reports its hash partitioning (and
-        # so spares the per-round edge shuffle) only once it is built
-        cold.count()
-        parts = [cold]
-        if hot_e is not None:
-            hot_e.count()
-            parts.append(hot_e)
-        # from here on only the partitioned copies are read: keep one copy
-        e.unpersist()
-        ends = [p.select(F.col(c).alias("id")) for p in parts for c in ("src", "dst")]
+        name = f"kiln_edges_{uuid.uuid4().hex}"
+        spark.sql(f"CREATE DATABASE {name} LOCATION '{folder}/{name}'")
+        # the source is read once; all else starts from this table
+        value = F.min("weight") if weight else F.count(F.lit(1)).cast("double")
+        e.groupBy("src", "dst").agg(value.alias("w")).write.saveAsTable(f"{name}.pairs")
+        pairs = spark.table(f"{name}.pairs")
+        ends = [pairs.select(F.col(c).alias("id")) for c in ("src", "dst")]
         if vertices is not None:
             ends.append(vertices.select(F.col("id").cast("bigint").alias("id")).where("id IS NOT NULL"))
         known = reduce(DataFrame.union, ends).distinct()
-        return EdgeIndex(cold, hot_e, hot_ids, known, degrees, n, min_weight)
+        if loops:
+            known.write.saveAsTable(f"{name}.vertices")
+            known = spark.table(f"{name}.vertices")
+        per_source = pairs.groupBy("src").agg(
+            (F.count(F.lit(1)) if weight else F.sum("w").cast("bigint")).alias("out_degree"),
+            F.count(F.lit(1)).alias("pairs"), F.min("w").alias("least"))
+        stats = per_source.agg(F.sum("pairs").alias("m"), F.max("pairs").alias("top"),
+                               F.min("least").alias("w")).first()
+        # heavy = more edges than a fair share of one partition: fewer than n sources
+        threshold = math.ceil((stats["m"] or 0) / n)
+        cold, hot, hot_ids = pairs, None, None
+        if (stats["top"] or 0) > threshold:
+            hot_ids = (per_source.where(F.col("pairs") > threshold)
+                       .select("src", "out_degree").checkpoint(eager=True))
+            cold = pairs.join(F.broadcast(hot_ids.select("src")), "src", "left_anti")
+            (pairs.join(F.broadcast(hot_ids), "src").repartition(n)
+             .write.saveAsTable(f"{name}.hot"))
+            hot = spark.table(f"{name}.hot")
+        if loops:
+            cold = cold.unionByName(known.select(F.col("id").alias("src"), F.col("id").alias("dst"),
+                                                 F.lit(0.0).alias("w")))
+        # everything below is clustered by src already: no exchange but this one
+        cold = cold.repartition(n, "src")
+        sized = cold.groupBy("src").agg(
+            (F.count(F.lit(1)) if weight else F.sum("w").cast("bigint")).alias("out_degree"),
+            F.ceil(F.count(F.lit(1)) / LIST_EDGES).alias("lists"))
+        lists = (cold.join(sized, "src")
+                 .withColumn("list", F.pmod(F.xxhash64("dst"), "lists"))
+                 .groupBy("src", "out_degree", "list")
+                 .agg((F.min("w") == 0).alias("own") if loops else F.lit(False).alias("own"),
+                      F.collect_list(F.struct("dst", "w")).alias("edges")).drop("list"))
+        (lists.write.bucketBy(n, "src").sortBy("src").saveAsTable(f"{name}.cold"))
+        return EdgeIndex(spark.table(f"{name}.cold"), hot, hot_ids, known,
+                         per_source.select("src", "out_degree"), n, stats["w"], name)
 
     def release(self) -> None:
-        """Drop the persisted edges (results are checkpointed, nothing
-        built on them remains)."""
-        self.cold.unpersist()
-        self.degrees.unpersist()
-        if self.hot is not None:
-            self.hot.unpersist()
+        """Drop the tables with their files (results are checkpointed, nothing built on
+        them remains)."""
+        self.vertices.sparkSession.sql(f"DROP DATABASE {self.database} CASCADE")
 
-    def join_state(self, state: DataFrame, key: str = "id") -> DataFrame:
-        """Every edge whose source has a row in ``state`` (one row per vertex,
-        keyed by ``key``), with the state's columns added."""
-        cold = self.cold.join(state, self.cold.src == state[key])
+    def join_lists(self, state: DataFrame, key: str = "id") -> DataFrame:
+        """The adjacency lists of ordinary sources that have a row in ``state``, with the
+        state's columns: the state is sorted into the buckets, the lists stay."""
+        return self.cold.hint("merge").join(state, self.cold.src == state[key])
+
+    def join_hot(self, state: DataFrame, key: str = "id") -> DataFrame | None:
+        """The edges of heavy sources that have a row in ``state``, with its columns."""
         if self.hot is None:
-            return cold
+            return None
         heavy = self.hot_ids.select(F.col("src").alias("_hot_src"))
         hot_state = state.join(F.broadcast(heavy), state[key] == heavy._hot_src).drop("_hot_src")
-        hot = self.hot.join(F.broadcast(hot_state), self.hot.src == hot_state[key])
-        return cold.unionByName(hot)
+        return self.hot.join(F.broadcast(hot_state), self.hot.src == hot_state[key])
+
+    def join_state(self, state: DataFrame, key: str = "id") -> DataFrame:
+        """Every edge ``(src, out_degree, dst, w)`` whose source has a row in ``state`` (one
+        row per vertex, keyed by ``key``), with the state's columns added."""
+        cols = ["src", "out_degree", "dst", "w", *state.columns]
+        cold = self.join_lists(state, key).select(
+            "src", "out_degree", *state.columns, F.inline("edges")).select(cols)
+        hot = self.join_hot(state, key)
+        return cold if hot is None else cold.unionByName(hot.select(cols))
 
 
 def _cut(df: DataFrame, metric: Column | None = None) -> tuple[DataFrame, object]:
@@ -203,39 +221,115 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, max_iter: int
     """
     if tol is None and max_iter is None:
         raise ValueError("give a tolerance or a number of updates")
-    idx = EdgeIndex.build(edges, num_partitions, None, vertices, drop_malformed)
-    if drop_unlinked:
-        first = idx.degrees.select(F.col("src").alias("id"), F.lit(1.0).alias("rank"))
-    else:
-        first = idx.vertices.select("id", F.lit(1.0).alias("rank"))
-    state, _ = _cut(first)
-    rounds, converged = 0, False
+    idx = EdgeIndex.build(edges, num_partitions, None, vertices, drop_malformed, loops=not drop_unlinked)
+    run = _linked_ranks if drop_unlinked else _residual_ranks
+    ranks, rounds, converged = run(idx, max_iter, tol, signed_tolerance)
+    idx.release()
+    if tol is not None and not converged:
+        raise NotConverged(f"ranks still move after {rounds} updates")
+    return PageRankResult(ranks.select("id", "rank"), rounds, converged)
+
+
+#: updates that run as one job, between two checkpoints
+ROUNDS_PER_JOB = 8
+#: share of the tolerance below which a residual waits at its vertex
+HOLD = 1e-5
+
+
+def _residual_round(idx: EdgeIndex, state: DataFrame, hold: float, first: bool) -> DataFrame:
+    """``(id, rank, res)`` after one update.
+
+    A vertex passes its residual on along its edges and its rank to itself along its own
+    list; one whose residual is not above ``hold`` keeps it and touches no edge.  A kept
+    residual travels as a contribution, which the rank handed on leaves out."""
+    # the first update starts from ranks of 1: 0.15 + 0.85 * sum, less the 1
+    offset = RESET - 1.0 if first else 0.0
+    hot = "" if idx.hot is None else f"""
+        UNION ALL
+        SELECT dst, res * w / e.out_degree, CAST(NULL AS DOUBLE)
+        FROM {{hot}} e JOIN (SELECT /*+ BROADCAST(h) */ id, res FROM {{state}} s JOIN {{ids}} h ON s.id = h.src
+                             WHERE abs(res) > {hold!r}) b ON e.src = b.id"""
+    extra = {} if idx.hot is None else {"hot": idx.hot, "ids": idx.hot_ids}
+    return state.sparkSession.sql(f"""
+        SELECT id, rank + res + {offset!r} AS rank, res + {offset!r} AS res FROM (
+          SELECT dst AS id, max(rank) AS rank, {DAMPING!r} * coalesce(sum(c), 0.0D) AS res FROM (
+            SELECT dst, CASE WHEN w <> 0 THEN give * w ELSE wait / {DAMPING!r} END AS c,
+                   CASE WHEN w = 0 THEN rank - coalesce(wait, 0.0D) END AS rank
+            FROM (SELECT inline(CASE WHEN abs(res) > {hold!r} THEN edges
+                                     ELSE array(named_struct('dst', id, 'w', 0.0D)) END),
+                         res / out_degree AS give, rank, CASE WHEN abs(res) <= {hold!r} THEN res END AS wait
+                  FROM (SELECT /*+ SHUFFLE_HASH(s) */ * FROM {{cold}} e JOIN {{state}} s ON e.src = s.id
+                        WHERE abs(res) > {hold!r} OR own))
+            {hot}) GROUP BY dst)""", cold=idx.cold, state=state, **extra)
+
+
+@contextmanager
+def _fixed_plans(spark: SparkSession, partitions: int):
+    """Without adaptive execution: a round's plan is the same every time, its exchange has as
+    many partitions as the index has buckets, and planning anew after each of a job's
+    many stages takes as long as a small round."""
+    wanted = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(partitions)}
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def _residual_ranks(idx: EdgeIndex, max_iter: int | None, tol: float | None,
+                    signed: bool) -> tuple[DataFrame, int, bool]:
+    """Ranks of all vertices.  The updates are those of the plain recursion: what moves a
+    rank in one update is 0.85 times what moved its in-neighbours in the one before."""
+    hold = 0.0 if tol is None else tol * HOLD
+    state, _ = _cut(idx.vertices.select("id", F.lit(1.0).alias("rank"), F.lit(1.0).alias("res")))
+    rounds = 0
+    worst = F.max(F.col("res") if signed else F.abs("res"))
+
+    def job(n: int) -> tuple[DataFrame, bool]:
+        cur = state
+        with _fixed_plans(state.sparkSession, idx.num_partitions):
+            for k in range(n):
+                cur = _residual_round(idx, cur, hold, rounds + k == 0)
+            cur, moved = _cut(cur, worst)
+        return cur, tol is not None and (moved is None or moved <= tol)
+
+    # without absolute value the largest move can fall below the tolerance and rise again
+    n = 1 if signed else ROUNDS_PER_JOB
     while max_iter is None or rounds < max_iter:
-        msgs = idx.join_state(state).select(
-            "dst", (F.col("rank") / F.col("out_degree")).alias("c"))
-        sums = msgs.groupBy("dst").agg(F.sum("c").alias("s"))
-        if drop_unlinked:
-            new = (sums.join(state, sums.dst == state.id, "left")
-                   .select(F.col("dst").alias("id"),
-                           (RESET + DAMPING * F.col("s")).alias("rank"),
-                           F.col("rank").alias("prev")))
-        else:
-            new = (state.join(sums, state.id == sums.dst, "left")
-                   .select("id", (RESET + DAMPING * F.coalesce("s", F.lit(0.0))).alias("rank"),
-                           F.col("rank").alias("prev")))
+        n = n if max_iter is None else min(n, max_iter - rounds)
+        new, still = job(n)
+        if still and n > 1:
+            # the first update that moves no rank is among these: take them one by one
+            n = 1
+            continue
+        state, rounds = new, rounds + n
+        if still:
+            return state, rounds, True
+    return state, rounds, False
+
+
+def _linked_ranks(idx: EdgeIndex, max_iter: int | None, tol: float | None,
+                  signed: bool) -> tuple[DataFrame, int, bool]:
+    """Ranks that start at the sources and stay with vertices that receive something."""
+    state, _ = _cut(idx.degrees.select(F.col("src").alias("id"), F.lit(1.0).alias("rank")))
+    rounds = 0
+    while max_iter is None or rounds < max_iter:
+        sums = (idx.join_state(state)
+                .select("dst", (F.col("rank") * F.col("w") / F.col("out_degree")).alias("c"))
+                .groupBy("dst").agg(F.sum("c").alias("s")))
+        new = (sums.join(state, sums.dst == state.id, "left")
+               .select(F.col("dst").alias("id"), (RESET + DAMPING * F.col("s")).alias("rank"),
+                       F.col("rank").alias("prev")))
         moved = F.col("rank") - F.col("prev")
-        if not signed_tolerance:
-            moved = F.abs(moved)
         # largest move among vertices present in both rounds (null: none)
-        state, worst = _cut(new, F.max(moved) if tol is not None else None)
-        rounds += 1
+        state, worst = _cut(new, F.max(moved if signed else F.abs(moved)) if tol is not None else None)
+        state, rounds = state.select("id", "rank"), rounds + 1
         if tol is not None and (worst is None or worst <= tol):
-            converged = True
-            break
-    idx.release()
-    if tol is not None and not converged:
-        raise NotConverged(f"ranks still move after {rounds} updates")
-    return PageRankResult(state.select("id", "rank"), rounds, converged)
+            return state, rounds, True
+    return state, rounds, False
 
 
 def property_graph(vertices: DataFrame, edges: DataFrame, default: str = DEFAULT_VERTEX_NAME,
@@ -256,6 +350,16 @@ class ShortestPaths:
     rounds: int
 
 
+class NegativeCycle(ValueError):
+    """A cycle of negative weight is reachable, so there are no shortest routes; ``cycle`` holds
+    ``(id, pred)`` of the vertices on such cycles."""
+
+    def __init__(self, cycle: DataFrame):
+        n, least = cycle.agg(F.count(F.lit(1)), F.min("id")).first()
+        super().__init__(f"negative cycle: {n} vertices, the smallest is {least}")
+        self.cycle = cycle
+
+
 #: rounds of improvements that are kept beside the distances before they are folded in
 FOLD_ROUNDS = 8
 
@@ -280,12 +384,16 @@ def shortest_distances(edges: DataFrame, source: int, weight: str = "weight",
     the hop count of the longest shortest route plus one); with ``max_iter`` it
     fails (:class:`NotConverged`) when that takes more.  ``vertices`` (column
     ``id``) adds vertices without edges; a source that is no vertex reaches
-    none.  Negative weights are rejected (relaxation would not end on a negative
-    cycle); malformed edges fail unless ``drop_malformed``.
+    none.  Weights may be negative; a cycle of negative weight that the source reaches
+    raises :class:`NegativeCycle`.  It is looked for after 8, 16, 32, .. rounds, in the
+    predecessors: on a cycle of predecessors every value is at least its predecessor's
+    plus the edge, with more hops, so the weights add up to less than zero; and once values
+    are below every route without repeats, the predecessors must have a cycle.
+    Malformed edges fail unless ``drop_malformed``.
     """
     idx = index or EdgeIndex.build(edges, num_partitions, weight, vertices, drop_malformed)
-    if idx.min_weight is not None and idx.min_weight < 0:
-        raise ValueError("negative edge weights are not supported")
+    signed = idx.min_weight is not None and idx.min_weight < 0
+    look_at = FOLD_ROUNDS
     value = F.struct("dist", "hops", "pred")
     base, _ = _cut(idx.vertices.where(F.col("id") == F.lit(source)).select(
         "id", F.lit(0.0).alias("dist"), F.lit(0).alias("hops"),
@@ -300,7 +408,7 @@ def shortest_distances(edges: DataFrame, source: int, weight: str = "weight",
         if max_iter is not None and rounds >= max_iter:
             raise NotConverged(f"distances still fall after {rounds} rounds")
         offers = idx.join_state(frontier).select(
-            "dst", F.struct((F.col("dist") + F.col("weight")).alias("dist"),
+            "dst", F.struct((F.col("dist") + F.col("w")).alias("dist"),
                             (F.col("hops") + 1).alias("hops"), F.col("src").alias("pred")).alias("m"))
         best = offers.groupBy("dst").agg(F.min("m").alias("b"))
         # a vertex has a row for each time it improved, the smallest counts
@@ -319,6 +427,13 @@ def shortest_distances(edges: DataFrame, source: int, weight: str = "weight",
         frontier = changed.where("moved").drop("moved")
         if len(recent) >= FOLD_ROUNDS:
             base, recent = _cut(folded())[0], []
+        if signed and rounds >= look_at:
+            look_at *= 2
+            cycle = predecessor_cycles(folded().select("id", "pred"), idx.num_partitions)
+            if cycle is not None:
+                if index is None:
+                    idx.release()
+                raise NegativeCycle(cycle)
     reached = folded()
     state, _ = _cut(idx.vertices.join(reached, "id", "left").select(
         "id", F.coalesce("dist", F.lit(INF)).alias("dist"), "hops", "pred"))
@@ -337,19 +452,64 @@ def predecessors(idx: EdgeIndex, dist: DataFrame, source: int) -> DataFrame:
     distances obtained elsewhere.)"""
     reached = dist.where(F.col("dist") < INF).select("id", "dist", "hops")
     msgs = idx.join_state(reached).select(
-        "dst", F.struct((F.col("dist") + F.col("weight")).alias("d"),
+        "dst", F.struct((F.col("dist") + F.col("w")).alias("d"),
                         (F.col("hops") + 1).alias("h"), F.col("src").alias("s")).alias("m"))
     best = msgs.groupBy("dst").agg(F.min("m").alias("b"))
     return (best.where(F.col("dst") != F.lit(source))
             .select(F.col("dst").alias("id"), F.col("b.s").alias("pred")))
 
 
-def routes(preds: DataFrame, source: int) -> DataFrame:
+#: pieces that a fair partition share of one ancestor's followers is cut into
+PIECES = 16
+
+
+def _follow(rows: DataFrame, look: DataFrame, n: int, how: str = "inner") -> DataFrame:
+    """``rows`` joined to ``look`` (one row per ``a_id``) on ``anc = a_id``.
+
+    An ancestor that more rows share than fit a fair partition share is split: its
+    row is repeated, and its followers are dealt over the copies by their id.  Such
+    ancestors are fewer than partitions, so their list is broadcast; the rest is hashed."""
+    counts = rows.groupBy("anc").agg(F.count(F.lit(1)).alias("n"))
+    fair = rows.agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(n)), F.lit(1))).first()[0]
+    heavy = (counts.where(F.col("n") > fair)
+             .select(F.col("anc").alias("h_id"), F.ceil(F.col("n") * PIECES / fair).alias("h_n"))
+             .checkpoint(eager=True))
+    dealt = (rows.join(F.broadcast(heavy), F.col("anc") == F.col("h_id"), "left")
+             .withColumn("piece", F.pmod(F.xxhash64("id"), F.coalesce("h_n", F.lit(1))))
+             .drop("h_id", "h_n"))
+    copies = (look.join(F.broadcast(heavy), F.col("a_id") == F.col("h_id"), "left")
+              .withColumn("a_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("h_n", F.lit(1)) - 1)))
+              .drop("h_id", "h_n"))
+    same = (F.col("anc") == F.col("a_id")) & (F.col("piece") == F.col("a_piece"))
+    return dealt.join(copies, same, how).drop("piece", "a_piece")
+
+
+def predecessor_cycles(preds: DataFrame, num_partitions: int | None = None) -> DataFrame | None:
+    """``(id, pred)`` of the vertices on cycles of ``(id, pred)``, None without any.
+
+    Pointer jumping: vertices whose chain ends drop out; what is left after more jumps
+    than the vertices' number has binary digits is on a cycle or leads to one, and the
+    ancestors reached are exactly the vertices of the cycles."""
+    n = _partitions(preds, num_partitions)
+    preds, left = _cut(preds.where("pred IS NOT NULL"), F.count(F.lit(1)))
+    state, jumps = preds.select("id", F.col("pred").alias("anc")), left.bit_length() + 1
+    for _ in range(jumps):
+        if not left:
+            return None
+        look = state.select(F.col("id").alias("a_id"), F.col("anc").alias("a_anc"))
+        state, left = _cut(_follow(state, look, n).select("id", F.col("a_anc").alias("anc")), F.count(F.lit(1)))
+    if not left:
+        return None
+    return preds.join(state.select(F.col("anc").alias("id")).distinct(), "id", "left_semi").checkpoint()
+
+
+def routes(preds: DataFrame, source: int, num_partitions: int | None = None) -> DataFrame:
     """``(id, path)``: the vertices from ``source`` to the predecessor of
     ``id`` (destination excluded), by pointer jumping: each round a vertex
     jumps to its ancestor's ancestor and prepends the ancestor's segment, so
-    a route of L edges is complete after about log2(L) rounds.  A vertex
-    whose ancestor many others share is a skewed join key; AQE splits it."""
+    a route of L edges is complete after about log2(L) rounds.  An ancestor that
+    many vertices share is split (:func:`_follow`)."""
+    n = _partitions(preds, num_partitions)
     st, remaining = _cut(preds.select("id", F.col("pred").alias("anc"),
                                       F.array("pred").alias("seg"),
                                       (F.col("pred") == F.lit(source)).alias("done")),
@@ -357,7 +517,7 @@ def routes(preds: DataFrame, source: int) -> DataFrame:
     while remaining > 0:
         look = st.select(F.col("id").alias("a_id"), F.col("anc").alias("a_anc"),
                          F.col("seg").alias("a_seg"), F.col("done").alias("a_done"))
-        todo = st.where(~F.col("done")).join(look, F.col("anc") == F.col("a_id"))
+        todo = _follow(st.where(~F.col("done")), look, n)
         jumped = todo.select("id", F.col("a_anc").alias("anc"),
                              F.concat("a_seg", "seg").alias("seg"), F.col("a_done").alias("done"))
         st, remaining = _cut(st.where("done").unionByName(jumped), F.count_if(~F.col("done")))

@@ -156,9 +156,92 @@ def test_shortest_paths_zero_weights_and_heavy_source(spark):
     assert got[3] == (0.0, [1]) and got[4] == (5.0, [1, 3]) and got[25] == (1.0, [1])
 
 
-def test_negative_weight_rejected(spark):
-    with pytest.raises(ValueError):
-        gr.shortest_distances(wedges(spark, [(1, 2, -1)]), 1)
+def brute_distances(rows, source):
+    """Bellman and Ford; None where a negative cycle is reached."""
+    ids = {v for s, d, _ in rows for v in (s, d)}
+    dist = {v: math.inf for v in ids}
+    dist[source] = 0.0
+    for k in range(len(ids) + 1):
+        new = dict(dist)
+        for s, d, w in rows:
+            new[d] = min(new[d], dist[s] + w)
+        if new == dist:
+            return dist
+        dist = new
+    return None
+
+
+def test_negative_weights(spark):
+    rows = [(1, 2, 4), (1, 3, 5), (3, 2, -3), (2, 4, 2), (4, 5, -1), (3, 5, 9), (6, 1, -9)]
+    got = paths(gr.shortest_paths(wedges(spark, rows), 1))
+    assert {v: d for v, (d, _) in got.items()} == brute_distances(rows, 1)
+    assert got[5] == (3.0, [1, 3, 2, 4])
+
+
+@settings(max_examples=2, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 5), st.integers(-2, 9)),
+                min_size=1, max_size=14))
+def test_signed_weights_properties(spark, rows):
+    want = brute_distances(rows + [(0, 0, 0)], 0)
+    e = wedges(spark, rows + [(0, 0, 0)])
+    if want is None:
+        with pytest.raises(gr.NegativeCycle):
+            gr.shortest_distances(e, 0)
+    else:
+        got = {r["id"]: r["dist"] for r in gr.shortest_distances(e, 0).distances.collect()}
+        assert got == want
+
+
+def test_negative_cycle_is_reported(spark):
+    rows = [(0, 1, 1), (1, 2, 1), (2, 3, -4), (3, 1, 2), (3, 9, 1), (0, 7, 3)]
+    with pytest.raises(gr.NegativeCycle) as e:
+        gr.shortest_paths(wedges(spark, rows), 0)
+    assert sorted(map(tuple, e.value.cycle.collect())) == [(1, 3), (2, 1), (3, 2)]
+    # a cycle that the source does not reach is no obstacle, nor is one of weight zero
+    apart = gr.shortest_distances(wedges(spark, rows + [(20, 0, 1)]).where("src <> 1"), 0)
+    assert {r["id"]: r["dist"] for r in apart.distances.collect()}[1] == 1.0
+    zero = [(0, 1, 1), (1, 2, -1), (2, 3, 3), (3, 1, -2), (3, 4, 0)]
+    got = paths(gr.shortest_paths(wedges(spark, zero), 0))
+    assert got[1] == (1.0, [0]) and got[4] == (3.0, [0, 1, 2, 3])
+
+
+def test_followers_of_one_ancestor_are_spread(spark):
+    """A star: every vertex has the same ancestor, no partition twice the median of rows."""
+    from pyspark.sql import functions as F
+    rows = spark.range(40_000).select(F.col("id"), F.lit(-1).cast("long").alias("anc"))
+    rows = rows.union(spark.range(40_000, 48_000).select("id", -F.pmod("id", F.lit(1000)) - 2))
+    look = rows.select(F.col("anc").alias("a_id")).distinct().withColumn("a_anc", F.lit(-5000))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = gr._follow(rows, look, 4)
+        sizes = sorted(r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 48_000 and joined.select("id").distinct().count() == 48_000
+    assert len(sizes) == 4 and sizes[-1] < 2 * sizes[1]
+
+
+def test_rounds_move_no_edge(spark):
+    """The lists are read in their buckets; only the state is exchanged."""
+    idx = gr.EdgeIndex.build(wedges(spark, B4), num_partitions=4, loops=True)
+    try:
+        plan = idx.join_lists(idx.vertices)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "Bucketed: true" in plan
+        cold = idx.cold.selectExpr("src", "own", "inline(edges)")
+        assert cold.where("w = 0").count() == idx.vertices.count() == 6
+        assert cold.where("w <> 0").count() == 9
+    finally:
+        idx.release()
+    assert not [d for d in spark.catalog.listDatabases() if d.name.startswith("kiln_edges")]
+
+
+def test_long_lists_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(gr, "LIST_EDGES", 8)
+    pairs = [(0, k) for k in range(1, 60)] + [(k, 0) for k in range(1, 60)] * 2 + [(3, 3), (4, 5)]
+    assert ranks(gr.pagerank(edges_of(spark, pairs), num_partitions=2)) == brute_ranks(pairs)
 
 
 def test_property_graph_default_name(spark):
@@ -167,7 +250,7 @@ def test_property_graph_default_name(spark):
     assert got[7] == "missing" and got[1] == "a" and len(got) == 7
 
 
-@settings(max_examples=6, deadline=None)
+@settings(max_examples=2, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 7), st.integers(0, 7), st.integers(1, 9)),
                 min_size=1, max_size=25))
 def test_shortest_paths_properties(spark, rows):
@@ -200,7 +283,7 @@ def test_folded_predecessors_equal_the_separate_pass(spark):
     assert folded[5] == 2 and folded[6] == 4 and folded[7] == 1
 
 
-@settings(max_examples=5, deadline=None)
+@settings(max_examples=2, deadline=None)
 @given(st.lists(st.tuples(st.integers(0, 6), st.integers(0, 6)), min_size=1, max_size=20))
 def test_pagerank_properties(spark, pairs):
     """Every rank is at least 0.15; with no sink the total rank equals the
@@ -254,7 +337,7 @@ def test_heavy_source_edges_are_spread(spark):
     idx = gr.EdgeIndex.build(edges_of(spark, pairs), num_partitions=4)
     try:
         assert [r["src"] for r in idx.hot_ids.collect()] == [0]
-        assert idx.cold.where("src = 0").count() == 0
+        assert idx.cold.where("src = 0").count() == 0 and idx.degrees.where("src = 0").first()[1] == 300
         assert idx.hot.count() == 300
         spread = idx.hot.groupBy(F.spark_partition_id()).count().collect()
         assert len(spread) == 4 and max(r["count"] for r in spread) <= 100
