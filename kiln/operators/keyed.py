@@ -12,10 +12,12 @@ Nothing is gathered on the driver.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from kiln.functions.text import java_split_words
 from kiln.session import checkpoint_dir
@@ -68,7 +70,9 @@ def partition_sizes(df: DataFrame, num_partitions: int | None = None,
     Without ``num_partitions``: the partitions ``df`` has.  With it: those that
     ``df.repartition(num_partitions, *by)`` would have, or, with ``place`` (an
     integer column), those of ``pmod(place, num_partitions)``.  Only counts per
-    partition are shuffled; the rows stay where they are.
+    partition are shuffled; the rows stay where they are.  With ``place`` and ``by`` the
+    rows are counted per ``by`` first, so that a costly ``place`` of these columns is
+    computed once per distinct key.
     """
     if num_partitions is None:
         n, at = df.rdd.getNumPartitions(), F.spark_partition_id()
@@ -76,7 +80,11 @@ def partition_sizes(df: DataFrame, num_partitions: int | None = None,
         if place is None and not by:
             raise ValueError("say what rows are placed by")
         n, at = num_partitions, F.pmod(F.hash(*by) if place is None else place, F.lit(num_partitions))
-    sizes = df.groupBy(at.cast("int").alias("partition")).agg(F.count(F.lit(1)).alias("count"))
+    if place is not None and by:
+        per_key = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+        sizes = per_key.groupBy(at.cast("int").alias("partition")).agg(F.sum("_n").alias("count"))
+    else:
+        sizes = df.groupBy(at.cast("int").alias("partition")).agg(F.count(F.lit(1)).alias("count"))
     ids = df.sparkSession.range(n).select(F.col("id").cast("int").alias("partition"))
     return (ids.join(sizes, "partition", "left")
             .select("partition", F.coalesce("count", F.lit(0)).alias("count")))
@@ -152,3 +160,75 @@ def sort_by_struct_key(df: DataFrame, fields: Sequence[str], out: str = "positio
 def sort_range_partitioned(df: DataFrame, order: Sequence[str], num_partitions: int) -> DataFrame:
     """Sort into exactly ``num_partitions`` range partitions, each sorted."""
     return df.repartitionByRange(num_partitions, *order).sortWithinPartitions(*order)
+
+
+def combine_by_key(df: DataFrame, key: str, value: str, create: Callable, merge_value: Callable,
+                   merge_combiners: Callable, combiner: str, max_keys: int = 100_000) -> DataFrame:
+    """``key`` and the fields of its combiner: an aggregation given by three functions.
+
+    ``create(v)`` makes a combiner of a key's first value, ``merge_value(c, v)`` adds a
+    further one, ``merge_combiners(c, d)`` joins two; combiners are tuples whose fields
+    ``combiner`` names as a DDL string.  Null values are skipped, a null key is one of its own.
+
+    Values are combined where they are, in Arrow batches, so a task hands on one row per key
+    (:func:`combine_partials`; a table of ``max_keys`` keys is handed on and begun anew).
+    These are hashed by key, sorted and merged as a stream: no key's rows are held at once.
+    The order in which values meet is not defined, so the functions should not depend on it.
+    For sums, counts, extremes and averages Spark's own aggregates are faster.
+    """
+    partials = combine_partials(df, key, value, create, merge_value, combiner, max_keys)
+    names = partials.columns
+
+    def merge(batches):
+        import pyarrow as pa
+        now, held, rows = None, None, []
+        for batch in batches:
+            schema = batch.schema
+            for k, *c in zip(*(col.to_pylist() for col in batch.columns)):
+                if held is not None and k == now:
+                    held = merge_combiners(held, tuple(c))
+                    continue
+                if held is not None:
+                    rows.append((now, *held))
+                now, held = k, tuple(c)
+            if len(rows) >= 10_000:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x, f.type) for x, f in zip(zip(*rows), schema)], schema=schema)
+                rows = []
+        if held is not None:
+            rows.append((now, *held))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, f.type) for x, f in zip(zip(*rows), schema)], schema=schema)
+
+    return (partials.repartition(key).sortWithinPartitions(key)
+            .mapInArrow(merge, partials.schema).toDF(*names))
+
+
+def combine_partials(df: DataFrame, key: str, value: str, create: Callable, merge_value: Callable,
+                     combiner: str, max_keys: int = 100_000) -> DataFrame:
+    """The rows that each task of :func:`combine_by_key` hands on: ``key`` and a combiner of
+    its values there."""
+    rows = df.select(key, value).where(F.col(value).isNotNull())
+    schema = T.StructType([rows.schema[key], *T._parse_datatype_string(combiner).fields])
+    arrow_schema = to_arrow_schema(schema)
+
+    def combine(batches):
+        import pyarrow as pa
+        table: dict = {}
+
+        def hand_on():
+            cols = list(zip(*((k, *c) for k, c in table.items())))
+            table.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array(x, f.type) for x, f in zip(cols, arrow_schema)], schema=arrow_schema)
+
+        for batch in batches:
+            for k, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                held = table.get(k)
+                table[k] = create(v) if held is None else merge_value(held, v)
+            if len(table) >= max_keys:
+                yield hand_on()
+        if table:
+            yield hand_on()
+
+    return rows.mapInArrow(combine, schema)

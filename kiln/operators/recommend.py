@@ -11,9 +11,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.ml.recommendation import ALS, ALSModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -114,3 +115,38 @@ def recommend_for_user(train: DataFrame, mine: DataFrame, movies: DataFrame,
             .join(cands, "movieId")
             .orderBy(F.col("prediction").desc(), F.col("movieId").asc()).limit(k))
     return pred.select("movieId", "title", "userId", "prediction"), model
+
+
+def normal_equation_residuals(ratings: DataFrame, solved: DataFrame, fixed: DataFrame, by: str, other: str,
+                              rank: int, reg: float = ALS_REG_PARAM, label: str = "rating") -> DataFrame:
+    """``(id, n, residual)``: how far each row of ``solved`` is from solving its normal
+    equations ``(sum y y' + reg * n * I) x = sum r y`` over its ``n`` ratings, ``y`` being the
+    other side's factors ``fixed``.  ``residual`` is the largest component of the
+    difference, relative to the largest of ``sum r y`` or 1.
+
+    The product with ``x`` goes inside the sum, ``sum y (y'x - r) + reg * n * x``, so each
+    rating adds two vectors and no matrix; the sums are plain aggregates, combined before
+    the shuffle, so a user with a third of all ratings is no larger task than others.
+    """
+    x = solved.select(F.col("id").alias(by), F.col("features").cast("array<double>").alias("x"))
+    y = fixed.select(F.col("id").alias(other), F.col("features").cast("array<double>").alias("y"))
+    rows = ratings.select(by, other, F.col(label).cast("double").alias("r")).join(y, other).join(x, by)
+    dot = reduce(Column.__add__, (F.col("x")[k] * F.col("y")[k] for k in range(rank)))
+    rows = rows.select(by, "x", "y", "r", (dot - F.col("r")).alias("e"))
+    sums = rows.groupBy(by).agg(
+        F.count(F.lit(1)).alias("n"), *(F.max(F.col("x")[k]).alias(f"x{k}") for k in range(rank)),
+        *(F.sum(F.col("y")[k] * F.col("e")).alias(f"d{k}") for k in range(rank)),
+        *(F.sum(F.col("y")[k] * F.col("r")).alias(f"b{k}") for k in range(rank)))
+    off = F.greatest(*(F.abs(F.col(f"d{k}") + reg * F.col("n") * F.col(f"x{k}")) for k in range(rank)))
+    size = F.greatest(F.lit(1.0), *(F.abs(F.col(f"b{k}")) for k in range(rank)))
+    return sums.select(F.col(by).alias("id"), "n", (off / size).alias("residual"))
+
+
+def factor_predictions(model: ALSModel, data: DataFrame, rank: int, user: str = "userId",
+                       item: str = "movieId") -> DataFrame:
+    """``data`` with ``prediction`` computed from the factors by two joins; rows whose user or
+    item has no factors are left out."""
+    x = model.userFactors.select(F.col("id").alias(user), F.col("features").alias("_x"))
+    y = model.itemFactors.select(F.col("id").alias(item), F.col("features").alias("_y"))
+    dot = reduce(Column.__add__, (F.col("_x")[k].cast("double") * F.col("_y")[k].cast("double") for k in range(rank)))
+    return data.join(x, user).join(y, item).withColumn("prediction", dot).drop("_x", "_y")

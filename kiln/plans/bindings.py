@@ -8,11 +8,14 @@ rows inside a group.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kiln.functions.text import split_lines
 from kiln.operators.ratings import md5_split
+from kiln.session import checkpoint_dir
 from kiln.sources.readers import MOVIE_SCHEMA, RATING_SCHEMA, conform, spread
 
 
@@ -137,3 +140,32 @@ def vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     row, so graph assembly gives them the default name."""
     return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"),
                                                F.col("p_name").alias("name"))
+
+
+def signed_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`edges` with weights of either sign: the quantity plus the size of the part left
+    less the size of the part reached (suppliers have none).  Along a cycle the sizes
+    cancel out, so no cycle is negative."""
+    size = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("_id"), F.col("p_size").alias("_size"))
+    e = edges(spark, sf_dir)
+    e = e.join(size, F.greatest("src", "dst") == F.col("_id"), "left")
+    size = F.coalesce("_size", F.lit(0)).cast("bigint")
+    return e.select("src", "dst", (F.col("weight") + F.when(F.col("src") >= 0, size).otherwise(-size)).alias("weight"))
+
+
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new place for files below the checkpoint folder."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def write_lines(lines: DataFrame, name: str, header: str | None = None) -> str:
+    """Write the lines (column ``value``) as text files, each with ``header`` as its first
+    line, and return where."""
+    path = new_folder(lines.sparkSession, name)
+    if header is None:
+        lines.write.text(path)
+    else:
+        # quoting and escaping are in the lines already
+        (lines.withColumnRenamed("value", header).write.option("header", True).option("sep", "\x01")
+         .option("quote", "").option("escapeQuotes", False).csv(path))
+    return path

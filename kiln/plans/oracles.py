@@ -8,7 +8,7 @@ sides.
 
 from __future__ import annotations
 
-from kiln.plans.catalog import MIN_REVIEWS, MY_RATINGS, SOURCE_VERTEX, TOP_K
+from kiln.plans.catalog import MIN_REVIEWS, MY_RATINGS, RECOMMEND_K, SOURCE_VERTEX, TOP_K
 
 # --- shared CTEs -------------------------------------------------------------
 
@@ -258,3 +258,73 @@ GRAPH = {
         FROM v LEFT JOIN dist USING (id) LEFT JOIN routes USING (id)""",
 }
 ORACLES.update(GRAPH)
+
+# --- signed weights ---------------------------------------------------------------
+
+SIGNED = SSSP.replace("""e AS MATERIALIZED (SELECT p AS src, -(s + 1) AS dst, weight FROM pairs
+                   UNION ALL SELECT -(s + 1), p, weight FROM pairs)""",
+                      """sized AS (SELECT p, s, weight, coalesce(p_size, 0) AS z FROM pairs LEFT JOIN part ON p_partkey = p),
+e AS MATERIALIZED (SELECT p AS src, -(s + 1) AS dst, weight + z AS weight FROM sized
+                   UNION ALL SELECT -(s + 1), p, weight - z FROM sized)""")
+ORACLES["shortest_distances_signed"] = "WITH RECURSIVE " + SIGNED + """
+        SELECT v.id, coalesce(dist.dist, CAST('inf' AS DOUBLE)) AS dist
+        FROM v LEFT JOIN dist USING (id)"""
+
+# --- files, sinks, three-function aggregation ----------------------------------------
+
+FILES = {
+    "pair_text_parts": """SELECT CAST(CAST('0x' || substr(md5(CAST(o_custkey AS VARCHAR)), 1, 8) AS BIGINT) % 7
+          AS INTEGER) AS part, '(' || o_custkey || ',' || count(*) || ')' AS line
+        FROM orders GROUP BY o_custkey""",
+    "combine_by_key_top2": """WITH r AS (SELECT event_type, value, event_id,
+            row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) AS k
+          FROM events WHERE value IS NOT NULL AND event_id IS NOT NULL)
+        SELECT event_type, max(CASE WHEN k = 1 THEN value END) AS value1, max(CASE WHEN k = 1 THEN event_id END) AS id1,
+               max(CASE WHEN k = 2 THEN value END) AS value2, max(CASE WHEN k = 2 THEN event_id END) AS id2
+        FROM r GROUP BY event_type""",
+    "read_lines_files": "WITH " + CLF + """
+        SELECT CAST(length(value) AS INTEGER) AS length, count(*) AS lines FROM clf
+        WHERE value IS NOT NULL GROUP BY 1""",
+    "read_movies_csv": """SELECT CAST(p_partkey AS INTEGER) AS movieId, p_name AS title, NULL AS malformed FROM part
+        UNION ALL SELECT NULL, 'bad', 'x' || p_partkey || ',bad,none' FROM part WHERE p_partkey % 97 = 5""",
+    "read_ratings_csv": """SELECT CAST(o_custkey AS INTEGER) AS userId, CAST(o_orderkey AS INTEGER) AS movieId,
+          o_orderkey % 5 + 0.5::DOUBLE AS rating, NULL AS malformed FROM orders
+        UNION ALL SELECT CAST(o_custkey AS INTEGER), CAST(o_orderkey AS INTEGER), NULL,
+          o_custkey || ',' || o_orderkey || ',five,0' FROM orders WHERE o_orderkey % 97 = 5""",
+    "read_vertices_csv": """SELECT p_partkey AS id, p_name AS name, NULL AS malformed FROM part
+        UNION ALL SELECT NULL, 'bad', 'v-' || p_partkey || ',bad' FROM part WHERE p_partkey % 97 = 5""",
+    "read_edges_csv": "WITH " + EDGES + """
+        SELECT src, dst, weight, NULL AS malformed FROM e WHERE src >= 0
+        UNION ALL SELECT src, dst, NULL, src || ',' || dst || ',heavy' FROM e WHERE src >= 0 AND src % 97 = 5""",
+    "read_adjacency_files": """SELECT l_partkey AS src, CAST(sum(CASE WHEN l_partkey % 97 = 5 THEN 2 ELSE 1 END) AS BIGINT)
+          AS links, CAST(sum(CASE WHEN l_partkey % 97 = 5 THEN 1 ELSE 0 END) AS BIGINT) AS malformed
+        FROM lineitem GROUP BY l_partkey""",
+    "table_preview": """SELECT o_orderkey, o_custkey, o_orderpriority FROM orders ORDER BY o_orderkey LIMIT 20""",
+    "table_schema": """SELECT column_name AS name, CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int'
+          WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' WHEN 'DATE' THEN 'date' ELSE data_type END AS type,
+          true AS nullable, present FROM information_schema.columns
+        JOIN (UNPIVOT (SELECT count(COLUMNS(*)) FROM customer) ON COLUMNS(*) INTO NAME n VALUE present)
+        ON n = column_name WHERE table_name = 'customer'""",
+}
+ORACLES.update(FILES)
+
+# --- model checks ------------------------------------------------------------------
+
+MODEL = {
+    "item_mean_rmse": with_(RATINGS, """SELECT round(sqrt(avg(pow(m - rating, 2))), 6) AS rmse
+        FROM split_r JOIN (SELECT movieId, avg(rating) AS m FROM split_r WHERE split = 'train' GROUP BY movieId)
+        USING (movieId) WHERE split = 'test'"""),
+    "als_rank_search_verified": with_(RATINGS, """SELECT CAST(rank AS INTEGER) AS rank,
+          count(*) FILTER (WHERE known) AS n_scored, count(*) FILTER (WHERE NOT known) AS n_dropped,
+          true AS rmse_agrees, true AS best_agrees
+        FROM (SELECT userId IN (SELECT userId FROM split_r WHERE split = 'train')
+                 AND movieId IN (SELECT movieId FROM split_r WHERE split = 'train') AS known
+              FROM split_r WHERE split = 'validation'), (VALUES (4), (8), (12)) t(rank) GROUP BY rank"""),
+    "als_normal_equations": with_(RATINGS, """SELECT 'user' AS side, count(DISTINCT userId) AS n, CAST(0 AS BIGINT) AS beyond
+        FROM split_r WHERE split = 'train'
+        UNION ALL SELECT 'item', count(DISTINCT movieId), 0 FROM split_r WHERE split = 'train'"""),
+    "recommend_verified": with_(RATINGS, f"""SELECT CAST(least({RECOMMEND_K}, count(*)) AS INTEGER) AS n, true AS agrees
+        FROM movies WHERE movieId NOT IN (SELECT movieId FROM mine)
+          AND movieId IN (SELECT movieId FROM split_r WHERE split = 'train')"""),
+}
+ORACLES.update(MODEL)

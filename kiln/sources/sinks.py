@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,3 +32,20 @@ def schema_rows(spark: SparkSession, df: DataFrame) -> DataFrame:
                            T.StructField("nullable", T.BooleanType())])
     return spark.createDataFrame(
         [(f.name, f.dataType.simpleString(), f.nullable) for f in df.schema.fields], schema)
+
+
+def write_placed_pairs(df: DataFrame, key: str, value: str, place: Column, num_partitions: int,
+                       path: str) -> None:
+    """Write ``(k,v)`` lines into ``num_partitions`` part files, each row into the one that
+    ``place`` (an integer column, 0 to ``num_partitions - 1``) names."""
+    placed = pair_text(df.withColumn("_place", place.cast("int")).repartitionById(
+        num_partitions, "_place"), key, value)
+    placed.write.mode("errorifexists").text(path)
+
+
+def read_parts(spark: SparkSession, path: str) -> DataFrame:
+    """``(part, line)``: lines of text files as a job committed them, with the number of
+    the part file that holds each."""
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1)
+    return spark.read.text(path).select(
+        F.regexp_extract(name, r"^part-(\d+)", 1).cast("int").alias("part"), F.col("value").alias("line"))
