@@ -113,3 +113,14 @@ def test_odd_rows_and_no_rows(spark, odd_docs, no_docs, k):
         if name == "near_duplicates":
             assert kept[1] == 1 and kept[8] == kept[9] == 0 and kept[3] == 1 and kept[4] == 0
     assert stage(spark, no_docs, SF).count() == 0
+
+
+@pytest.mark.parametrize("k", range(4))
+def test_columns_named_like_those_of_the_operators(spark, k):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, None)], "doc_id long, text string")
+    names = ["kept_text", "n_removed", "n_words", "__text", "__n", "digest", "n", "score", "__score", "rest_0", "__c0"]
+    docs = docs.select("*", *(F.lit(f"own {c}").alias(c) for c in names))
+    got = cp.STAGES[k][1](spark, docs, SF)
+    assert got.columns == docs.columns
+    assert all(r[c] == f"own {c}" for r in got.collect() for c in names)
+    assert {r.doc_id for r in got.collect()} == ({1, 3} if k == 1 else {1, 2, 3})
