@@ -162,3 +162,40 @@ def test_partition_sizes_are_those_of_a_repartitioning(spark):
     got = kd.partition_sizes(li, 10, ["l_orderkey"])
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, moved.collect()))
     assert "REPARTITION" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+def longest(spark, rows, max_keys=100_000, parts=3):
+    """Longest text and number of values by key, as a three-function aggregation."""
+    df = spark.createDataFrame(rows, "k string, v string").repartition(parts).select("v", "k")
+
+    def merge(a, b):
+        return max(a[0], b[0], key=lambda t: (len(t), t)), a[1] + b[1]
+
+    args = (df, "k", "v", lambda v: (v, 1), lambda c, v: merge(c, (v, 1)))
+    partials = kd.combine_partials(*args, "best string, n long", max_keys)
+    done = kd.combine_by_key(*args, merge, "best string, n long", max_keys)
+    assert done.columns == partials.columns == ["k", "best", "n"]
+    return partials.collect(), sorted(map(tuple, done.collect()), key=repr)
+
+
+def test_combine_by_key_hands_on_one_row_per_task_and_key(spark):
+    rows = [("hot", f"v{i}") for i in range(3000)] + [("a", "xx"), ("a", None), (None, "n"), (None, "nn"), ("b", None)]
+    partials, done = longest(spark, rows)
+    assert done == sorted([("hot", "v2999", 3000), ("a", "xx", 1), (None, "nn", 2)], key=repr)
+    assert len(partials) <= 3 * 3 and sum(r["n"] for r in partials) == 3003
+
+
+def test_combine_by_key_with_a_small_table(spark):
+    rows = [(f"k{i % 50}", f"v{i}") for i in range(1000)]
+    _, done = longest(spark, rows, max_keys=5)
+    want = {k: max((v for q, v in rows if q == k), key=lambda t: (len(t), t)) for k, _ in rows}
+    assert done == sorted(((k, v, 20) for k, v in want.items()), key=repr)
+    assert longest(spark, [("x", None)])[1] == []
+
+
+def test_partition_sizes_counted_per_key_first(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(1000).select((F.col("id") % 37).alias("k"))
+    a = kd.partition_sizes(df, 5, by=["k"], place=F.col("k") * 3)
+    b = kd.partition_sizes(df, 5, place=F.col("k") * 3)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))

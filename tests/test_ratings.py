@@ -176,3 +176,19 @@ def test_ratings_join_splits_a_hot_order(spark):
     expect = {k: sum(v) / len(v) for k, v in acc.items()}
     assert got.keys() == expect.keys()
     assert all(math.isclose(got[k], expect[k]) for k in expect)
+
+
+def test_normal_equations_and_factor_products(spark):
+    rows = [(u, i, float(1 + (u * 7 + i * 3) % 5)) for u in range(12) for i in range(9) if (u + i) % 4]
+    train = spark.createDataFrame(rows, "userId int, movieId int, rating double")
+    model = rc.fit(train, 3)
+    res = rc.normal_equation_residuals(train, model.userFactors, model.itemFactors, "userId", "movieId", 3)
+    got = {r["id"]: (r["n"], r["residual"]) for r in res.collect()}
+    assert {u: n for u, (n, _) in got.items()} == {u: sum(r[0] == u for r in rows) for u in range(12)}
+    assert max(x for _, x in got.values()) < 1e-4
+    # other ratings are not what these factors solve
+    other = train.withColumn("rating", train.rating + 1)
+    off = rc.normal_equation_residuals(other, model.userFactors, model.itemFactors, "userId", "movieId", 3)
+    assert min(r["residual"] for r in off.collect()) > 1e-2
+    own = {(r.userId, r.movieId): r.prediction for r in rc.factor_predictions(model, train, 3).collect()}
+    assert all(abs(own[r.userId, r.movieId] - r.prediction) < 1e-5 for r in model.transform(train).collect())

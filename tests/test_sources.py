@@ -76,3 +76,23 @@ def test_spread_only_under_partitioned_inputs(spark):
     assert spread(one, 4).count() == 1000
     many = spark.range(0, 1000, 1, 6)
     assert spread(many, 4) is many
+
+
+def test_placed_pairs_land_in_their_part_files(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from kiln.sources import read_parts, write_placed_pairs
+    df = spark.range(100).select("id", (F.col("id") * 2).alias("v"))
+    path = str(tmp_path / "pairs")
+    write_placed_pairs(df, "id", "v", F.col("id") % 4, 6, path)
+    got = sorted(map(tuple, read_parts(spark, path).collect()))
+    assert got == sorted((i % 4, f"({i},{2 * i})") for i in range(100))
+    with pytest.raises(Exception):
+        write_placed_pairs(df, "id", "v", F.col("id") % 4, 6, path)
+
+
+def test_written_lines_are_read_as_they_were(spark, tmp_path):
+    from kiln.plans.bindings import write_lines
+    lines = ['1,"a, b",x', 'bad"line', "3,c,y"]
+    df = spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1)
+    path = write_lines(df, "t", header="movieId,title,genres")
+    assert sorted(r.value for r in spark.read.text(path).collect()) == sorted([*lines, "movieId,title,genres"])
