@@ -223,8 +223,10 @@ def pagerank(edges: DataFrame, vertices: DataFrame | None = None, max_iter: int
         raise ValueError("give a tolerance or a number of updates")
     idx = EdgeIndex.build(edges, num_partitions, None, vertices, drop_malformed, loops=not drop_unlinked)
     run = _linked_ranks if drop_unlinked else _residual_ranks
-    ranks, rounds, converged = run(idx, max_iter, tol, signed_tolerance)
-    idx.release()
+    try:
+        ranks, rounds, converged = run(idx, max_iter, tol, signed_tolerance)
+    finally:
+        idx.release()
     if tol is not None and not converged:
         raise NotConverged(f"ranks still move after {rounds} updates")
     return PageRankResult(ranks.select("id", "rank"), rounds, converged)
@@ -391,7 +393,13 @@ def shortest_distances(edges: DataFrame, source: int, weight: str = "weight",
     are below every route without repeats, the predecessors must have a cycle.
     Malformed edges fail unless ``drop_malformed``.
     """
-    idx = index or EdgeIndex.build(edges, num_partitions, weight, vertices, drop_malformed)
+    if index is None:
+        idx = EdgeIndex.build(edges, num_partitions, weight, vertices, drop_malformed)
+        try:
+            return shortest_distances(edges, source, weight, num_partitions, max_iter, idx)
+        finally:
+            idx.release()
+    idx = index
     signed = idx.min_weight is not None and idx.min_weight < 0
     look_at = FOLD_ROUNDS
     value = F.struct("dist", "hops", "pred")
@@ -431,14 +439,10 @@ def shortest_distances(edges: DataFrame, source: int, weight: str = "weight",
             look_at *= 2
             cycle = predecessor_cycles(folded().select("id", "pred"), idx.num_partitions)
             if cycle is not None:
-                if index is None:
-                    idx.release()
                 raise NegativeCycle(cycle)
     reached = folded()
     state, _ = _cut(idx.vertices.join(reached, "id", "left").select(
         "id", F.coalesce("dist", F.lit(INF)).alias("dist"), "hops", "pred"))
-    if index is None:
-        idx.release()
     return ShortestPaths(state, rounds)
 
 
