@@ -33,7 +33,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 WINDOW_WORDS = 20
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
-_NULL_ID = 1 << 62
 
 
 # ---- packed arrays -------------------------------------------------------------
@@ -60,10 +59,11 @@ def _unpack_sorted(data: bytes) -> np.ndarray:
 # ---- words and windows of a chunk ------------------------------------------------
 
 class _Chunk:
-    """Word hashes of the texts of a chunk, in the order of (id, text)."""
+    """Word hashes of the texts of a chunk, in the order of (without id, id, text)."""
 
     def __init__(self, table: pa.Table, block: int, buckets: int):
-        order = pc.sort_indices(table, sort_keys=[("__oid", "ascending"), ("__text", "ascending")])
+        order = pc.sort_indices(table, sort_keys=[
+            ("__none", "ascending"), ("__oid", "ascending"), ("__text", "ascending")])
         self.table = table.take(order).combine_chunks()
         self.block, self.buckets = block, buckets
         text = pc.fill_null(self.table.column("__text"), "").combine_chunks()
@@ -187,7 +187,7 @@ def _even_keys(spark: SparkSession, partitions: int) -> tuple[list[int], list[in
 
 _TO_BUCKET = "__bucket int, __chunk int, blocks binary, probes binary"
 _HITS = "__chunk int, __bucket int, kind int, data binary"
-_WINDOWS = "__bucket int, __chunk int, h1 binary, h2 binary, oid binary, pos binary"
+_WINDOWS = "__bucket int, __chunk int, h1 binary, h2 binary, none binary, oid binary, pos binary"
 
 
 def _arrow(schema: str, rows: list[tuple]) -> pa.Table:
@@ -240,22 +240,23 @@ def _send_windows(table: pa.Table, replies: pa.Table, block: int, places: list[i
     buckets = len(places)
     chunk = _Chunk(table, block, buckets)
     _, _, h1, h2, first = chunk.distinct_windows(_found(replies, places))
-    oid = chunk.table.column("__oid").to_numpy()[chunk.doc[first]]
+    none, oid = (chunk.table.column(c).to_numpy()[chunk.doc[first]] for c in ("__none", "__oid"))
     pos = (first - chunk.starts[chunk.doc[first]]).astype(np.uint32)
     cut = np.searchsorted(_bucket(h1, buckets), np.arange(buckets + 1))
     number = table.column("__chunk")[0].as_py()
     return _arrow(_WINDOWS, [
-        (places[k], number, *(_planes(x[cut[k]:cut[k + 1]]) for x in (h1, h2, oid, pos)))
+        (places[k], number, *(_planes(x[cut[k]:cut[k + 1]]) for x in (h1, h2, none, oid, pos)))
         for k in range(buckets) if cut[k + 1] > cut[k]])
 
 
 def _first_places(table: pa.Table) -> pa.Table:
     number = table.column("__bucket")[0].as_py()
     parts = [[_unplanes(d, t) for d in table.column(c).to_pylist()]
-             for c, t in (("h1", np.uint64), ("h2", np.uint64), ("oid", np.int64), ("pos", np.uint32))]
+             for c, t in (("h1", np.uint64), ("h2", np.uint64), ("none", np.int8), ("oid", np.int64),
+                          ("pos", np.uint32))]
     sizes = [len(x) for x in parts[0]]
-    h1, h2, oid, pos = (np.concatenate(p) for p in parts)
-    order = np.lexsort((pos, oid, h2, h1))
+    h1, h2, none, oid, pos = (np.concatenate(p) for p in parts)
+    order = np.lexsort((pos, oid, none, h2, h1))
     new = np.ones(len(order), bool)
     s1, s2 = h1[order], h2[order]
     new[1:] = (s1[1:] != s1[:-1]) | (s2[1:] != s2[:-1])
@@ -292,11 +293,10 @@ def _remove(table: pa.Table, replies: pa.Table, block: int, places: list[int], c
     text = pc.binary_join(pa.ListArray.from_arrays(offsets, words), " ")
     if whole:
         text = pc.if_else(pa.array(kept == chunk.n_words), chunk.table.column("__text"), text)
-    oid = chunk.table.column("__oid")
-    return pa.table([oid, pa.array(chunk.n_words.astype(np.int64)),
+    return pa.table([chunk.table.column("__none"), chunk.table.column("__oid"), pa.array(chunk.n_words.astype(np.int64)),
                      pa.array(chunk.n_words.astype(np.int64) - kept), text,
                      *(chunk.table.column(f"__c{k}") for k in range(len(carry)))],
-                    names=["__oid", "n_words", "n_removed", "kept_text",
+                    names=["__none", "__oid", "n_words", "n_removed", "kept_text",
                            *(f"__c{k}" for k in range(len(carry)))])
 
 
@@ -310,9 +310,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Windows are judged on the input.  ``kept_text`` joins the words that stay by one
     space; with ``keep_untouched`` a text that loses no word stays as it is.
 
-    Ids are integers.  Null texts have no words.  Rows of equal id count in the order of
-    their texts, equal rows one after the other; rows without id come after all others.
-    ``window_words`` is even.  Columns of ``docs`` other than those named are not read.
+    Ids are integers, of any size and sign.  Null and empty texts have no words; a text
+    of any length is one text.  Rows of equal id count in the order of their texts, equal
+    rows one after the other; rows without id come after all others.  An empty table gives
+    no rows.  ``window_words`` is even.  Columns of ``docs`` other than those named are not read.
     """
     spark = docs.sparkSession
     places, chunks = _even_keys(spark, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -320,9 +321,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if window_words != 2 * block:
         raise ValueError("window_words must be even")
 
-    oid = F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID).bitwiseOR(
-        F.shiftrightunsigned(F.xxhash64(text_col), 3)))
-    rows = (docs.select(oid.alias("__oid"), F.col(text_col).alias("__text"),
+    # rows without id are dealt out by their text, and come after every id
+    rows = (docs.select(F.col(id_col).isNull().cast("byte").alias("__none"),
+                        F.coalesce(F.col(id_col).cast("long"), F.xxhash64(text_col)).alias("__oid"),
+                        F.col(text_col).alias("__text"),
                         *(F.col(c).alias(f"__c{k}") for k, c in enumerate(carry)))
             .withColumn("__chunk", F.lit(chunks)[F.pmod(F.xxhash64("__oid"), F.lit(len(chunks))).cast("int")]))
     grouped = rows.groupBy("__chunk")
@@ -331,13 +333,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     firsts = (grouped.cogroup(hits.groupBy("__chunk"))
               .applyInArrow(lambda d, h: _send_windows(d, h, block, places), _WINDOWS)
               .groupBy("__bucket").applyInArrow(_first_places, _HITS))
-    out = T.StructType([T.StructField("__oid", T.LongType()), T.StructField("n_words", T.LongType()),
+    out = T.StructType([T.StructField("__none", T.ByteType()), T.StructField("__oid", T.LongType()),
+                        T.StructField("n_words", T.LongType()),
                         T.StructField("n_removed", T.LongType()),
                         T.StructField("kept_text", T.StringType())]
                        + [T.StructField(f"__c{k}", rows.schema[f"__c{k}"].dataType)
                           for k in range(len(carry))])
     done = (grouped.cogroup(hits.union(firsts).groupBy("__chunk"))
             .applyInArrow(lambda d, r: _remove(d, r, block, places, carry, keep_untouched), out))
-    own_id = F.when(F.col("__oid") < _NULL_ID, F.col("__oid")).cast(docs.schema[id_col].dataType)
+    own_id = F.when(F.col("__none") == 0, F.col("__oid")).cast(docs.schema[id_col].dataType)
     return done.select(own_id.alias(id_col), "n_words", "n_removed", "kept_text",
                        *(F.col(f"__c{k}").alias(c) for k, c in enumerate(carry)))

@@ -127,6 +127,16 @@ def test_substrings_of_odd_rows(odd_docs, no_docs):
     assert substrings.remove_repeats(no_docs).count() == 0
 
 
+def test_substrings_keep_ids_of_any_size(spark):
+    text = prose(8, 30)
+    ids = [-(1 << 63), -1, 0, 1 << 62, (1 << 62) + 5, (1 << 63) - 1, None, None]
+    rows = [(i, text if k % 2 else text + f" end{k}") for k, i in enumerate(ids)]
+    got = substrings.remove_repeats(spark.createDataFrame(rows[::-1], "doc_id long, text string"))
+    got = Counter((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in got.collect())
+    # the two rows without id come last, in any order
+    assert got == Counter(cut(rows)) and got[(-(1 << 63), 31, 0, text + " end0")] == 1
+
+
 @pytest.mark.parametrize("size", [2, 4, 20])
 def test_windows_of_any_size_and_very_frequent_words(spark, size):
     rng = np.random.default_rng(size)
