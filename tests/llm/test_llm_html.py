@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 import pytest
 
@@ -81,7 +82,47 @@ def test_article_in_sections_and_siblings():
     assert main_text(page).endswith("Beside.")
 
 
+P = f"<p>{TEXT}</p>"
+FOUR = f"<div>{P * 4}</div>"
+
+
+@pytest.mark.parametrize("page,want", [
+    # the title beside the container, further out, or in a part of the article named header
+    (f"<h1>Title</h1>{FOUR}", ["Title"] + [TEXT] * 4),
+    (f"<div><h1>Title</h1></div><div class=wrap>{FOUR}</div>", ["Title"] + [TEXT] * 4),
+    (f"<article><div class=header><h1>Title</h1></div>{P}</article>", ["Title", TEXT]),
+    (f"<h1>Site</h1><div><h1>Title</h1>{P * 4}</div>", ["Title"] + [TEXT] * 4),
+    # parts of an article
+    (f"<article>{P}<div class=search-results><p>Found.</p></div></article>", [TEXT, "Found."]),
+    (f"<article>{P}<fieldset><legend>Box</legend><p>Boxed.</p></fieldset></article>", [TEXT, "Box", "Boxed."]),
+    (f"<article>{P}<p>So <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds.</p></article>", [TEXT, "So x=2 holds."]),
+    # sections beside the best, and what stands between
+    (f"<div><h2>A</h2>{P * 4}</div><div><h2>B</h2>{P}</div><div><h2>C</h2>{P}</div>",
+     ["A"] + [TEXT] * 4 + ["B", TEXT, "C", TEXT]),
+    (f"<div><h1>Title</h1>{FOUR}<ul><li>one<li>two</ul><div>{P}</div></div>",
+     ["Title"] + [TEXT] * 4 + ["one", "two", TEXT]),
+    # surroundings beside them
+    (f"<h1><a href=/>Site</a></h1><div class=links><a href=/a>{TEXT}</a></div>{FOUR}<div class=promo>{P}</div>"
+     f"<fieldset>{P}</fieldset>", [TEXT] * 4),
+])
+def test_whole_article_and_nothing_else(page, want):
+    assert main_text(f"<html><body>{page}</body></html>").split("\n\n") == want
+
+
+@pytest.mark.parametrize("piece", ["<div>x", "<a b ", '<a b="', "<a b='\"", "<p>x<li>y", "<li><div>x", "<td><tr>x",
+                                   '<a ">"', "<!", "</", "</x", "<a<", "&amp;<b>", "<math>x", "<article>x<h1>y"])
+def test_a_megabyte_of_tags_that_nothing_closes(piece):
+    times = []
+    for size in (1 << 18, 1 << 20):
+        at = time.process_time()
+        main_text(P + piece * (size // len(piece)))
+        main_text(piece * (size // len(piece)) + P)
+        times.append(time.process_time() - at)
+    assert times[1] < 30 and times[1] < 8 * times[0] + 1
+
+
 @pytest.mark.parametrize("page,text", [
+    ("<p>a <b title='x>y'>b</b> <i title=don't>c</i></p>", "a b c"), ("<p x=\"y>one</p><p>two</p>", "one\n\ntwo"),
     (None, ""), ("", ""), ("  \n", ""), ("plain words", "plain words"), ("<p>a<p>b", "a\n\nb"),
     ("<nav>menu</nav>", ""), ("a < b & c > d", "a < b & c > d"), ("<p>x<!-- open", "x"),
     ("<p>x</p><script>open", "x"), ("<p title='a>b' hidden>no</p><p>yes</p>", "yes"),
