@@ -3,8 +3,8 @@
 Item-sized windows of the documents get a 64-bit SimHash of their word shingles.  The
 fingerprints of windows and items are cut into ``radius + 1`` blocks, and an equality
 join on the blocks finds every pair within ``radius`` bits (one of the blocks is then
-the same).  The weighted Jaccard similarity of the shingles themselves, each weighted by
-how often it occurs, decides.
+the same).  A fingerprint is of the distinct shingles; the weighted Jaccard similarity of the
+shingles themselves, each weighted by how often it occurs, decides.
 
 Windows that cannot be the best of their pair (document, item) are not fingerprinted.
 Shingles that a window has and the item lacks count for nothing, so a window as similar
@@ -43,14 +43,15 @@ def bounded(df: DataFrame) -> DataFrame:
 
 
 def _shingles(w: Column, n: int) -> Column:
-    """Shingles of a word array that has ``n`` words at least."""
-    return F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)),
+    """Shingles of a word array that is not empty; fewer than ``n`` words are one."""
+    return F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - (n - 1), F.lit(1))),
                        lambda i: F.concat_ws(" ", F.slice(w, i, F.lit(n))))
 
 
 def _with_fingerprint(df: DataFrame, shingles: str) -> DataFrame:
-    """Adds ``fp``: bit j is set if it is set in over half of the shingles' hashes."""
-    return (df.withColumn("hashes", F.transform(shingles, lambda s: F.xxhash64(s)))
+    """Adds ``fp``: bit j is set if it is set in over half of the distinct shingles' hashes.
+    A shingle that repeats has one vote, or a few such would decide every bit."""
+    return (df.withColumn("hashes", F.transform(F.array_distinct(shingles), lambda s: F.xxhash64(s)))
             .withColumn("fp", F.expr("""    -- never null: a test for null would run it twice
                 coalesce(aggregate(sequence(0, 63), 0L, (acc, j) -> acc | if(
                     2 * size(filter(hashes, h -> (shiftrightunsigned(h, j) & 1L) = 1L)) > size(hashes),
@@ -105,9 +106,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     document and each benchmark item that one of its windows repeats, the most similar
     window (the first of equals).
 
-    A window has as many words as the item (a shorter document is one window).  Items
-    and documents with fewer words than a shingle, null texts and rows without id match
-    nothing; rows of equal id count as one document with several texts.  Empty tables
+    A window has as many words as the item (a shorter document is one window).  The words
+    of a text with fewer than a shingle are its one shingle: such an item is found in
+    documents of the same words, not inside of longer ones.  Texts without a word, null
+    texts and rows without id match nothing; rows of equal id count as one document with
+    several texts, equal rows as one.  Whole texts of any length are read.  Empty tables
     give no rows.  Other columns are not read, whatever their names.
     """
     spark = docs.sparkSession
@@ -121,13 +124,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
              .where(F.col("doc").isNotNull()))
 
     def hashed(df: DataFrame, w: str, *keep: str) -> DataFrame:
-        """Shingle hashes by place, from word hashes, and the number of shingles."""
+        """Shingle hashes by place, from word hashes, and the number of shingles; places past
+        the end of a text shorter than a shingle are null, and so add nothing to its hash."""
         each = F.transform(F.col(w), lambda x: F.xxhash64(x))
-        df = df.select(*keep, (F.size(w) - (n - 1)).alias("size"), each.alias("wh"))
-        df = df.select(*keep, "size", "wh", F.posexplode(F.slice(
-            "wh", F.lit(1), F.greatest(F.col("size"), F.lit(0)))).alias("at", "first"))
-        return df.select(*keep, "size", "at", F.xxhash64(
-            "first", *(F.col("wh")[F.col("at") + k] for k in range(1, n))).alias("h"))
+        df = df.select(*keep, F.greatest(F.size(w) - (n - 1), F.lit(1)).alias("size"), each.alias("wh"))
+        df = df.select(*keep, "size", "wh", F.posexplode(F.slice("wh", F.lit(1), F.col("size")))
+                       .alias("at", "first"))
+        return df.select(*keep, "size", "at", F.xxhash64("first", *(
+            F.get("wh", F.col("at") + k) for k in range(1, n))).alias("h"))
 
     # per pair the places whose shingle the item has, and how often the item has it
     known = (hashed(items, "iw", "item", "item_key")
@@ -146,10 +150,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     windows = (texts.join(bounded(starts), ["doc", "doc_key"])
                .select("doc", "item", "item_key", "start", F.slice("w", F.col("start") + 1, F.col("m")).alias("ww"))
-               .where(F.size("ww") >= n)
                .withColumn("ws", _shingles(F.col("ww"), n)))
     windows = _with_fingerprint(windows, "ws")
-    targets = _with_fingerprint(items.where(F.size("iw") >= n)
+    targets = _with_fingerprint(items.where(F.size("iw") > 0)
                                 .withColumn("item_s", _shingles(F.col("iw"), n)), "item_s")
 
     # multi-index: an equal block for every pair within the radius

@@ -84,14 +84,17 @@ def lower_words(text):
 
 
 def leaks(docs, items, n=5, least=0.8):
-    """Largest weighted similarity of all windows, by brute force."""
+    """Largest weighted similarity of all windows, by brute force; a text of fewer words
+    than a shingle is one."""
+    def shingles(t):
+        w = lower_words(t)
+        return [tuple(w[k:k + n]) for k in range(len(w) - n + 1)] or ([tuple(w)] if w else [])
+
     out = {}
     for i, t in docs:
-        w = lower_words(t)
-        s = [tuple(w[k:k + n]) for k in range(len(w) - n + 1)]
+        s = shingles(t)
         for item, u in items:
-            v = lower_words(u)
-            other = Counter(tuple(v[k:k + n]) for k in range(len(v) - n + 1))
+            other = Counter(shingles(u))
             if i is None or item is None or not s or not other:
                 continue
             m = sum(other.values())
@@ -181,6 +184,21 @@ def test_leaks_with_parts_moved(spark):
     assert got == leaks(docs, items) and {k for k in range(30) if (k, k) in got} >= {0, 1, 2}
 
 
+def test_short_texts_and_few_words_much_repeated(spark):
+    """Texts below a shingle are matched whole; alternating words at similarity 0.9."""
+    items = [(1, "What is the capital"), (2, "yes"), (3, "a b c"), (4, "one two three four five")]
+    docs = [(k, t) for k, t in enumerate(["what is  the CAPITAL", "yes", "yes yes", "c b a", "a b c", "a b c d e",
+                                          "tell me what is the capital of it", "one two three four",
+                                          "one two three four five", "", None])]
+    for k in range(40):
+        items.append((100 + k, " ".join([f"a{k}", f"b{k}"] * 12)[:-len(f" b{k}")]))
+        docs.append((100 + k, " ".join([f"b{k}", f"a{k}"] * 12)[:-len(f" a{k}")]))
+    got = found(decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
+                                           spark.createDataFrame(items, "item_id long, text string")))
+    assert got == leaks(docs, items)
+    assert set(got) == {(0, 1), (1, 2), (4, 3), (8, 4)} | {(k, k) for k in range(100, 140)}
+
+
 def test_odd_tables(spark, odd_docs, no_docs):
     items = spark.createDataFrame([(1, prose(2, 25)), (2, ""), (3, "word " * 30), (3, "word " * 30)],
                                   "item_id long, text string").withColumn("fp", F.lit(1))
