@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from . import rangecoder
 from .storage import file_system, shared_folder
 from .tokens import piece_encoder, tokenizer_path
+from .words import slices
 
 TOKENIZER = "word_bpe_49k.json"
 VOCABULARY = 49_408
@@ -126,8 +127,7 @@ def write_id_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text_co
         name = f"ids-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
         sink = writer = None
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
+            for part in slices(batch, 1, 256):
                 if writer is None:
                     sink = fs.open_output_stream(f"{place}/{name}", compression=None)
                     writer = IdFileWriter(sink, vocab)

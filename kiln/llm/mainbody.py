@@ -25,6 +25,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from .words import slices
+
 #: characters from which a block has points
 SCORED_CHARS = 25
 _SIBLING_SHARE = 0.2
@@ -402,8 +404,7 @@ def extract_text(pages: DataFrame, html_col: str = "html", keep: tuple[str, ...]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
+            for part in slices(batch, len(kept), 256):
                 texts = [main_text(h) for h in part.column(len(kept)).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     part.columns[:len(kept)] + [pa.array(texts, pa.string())], names=kept + ["text"])

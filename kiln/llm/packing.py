@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .tokens import byte_encoder, piece_encoder, tokenizer_path
+from .words import slices
 
 SEQUENCE_TOKENS = 1024
 TOKENIZER = "byte_bpe_50k.json"
@@ -170,8 +171,7 @@ def _pack_partition(batches: Iterator[pa.RecordBatch], path: str, spaced: bool,
     packer = SumOfSquares(size, emit, max_open)
     for batch in batches:
         id_type = batch.schema.field(0).type
-        for lo in range(0, batch.num_rows, 128):
-            part = batch.slice(lo, 128)
+        for part in slices(batch, 1, 128):
             for doc, ids in zip(part.column(0).to_pylist(),
                                 encode(part.column(1).to_pylist())):
                 ids += end

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from kiln.session import checkpoint_dir
 
 from .components import components
-from .words import word_chunks
+from .words import slices, word_chunks
 
 SHINGLE_WORDS = 3
 MAX_BITS = 2
@@ -91,8 +91,7 @@ def simhash(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shingle, all its words; null and empty texts have fingerprint 0."""
     def fp(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
+            for part in slices(batch, 1, 256):
                 texts = part.column(1).cast(pa.binary()).to_pylist()
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(fingerprints(texts, shingle_words).view(np.int64))],

@@ -7,8 +7,8 @@ a document is toxic unless none of its sentences is (noisy-or):
 gradient steps, so that the sentences that explain a label get its weight.  The scored
 sentences then say where a document offends.
 
-Fitting reads a bounded sample of labelled documents (``TRAIN_DOCS``, the smallest id
-hashes); scoring is one pass over all documents without a shuffle.
+Fitting reads a bounded sample of labelled documents (``TRAIN_DOCS`` and ``TRAIN_BYTES``,
+the smallest id hashes); scoring is one pass over all documents without a shuffle.
 """
 
 from __future__ import annotations
@@ -21,8 +21,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from kiln.session import checkpoint_dir
+
+from .words import slices
+
 #: labelled documents that the model is fitted to at most
 TRAIN_DOCS = 8_000
+#: bytes of their texts at most (the features of a byte take about two)
+TRAIN_BYTES = 24 << 20
 #: documents of the sample in which a feature has to stand to get a weight
 MIN_DOCS = 3
 #: letters of the beginnings of words that are features
@@ -31,6 +37,11 @@ STEPS = 200
 LEARNING_RATE = 0.1
 #: weight of the sum of the weights' absolute values in the loss
 L1 = 1e-4
+#: a fit ends when the losses of its last ``SPAN`` steps lie within this part of each other
+TOLERANCE = 1e-2
+SPAN = 10
+#: features of the sample that a step weighs at a time
+CHUNK = 1 << 20
 #: a sentence of this score or more is reported
 OFFENDING = 0.5
 
@@ -113,10 +124,24 @@ def _sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
+def _chunks(sizes: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """Runs of sentences with about ``CHUNK`` features: first and end sentence, first and end
+    feature."""
+    ends = np.cumsum(sizes)
+    cuts = np.unique(np.concatenate([[0, len(sizes)], np.nonzero(np.diff(ends // CHUNK))[0] + 1])).tolist()
+    place = np.concatenate([[0], ends])
+    return [(lo, hi, int(place[lo]), int(place[hi])) for lo, hi in zip(cuts, cuts[1:])]
+
+
 def fit(labels: np.ndarray, docs: list[tuple[np.ndarray, np.ndarray]], min_docs: int = MIN_DOCS,
-        steps: int = STEPS, rate: float = LEARNING_RATE, l1: float = L1) -> Model:
+        steps: int = STEPS, rate: float = LEARNING_RATE, l1: float = L1,
+        tolerance: float = TOLERANCE) -> Model:
     """Fit to documents given as (number of features of each sentence, their hashes).
-    Without both labels the model scores all sentences alike, near 0 or near 1."""
+    Without both labels the model scores all sentences alike, near 0 or near 1.
+
+    Steps end when the losses of the last ``SPAN`` lie within ``tolerance`` of each other,
+    after ``steps`` at the latest.  Beside the features themselves (4 bytes each) a step
+    needs memory for ``CHUNK`` of them, one number a sentence and a few a weight."""
     y = np.asarray(labels, dtype=np.float64)
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(0, np.uint32), np.zeros(0), 20.0 if len(y) and y[0] else -20.0)
@@ -134,19 +159,29 @@ def fit(labels: np.ndarray, docs: list[tuple[np.ndarray, np.ndarray]], min_docs:
         sizes.append(np.bincount(np.repeat(np.arange(len(s)), s)[ok], minlength=len(s)))
     feature, sizes = np.concatenate(parts), np.concatenate(sizes)
     del parts
-    order = np.argsort(feature, kind="stable")
-    by_feature = np.repeat(np.arange(total, dtype=np.int32), sizes)[order]   # their sentences
-    del order
-    feature_sizes = np.bincount(feature, minlength=len(known))
+    chunks = _chunks(sizes)
     w, bias = np.zeros(len(known)), float(np.log(max(y.sum(), 1) / max(total, 1)))
     m, v = np.zeros(len(known) + 1), np.zeros(len(known) + 1)
+    losses: list[float] = []
+    z = np.zeros(total)
     for step in range(1, steps + 1):
-        z = bias + _sums(w[feature], sizes)
+        for lo, hi, first, end in chunks:
+            z[lo:hi] = bias + _sums(w[feature[first:end]], sizes[lo:hi])
         p = 1 / (1 + np.exp(-z.clip(-40, 40)))
-        clean = np.exp(-np.bincount(sentence_doc, weights=np.logaddexp(0, z), minlength=len(y)))
+        # of a document: minus the logarithm of the probability that no sentence is toxic
+        doubt = np.bincount(sentence_doc, weights=np.logaddexp(0, z), minlength=len(y))
+        clean = np.exp(-doubt)
         toxic = np.maximum(1 - clean, 1e-12)
+        losses.append(np.where(y == 1, -np.log(toxic), doubt).mean() + l1 * np.abs(w).sum())
+        last = losses[-SPAN:]           # the first steps may raise the loss before it falls
+        if step > SPAN and max(last) - min(last) < tolerance * max(last):
+            break
         slope = p * np.where(y == 1, -clean / toxic, 1.0)[sentence_doc] / len(y)
-        grad = np.append(_sums(slope[by_feature], feature_sizes), slope.sum())
+        grad = np.zeros(len(known) + 1)
+        for lo, hi, first, end in chunks:
+            grad[:-1] += np.bincount(feature[first:end], minlength=len(known),
+                                     weights=np.repeat(slope[lo:hi], sizes[lo:hi]))
+        grad[-1] = slope.sum()
         # a weight moves only against more slope than its absolute value costs
         g = grad[:-1] + l1 * np.sign(w)
         rest = w == 0
@@ -168,21 +203,35 @@ def held_out(id_col: str):
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "toxic", train_docs: int = TRAIN_DOCS) -> Model:
-    """Fit to at most ``train_docs`` labelled rows outside ``held_out``: those whose ids
-    have the smallest hashes.  Null ids and labels, and labels without a text, teach
-    nothing."""
+          label_col: str = "toxic", train_docs: int = TRAIN_DOCS,
+          train_bytes: int = TRAIN_BYTES) -> Model:
+    """Fit to at most ``train_docs`` labelled rows outside ``held_out`` with ``train_bytes``
+    of text in all: those whose ids have the smallest hashes.  A text of over a 64th of
+    ``train_bytes`` is passed over, a whole text or none is read.  Null ids and labels, and
+    labels without a text, teach nothing; null and empty texts teach what no words say; rows
+    equal in id, label and text teach once, an id of several texts or labels each of them.
+    Without labels or texts the model finds nothing toxic."""
+    checkpoint_dir(docs.sparkSession)
     sample = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
               .where(F.col("y").isin(0, 1) & F.col("id").isNotNull())
-              .where(~held_out("id"))
+              .where(~held_out("id")).distinct()
               .orderBy(F.xxhash64("id"), "id", "y").limit(train_docs))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = texts.join(F.broadcast(sample), "id").select("id", "y", "text")   # train_docs rows
+    near = (texts.join(F.broadcast(sample), "id")               # train_docs rows
+            .select("id", "y", "text", F.xxhash64("id").alias("h"), F.xxhash64("text").alias("t"),
+                    F.coalesce(F.octet_length("text"), F.lit(0)).alias("n"))
+            .where(F.col("n") <= train_bytes // 64).dropDuplicates(["id", "y", "text"]).checkpoint())
+    first = near.select("h", "id", "y", "t", "n").orderBy("h", "id", "y", "t").limit(train_docs).toArrow()
+    taken = int(np.searchsorted(np.cumsum(first.column("n").to_numpy(), dtype=np.int64), train_bytes, "right"))
+    last = first.slice(taken - 1, 1).to_pylist()[0] if taken else None
+    rows = near.select("id", "y", "text").where(
+        F.struct("h", "id", "y", "t") <= F.struct(*(F.lit(last[c]).cast(near.schema[c].dataType)
+                                                    for c in ("h", "id", "y", "t")))
+        if last else F.lit(False))
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
+            for part in slices(batch, "text", 512):
                 s = _Sentences(part.column("text"))
                 sentence, feature = s.features()
                 size = np.bincount(sentence, minlength=len(s.first)).astype(np.int32)
@@ -205,6 +254,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     parts = [(sizes[k].values.to_numpy(zero_copy_only=False),
               features[k].values.to_numpy(zero_copy_only=False).view(np.uint32))
              for k in range(got.num_rows)]
+    del got, sizes, features
     return fit(y, parts)
 
 
@@ -225,15 +275,15 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str
     """All columns of ``docs`` plus ``score_col`` (0 to 1) and, if asked for,
     ``sentences_col``: the offending sentences as ``(first_word, n_words, score)``.
 
-    Texts without words (null, empty) have score 0.  Rows are scored one by one, also
-    when they repeat.  Columns of ``docs`` with the added names are replaced."""
+    Texts without words (null, empty) have score 0; of any other length all sentences count.
+    Rows are scored one by one, also when they repeat; no rows give no rows.  Columns of
+    ``docs`` with the added names are replaced."""
     names = [c for c in docs.columns if c not in (score_col, sentences_col)]
     handle = docs.sparkSession.sparkContext.broadcast(model)    # bounded by the sample
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 512):
-                part = batch.slice(lo, 512)
+            for part in slices(batch, text_col, 512):
                 s = _Sentences(part.column(text_col))
                 p = s.scores(handle.value)
                 clean = np.bincount(s.sentence_doc, weights=np.log1p(-np.minimum(p, 1 - 1e-15)),

@@ -5,8 +5,14 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 #: bytes of a text that are cut into words at a time
 CHUNK_BYTES = 1 << 22
+#: bytes of texts that are worked on together, if they are more than one text
+SLICE_BYTES = 1 << 23
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
 
 
@@ -22,3 +28,15 @@ def word_chunks(data: bytes, size: int = CHUNK_BYTES) -> Iterator[list[bytes]]:
         yield data[lo:cut.start()].split()
         lo = cut.start()
     yield data[lo:].split()
+
+
+def slices(batch: pa.RecordBatch, texts: int | str, rows: int) -> Iterator[pa.RecordBatch]:
+    """All rows of ``batch`` in order, at most ``rows`` at a time and, where that leaves more
+    than one, about ``SLICE_BYTES`` of the column ``texts`` at most."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(texts)), 0).to_numpy(zero_copy_only=False)
+    ends, lo = np.cumsum(sizes, dtype=np.int64), 0
+    while lo < batch.num_rows:
+        before = int(ends[lo - 1]) if lo else 0
+        hi = max(lo + 1, min(lo + rows, int(np.searchsorted(ends, before + SLICE_BYTES, "right"))))
+        yield batch.slice(lo, hi - lo)
+        lo = hi

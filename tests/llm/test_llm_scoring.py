@@ -3,6 +3,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -69,6 +70,38 @@ def test_odd_rows_are_scored(odd_docs, no_docs, spark):
     assert {r.score < 1e-5 for r in toxicity.score(odd_docs.where("doc_id = 6"), none).collect()} == {True}
 
 
+def test_sample_is_bounded_in_bytes(spark, monkeypatch):
+    rows, labels = planted(400)
+    docs = spark.createDataFrame(rows + rows[:50] + [(401, "grump1 " * 9000)], "doc_id long, text string")
+    marks = spark.createDataFrame(labels + labels[:9] + [(401, 0)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda y, parts: seen.append([len(s) for s, _ in parts]))
+    by_hash = [r.doc_id for r in docs.select("doc_id").distinct().where(~toxicity.held_out("doc_id"))
+               .orderBy(F.xxhash64("doc_id")).collect() if r.doc_id != 401]      # 401: too long
+    texts = dict(rows)
+    for size in (1 << 16, 20_000):
+        toxicity.train(docs, marks, train_bytes=size)
+        sizes = np.cumsum([len(texts[i].encode()) for i in by_hash if len(texts[i]) <= size // 64])
+        assert len(seen[-1]) == np.searchsorted(sizes, size, "right")
+    toxicity.train(docs, marks, train_docs=10)
+    assert len(seen[-1]) == 10
+
+
+def test_fit_in_chunks_is_the_same(monkeypatch):
+    rows, labels = planted(200)
+    s = toxicity._Sentences(pa.array([t for _, t in rows]))
+    sentence, feature = s.features()
+    size = np.bincount(sentence, minlength=len(s.first))
+    docs = [(size[s.sentence_doc == k], feature[s.sentence_doc[sentence] == k].astype(np.uint32))
+            for k in range(len(rows))]
+    y = np.array([t for _, t in labels])
+    whole = toxicity.fit(y, docs, steps=40)
+    monkeypatch.setattr(toxicity, "CHUNK", 37)
+    cut = toxicity.fit(y, docs, steps=40)
+    np.testing.assert_array_equal(whole.features, cut.features)
+    np.testing.assert_allclose(whole.weights, cut.weights, rtol=1e-6, atol=1e-9)
+
+
 def test_held_out_accuracy_on_the_table(spark, tables):
     sf = SF.replace("0.001", "0.1")
     got = catalog.op3_toxicity(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
