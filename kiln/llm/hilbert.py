@@ -7,9 +7,12 @@ values, so a reader can skip files on any of them by their column statistics.
 
 1. Cut values of each dimension come from counts of its values over all rows; they are
    added up in ranges of the values, and only the cuts go to the driver.
-2. The sort keys alone (no texts) are range-partitioned, sorted, written and numbered by
-   partition sizes; the keys at which runs start are picked out: one row per run.
-3. Rows find their run by those keys, are shuffled once to it, and are written.  Rows with
+2. The sort keys and sizes alone (no texts) are range-partitioned, sorted, written and
+   numbered by partition sizes.  A run starts where a shard starts and where the bytes
+   before a row reach the next multiple of a run's share; the keys there are picked out.
+3. Rows find their run by those keys, are shuffled once to it, and are written: a task has
+   one run, so tasks are equal in bytes (but for single texts longer than a run), however
+   unequal the shards are.  Rows with
    the key at which a run starts, if others of that key stand before it, are checkpointed
    and numbered first, by counts per partition: the number says which run a row goes to.
 
@@ -29,8 +32,12 @@ from kiln.session import checkpoint_dir
 SHARDS = 24
 DIMENSIONS = ("source", "lang", "n_chars")
 BITS = 8
+#: bytes of a run at most, but for its last text
+RUN_BYTES = 128 << 20
 #: bytes that a row has besides its text
 ROW_BYTES = 8
+#: columns that writing adds
+_ADDED = ("__shard", "__slot", "__h", "__id", "__tie", "__run", "__at", "__first")
 
 
 def hilbert_index(coords: np.ndarray, bits: int) -> np.ndarray:
@@ -119,36 +126,51 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
 
     ``dimensions`` are numeric or text columns.  Rows with equal index stand in the order
     of their ids (integers; null last) and texts, rows equal in those in any order.  Columns
-    of ``docs`` named like the added ones are left out.
+    of ``docs`` named like the added ones are left out.  Null texts have no bytes, long ones
+    are not cut, null dimensions come first; no rows write no folder.
+
+    A shard is written as one run or more, of ``RUN_BYTES`` at most; small tables are cut into
+    ``runs_per_shard`` times ``shards`` runs, as many as shuffle partitions if that is None.
     """
     spark = docs.sparkSession
     checkpoint_dir(spark)
-    own = [c for c in docs.columns if c not in ("__shard", "__slot", "__h", "__id", "__tie", "__run")]
+    own = [c for c in docs.columns if c not in _ADDED]
     dims = F.struct(*(F.col(c).alias(f"d{k}") for k, c in enumerate(dimensions)))
     curve = _curve([cut_values(docs, c, bits) for c in dimensions], bits)
     keyed = (docs.select(*own, curve(dims).alias("__h"),
                          F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("__id"),
                          F.xxhash64(text_col).alias("__tie")))
+    size = (F.coalesce(F.octet_length(text_col), F.lit(0)) + F.lit(ROW_BYTES)).cast("long")
 
     place = F.monotonically_increasing_id()
     key = ["__h", "__id", "__tie"]
-    keys = (keyed.select(*key, F.rand(0).alias("salt"))         # equal keys may go to several partitions
+    keys = (keyed.select(*key, size.alias("size"), F.rand(0).alias("salt"))         # equal keys may go to several partitions
             .repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *key, "salt")
             .sortWithinPartitions(*key).drop("salt")
             .withColumn("part", F.shiftrightunsigned(place, 33))
             .withColumn("at", place.bitwiseAND(F.lit((1 << 33) - 1))).checkpoint())
-    sizes = dict(keys.groupBy("part").count().collect())        # one row per partition
-    n = sum(sizes.values())
+    parts = sorted(keys.groupBy("part").agg(F.count("*"), F.sum("size")).collect())  # a row per partition
+    sizes, before, before_bytes, n, total = {}, {}, [], 0, 0
+    for part, rows, size_ in parts:
+        sizes[part], before[part] = rows, n
+        before_bytes.append((part, total))
+        n, total = n + rows, total + size_
     m = runs_per_shard or max(1, -(-int(spark.conf.get("spark.sql.shuffle.partitions")) // shards))
+    share = max(1, -(-total // max(m * shards, -(-total // RUN_BYTES))))
     starts = shard_starts(n, shards)
-    runs = [(s, (starts[s + 1] - starts[s]) * j // m) for s in range(shards) for j in range(m)]
-    wanted, offset, before, rest = [], 0, {}, sorted({starts[s] + first for s, first in runs if starts[s] + first < n})
+    places = set(starts)
+    if n:
+        upto = F.sum("size").over(Window.partitionBy("part").orderBy("at"))
+        ends = (keys.withColumn("upto", upto)
+                .join(F.broadcast(spark.createDataFrame(before_bytes, "part long, bytes long")), "part")
+                .withColumn("upto", F.col("upto") + F.col("bytes"))
+                .where(F.expr(f"upto div {share} > (upto - size) div {share}")))
+        places |= {before[r.part] + r.at + 1 for r in ends.select("part", "at").collect()}  # a row per run
+    wanted, rest = [], sorted((g for g in places if g < n), reverse=True)
     for part in sorted(sizes):
-        while rest and rest[0] < offset + sizes[part]:
-            g = rest.pop(0)
-            wanted.append((part, g - offset, g))
-        before[part] = offset
-        offset += sizes[part]
+        while rest and rest[-1] < before[part] + sizes[part]:
+            g = rest.pop()
+            wanted.append((part, g - before[part], g))
     cuts: list[bytes] = []
     divided: dict[tuple, int] = {}          # place of the first row of keys that runs divide
     if wanted:
@@ -175,9 +197,8 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         return pd.Series(np.searchsorted(np.array(begins), g.to_numpy(), "right") - 1).astype("int32")
 
     shard_of = [int(np.searchsorted(starts, g, "right")) - 1 for g in begins]
-    shard = F.array(*(F.lit(s) for s in shard_of)) if begins else F.array(F.lit(0))
-    first = F.array(*(F.lit(g - starts[s]).cast("long") for g, s in zip(begins, shard_of))) \
-        if begins else F.array(F.lit(0).cast("long"))
+    runs = spark.createDataFrame([(k, s, g - starts[s]) for k, (g, s) in enumerate(zip(begins, shard_of))],
+                                 "__run int, __shard int, __first long")
     runned = keyed.withColumn("__run", run_of(*key)).withColumn("__slot", F.lit(0).cast("long"))
     if divided:
         table = F.broadcast(spark.createDataFrame(
@@ -195,16 +216,17 @@ def write_shards(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                 .withColumn("__run", run_at("__slot")))
         runned = (runned.join(table.drop("first"), key, "left_anti").select(*own, *key, "__run", "__slot")
                   .union(same.select(*own, *key, "__run", "__slot")))
-    order = Window.partitionBy("__run").orderBy(*key, "__slot")
-    placed = (runned.withColumn("__slot", F.row_number().over(order) - 1 + first[F.col("__run")])
-              .withColumn("__shard", shard[F.col("__run")]))
+    placed = (runned.repartitionById(max(1, len(begins)), F.col("__run"))     # a run in each task
+              .sortWithinPartitions(*key, "__slot").withColumn("__at", place.bitwiseAND(F.lit((1 << 33) - 1)))
+              .join(F.broadcast(runs), "__run")                               # one row per run
+              .withColumn("__slot", F.col("__at") + F.col("__first")))
     placed.select(*own, "__slot", "__shard").write.partitionBy("__shard").parquet(path)
 
 
 def read_shards(docs: DataFrame, path: str) -> DataFrame:
     """Rows of the files under ``path`` (written from ``docs``): columns of ``docs``,
     ``__slot`` and ``__shard``."""
-    own = [f for f in docs.schema if f.name not in ("__shard", "__slot", "__h", "__id", "__tie", "__run")]
+    own = [f for f in docs.schema if f.name not in _ADDED]
     schema = T.StructType(own + [T.StructField("__slot", T.LongType()),
                                  T.StructField("__shard", T.IntegerType())])
     return docs.sparkSession.read.schema(schema).parquet(path)

@@ -252,3 +252,35 @@ def test_equal_rows_are_divided(spark):
     hilbert.write_shards(docs, path, shards=7)
     assert Counter(map(tuple, hilbert.read_shards(docs, path).select("doc_id", "text", "other").collect())
                    ) == Counter(rows)
+
+
+def test_order_is_the_plain_sort(spark, tables):
+    docs = tables("documents").select("doc_id", "text", *hilbert.DIMENSIONS)
+    cuts = [sorted({r[0] for r in docs.select(c).distinct().collect() if r[0] is not None})
+            for c in ("source", "lang")] + [hilbert.cut_values(docs, "n_chars", hilbert.BITS)]
+    rows = docs.collect()
+    cells = np.array([[0 if r[c] is None else 1 + sum(v <= r[c] for v in values)
+                       for c, values in zip(hilbert.DIMENSIONS, cuts)] for r in rows])
+    index = hilbert.hilbert_index(cells, hilbert.BITS)
+    want = [r.doc_id for _, r in sorted(zip(index.tolist(), rows), key=lambda x: (x[0], x[1].doc_id))]
+    got = [r.doc_id for r in catalog.op8_hilbert(spark, SF).orderBy("shard", "slot").collect()]
+    assert got == want
+
+
+def test_files_are_equal_in_bytes(spark, monkeypatch):
+    """A third of the rows, in one stretch of the order, hold nearly all bytes."""
+    rows = [(k, ("long text " * 200) if k < 300 else "short", "a" if k < 300 else "b") for k in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").selectExpr(
+        "*", "'en' AS lang", "length(text) AS n_chars").repartition(4)
+    monkeypatch.setattr(hilbert, "RUN_BYTES", 40_000)
+    path = storage.shared_folder(spark, "shards-bytes-test")
+    hilbert.write_shards(docs, path, shards=6)
+    back = hilbert.read_shards(docs, path)
+    size = F.octet_length("text") + hilbert.ROW_BYTES
+    files = [r.bytes for r in back.groupBy(F.input_file_name()).agg(F.sum(size).alias("bytes")).collect()]
+    assert sum(files) == sum(len(t) + 8 for _, t, _ in rows) and max(files) <= 40_000 + 2008
+    counts = Counter(r["__shard"] for r in back.select("__shard").collect())
+    assert sorted(counts.values()) == [150] * 6
+    for shard in range(6):
+        slots = [r["__slot"] for r in back.where(F.col("__shard") == shard).select("__slot").collect()]
+        assert sorted(slots) == list(range(150))
