@@ -151,3 +151,15 @@ def test_untouched_texts_stay_as_they_are(spark):
     df = spark.createDataFrame([(1, " a\n b "), (2, None)], "doc_id long, text string")
     got = substrings.remove_repeats(df, keep_untouched=True)
     assert sorted(map(tuple, got.collect())) == [(1, 2, 0, " a\n b "), (2, 0, 0, None)]
+
+
+def test_slices_hold_all_rows_and_bounded_bytes(monkeypatch):
+    import pyarrow as pa
+    from kiln.llm import words
+    monkeypatch.setattr(words, "SLICE_BYTES", 100)
+    texts = [None, "", "x" * 60, "y" * 40, "z", "w" * 500, "v", None, *("u" * 30 for _ in range(9))]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(len(texts))), "text": texts})
+    got = [p.column("text").to_pylist() for p in words.slices(batch, "text", 4)]
+    assert sum(got, []) == texts
+    assert all(len(p) <= 4 and (len(p) == 1 or sum(len(t or "") for t in p) <= 100) for p in got)
+    assert len(got[0]) == 4 and list(words.slices(batch.slice(0, 0), 1, 4)) == []
