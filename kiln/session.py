@@ -64,6 +64,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir to a shared (HDFS/object-store) folder")
 
 
+#: what a loop that keeps each step in files of its own runs under: the shuffle files of a
+#: step go when it is over, and not at some later collection of the driver's garbage
+FREE_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """Session settings for the block; what was set before comes back after it."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 @contextmanager
 def persisted(*frames: DataFrame):
     """Cache ``frames`` (memory and disk) for the block; frames cached

@@ -364,3 +364,43 @@ def test_property_graph_one_row_per_vertex(spark):
 def test_source_outside_the_graph_reaches_nothing(spark):
     got = paths(gr.shortest_paths(wedges(spark, B4), 99))
     assert len(got) == 6 and all(v == (math.inf, []) for v in got.values())
+
+
+def _shuffle_files(spark):
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    files = disk.getAllFiles()
+    return sum(files.apply(k).getName().startswith("shuffle_") for k in range(files.size()))
+
+
+def test_pagerank_leaves_no_shuffle_files(spark):
+    """The files of a job's exchanges go with the job."""
+    before = _shuffle_files(spark)
+    pairs = [(k, (k * 7 + 3) % 60) for k in range(60)] + [(k, (k * 11 + 5) % 60) for k in range(60)]
+    res = gr.pagerank(edges_of(spark, pairs))
+    assert ranks(res) == brute_ranks(pairs)
+    assert _shuffle_files(spark) <= before
+
+
+def rounds_run(monkeypatch, spark, pairs, **kw):
+    """The result, and how many updates were run for it."""
+    ran, update = [], gr._residual_round
+    monkeypatch.setattr(gr, "_residual_round", lambda *a: ran.append(1) or update(*a))
+    return gr.pagerank(edges_of(spark, pairs), **kw), len(ran)
+
+
+def test_pagerank_sums_moves_that_fall_evenly(spark, monkeypatch):
+    """A two-sided graph swings from side to side for over 90 updates; few are run."""
+    pairs = [p for k in range(30) for x in range(1, 9) if (k + x) % 7 for p in ((k, -x), (-x, k))]
+    res, ran = rounds_run(monkeypatch, spark, pairs)
+    plain, wanted = gr.pagerank(edges_of(spark, pairs), max_iter=res.rounds, tol=None), brute_ranks(pairs)
+    assert ranks(res) == wanted == ranks(plain) and ran < res.rounds / 2 > 40
+    with pytest.raises(gr.NotConverged):
+        gr.pagerank(edges_of(spark, pairs), max_iter=res.rounds - 1)
+    assert gr.pagerank(edges_of(spark, pairs), max_iter=res.rounds).rounds == res.rounds
+
+
+@pytest.mark.parametrize("length", [3, 4, 5])
+def test_pagerank_of_rings_with_a_tail_in(spark, length):
+    """Moves that come back after another number of updates are no such series."""
+    pairs = [(k, (k + 1) % length) for k in range(length)] + [(100, 0), (101, 0), (102, 1)]
+    assert ranks(gr.pagerank(edges_of(spark, pairs))) == brute_ranks(pairs)
