@@ -46,6 +46,11 @@ DEFAULT_VERTEX_NAME = "missing"
 INF = float("inf")
 #: edges of one adjacency list, on average at most
 LIST_EDGES = 4096
+#: edges of one partition, on average at most: what a task holds does not grow with the graph
+PARTITION_EDGES = 1 << 22
+#: shares that the edges are grouped in before their number is known (put together by size),
+#: and the bytes of one
+GROUP_SHARES, GROUP_BYTES = 2048, "8m"
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
@@ -104,7 +109,10 @@ class EdgeIndex:
         spark.sql(f"CREATE DATABASE {name} LOCATION '{folder}/{name}'")
         # the source is read once; all else starts from this table
         value = F.min("weight") if weight else F.count(F.lit(1)).cast("double")
-        with settings(spark, FREE_SHUFFLES):
+        with settings(spark, {**FREE_SHUFFLES,
+                              "spark.sql.adaptive.coalescePartitions.initialPartitionNum":
+                                  str(max(GROUP_SHARES, _partitions(edges, None))),
+                              "spark.sql.adaptive.advisoryPartitionSizeInBytes": GROUP_BYTES}):
             e.groupBy("src", "dst").agg(value.alias("w")).write.saveAsTable(f"{name}.pairs")
         with settings(spark, FREE_SHUFFLES):
             return EdgeIndex._of_pairs(spark, name, num_partitions, weight, vertices, loops)
@@ -125,7 +133,7 @@ class EdgeIndex:
             F.count(F.lit(1)).alias("pairs"), F.min("w").alias("least"))
         stats = per_source.agg(F.sum("pairs").alias("m"), F.max("pairs").alias("top"),
                                F.min("least").alias("w")).first()
-        n = _partitions(pairs, num_partitions)
+        n = num_partitions or max(_partitions(pairs, None), math.ceil((stats["m"] or 0) / PARTITION_EDGES))
         # heavy = more edges than a fair share of one partition: fewer than n sources
         threshold = math.ceil((stats["m"] or 0) / n)
         cold, hot, hot_ids = pairs, None, None
@@ -456,7 +464,7 @@ def shortest_distances(edges: DataFrame, source: int, weight: str = "weight",
             return shortest_distances(edges, source, weight, num_partitions, max_iter, idx)
         finally:
             idx.release()
-    with settings(index.vertices.sparkSession, FREE_SHUFFLES):
+    with settings(index.vertices.sparkSession, {**FREE_SHUFFLES, "spark.sql.shuffle.partitions": str(index.num_partitions)}):
         return _relax(index, source, max_iter)
 
 

@@ -404,3 +404,23 @@ def test_pagerank_of_rings_with_a_tail_in(spark, length):
     """Moves that come back after another number of updates are no such series."""
     pairs = [(k, (k + 1) % length) for k in range(length)] + [(100, 0), (101, 0), (102, 1)]
     assert ranks(gr.pagerank(edges_of(spark, pairs))) == brute_ranks(pairs)
+
+
+def test_partitions_follow_the_edges(spark, monkeypatch):
+    """A partition's share of edges is bounded, whatever the session's number of partitions."""
+    monkeypatch.setattr(gr, "PARTITION_EDGES", 10)
+    rows = [(k % 30, (k // 30 * 7 + k) % 30, 1 + k % 5) for k in range(180)]
+    e = wedges(spark, rows)
+    pairs = len({r[:2] for r in rows})
+    idx = gr.EdgeIndex.build(e, weight="weight")
+    try:
+        assert idx.num_partitions == math.ceil(pairs / 10) > 4
+        lists = idx.cold.selectExpr("src", "out_degree", "inline(edges)")
+        assert lists.count() + (idx.hot.count() if idx.hot is not None else 0) == pairs
+        out = {s: len({d for x, d, _ in rows if x == s}) for s in range(30)}
+        assert all(out[r["src"]] == r["out_degree"] for r in lists.collect())
+    finally:
+        idx.release()
+    got = {k: v[0] for k, v in paths(gr.shortest_paths(e, 0)).items()}
+    monkeypatch.undo()
+    assert got == {k: v[0] for k, v in paths(gr.shortest_paths(e, 0, num_partitions=2)).items()}
