@@ -51,6 +51,9 @@ PARTITION_EDGES = 1 << 22
 #: shares that the edges are grouped in before their number is known (put together by size),
 #: and the bytes of one
 GROUP_SHARES, GROUP_BYTES = 2048, "8m"
+#: settings to group edges under: a task reads a short piece of a file, as what it has read
+#: is grouped in its memory before the exchange
+GROUPING = {**FREE_SHUFFLES, "spark.sql.files.maxPartitionBytes": "16m"}
 
 
 def _partitions(df: DataFrame, num_partitions: int | None) -> int:
@@ -109,12 +112,12 @@ class EdgeIndex:
         spark.sql(f"CREATE DATABASE {name} LOCATION '{folder}/{name}'")
         # the source is read once; all else starts from this table
         value = F.min("weight") if weight else F.count(F.lit(1)).cast("double")
-        with settings(spark, {**FREE_SHUFFLES,
+        with settings(spark, {**GROUPING,
                               "spark.sql.adaptive.coalescePartitions.initialPartitionNum":
                                   str(max(GROUP_SHARES, _partitions(edges, None))),
                               "spark.sql.adaptive.advisoryPartitionSizeInBytes": GROUP_BYTES}):
             e.groupBy("src", "dst").agg(value.alias("w")).write.saveAsTable(f"{name}.pairs")
-        with settings(spark, FREE_SHUFFLES):
+        with settings(spark, GROUPING):
             return EdgeIndex._of_pairs(spark, name, num_partitions, weight, vertices, loops)
 
     @staticmethod
