@@ -16,7 +16,7 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +47,16 @@ class IdFileWriter:
         self.n_ids = 0
 
     def add(self, doc: int | None, ids: np.ndarray) -> None:
-        self._docs.append(doc)
-        self._sizes.append(len(ids))
+        self.add_all([doc], np.array([len(ids)]), [ids])
+
+    def add_all(self, docs: Sequence[int | None], sizes: np.ndarray, ids: Iterable[np.ndarray]) -> None:
+        """Documents in order with their numbers of ids, and all their ids, cut anywhere."""
+        self._docs.extend(docs)
+        self._sizes.extend(sizes.tolist())
+        for part in ids:
+            self._hold(part)
+
+    def _hold(self, ids: np.ndarray) -> None:
         self.n_ids += len(ids)
         self._held.append(ids)
         self._n_held += len(ids)
@@ -122,18 +130,17 @@ def write_id_files(docs: DataFrame, folder: str, id_col: str = "doc_id", text_co
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        encoder, end = piece_encoder(path, spaced), int(end_id).to_bytes(4, "little")
+        encoder = piece_encoder(path, spaced)
         fs, place = file_system(folder)
         name = f"ids-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}"
         sink = writer = None
         for batch in batches:
-            for part in slices(batch, 1, 256):
+            for part in slices(batch, 1, batch.num_rows):
                 if writer is None:
                     sink = fs.open_output_stream(f"{place}/{name}", compression=None)
                     writer = IdFileWriter(sink, vocab)
-                for doc, ids in zip(part.column(0).to_pylist(),
-                                    encoder.encode(part.column(1).to_pylist())):
-                    writer.add(doc, np.frombuffer(ids + end, "<u4").astype(np.int32))
+                sizes, ids = encoder.encode_column(part.column(1), end_id)
+                writer.add_all(part.column(0).to_pylist(), sizes, (x.astype(np.int32) for x in ids))
         if writer is not None:
             n_docs, n_ids, size = writer.close()
             sink.close()

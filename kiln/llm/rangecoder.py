@@ -42,12 +42,19 @@ _SH, _FR = np.uint64(_SHARE_BITS), np.uint64(_FREQ_BITS)
 
 #: confidence after a wrong prediction (first eight: halved) and after a right one
 _NEXT_SURE = np.array([k >> 1 for k in range(8)] + [min(k + 1, 7) for k in range(8)], np.uint8)
+# what was coded: four times the weights' row, plus 1 if order 2 was right, else 2 if order 1 was
+_CODED = np.arange(512)
+_NEXT_TWO = _NEXT_SURE[(_CODED >> 6) + 8 * (_CODED & 3 == 1)]
+_LOST_TWO = (_CODED & 3 != 1) & (_CODED >> 6 < 2)
+# of order 1: twice the row, plus 1 if it was right
+_NEXT_ONE = _NEXT_SURE[((_CODED >> 2) & 7) + 8 * (_CODED & 1)][:256]
+_LOST_ONE = ((_CODED & 1 == 0) & ((_CODED >> 2) & 7 < 2))[:256]
 
 
 class _Model:
     def __init__(self, vocab: int):
         self.vocab = vocab
-        self.one = np.full(vocab + 1, vocab, np.int32)          # vocab: no prediction, no id
+        self.one = np.full(vocab + 1, vocab, np.int64)          # vocab: no prediction, no id
         self.two = np.full(1 << _PAIR_BITS, vocab, np.int32)
         self.sure_one = np.zeros(vocab + 1, np.uint8)
         self.sure_two = np.zeros(1 << _PAIR_BITS, np.uint8)
@@ -62,12 +69,17 @@ class _Model:
         most = _SHARES - _LEAST_REST
         over = a + b > most
         a, b = (np.where(over, np.maximum(1, x * (most - 2) // (a + b)), x) for x in (a, b))
-        self.share_two, self.share_one = a.astype(np.int32), b.astype(np.int32)
+        self.upto_two, self.upto_one = a.astype(np.uint64), (a + b).astype(np.uint64)
+        # by what was coded: where its share begins, and the share
+        self.begin = np.stack([a + b, 0 * a, a, a], axis=1).astype(np.uint64).ravel()
+        self.share = np.stack([_SHARES - a - b, a, b, b], axis=1).astype(np.uint64).ravel()
         total = int(self.spelled.sum())
         counts = np.cumsum(self.spelled) if total else np.arange(1, self.vocab + 1)
         spare = _FREQS - self.vocab
         self.cum = np.zeros(self.vocab + 1, np.int64)
         self.cum[1:] = np.arange(1, self.vocab + 1) + spare * counts // (total or self.vocab)
+        self.start = self.cum.astype(np.uint64)
+        self.freq = np.diff(self.start)
         self._index = None
 
     def find(self, place: np.ndarray) -> np.ndarray:
@@ -76,41 +88,39 @@ class _Model:
         if self._index is None:
             self._index = np.searchsorted(self.cum, np.arange(0, _FREQS + 1, 1 << _RUN_BITS), "right") - 1
         run = place >> _RUN_BITS
-        ids = self._index[run]
-        open_ = np.nonzero(self._index[run + 1] != ids)[0]
+        ids = self._index.take(run)
+        open_ = np.nonzero(self._index.take(run + 1) != ids)[0]
         ids[open_] = np.searchsorted(self.cum, place[open_], "right") - 1
         return ids
 
     def predict(self, before: np.ndarray, last: np.ndarray):
         """Predictions of both orders, the pair's place, and the weights' row."""
         pair = self.pair(before, last)
-        two, one = self.two[pair], self.one[last]
-        row = self.sure_two[pair] << 4 | self.sure_one[last] << 1 | (two == one)
-        return pair, two, one, row.astype(np.int32)
+        two, one = self.two.take(pair), self.one.take(last)
+        row = self.sure_two.take(pair) << 4 | self.sure_one.take(last) << 1 | (two == one)
+        return pair, two, one, row.astype(np.int64)
 
     def pair(self, before: np.ndarray, last: np.ndarray) -> np.ndarray:
-        mixed = before.view(np.uint32) * np.uint32(0x9E3779B1)
-        mixed += last.view(np.uint32) * np.uint32(0x85EBCA77)
+        mixed = before.astype(np.uint32) * np.uint32(0x9E3779B1)
+        mixed += last.astype(np.uint32) * np.uint32(0x85EBCA77)
         mixed ^= mixed >> np.uint32(15)
         mixed *= np.uint32(0x2C1B3C6D)
-        return (mixed >> np.uint32(32 - _PAIR_BITS)).view(np.int32)
+        return (mixed >> np.uint32(32 - _PAIR_BITS)).astype(np.int64)
 
-    def learn(self, ids, last, pair, two, one, row) -> None:
+    def learn(self, ids, last, pair, one, coded) -> None:
         """Take in a round, in the order of steps, then lanes; a place that comes up more
         than once keeps its last."""
-        ids, last, pair, two, one, row = (x.ravel() for x in (ids, last, pair, two, one, row))
-        right_two = ids == two
-        right_one = ~right_two & (ids == one)
-        spelled = ~(right_two | right_one)
-        seen = np.bincount(4 * row + right_two + 2 * right_one, minlength=512).reshape(128, 4)
+        ids, last, pair, one, coded = (x.ravel() for x in (ids, last, pair, one, coded))
+        seen = np.bincount(coded, minlength=512).reshape(128, 4)
         self.seen += np.stack([seen.sum(axis=1), seen[:, 1], seen[:, 2]], axis=1)
-        self.spelled += np.bincount(ids[spelled], minlength=self.vocab)
-        for at, right, old, table, sure in (
-                (pair, right_two, row >> 4, self.two, self.sure_two),
-                (last, ids == one, (row >> 1) & 7, self.one, self.sure_one)):
-            lost = np.nonzero(~right & (old < 2))[0]
-            table[at[lost]] = ids[lost]
-            sure[at] = _NEXT_SURE[old + 8 * right]
+        self.spelled += np.bincount(ids[coded & 3 == 0], minlength=self.vocab)
+        by_one = coded >> 2 << 1 | (ids == one)
+        for at, known, lost, after, table, sure in (
+                (pair, coded, _LOST_TWO, _NEXT_TWO, self.two, self.sure_two),
+                (last, by_one, _LOST_ONE, _NEXT_ONE, self.one, self.sure_one)):
+            lost = np.nonzero(lost.take(known))[0]
+            table[at.take(lost)] = ids.take(lost)
+            sure[at] = after.take(known)
         self._weigh()
 
 
@@ -141,7 +151,7 @@ def encode_block(ids: np.ndarray, vocab: int) -> bytes:
         raise ValueError("a block takes ids below its vocabulary, one at least")
     lanes = _lanes(n)
     steps = -(-n // lanes)
-    x = np.zeros(lanes * steps, np.int32)
+    x = np.zeros(lanes * steps, np.int64)
     x[:n] = ids
     x = np.ascontiguousarray(x.reshape(lanes, steps).T)
     model = _Model(vocab)
@@ -162,21 +172,23 @@ def encode_block(ids: np.ndarray, vocab: int) -> bytes:
         part = x[lo:hi]
         before, last = _context(x, lo, hi, vocab)
         pair, two, one, row = model.predict(before, last)
-        a, b = model.share_two[row], model.share_one[row]
         is_two = part == two
-        is_one = ~is_two & (part == one)
-        told = is_two | is_one
-        from_ = np.where(is_two, 0, np.where(is_one, a, a + b)).astype(np.uint64)
-        share = np.where(is_two, a, np.where(is_one, b, _SHARES - a - b)).astype(np.uint64)
-        start = model.cum[part]
-        freq = np.where(told, _FREQS, model.cum[part + 1] - start).astype(np.uint64)
-        start = np.where(told, 0, start).astype(np.uint64)
+        coded = row << 2
+        coded += is_two
+        coded += 2 * (~is_two & (part == one))
+        told = coded & 3 != 0
+        begin, share = model.begin.take(coded), model.share.take(coded)
+        start, freq = model.start.take(part), model.freq.take(part)
+        np.copyto(start, np.uint64(0), where=told)
+        np.copyto(freq, np.uint64(_FREQS), where=told)
         for t in range(hi - lo):
             unit = size >> _SH
-            add(unit * from_[t])
-            unit = (unit * share[t]) >> _FR
+            new = unit * begin[t]
+            unit *= share[t]
+            unit >>= _FR
             # what was cut off the share's range is not used
-            add(unit * start[t])
+            new += unit * start[t]
+            add(new)
             size = unit * freq[t]
             out = np.nonzero(size <= _LOW)[0]
             if len(out):
@@ -184,7 +196,7 @@ def encode_block(ids: np.ndarray, vocab: int) -> bytes:
                 used[out] += 1
                 low[out] <<= _U32
                 size[out] <<= _U32
-        model.learn(part, last, pair, two, one, row)
+        model.learn(part, last, pair, one, coded)
 
     add(np.full(lanes, 0xFFFFFFFF, np.uint64))
     words[np.arange(lanes), used] = low >> _U32
@@ -220,45 +232,48 @@ def decode_block(block: bytes) -> np.ndarray:
     steps = -(-n // lanes)
     used = np.frombuffer(payload, "<u4", lanes).astype(np.int64)
     flat = np.frombuffer(payload, "<u4", offset=4 * lanes)
-    words = np.zeros((lanes, int(used.max()) + 2), np.uint64)
-    words[np.arange(words.shape[1]) < used[:, None]] = flat
+    width = int(used.max()) + 2
+    words = np.zeros((lanes, width), np.uint64)
+    words[np.arange(width) < used[:, None]] = flat
     model = _Model(vocab)
     val = words[:, 0] << _U32 | words[:, 1]
-    at = np.full(lanes, 2, np.int64)
-    most = words.shape[1] - 1
+    # where each lane's next word is; after its last there are zeros
+    at, last_at = (np.arange(lanes) * width + k for k in (2, width - 1))
+    words = words.ravel()
     size = np.full(lanes, 0xFFFFFFFFFFFFFFFF, np.uint64)
-    x = np.zeros((steps, lanes), np.int32)
-    none = np.full(lanes, vocab, np.int32)
+    # two steps before the first: no ids
+    full = np.full((steps + 2, lanes), vocab, np.int64)
+    x = full[2:]
+    pairs, ones, codes = (np.zeros((min(steps, ROUND_STEPS), lanes), np.int64) for _ in range(3))
     for lo, hi in _rounds(steps):
-        kept = []
         for t in range(lo, hi):
-            before, last = (x[t - 2] if t > 1 else none), (x[t - 1] if t else none)
-            pair, two, one, row = model.predict(before, last)
-            a, b = model.share_two[row], model.share_one[row]
-            ab = a + b
+            pair, two, one, row = model.predict(full[t], full[t + 1])
             unit = size >> _SH
-            place = np.minimum(val // unit, np.uint64(_SHARES - 1)).astype(np.int64)
-            is_two, told = place < a, place < ab
-            val -= unit * np.where(is_two, 0, np.where(told, a, ab)).astype(np.uint64)
-            share = np.where(is_two, a, np.where(told, b, _SHARES - ab)).astype(np.uint64)
-            unit = (unit * share) >> _FR
-            ids = np.where(is_two, two, one)
+            place = val // unit
+            is_two, told = place < model.upto_two.take(row), place < model.upto_one.take(row)
+            coded = np.left_shift(row, 2, out=codes[t - lo])
+            coded += told
+            coded += told & ~is_two
+            pairs[t - lo], ones[t - lo] = pair, one
+            val -= unit * model.begin.take(coded)
+            unit *= model.share.take(coded)
+            unit >>= _FR
+            ids = x[t]
+            np.copyto(ids, one)
+            np.copyto(ids, two, where=is_two)
             size = unit << _FR
             rest = np.nonzero(~told)[0]
             if len(rest):
-                u = unit[rest]
-                place = np.minimum(val[rest] // u, np.uint64(_FREQS - 1)).astype(np.int64)
-                spelled = model.find(place)
+                u, v = unit.take(rest), val.take(rest)
+                spelled = model.find(np.minimum(v // u, np.uint64(_FREQS - 1)).astype(np.int64))
                 ids[rest] = spelled
-                start = model.cum[spelled]
-                val[rest] -= u * start.astype(np.uint64)
-                size[rest] = u * (model.cum[spelled + 1] - start).astype(np.uint64)
+                val[rest] = v - u * model.start.take(spelled)
+                size[rest] = u * model.freq.take(spelled)
             out = np.nonzero(size <= _LOW)[0]
             if len(out):
-                val[out] = val[out] << _U32 | words[out, np.minimum(at[out], most)]
-                at[out] += 1
-                size[out] <<= _U32
-            x[t] = ids
-            kept.append((last, pair, two, one, row))
-        model.learn(x[lo:hi], *(np.stack(c) for c in zip(*kept)))
-    return x.T.ravel()[:n]
+                place = at.take(out)
+                val[out] = val.take(out) << _U32 | words.take(np.minimum(place, last_at.take(out)))
+                at[out] = place + 1
+                size[out] = size.take(out) << _U32
+        model.learn(x[lo:hi], full[lo + 1:hi + 1], *(c[:hi - lo] for c in (pairs, ones, codes)))
+    return x.astype(np.int32).T.ravel()[:n]

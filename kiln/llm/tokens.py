@@ -7,7 +7,8 @@ so most pieces come from the table.
 
 * byte-level tokenizers: before a single space that stands between two
   characters that are not white space (the space opens the next pre-token);
-* word tokenizers that drop white space: at white space.
+* word tokenizers that drop white space: at white space (whole columns of texts: at ASCII
+  white space, by Arrow).
 """
 
 from __future__ import annotations
@@ -16,14 +17,20 @@ import json
 import os
 import re
 import struct
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: pieces that a worker keeps (as many again from before), and their characters at most
 CACHE_PIECES = 500_000
 PIECE_CHARS = 48
+#: words of a column whose ids are put together at a time
+COLUMN_WORDS = 1 << 18
+#: marks at the end of a word that are cut off, at most
+MARKS = 4
 
 #: white space other than spaces and line feeds
 _OTHER_SPACE = re.compile("[\t\x0b-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
@@ -34,6 +41,9 @@ _PACKED = [struct.Struct(f"<{n}I").pack for n in range(64)]
 #: a word of letters, Latin-1 at most, and the mark after it: two pre-tokens
 _PLAIN = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?]*)")
 
+#: bytes that are ASCII letters and digits
+_LETTERS = np.array([b < 128 and chr(b).isalnum() for b in range(256)])
+
 
 def tokenizer_path(name: str) -> str:
     """Place of a vocabulary file of the installed public tokenizers."""
@@ -126,6 +136,12 @@ class PieceEncoder:
         self._merge = self._tok.model.tokenize
         self._marks = {c: self._model(c) for c in ".,;:!?"}
         self._line = self._model(self._bytes[0x0A]) if spaced else b""
+        added = [t.content for t in self._tok.get_added_tokens_decoder().values()]
+        #: what all added tokens begin with, in lower case
+        self._added = os.path.commonprefix(added).lower() if added else None
+        #: bytes that are marks of no added token
+        self._marking = np.array([32 < b < 127 and not chr(b).isalnum() and not any(chr(b) in a for a in added)
+                                  for b in range(256)])
 
     def _model(self, pre_token: str) -> bytes:
         ids = [t.id for t in self._merge(pre_token)]
@@ -146,7 +162,7 @@ class PieceEncoder:
         out: list[bytes | None] = []
         other = []
         for piece in pieces:
-            if piece.isalpha() and piece.isascii():
+            if piece.isascii() and piece.isalpha():
                 out.append(self._word(piece))
                 continue
             stem = piece[:-1]
@@ -215,3 +231,89 @@ class PieceEncoder:
         if extra:
             return [b"".join([known.get(p) if p in known else extra[p] for p in c]) for c in cut]
         return [b"".join([known[p] for p in c]) for c in cut]
+
+    def _codes(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces."""
+        out = list(map(self._known.get, pieces))
+        new = [k for k, c in enumerate(out) if c is None]
+        if not new:
+            return out
+        if len(self._known) + len(new) > self._cap:
+            self._before, self._known = self._known, {}
+        known, before = self._known, self._before
+        unseen = []
+        for k in new:
+            piece = pieces[k]
+            out[k] = code = before.get(piece)
+            if code is None:
+                unseen.append(k)
+            else:
+                known[piece] = code
+        for k, code in zip(unseen, self._raw([pieces[k] for k in unseen])):
+            out[k] = code
+            if len(pieces[k]) <= PIECE_CHARS:
+                known[pieces[k]] = code
+        return out
+
+    def _words(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The words of all texts, one after the other, and how many there are up to the end of
+        each text.
+
+        Texts are cut at ASCII white space alone (a word may be empty) and before a few marks
+        that end a word, after a letter or digit; A-Z are in lower case, unless that could
+        make an added token."""
+        texts = pc.fill_null(texts, "")
+        low = pc.ascii_lower(texts)
+        if self._added is not None:
+            low = pc.if_else(pc.match_substring(low, self._added), texts, low)
+        cut = pc.ascii_split_whitespace(low)
+        upto = np.cumsum(pc.list_value_length(cut).to_numpy(zero_copy_only=False), dtype=np.int64)
+        words = cut.flatten()
+        ends = np.frombuffer(words.buffers()[1], np.int32 if pa.types.is_string(words.type) else np.int64)
+        ends = ends[words.offset:words.offset + len(words) + 1]
+        data = np.frombuffer(words.buffers()[2] or b"", np.uint8)
+        if not len(data):
+            return words, upto
+        last = np.nonzero(self._marking[data[ends[1:] - 1]] & (np.diff(ends) > 1))[0]
+        place = ends[last + 1] - 1
+        for _ in range(MARKS - 1):
+            more = self._marking[data[np.maximum(place - 1, 0)]]
+            place -= more
+        one, two = (data[np.maximum(place - k, 0)] for k in (1, 2))
+        plain = _LETTERS[one] & (place - ends[last] >= 1)
+        latin = (two == 0xC3) & (one >= 0x80) & (one < 0xC0) & (one != 0x97) & (one != 0xB7) & (place - ends[last] >= 2)
+        keep = plain | latin
+        last = last[keep]
+        cuts = np.insert(ends, last + 1, place[keep])
+        words = pa.Array.from_buffers(words.type, len(cuts) - 1, [None, pa.py_buffer(cuts), words.buffers()[2]])
+        return words, upto + np.searchsorted(last, upto)
+
+    def encode_column(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, Iterator[np.ndarray]]:
+        """The number of ids of each text with ``end_id`` after it, and all these ids
+        (unsigned 32-bit), a bounded number of words at a time.
+
+        Word tokenizers: words are cut and told apart by Arrow, so that Python sees each
+        distinct word of the column once."""
+        if self._spaced:
+            end = int(end_id).to_bytes(4, "little")
+            done = [np.frombuffer(ids + end, "<u4") for ids in self.encode(texts.to_pylist())]
+            return np.array([len(x) for x in done], np.int64), iter(done)
+        words, at = self._words(texts)
+        words = words.dictionary_encode()
+        codes = self._codes(words.dictionary.to_pylist())
+        codes.append(int(end_id).to_bytes(4, "little"))
+        flat = np.frombuffer(b"".join(codes), "<u4")
+        size = np.fromiter(map(len, codes), np.int64, len(codes)) >> 2
+        start = np.cumsum(size) - size
+        index = np.insert(words.indices.to_numpy(zero_copy_only=False), at, len(codes) - 1)
+        upto = np.zeros(len(index) + 1, np.int64)
+        np.cumsum(size[index], out=upto[1:])
+        ends = upto[at + np.arange(1, len(at) + 1)]
+
+        def ids() -> Iterator[np.ndarray]:
+            for lo in range(0, len(index), COLUMN_WORDS):
+                part = index[lo:lo + COLUMN_WORDS]
+                before = upto[lo:lo + len(part) + 1] - upto[lo]
+                yield flat[np.repeat(start[part] - before[:-1], np.diff(before)) + np.arange(before[-1])]
+
+        return np.diff(ends, prepend=0), ids()

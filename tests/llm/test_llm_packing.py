@@ -2,10 +2,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from kiln.llm import catalog, packing
+from kiln.llm import catalog, packing, tokens
 from kiln.llm.tokens import PieceEncoder, tokenizer_path
 
 from .conftest import ODD_ROWS, SF
@@ -113,3 +114,31 @@ def test_pieces_have_the_ids_of_the_whole_text(tables, name, spaced):
     for lo in range(0, len(texts), 7):
         part = texts[lo:lo + 7]
         assert encoder.encode(part) == [x[:-1].tobytes() for x in ids_of(part, name, 0)]
+
+
+@pytest.mark.parametrize("name,spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
+def test_columns_have_the_ids_of_the_whole_texts(monkeypatch, name, spaced):
+    monkeypatch.setattr(tokens, "COLUMN_WORDS", 5)
+    rng = np.random.default_rng(5)
+    letters = np.array([*"aAbKtsß'.,!?-$<|>1 \t\n\x1c\x85", "é", "É", "×", "÷", "ſ", "İ", "́", "日", "　", "'s", "  "])
+    texts = ["".join(rng.choice(letters, int(n))) for n in rng.integers(0, 25, 1500)]
+    texts += [None, "", " ", None, "Don't. we'll! x's... x's!?", "...", "a-. b", "é. É, ×! ÷? é.", "日。 日.",
+              "a<|endoftext|>. B", "<|ENDOFTEXT|> A.", "word..... word.!", "1. 2, 3x!", "x" * 300 + ".", ".a", "'. '!! a'."]
+    encoder = PieceEncoder(tokenizer_path(name), spaced, cache_pieces=50)
+    column = pa.array(texts)
+    for lo in range(0, len(texts), 100):
+        sizes, ids = encoder.encode_column(column.slice(lo, 100), 7)
+        want = ids_of(texts[lo:lo + 100], name, 7)
+        assert sizes.tolist() == [len(x) for x in want]
+        assert np.concatenate(list(ids)).tolist() == np.concatenate(want).tolist()
+
+
+def test_a_column_asks_for_each_distinct_word_once(monkeypatch):
+    asked = []
+    encoder = PieceEncoder(tokenizer_path("word_bpe_49k.json"), False)
+    raw = encoder._raw
+    monkeypatch.setattr(encoder, "_raw", lambda pieces: asked.extend(pieces) or raw(pieces))
+    column = pa.array(["One word, one WORD. Word! Word$$ (one)", "WORD one, ONE?! Two."] * 500)
+    for _ in range(2):
+        encoder.encode_column(column, 2)
+    assert sorted(asked) == sorted(["one", "word", "two", ",", ".", "!", "$$", "?!", "(one", ")"])
