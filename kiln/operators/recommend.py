@@ -1,16 +1,18 @@
 """Collaborative filtering with ``pyspark.ml`` ALS: rank search, test RMSE,
 personal recommendations.
 
-ALS itself is Spark's distributed block solver; the library only drives it.
-Cold-start rows (a user or item unseen in training) are dropped from
+ALS itself is Spark's distributed block solver; the library only drives it, up to
+``SPARK_RATINGS`` ratings.  Beyond, where a block outgrows a task, :mod:`kiln.operators.shards`
+finds the same model from smaller shares.  Cold-start rows (a user or item unseen in training) are dropped from
 scoring (``coldStartStrategy='drop'``) -- with NaN predictions kept, the
 RMSE would be NaN and no rank could be chosen.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.ml.recommendation import ALS, ALSModel
@@ -18,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kiln.operators import shards
 from kiln.operators.ratings import rmse, unrated_candidates, with_user_ratings
 from kiln.session import checkpoint_dir, persisted  # noqa: F401 (re-exported)
 
@@ -30,6 +33,8 @@ ALS_RANKS = (4, 8, 12)
 #: parameter and not a property of the cluster; raise them with the data.
 ALS_BLOCKS = 10
 # ----------------------------------------------------------------------------
+#: ratings that Spark's ALS fits: 2.5 million in each of its blocks
+SPARK_RATINGS = 25_000_000
 
 
 def make_als(rank: int = 10, max_iter: int = ALS_MAX_ITER, reg: float = ALS_REG_PARAM,
@@ -43,8 +48,22 @@ def make_als(rank: int = 10, max_iter: int = ALS_MAX_ITER, reg: float = ALS_REG_
 def fit(train: DataFrame, rank: int, **kw) -> ALSModel:
     """Fit ALS (lineage is checkpointed every 10 iterations to the session's
     reliable checkpoint directory)."""
+    with solver(train, **kw) as (solve, _):
+        return solve(rank)
+
+
+@contextmanager
+def solver(train: DataFrame, **kw) -> Iterator[tuple[Callable[[int], ALSModel], bool]]:
+    """``(solve, small)`` for the block: ``solve(rank)`` fits ALS to ``train``; if ``small``, by
+    Spark's solver, and several at once are no trouble.  Else the ratings are dealt to shards
+    here, once for all ranks."""
     checkpoint_dir(train.sparkSession)
-    return make_als(rank, **kw).fit(train)
+    n = train.count()
+    if n <= SPARK_RATINGS:
+        yield lambda rank: make_als(rank, **kw).fit(train), True
+    else:
+        dealt = shards.deal(train, make_als(**kw), n)
+        yield lambda rank: shards.fit(make_als(rank, **kw), dealt), False
 
 
 def model_rmse(model: ALSModel, data: DataFrame) -> float:
@@ -73,19 +92,19 @@ def rank_search(train: DataFrame, validation: DataFrame,
 
     Returns ``(table, best_model, best_rank)``; ``table`` has one row per
     rank: ``(rank, rmse, is_best)``, the lowest RMSE (first in ``ranks`` on
-    ties) best.  Up to ``parallelism`` (default: all) candidates are fitted
-    at once from driver threads, as Spark's own model tuners do; each fit
-    is seeded, so the result does not depend on the interleaving.
+    ties) best.  Up to ``parallelism`` (default: all, or one if the ratings are
+    many) candidates are fitted at once from driver threads, as Spark's own model
+    tuners do; each fit is seeded, so the result does not depend on the interleaving.
     """
     spark: SparkSession = train.sparkSession
     ranks = list(ranks)
     # every fit scans the training set and every score the validation set:
     # build each once (fitted models do not depend on these caches)
-    with persisted(train, validation) as (train, validation):
+    with persisted(train, validation) as (train, validation), solver(train, **kw) as (solve, small):
         def one(r: int) -> tuple[int, float, ALSModel]:
-            model = fit(train, r, **kw)
+            model = solve(r)
             return r, model_rmse(model, validation), model
-        with ThreadPoolExecutor(max_workers=parallelism or len(ranks)) as pool:
+        with ThreadPoolExecutor(max_workers=parallelism or (len(ranks) if small else 1)) as pool:
             done = list(pool.map(one, ranks))
     results = [(r, e) for r, e, _ in done]
     best = min(done, key=lambda x: (x[1], ranks.index(x[0])))

@@ -395,12 +395,13 @@ def _rank_search_verified(spark, d):
         least = min(r["rmse"] for r in stated.values())
         n = validation.count()
         rows = []
-        for rank, r in sorted(stated.items()):
-            scored = rc.factor_predictions(rc.fit(train, rank), validation, rank)
-            own = scored.agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("rating"), 2))),
-                             F.count(F.lit(1))).first()
-            rows.append((rank, own[1], n - own[1], abs(own[0] - r["rmse"]) < ALS_CLOSE,
-                         r["is_best"] == (r["rmse"] == least)))
+        with rc.solver(train) as (solve, _):
+            for rank, r in sorted(stated.items()):
+                scored = rc.factor_predictions(solve(rank), validation, rank)
+                own = scored.agg(F.sqrt(F.avg(F.pow(F.col("prediction") - F.col("rating"), 2))),
+                                 F.count(F.lit(1))).first()
+                rows.append((rank, own[1], n - own[1], abs(own[0] - r["rmse"]) < ALS_CLOSE,
+                             r["is_best"] == (r["rmse"] == least)))
     return spark.createDataFrame(
         rows, "rank int, n_scored long, n_dropped long, rmse_agrees boolean, best_agrees boolean")
 
