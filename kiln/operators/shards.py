@@ -36,8 +36,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SHARD_RATINGS = 1_000_000
 #: ratings whose products are in memory at a time, and those summed by one product of matrices
 WINDOW, PIECE = 8_192, 16
-#: bytes of factors in one batch that a shard sends
-BATCH_BYTES = 1 << 24
+#: bytes of one batch between a task and its Python, about
+BATCH_BYTES = 1 << 22
 
 _FIELDS = {"int": pa.int32(), "binary": pa.binary()}
 #: ``at`` is where a row lies.  Ratings: shard ``at``'s ids, where the ratings of each start,
@@ -181,6 +181,7 @@ def _solve(rank: int, reg: float):
 def _setting(spark, partitions: int):
     # the frames are dealt by their shard once and stay so
     return settings(spark, {**FREE_SHUFFLES, "spark.sql.adaptive.enabled": "false",
+                            "spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES),
                             "spark.sql.shuffle.partitions": str(partitions)})
 
 
