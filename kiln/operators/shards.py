@@ -33,7 +33,7 @@ from kiln.session import FREE_SHUFFLES, checkpoint_dir, settings
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: ratings of a shard, about; the model does not depend on it
-SHARD_RATINGS = 1_000_000
+SHARD_RATINGS = 500_000
 #: ratings whose products are in memory at a time, and those summed by one product of matrices
 WINDOW, PIECE = 8_192, 16
 #: bytes of one batch between a task and its Python, about
